@@ -1,0 +1,667 @@
+"""Every registered query with its SQL counterpart.
+
+``QUERIES`` maps a name to a function of (spark, folder of test tables); ``ORACLES`` maps it to SQL.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Mapping
+from dataclasses import replace
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks import fixture, oracle
+from closebook import constants as K
+from closebook.functions.calcs import REGISTRY
+from closebook.operators import contracts, gate, quality, reports, statement, tieout, views
+from closebook.operators.assembly import calc_table, join_calc_tables, micro_calc, wide_table
+from closebook.plans.books import Books
+from closebook.plans.close import close_period
+from closebook.schemas import FACTS, SCHEMAS, SemanticTables
+from closebook.session import configure, scratch_path
+from closebook.sources import delivery, seeds, tables
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+RUN_AT = datetime(2001, 12, 1, 6, 0)
+CLOSED_MONTH = date(1998, 6, 1)
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Amounts as DOUBLE, as on the SQL side."""
+    return df.select(
+        *[
+            F.col(column.name).cast("double").alias(column.name)
+            if isinstance(column.dataType, T.DecimalType)
+            else F.col(column.name)
+            for column in df.schema
+        ]
+    )
+
+
+def register(name: str, query: Callable[[SemanticTables], DataFrame], sql: str | None) -> None:
+    """Register a query over the semantic tables; the SQL may use every name in checks.oracle."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(query(fixture.semantic_tables(configure(spark), sf_dir)))
+
+    QUERIES[name] = run
+    if sql is not None:
+        ORACLES[name] = oracle.with_views(sql)
+
+
+def snake(name: str) -> str:
+    """ValuationUSDRounded -> valuation_usd_rounded."""
+    return re.sub(r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).lower()
+
+
+def spark_of(t: SemanticTables) -> SparkSession:
+    return t.Customers.sparkSession
+
+
+# Scans.
+for _table in SCHEMAS:
+    _amounts = oracle.AMOUNTS.get(_table)
+    register(
+        f"scan_{snake(_table)}",
+        lambda t, name=_table: t[name],
+        f"SELECT {oracle._doubles(*_amounts) if _amounts else '*'} FROM {_table}",
+    )
+
+# Micro-calcs, assembled calc tables and widetables.
+for _table in FACTS:
+    _group = f"{_table}Calc"
+    for _name, _calc in sorted(REGISTRY[_group].items()):
+        register(
+            f"calc_{snake(_name)}",
+            lambda t, table=_table, calc=_calc: micro_calc(t[table], calc, {"ReferenceAssets": t.ReferenceAssets}),
+            f"SELECT ID, {oracle.CALCS[_table][_name]} AS {_name} FROM {_table}",
+        )
+    register(
+        f"calcs_{snake(_table)}",
+        lambda t, table=_table: Books(t).calc(table),
+        f"SELECT ID, {oracle.calc_columns(_table)} FROM {_table}",
+    )
+
+    def _flat(wide: DataFrame, table: str = _table, group: str = _group) -> DataFrame:
+        fields = wide.schema[table].dataType.names
+        calcs = [name for name in wide.schema[group].dataType.names if name != "ID"]
+        return wide.select(
+            *[F.col(f"{table}.{name}") for name in fields],
+            *[F.col(f"{group}.{name}").alias(f"calc_{name}") for name in calcs],
+        )
+
+    register(f"wide_{snake(_table)}", lambda t, table=_table, flat=_flat: flat(Books(t).wide(table)), oracle.wide(_table))
+    register(
+        f"wide_joined_{snake(_table)}",
+        lambda t, table=_table, flat=_flat: flat(join_calc_tables(t[table], Books(t).calc(table), f"{table}Calc")),
+        oracle.wide(_table),
+    )
+
+
+def _unknown_asset_calcs(t: SemanticTables) -> DataFrame:
+    """Staking calcs against a reference without the zero-day assets: unknown asset gives NULL."""
+    known = t.ReferenceAssets.filter("UnbondingDays > 0")
+    return calc_table(t.StakingEvents, "StakingEventsCalc", {"ReferenceAssets": known})
+
+
+register(
+    "calcs_staking_unknown_asset",
+    _unknown_asset_calcs,
+    "SELECT ID, "
+    + ", ".join(
+        f"{sql.replace('r.AssetId = StakingEvents.AssetId', 'r.AssetId = StakingEvents.AssetId AND r.UnbondingDays > 0')} AS {name}"
+        for name, sql in sorted(oracle.CALCS["StakingEvents"].items())
+    )
+    + " FROM StakingEvents",
+)
+
+# Business views.
+_BALANCES_SQL = f"SELECT {oracle._doubles(*oracle.BALANCE_AMOUNTS)} FROM Bal"
+register("custody_balances", lambda t: Books(t).balances, _BALANCES_SQL)
+register("staking_rewards", lambda t: Books(t).staking_rewards, f"SELECT {oracle._doubles(*oracle.REWARD_SUMS)} FROM Rew")
+register(
+    "fee_accruals",
+    lambda t: Books(t).fee_accruals,
+    "SELECT "
+    + oracle._doubles("TotalFeeAmountUSD", "TotalAumBilled", "BilledFeeAmountUSD", "PendingFeeAmountUSD")
+    + " FROM Fee",
+)
+register(
+    "fees_collapsed",
+    lambda t: views.fees_collapsed(Books(t).fee_accruals),
+    f"SELECT {oracle._doubles('TotalFeesUSD', 'BilledFeesUSD', 'PendingFeesUSD')} FROM FeeSum",
+)
+register(
+    "client_positions",
+    lambda t: Books(t).client_positions.drop("_BuiltAt"),
+    f"SELECT {oracle._doubles(*oracle.SPINE_AMOUNTS)} FROM Spine",
+)
+register(
+    "financial_event_totals",
+    lambda t: Books(t).event_totals,
+    f"SELECT {oracle._doubles('SumGrossFromEvents', 'SumNetFromEvents')} FROM Totals",
+)
+_RECON_SQL = f"SELECT {oracle._doubles(*oracle.RECON_AMOUNTS)} FROM Recon"
+register(
+    "reconciliation_summary",
+    lambda t: views.order_reconciliation(Books(t).reconciliation).drop("ReconciliationRunAt"),
+    _RECON_SQL,
+)
+# The same with every key of two rows or more treated as hot, which takes the salted path.
+register(
+    "reconciliation_summary_salted",
+    lambda t: Books(t, hot_rows=1).reconciliation.drop("ReconciliationRunAt"),
+    _RECON_SQL,
+)
+register(
+    "ledger_tieout",
+    lambda t: tieout.order_tie_out(Books(t).tie_out).drop("ReconRunAt"),
+    f"SELECT {oracle._doubles(*oracle.TIE_AMOUNTS)} FROM Tie",
+)
+
+# Close checks.
+_CHECK_ROWS: Mapping[str, tuple[Callable[[Books], DataFrame], Callable[[], gate.Check]]] = {
+    "reconciliation_clean": (lambda b: b.reconciliation, gate.reconciliation_clean),
+    "ledger_tieout_clean": (lambda b: b.tie_out, gate.ledger_tieout_clean),
+    "no_pending_events": (lambda b: b.wide("FinancialEvents"), gate.no_pending_events),
+    "all_fees_billed": (lambda b: b.wide("FeeEvents"), gate.all_fees_billed),
+    "no_missing_positions": (lambda b: b.reconciliation, gate.no_missing_positions),
+    "kyc_approved_only": (lambda b: gate.active(b.tables.Customers), gate.kyc_approved_only),
+}
+for _name, (_rows, _check) in _CHECK_ROWS.items():
+    register(
+        f"check_{_name}",
+        lambda t, rows=_rows, check=_check: gate.evaluate(rows(Books(t)), [check()]),
+        oracle.CHECKS[_name],
+    )
+_GATE_SQL = " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in oracle.CHECKS.values())
+register("period_close_gate", lambda t: Books(t).close_gate, _GATE_SQL)
+register("gate_verdict", lambda t: gate.order_verdict(Books(t).close_gate), _GATE_SQL)
+
+# Statement and reports.
+_STATEMENT_SQL = f"SELECT {oracle._doubles(*oracle.STATEMENT_AMOUNTS)} FROM Stmt"
+register(
+    "monthly_statement",
+    lambda t: statement.order_statement(Books(t).monthly_statement).drop("StatementGeneratedAt"),
+    _STATEMENT_SQL,
+)
+register(
+    "monthly_statement_salted",
+    lambda t: Books(t, hot_rows=1).monthly_statement.drop("StatementGeneratedAt"),
+    _STATEMENT_SQL,
+)
+register(
+    "prior_period_join",
+    lambda t: statement.with_prior_period(statement.approved_only(Books(t).client_positions)).select(
+        *views.KEYS, "PeriodEndValuationUSD", "PriorPeriodQuantity", "PriorPeriodValuationUSD"
+    ),
+    """SELECT c.CustomerId, c.AssetId, c.PositionPeriod, CAST(c.PeriodEndValuationUSD AS DOUBLE) AS PeriodEndValuationUSD
+            , CAST(p.PeriodEndQuantity AS DOUBLE) AS PriorPeriodQuantity
+            , CAST(p.PeriodEndValuationUSD AS DOUBLE) AS PriorPeriodValuationUSD
+         FROM (SELECT * FROM Spine WHERE KycStatus = 'APPROVED') c LEFT JOIN (SELECT * FROM Spine WHERE KycStatus = 'APPROVED') p
+           ON p.CustomerId = c.CustomerId AND p.AssetId = c.AssetId
+          AND date_diff('month', p.PositionPeriod, c.PositionPeriod) = 1""",
+)
+_REPORT_SOURCE = "(SELECT s.*, c.KycStatus, c.IsActive FROM Stmt s LEFT JOIN Customers c USING (CustomerId))"
+_REPORT_SQL = (
+    f"SELECT {oracle.report_columns()} FROM {_REPORT_SOURCE} WHERE KycStatus = 'APPROVED' AND IsActive "
+    "AND CustomerType IN ('INSTITUTIONAL', 'HEDGE_FUND', 'ASSET_MANAGER', 'PENSION_FUND')"
+)
+register("report_custody_monthly", lambda t: Books(t).report(reports.CUSTODY_MONTHLY), _REPORT_SQL)
+
+_CLIENT_FILTERS = {
+    "equals": ({"field": "RiskTier", "operator": "equals", "value": "tier_1"}, "RiskTier = 'tier_1'"),
+    "equals_flag": ({"field": "IsActive", "operator": "equals", "value": False}, "NOT IsActive"),
+    "in": ({"field": "KycStatus", "operator": "in", "values": ["PENDING", "SUSPENDED"]}, "KycStatus IN ('PENDING', 'SUSPENDED')"),
+    "not_equals": ({"field": "CustomerType", "operator": "not_equals", "value": "HEDGE_FUND"}, "CustomerType <> 'HEDGE_FUND'"),
+}
+for _name, (_rule, _sql) in _CLIENT_FILTERS.items():
+    register(
+        f"report_filter_{_name}",
+        lambda t, rule=_rule: reports.filter_clients(t.Customers, [rule]),
+        f"SELECT * FROM Customers WHERE {_sql}",
+    )
+_COMBINED = [_CLIENT_FILTERS[name] for name in ("equals", "in", "not_equals")]
+register(
+    "report_filter_combined",
+    lambda t: reports.filter_clients(t.Customers, [rule for rule, _ in _COMBINED]),
+    "SELECT * FROM Customers WHERE " + " AND ".join(sql for _, sql in _COMBINED),
+)
+register(
+    "report_conditional_column",
+    lambda t: reports.project(
+        t.Customers,
+        [
+            {"name": "CustomerName", "include_if": "IsActive = true"},
+            {"name": "CustomerId", "order": 1},
+            {"name": "RiskTier", "order": 2, "label": "Risk tier"},
+        ],
+    ),
+    "SELECT CustomerId, RiskTier, CASE WHEN IsActive THEN CustomerName END AS CustomerName FROM Customers",
+)
+
+# Data-quality tests. Where the test data has no violation, Spark derives some from it.
+_SHORTED = "Quantity - 25"
+register(
+    "quality_fee_amounts_positive",
+    lambda t: quality.fee_amounts_positive(t.FeeEvents),
+    """SELECT ID, CustomerId, AssetId, FeeType, BasisPoints, CAST(FeeAmountUSD AS DOUBLE) AS FeeAmountUSD
+            , CAST(AumAtBilling AS DOUBLE) AS AumAtBilling, FeePeriodStart
+            , CASE WHEN FeeAmountUSD <= 0 THEN 'ZERO_OR_NEGATIVE_FEE' WHEN BasisPoints <= 0 THEN 'INVALID_BASIS_POINTS'
+                   ELSE 'ZERO_OR_NEGATIVE_AUM' END AS failure_reason
+         FROM FeeEvents WHERE LEAST(FeeAmountUSD, BasisPoints, AumAtBilling) <= 0""",
+)
+
+
+def _raw_line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(line.cast("string").alias("ID"))
+
+
+QUERIES["quality_no_duplicate_events"] = lambda spark, sf_dir: quality.no_duplicate_events(_raw_line_ids(spark, sf_dir))
+ORACLES["quality_no_duplicate_events"] = """
+    SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS ID, COUNT(*) AS duplicate_count
+         , 'DUPLICATE_EVENT_ID' AS failure_reason FROM lineitem GROUP BY 1 HAVING COUNT(*) > 1"""
+register(
+    "quality_no_negative_balances",
+    lambda t: quality.no_negative_balances(t.CustodyPositions.withColumn("Quantity", F.expr(_SHORTED))),
+    f"""SELECT ID, CustomerId, AssetId, CAST({_SHORTED} AS DOUBLE) AS Quantity, CAST(PriceUSD AS DOUBLE) AS PriceUSD
+            , CAST(ValuationUSD AS DOUBLE) AS ValuationUSD, PositionDate, 'NEGATIVE_BALANCE' AS failure_reason
+         FROM CustodyPositions WHERE Quantity < 25""",
+)
+_REVERSED = "CASE WHEN RewardState = 'pending' THEN 40000 - NetAmount ELSE NetAmount END"
+
+
+def _reversed_rewards(t: SemanticTables) -> DataFrame:
+    events = t.StakingEvents.withColumn("NetAmount", F.expr(_REVERSED).cast("decimal(28,4)"))
+    return Books(replace(t, StakingEvents=events)).staking_rewards
+
+
+register(
+    "quality_settled_within_earned",
+    lambda t: quality.settled_within_earned(_reversed_rewards(t)),
+    f"""SELECT CustomerId, AssetId, RewardPeriod, CAST(s AS DOUBLE) AS SettledNetRewards
+            , CAST(s + p AS DOUBLE) AS TotalNetRewardsAllStates, CAST(p AS DOUBLE) AS NetPendingRewards
+            , CASE WHEN s > s + p THEN 'SETTLED_EXCEEDS_EARNED' ELSE 'NEGATIVE_PENDING_REWARDS' END AS failure_reason
+         FROM (SELECT CustomerId, AssetId, {oracle._month('EarnDate')} AS RewardPeriod
+                    , COALESCE(SUM(NetAmount) FILTER (RewardState = 'settled'), 0) AS s
+                    , COALESCE(SUM(40000 - NetAmount) FILTER (RewardState = 'pending'), 0) AS p
+                 FROM StakingEvents GROUP BY 1, 2, 3) WHERE p < 0""",
+)
+# Cancelled events blown up so far that their text form needs an exponent.
+_BLOWN_UP = "CASE WHEN Status = 'cancelled' THEN CAST(GrossAmount AS DOUBLE) * 1e20 ELSE CAST(GrossAmount AS DOUBLE) END"
+register(
+    "quality_no_scientific_notation",
+    lambda t: quality.no_scientific_notation(
+        t.FinancialEvents.filter("GrossAmount > 0").select(F.expr(_BLOWN_UP).alias("Amount")), "Amount"
+    ),
+    f"""SELECT {_BLOWN_UP} AS Amount, 'SCIENTIFIC_NOTATION_IN_AMOUNT' AS failure_reason
+         FROM FinancialEvents WHERE GrossAmount > 0 AND Status = 'cancelled'""",
+)
+register(
+    "quality_take_rate_in_bounds",
+    lambda t: quality.take_rate_in_bounds(Books(t).staking_rewards, min_pct=0.02, max_pct=0.08),
+    """SELECT CustomerId, AssetId, RewardPeriod, FeeTakeRatePct AS fee_take_rate_pct
+            , 'FEE_RATE_OUT_OF_BOUNDS' AS failure_reason
+         FROM Rew WHERE NOT FeeTakeRatePct BETWEEN 0.02 AND 0.08""",
+)
+register(
+    "quality_all_records_reconciled",
+    lambda t: quality.all_records_reconciled(Books(t).reconciliation, clean="Reconciled"),
+    """SELECT CustomerId, Symbol, PositionPeriod, ReconciliationStatus
+            , 'NOT_RECONCILED_AT_PERIOD_CLOSE' AS failure_reason FROM Recon WHERE ReconciliationStatus <> 'Reconciled'""",
+)
+
+# Source contracts.
+register(
+    "contract_not_null",
+    lambda t: contracts.not_null(t.FinancialEvents, "SettlementDate"),
+    f"SELECT {oracle._doubles(*oracle.AMOUNTS['FinancialEvents'])} FROM FinancialEvents WHERE SettlementDate IS NULL",
+)
+QUERIES["contract_unique"] = lambda spark, sf_dir: contracts.unique(_raw_line_ids(spark, sf_dir), "ID")
+ORACLES["contract_unique"] = """
+    SELECT ID, row_count FROM (SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS ID, COUNT(*) AS row_count
+      FROM lineitem GROUP BY 1) WHERE row_count > 1"""
+register(
+    "contract_relationship",
+    lambda t: contracts.relationship(t.CustodyPositions, "AssetId", t.ReferenceAssets.filter("IsStakeable"), "AssetId"),
+    f"""SELECT {oracle._doubles(*oracle.AMOUNTS['CustodyPositions'])} FROM CustodyPositions
+         WHERE AssetId NOT IN (SELECT AssetId FROM ReferenceAssets WHERE IsStakeable)""",
+)
+register(
+    "contract_accepted_range",
+    lambda t: contracts.at_least(t.CustodyPositions.select("ID", F.expr(_SHORTED).alias("Quantity")), "Quantity"),
+    f"SELECT ID, CAST({_SHORTED} AS DOUBLE) AS Quantity FROM CustodyPositions WHERE Quantity < 25",
+)
+for _name, (_table, _value, _accepted) in {
+    "reward_state": (
+        "StakingEvents", "CASE WHEN DistributeDate IS NULL THEN RewardState ELSE 'distributed' END", K.REWARD_STATES,
+    ),
+    "fee_type": ("FeeEvents", "FeeType", K.FEE_TYPES),
+    "billing_status": ("FeeEvents", "BillingStatus", K.BILLING_STATUSES),
+    "kyc_status": ("Customers", "CASE WHEN IsActive THEN KycStatus ELSE 'CLOSED' END", K.KYC_STATUSES),
+}.items():
+    _key = "CustomerId" if _table == "Customers" else "ID"
+    register(
+        f"contract_accepted_{_name}",
+        lambda t, table=_table, key=_key, value=_value, accepted=_accepted: contracts.accepted_values(
+            t[table].select(key, F.expr(value).alias("Value")), "Value", accepted
+        ),
+        f"SELECT {_key}, {_value} AS Value FROM {_table} WHERE {_value} NOT IN {_accepted}",
+    )
+register(
+    "contract_period_end_reference",
+    lambda t: contracts.period_end_reference_present(Books(t).balances),
+    f"SELECT {oracle._doubles(*oracle.BALANCE_AMOUNTS)} FROM Bal WHERE CustodianLedgerRef IS NULL",
+)
+register(
+    "contract_valuation_consistent",
+    lambda t: contracts.valuation_consistent(t.CustodyPositions),
+    f"""SELECT {oracle._doubles(*oracle.AMOUNTS['CustodyPositions'])} FROM CustodyPositions
+         WHERE ABS(ValuationUSD - Quantity * PriceUSD) > 0.01""",
+)
+register(
+    "contract_net_reward_consistent",
+    lambda t: contracts.net_reward_consistent(
+        t.StakingEvents.select("ID", "GrossAmount", F.round("FeeAmount", 2).alias("FeeAmount"), "NetAmount")
+    ),
+    """SELECT ID, CAST(GrossAmount AS DOUBLE) AS GrossAmount, CAST(ROUND(FeeAmount, 2) AS DOUBLE) AS FeeAmount
+            , CAST(NetAmount AS DOUBLE) AS NetAmount
+         FROM StakingEvents WHERE ABS(GrossAmount - ROUND(FeeAmount, 2) - NetAmount) > 0.0001""",
+)
+register(
+    "contract_invoice_reference",
+    lambda t: contracts.invoice_reference_present(t.FeeEvents, invoiced="accrued"),
+    f"""SELECT {oracle._doubles(*oracle.AMOUNTS['FeeEvents'])} FROM FeeEvents
+         WHERE BillingStatus = 'accrued' AND InvoiceReference IS NULL""",
+)
+register(
+    "contract_grain",
+    lambda t: contracts.unique(t.CustodyPositions, ("CustomerId", "AssetId", "PositionDate")),
+    """SELECT CustomerId, AssetId, PositionDate, COUNT(*) AS row_count FROM CustodyPositions
+        GROUP BY 1, 2, 3 HAVING COUNT(*) > 1""",
+)
+
+
+def _freshness(t: SemanticTables) -> DataFrame:
+    rows = contracts.freshness(t.CustodyPositions, "CreatedAt", _run_ts(), warn_hours=12, error_hours=24 * 365)
+    return rows.withColumn("LatestLoad", F.col("LatestLoad").cast("string"))
+
+
+def _run_ts():
+    return F.lit(RUN_AT.isoformat(sep=" ")).cast("timestamp")
+
+
+register(
+    "contract_freshness",
+    _freshness,
+    f"""SELECT strftime(m, '%Y-%m-%d %H:%M:%S') AS LatestLoad
+            , date_diff('second', m, TIMESTAMP '{RUN_AT}') // 3600 AS AgeHours
+            , CASE WHEN date_diff('second', m, TIMESTAMP '{RUN_AT}') > 24 * 365 * 3600 THEN 'error'
+                   WHEN date_diff('second', m, TIMESTAMP '{RUN_AT}') > 12 * 3600 THEN 'warn' ELSE 'pass' END AS Status
+         FROM (SELECT MAX(CreatedAt) AS m FROM CustodyPositions)""",
+)
+
+
+def _later_log(t: SemanticTables) -> DataFrame:
+    """A later state of the event log in which cancelled rows vanished and pending ones were edited."""
+    kept = t.FinancialEvents.filter("Status <> 'cancelled'")
+    return kept.withColumn("Status", F.regexp_replace("Status", "pending", "settled"))
+
+
+register(
+    "contract_append_only",
+    lambda t: contracts.append_only(t.FinancialEvents, _later_log(t)),
+    f"""SELECT {oracle._doubles(*oracle.AMOUNTS['FinancialEvents'])} FROM FinancialEvents
+         WHERE Status IN ('pending', 'cancelled')""",
+)
+
+
+def _snapshots(t: SemanticTables) -> DataFrame:
+    # Positions whose number ends in 3 reached the platform eight weeks late.
+    late = F.when(F.col("ID").endswith("3"), F.date_add("PositionDate", 56)).otherwise(F.col("PositionDate"))
+    loaded = t.CustodyPositions.filter("PositionDate IS NOT NULL").withColumn("LoadedAt", late.cast("timestamp"))
+    rows = contracts.snapshot_on_time(loaded, "LoadedAt")
+    return rows.withColumns({name: F.col(name).cast("string") for name in ("LoadedAt", "Deadline")})
+
+
+register(
+    "contract_snapshot_on_time",
+    _snapshots,
+    """SELECT PositionPeriod, strftime(l, '%Y-%m-%d %H:%M:%S') AS LoadedAt, strftime(d, '%Y-%m-%d %H:%M:%S') AS Deadline
+            , CASE WHEN l > d THEN 'LATE' ELSE 'ON_TIME' END AS Status
+         FROM (SELECT PositionPeriod, PositionPeriod + INTERVAL 1 MONTH + INTERVAL 4 HOUR AS d
+                    , MAX(CASE WHEN ID LIKE '%3' THEN PositionDate + 56 ELSE PositionDate END)::TIMESTAMP AS l
+                 FROM Pos GROUP BY 1, 2)""",
+)
+_HASHED_UNLESS_PENDING = "CASE WHEN KycStatus = 'PENDING' THEN CustomerId ELSE {} END"
+register(
+    "contract_customer_ids_hashed",
+    lambda t: contracts.customer_ids_hashed(
+        t.Customers.select("CustomerName", F.expr(_HASHED_UNLESS_PENDING.format("sha2(CustomerId, 256)")).alias("CustomerId"))
+    ),
+    "SELECT CustomerName, CustomerId FROM Customers WHERE KycStatus = 'PENDING'",
+)
+
+
+def _contract_sql(table: str) -> str:
+    """One row per declared check, spelled out from the contract with a scan each."""
+    contract = contracts.CONTRACTS[table]
+    rows = []
+
+    def add(check: str, column: str, critical: bool, count: str) -> None:
+        rows.append(
+            f"SELECT '{table}' AS TableName, '{check}' AS CheckName, '{column}' AS ColumnName, {critical} AS Critical"
+            f", CAST(n AS BIGINT) AS FailingCount, CASE n WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS Status FROM ({count})"
+        )
+
+    def where(condition: str) -> str:
+        return f"SELECT COUNT(*) AS n FROM {table} WHERE {condition}"
+
+    def repeated(keys: str) -> str:
+        return f"SELECT COUNT(*) AS n FROM (SELECT {keys} FROM {table} GROUP BY {keys} HAVING COUNT(*) > 1)"
+
+    for column, rule in contract.columns.items():
+        add("column_type", column, rule.critical, "SELECT 0 AS n")
+        if rule.not_null:
+            add("not_null", column, rule.critical, where(f"{column} IS NULL"))
+        if rule.minimum is not None:
+            add("accepted_range", column, rule.critical, where(f"{column} < {rule.minimum}"))
+        if rule.values:
+            add("accepted_values", column, rule.critical, where(f"{column} NOT IN {rule.values}"))
+        if rule.unique:
+            add("unique", column, rule.critical, repeated(column))
+        if rule.parent:
+            add("relationship", column, rule.critical, where(f"{column} NOT IN (SELECT {rule.parent[1]} FROM {rule.parent[0]})"))
+    if len(contract.grain) > 1:
+        add("grain", ", ".join(contract.grain), True, repeated(", ".join(contract.grain)))
+    return " UNION ALL ".join(rows)
+
+
+for _table in SCHEMAS:
+    register(
+        f"contract_report_{snake(_table)}",
+        lambda t, name=_table: contracts.contract_report(t, name),
+        _contract_sql(_table),
+    )
+
+
+# Sinks: each writes below the shared folder and reads the result back.
+def _stored_calcs(t: SemanticTables) -> DataFrame:
+    spark = spark_of(t)
+    path = scratch_path(spark, "fee-calcs")
+    tables.store(Books(t).calc("FeeEvents"), path)
+    return spark.read.parquet(path)
+
+
+register("sink_table", _stored_calcs, f"SELECT ID, {oracle.calc_columns('FeeEvents')} FROM FeeEvents")
+
+
+def _stored_by_month(t: SemanticTables) -> DataFrame:
+    spark = spark_of(t)
+    path = scratch_path(spark, "balances-by-month")
+    tables.store(Books(t).balances, path, ["PositionPeriod"])
+    stored = spark.read.parquet(path)
+    return stored.select(*[c for c in stored.columns if c != "PositionPeriod"], F.col("PositionPeriod").cast("date"))
+
+
+register("sink_partitioned_table", _stored_by_month, _BALANCES_SQL)
+
+
+def _view(t: SemanticTables) -> DataFrame:
+    tables.as_view(Books(t).staking_rewards, "closebook_staking_rewards")
+    return spark_of(t).sql("SELECT * FROM closebook_staking_rewards WHERE NetPendingRewards > 0")
+
+
+register("sink_view", _view, f"SELECT {oracle._doubles(*oracle.REWARD_SUMS)} FROM Rew WHERE NetPendingRewards > 0")
+
+
+def _read_statement_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).options(header=True, mode="FAILFAST").csv(path)
+
+
+def _exported(t: SemanticTables) -> DataFrame:
+    spark = spark_of(t)
+    rows = Books(t).monthly_statement.drop("StatementGeneratedAt")
+    folder = delivery.export_statements(rows, scratch_path(spark, "statements"), RUN_AT.date().replace(day=1))
+    return _read_statement_csv(spark, folder, rows)
+
+
+register("sink_statement_csv", _exported, _STATEMENT_SQL)
+
+
+def _exported_per_client(t: SemanticTables) -> DataFrame:
+    """The statements of one closed month, a folder per client."""
+    spark = spark_of(t)
+    columns = ("StatementId", "CustomerId", "Symbol", "PositionPeriod", "PeriodEndValuationUSD")
+    rows = Books(t).monthly_statement.select(*columns)
+    folder = delivery.export_per_client(rows, scratch_path(spark, "per-client"), CLOSED_MONTH)
+    return _read_statement_csv(spark, folder, rows).select(*columns)
+
+
+register(
+    "sink_statement_per_client",
+    _exported_per_client,
+    f"""SELECT StatementId, CustomerId, Symbol, PositionPeriod, CAST(PeriodEndValuationUSD AS DOUBLE) AS PeriodEndValuationUSD
+         FROM Stmt WHERE PositionPeriod = DATE '{CLOSED_MONTH}'""",
+)
+
+
+def _delivery_log(t: SemanticTables) -> DataFrame:
+    """Half of the clients first, then everyone: each statement is logged once."""
+    spark = spark_of(t)
+    path = scratch_path(spark, "delivery-log")
+    rows = Books(t).monthly_statement
+    delivery.record_deliveries(rows.filter("RiskTier <> 'tier_1'"), path, _run_ts())
+    delivery.record_deliveries(rows, path, _run_ts())
+    logged = delivery.read_log(rows, path)
+    return logged.withColumn("AttemptedAt", F.col("AttemptedAt").cast("string"))
+
+
+register(
+    "sink_delivery_log",
+    _delivery_log,
+    f"""SELECT DISTINCT StatementId, CustomerId, PositionPeriod, 'SENT' AS DeliveryStatus
+            , '{RUN_AT:%Y-%m-%d %H:%M:%S}' AS AttemptedAt FROM Stmt""",
+)
+
+
+def _seed_round_trip(t: SemanticTables) -> DataFrame:
+    """Fee events written as a seed file and loaded from it."""
+    spark = spark_of(t)
+    path = scratch_path(spark, "fee-seed")
+    fees = t.FeeEvents
+    renamed = fees.select(
+        F.col("ID").alias("fee_id"), F.col("CustomerId").alias("customer_id"), F.col("AssetId").alias("asset_id"),
+        F.col("FeeType").alias("fee_type"), F.col("BasisPoints").alias("basis_points"),
+        F.col("FeeAmountUSD").alias("fee_amount_usd"), F.col("AumAtBilling").alias("aum_at_billing"),
+        F.col("FeePeriodStart").alias("fee_period_start"), F.col("FeePeriodEnd").alias("fee_period_end"),
+        F.col("BillingStatus").alias("billing_status"), F.col("InvoiceReference").alias("invoice_reference"),
+        F.lit("2001-12-01 06:00:00").alias("created_at"),
+    )
+    renamed.write.option("header", True).csv(path)
+    return seeds.to_semantic(seeds.read_seed(spark, "raw_fee_events", path), "FeeEvents")
+
+
+register(
+    "seed_csv_fee_events",
+    _seed_round_trip,
+    f"SELECT {oracle._doubles(*oracle.AMOUNTS['FeeEvents'])} FROM FeeEvents",
+)
+
+
+def _customer_seed(t: SemanticTables) -> DataFrame:
+    """Customers as a seed file with True/False flags, loaded from it."""
+    spark = spark_of(t)
+    path = scratch_path(spark, "customer-seed")
+    t.Customers.select(
+        F.col("CustomerId").alias("customer_id"), F.col("CustomerName").alias("customer_name"),
+        F.col("CustomerType").alias("customer_type"), F.col("Jurisdiction").alias("jurisdiction"),
+        F.lit(None).cast("date").alias("onboarded_date"), F.col("KycStatus").alias("kyc_status"),
+        F.col("RiskTier").alias("risk_tier"), F.initcap(F.col("IsActive").cast("string")).alias("is_active"),
+    ).write.option("header", True).csv(path)
+    return seeds.to_semantic(seeds.read_seed(spark, "customers", path), "Customers")
+
+
+register("seed_csv_customers", _customer_seed, "SELECT * FROM Customers")
+
+
+def clean_tables(t: SemanticTables) -> SemanticTables:
+    """The test tables with every exception resolved, so that a close can succeed.
+
+    Each month-end balance gets one billed fee, open events are settled, ledger references are filled
+    in, valuations follow from quantity and price, and every client is approved.
+    """
+    positions = t.CustodyPositions.withColumns(
+        {
+            "CustodianLedgerRef": F.coalesce("CustodianLedgerRef", F.concat(F.lit("REF-"), F.col("ID"))),
+            "ValuationUSD": F.expr("CAST(Quantity * PriceUSD AS DECIMAL(28,2))"),
+        }
+    )
+    month = F.trunc("PositionDate", "MM")
+    fees = positions.groupBy("CustomerId", "AssetId", month.alias("FeePeriodStart")).agg(F.min("ID").alias("first"))
+    fees = fees.select(
+        F.concat(F.lit("FEE-"), F.col("first")).alias("ID"), "CustomerId", "AssetId", F.lit("custody").alias("FeeType"),
+        F.lit(15).cast("bigint").alias("BasisPoints"), F.lit(100).cast("decimal(18,2)").alias("FeeAmountUSD"),
+        F.lit(1000).cast("decimal(22,2)").alias("AumAtBilling"), "FeePeriodStart",
+        F.last_day("FeePeriodStart").alias("FeePeriodEnd"), F.lit("billed").alias("BillingStatus"),
+        F.concat(F.lit("INV-"), F.col("first")).alias("InvoiceReference"),
+    )
+    return replace(
+        t,
+        Customers=t.Customers.withColumn("KycStatus", F.lit("APPROVED")),
+        CustodyPositions=positions,
+        FeeEvents=fees,
+        FinancialEvents=t.FinancialEvents.withColumn("Status", F.lit("settled")),
+    )
+
+
+def _closed(t: SemanticTables) -> DataFrame:
+    spark = spark_of(t)
+    result = close_period(clean_tables(t), RUN_AT, scratch_path(spark, "close"), scratch_path(spark, "close-log"))
+    like = Books(clean_tables(t)).monthly_statement
+    rows = _read_statement_csv(spark, result.exported_to, like)
+    return rows.select("StatementId", "CustomerName", "PeriodLabel", "PeriodEndValuationUSD", "TotalFeesUSD", "IssuingEntity")
+
+
+register(
+    "close_and_export",
+    _closed,
+    f"""SELECT md5(b.CustomerId || '|' || b.AssetId || '|' || b.PositionPeriod) AS StatementId, c.CustomerName
+            , strftime(b.PositionPeriod, '%B %Y') AS PeriodLabel
+            , CAST(b.PeriodEndQuantity * b.PeriodEndPriceUSD AS DOUBLE) AS PeriodEndValuationUSD
+            , CAST(100 AS DOUBLE) AS TotalFeesUSD, '{K.DEFAULT_ENTITY}' AS IssuingEntity
+         FROM Bal b JOIN Customers c USING (CustomerId)
+         LEFT JOIN (SELECT CustomerId, AssetId, PositionPeriod, COUNT(*) AS n FROM Bal GROUP BY 1, 2, 3) p
+           ON p.CustomerId = b.CustomerId AND p.AssetId = b.AssetId
+          AND p.PositionPeriod = CAST(b.PositionPeriod - INTERVAL 1 MONTH AS DATE)
+         , generate_series(1, COALESCE(p.n, 1))""",
+)

@@ -1,0 +1,119 @@
+"""The reporting layers over one set of semantic tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame
+
+from closebook import constants as K
+from closebook.operators import gate, reports, skew, statement, tieout, views
+from closebook.operators.assembly import calc_table, wide_table
+from closebook.schemas import SemanticTables
+
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+class Books:
+    """Lazy results of every layer; nothing runs until a result is used.
+
+    ``keep`` is called on the two intermediates that several results read (the hot keys and the
+    reporting spine). By default they stay part of the plan; a close passes
+    :func:`closebook.session.materialise` to compute them once.
+    """
+
+    def __init__(
+        self,
+        tables: SemanticTables,
+        entity: str = K.DEFAULT_ENTITY,
+        run_ts: Column | None = None,
+        hot_rows: int = skew.HOT_ROWS,
+        keep: Keep = lambda df, name: df,
+    ) -> None:
+        self.tables = tables
+        self.entity = entity
+        self.run_ts = run_ts
+        self.hot_rows = hot_rows
+        self.keep = keep
+
+    @property
+    def lookups(self) -> dict[str, DataFrame]:
+        return {"ReferenceAssets": self.tables.ReferenceAssets}
+
+    def calc(self, table: str) -> DataFrame:
+        return calc_table(self.tables[table], f"{table}Calc", self.lookups)
+
+    def wide(self, table: str) -> DataFrame:
+        return wide_table(self.tables[table], f"{table}Calc", self.lookups)
+
+    @cached_property
+    def hot(self) -> DataFrame:
+        found = views.hot_position_keys(self.wide("CustodyPositions"), min_rows=self.hot_rows)
+        return self.keep(found, "hot-keys")
+
+    @cached_property
+    def _salted_balances(self) -> DataFrame:
+        return views.custody_balances(self.wide("CustodyPositions"), self.hot, keep_salt=True)
+
+    @cached_property
+    def _salted_positions(self) -> DataFrame:
+        spine = views.client_positions(
+            self._salted_balances,
+            self.tables.Customers,
+            self.tables.ReferenceAssets,
+            self.staking_rewards,
+            self.fee_accruals,
+            run_ts=self.run_ts,
+            hot=self.hot,
+            keep_salt=True,
+        )
+        return self.keep(spine, "client-positions")
+
+    @property
+    def balances(self) -> DataFrame:
+        return views.unsalted(self._salted_balances)
+
+    @property
+    def staking_rewards(self) -> DataFrame:
+        return views.staking_rewards(self.wide("StakingEvents"))
+
+    @property
+    def fee_accruals(self) -> DataFrame:
+        return views.fee_accruals(self.wide("FeeEvents"))
+
+    @property
+    def client_positions(self) -> DataFrame:
+        return views.unsalted(self._salted_positions)
+
+    @property
+    def event_totals(self) -> DataFrame:
+        return views.financial_event_totals(self.wide("FinancialEvents"))
+
+    @property
+    def reconciliation(self) -> DataFrame:
+        return views.reconciliation_summary(
+            self._salted_positions, self.event_totals, self.entity, self.run_ts, self.hot
+        )
+
+    @property
+    def tie_out(self) -> DataFrame:
+        return tieout.ledger_tie_out(self.balances, self.run_ts)
+
+    @property
+    def close_gate(self) -> DataFrame:
+        return gate.period_close_gate(
+            self.reconciliation,
+            self.tie_out,
+            self.wide("FinancialEvents"),
+            self.wide("FeeEvents"),
+            self.tables.Customers,
+        )
+
+    @property
+    def monthly_statement(self) -> DataFrame:
+        return statement.monthly_statement(self._salted_positions, self.entity, self.run_ts, self.hot)
+
+    def report(self, config: dict) -> DataFrame:
+        source = reports.statement_with_client_flags(self.monthly_statement, self.tables.Customers)
+        return reports.report(config, source)

@@ -1,0 +1 @@
+"""Empty on purpose: month-end reporting is a batch workload with no streaming source or sink."""
