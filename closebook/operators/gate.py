@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook import constants as K
@@ -25,47 +25,44 @@ def _joined(*parts: Column | str) -> Column:
 
 
 def evaluate(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate checks over the same rows: counts in one shared aggregate, then the samples.
+    """Evaluate checks over the same rows, one result row per check.
 
-    A sample is the first five failing texts in order. Each comes from a top-five per task, so
-    neither step moves the failing rows themselves.
+    Counts are combined map-side, and the sample (the first failing texts in order) is limited to a few
+    rows per task before anything is moved. Both read the same columns of ``rows`` without further
+    filters, so that Spark shares the exchanges below them.
     """
-    counts = rows.agg(*[F.count_if(check.failing).alias(check.name) for check in checks])
-    counted = counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(check.name).alias("CheckName"),
-                        F.col(check.name).alias("FailingCount"),
-                        F.lit(None).cast("string").alias("Sample"),
-                    )
-                    for check in checks
-                ]
-            )
-        )
+    verdicts = [
+        F.struct(F.lit(c.name).alias("CheckName"), c.failing.alias("failing"), c.text.alias("text")) for c in checks
+    ]
+    failing = rows.select(F.inline(F.array(*verdicts))).filter("failing").select("CheckName", "text")
+    counts = failing.groupBy("CheckName").agg(
+        F.count(F.lit(1)).alias("FailingCount"), F.count("text").alias("TextCount")
     )
-    parts = [counted]
-    for check in checks:
-        texts = rows.filter(check.failing).select(check.text.alias("text")).filter("text IS NOT NULL")
-        first = texts.orderBy("text").limit(K.SAMPLE_SIZE)
-        sample = first.agg(F.expr("listagg(text, ' | ') WITHIN GROUP (ORDER BY text)").alias("Sample"))
-        parts.append(sample.select(F.lit(check.name).alias("CheckName"), F.lit(None).cast("bigint").alias("FailingCount"), "Sample"))
-    merged = reduce(DataFrame.unionByName, parts).groupBy("CheckName").agg(
-        F.max("FailingCount").alias("FailingCount"), F.max("Sample").alias("Sample")
+    in_order = Window.partitionBy("CheckName").orderBy(F.asc_nulls_last("text"))
+    first = failing.withColumn("position", F.row_number().over(in_order)).filter(F.col("position") <= K.SAMPLE_SIZE)
+    samples = first.groupBy("CheckName").agg(
+        F.expr("listagg(text, ' | ') WITHIN GROUP (ORDER BY text)").alias("Sample")
     )
-    description = F.lit(None).cast("string")
-    for check in checks:
-        description = F.when(F.col("CheckName") == check.name, K.CLOSE_CHECKS[check.name]).otherwise(description)
-    return merged.select(
-        "CheckName",
-        description.alias("Description"),
-        "FailingCount",
-        F.when(F.col("FailingCount") == 0, "PASS").otherwise("FAIL").alias("Status"),
-        F.coalesce("Sample", F.lit("None")).alias("SampleExceptions"),
+    return (
+        _check_names(rows, checks)
+        .join(F.broadcast(counts), "CheckName", "left")
+        .join(F.broadcast(samples), "CheckName", "left")
+        .select(
+            "CheckName",
+            "Description",
+            F.coalesce("FailingCount", F.lit(0)).cast("bigint").alias("FailingCount"),
+            F.when(F.col("FailingCount") > 0, "FAIL").otherwise("PASS").alias("Status"),
+            F.when(F.col("TextCount") > 0, F.col("Sample")).otherwise("None").alias("SampleExceptions"),
+        )
     )
 
 
+def _check_names(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Name and description of every check, also of those without a failing row."""
+    texts = [F.struct(F.lit(c.name).alias("CheckName"), F.lit(K.CLOSE_CHECKS[c.name]).alias("Description")) for c in checks]
+    return rows.sparkSession.range(1).select(F.inline(F.array(*texts)))
+
+
 def _period_text(name: str) -> Column:
     return F.col(name).cast("string")
 

@@ -18,9 +18,10 @@ Keep = Callable[[DataFrame, str], DataFrame]
 class Books:
     """Lazy results of every layer; nothing runs until a result is used.
 
-    ``keep`` is called on the two intermediates that several results read (the hot keys and the
-    reporting spine). By default they stay part of the plan; a close passes
-    :func:`closebook.session.materialise` to compute them once.
+    ``keep`` is called on the intermediates that several results read: the hot keys, the balances and
+    the reporting spine. By default they stay part of the plan; a close passes
+    :func:`closebook.session.materialise`, so that the position snapshots are scanned once for the hot
+    keys and once for the balances, however many results follow.
     """
 
     def __init__(
@@ -36,6 +37,7 @@ class Books:
         self.run_ts = run_ts
         self.hot_rows = hot_rows
         self.keep = keep
+        self._wide: dict[str, DataFrame] = {}
 
     @property
     def lookups(self) -> dict[str, DataFrame]:
@@ -45,7 +47,9 @@ class Books:
         return calc_table(self.tables[table], f"{table}Calc", self.lookups)
 
     def wide(self, table: str) -> DataFrame:
-        return wide_table(self.tables[table], f"{table}Calc", self.lookups)
+        if table not in self._wide:
+            self._wide[table] = wide_table(self.tables[table], f"{table}Calc", self.lookups)
+        return self._wide[table]
 
     @cached_property
     def hot(self) -> DataFrame:
@@ -54,7 +58,8 @@ class Books:
 
     @cached_property
     def _salted_balances(self) -> DataFrame:
-        return views.custody_balances(self.wide("CustodyPositions"), self.hot, keep_salt=True)
+        balances = views.custody_balances(self.wide("CustodyPositions"), self.hot, keep_salt=True)
+        return self.keep(balances, "balances")
 
     @cached_property
     def _salted_positions(self) -> DataFrame:
@@ -74,11 +79,11 @@ class Books:
     def balances(self) -> DataFrame:
         return views.unsalted(self._salted_balances)
 
-    @property
+    @cached_property
     def staking_rewards(self) -> DataFrame:
         return views.staking_rewards(self.wide("StakingEvents"))
 
-    @property
+    @cached_property
     def fee_accruals(self) -> DataFrame:
         return views.fee_accruals(self.wide("FeeEvents"))
 
@@ -86,17 +91,17 @@ class Books:
     def client_positions(self) -> DataFrame:
         return views.unsalted(self._salted_positions)
 
-    @property
+    @cached_property
     def event_totals(self) -> DataFrame:
         return views.financial_event_totals(self.wide("FinancialEvents"))
 
-    @property
+    @cached_property
     def reconciliation(self) -> DataFrame:
         return views.reconciliation_summary(
             self._salted_positions, self.event_totals, self.entity, self.run_ts, self.hot
         )
 
-    @property
+    @cached_property
     def tie_out(self) -> DataFrame:
         return tieout.ledger_tie_out(self.balances, self.run_ts)
 
@@ -110,7 +115,7 @@ class Books:
             self.tables.Customers,
         )
 
-    @property
+    @cached_property
     def monthly_statement(self) -> DataFrame:
         return statement.monthly_statement(self._salted_positions, self.entity, self.run_ts, self.hot)
 
