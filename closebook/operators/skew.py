@@ -28,11 +28,10 @@ LATEST = "_latest"
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast only when the planner's own size estimate is below ``limit``."""
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:  # a Connect session has no plan statistics: leave the choice to Spark
+    if not hasattr(df, "_jdf"):  # a Connect session shows no statistics: leave the choice to Spark
         return df
-    return F.broadcast(df) if size <= limit else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= limit else df
 
 
 def hot_keys(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,20 +42,23 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     return configure(spark)
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="closebook-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset (a local
-    session) a temporary folder takes its place.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset, and then
+    only in a local session, a temporary folder takes its place.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = os.path.join(tempfile.gettempdir(), "closebook-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

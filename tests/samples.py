@@ -34,7 +34,7 @@ def client(key, kyc="APPROVED", active=True, **more):
 def position(key, day, quantity=2, price=10, value=None, ref="REF", client="C1", asset="ETH", **more):
     record = {
         "ID": key, "CustomerId": client, "AssetId": f"ASSET_{asset}", "PositionDate": day, "Quantity": quantity,
-        "PriceUSD": price, "ValuationUSD": quantity * price if value is None else value, "CustodianLedgerRef": ref,
+        "PriceUSD": price, "ValuationUSD": Decimal(str(quantity)) * Decimal(str(price)) if value is None else value, "CustodianLedgerRef": ref,
         "CreatedAt": datetime(2025, 1, 1),
     }
     return {**record, **more}
