@@ -22,7 +22,7 @@ from closebook.operators.assembly import calc_table, join_calc_tables, micro_cal
 from closebook.plans.books import Books
 from closebook.plans.close import close_period
 from closebook.schemas import FACTS, SCHEMAS, SemanticTables
-from closebook.session import configure, scratch_path
+from closebook.session import configure, materialise, scratch_path
 from closebook.sources import delivery, seeds, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def snake(name: str) -> str:
     return re.sub(r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).lower()
 
 
+def stored(t: SemanticTables) -> Books:
+    """Books that write the shared intermediates once, for results that read the spine repeatedly."""
+    return Books(t, keep=materialise)
+
+
 def spark_of(t: SemanticTables) -> SparkSession:
     return t.Customers.sparkSession
 
@@ -155,7 +160,7 @@ register(
     lambda t: views.order_reconciliation(Books(t).reconciliation).drop("ReconciliationRunAt"),
     _RECON_SQL,
 )
-# The same with every key of two rows or more treated as hot, which takes the salted path.
+# The same in one lazy plan, with every key of two rows or more treated as hot and salted.
 register(
     "reconciliation_summary_salted",
     lambda t: Books(t, hot_rows=1).reconciliation.drop("ReconciliationRunAt"),
@@ -183,14 +188,14 @@ for _name, (_rows, _check) in _CHECK_ROWS.items():
         oracle.CHECKS[_name],
     )
 _GATE_SQL = " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in oracle.CHECKS.values())
-register("period_close_gate", lambda t: Books(t).close_gate, _GATE_SQL)
+register("period_close_gate", lambda t: stored(t).close_gate, _GATE_SQL)
 register("gate_verdict", lambda t: gate.order_verdict(Books(t).close_gate), _GATE_SQL)
 
 # Statement and reports.
 _STATEMENT_SQL = f"SELECT {oracle._doubles(*oracle.STATEMENT_AMOUNTS)} FROM Stmt"
 register(
     "monthly_statement",
-    lambda t: statement.order_statement(Books(t).monthly_statement).drop("StatementGeneratedAt"),
+    lambda t: statement.order_statement(stored(t).monthly_statement).drop("StatementGeneratedAt"),
     _STATEMENT_SQL,
 )
 register(
@@ -215,7 +220,7 @@ _REPORT_SQL = (
     f"SELECT {oracle.report_columns()} FROM {_REPORT_SOURCE} WHERE KycStatus = 'APPROVED' AND IsActive "
     "AND CustomerType IN ('INSTITUTIONAL', 'HEDGE_FUND', 'ASSET_MANAGER', 'PENSION_FUND')"
 )
-register("report_custody_monthly", lambda t: Books(t).report(reports.CUSTODY_MONTHLY), _REPORT_SQL)
+register("report_custody_monthly", lambda t: stored(t).report(reports.CUSTODY_MONTHLY), _REPORT_SQL)
 
 _CLIENT_FILTERS = {
     "equals": ({"field": "RiskTier", "operator": "equals", "value": "tier_1"}, "RiskTier = 'tier_1'"),
@@ -541,7 +546,7 @@ register("sink_statement_csv", _exported, _STATEMENT_SQL)
 def _exported_per_client(t: SemanticTables) -> DataFrame:
     """The statements of one closed month, a folder per client."""
     spark = spark_of(t)
-    columns = ("StatementId", "CustomerId", "Symbol", "PositionPeriod", "PeriodEndValuationUSD")
+    columns = ("StatementId", "CustomerId", "Symbol", "PositionPeriod", "PeriodEndValuationUSD", "CustodianLedgerRef")
     rows = Books(t).monthly_statement.select(*columns)
     folder = delivery.export_per_client(rows, scratch_path(spark, "per-client"), CLOSED_MONTH)
     return _read_statement_csv(spark, folder, rows).select(*columns)
@@ -551,7 +556,7 @@ register(
     "sink_statement_per_client",
     _exported_per_client,
     f"""SELECT StatementId, CustomerId, Symbol, PositionPeriod, CAST(PeriodEndValuationUSD AS DOUBLE) AS PeriodEndValuationUSD
-         FROM Stmt WHERE PositionPeriod = DATE '{CLOSED_MONTH}'""",
+            , CustodianLedgerRef FROM Stmt WHERE PositionPeriod = DATE '{CLOSED_MONTH}'""",
 )
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
@@ -53,6 +53,10 @@ def hot_keys(
     return largest.select(*keys, fan.alias(FAN), LATEST)
 
 
+def _salt(by: Sequence[str]) -> Column:
+    return F.when(F.col(FAN).isNull(), 0).otherwise(F.pmod(F.xxhash64(*by), FAN).cast("int"))
+
+
 def spread(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Repeat the rows of hot keys once per salt; other rows get salt 0."""
     marked = df.join(F.broadcast(hot), list(keys), "left")
@@ -82,7 +86,18 @@ def latest_per_key(
     marked = present.join(F.broadcast(hot), list(keys), "left").filter(
         F.col(LATEST).isNull() | (F.col(LATEST) == F.col(order))
     )
-    salt = F.when(F.col(FAN).isNull(), 0).otherwise(F.pmod(F.xxhash64(*by), FAN).cast("int"))
-    salted = marked.withColumn(SALT, salt).drop(FAN, LATEST)
+    salted = marked.withColumn(SALT, _salt(by)).drop(FAN, LATEST)
     newest_first = Window.partitionBy(*keys, SALT).orderBy(F.desc(order))
     return salted.withColumn("_rank", F.rank().over(newest_first)).filter("_rank = 1").drop("_rank")
+
+
+def place_by_key(df: DataFrame, keys: Sequence[str], by: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """Bring the rows of a key into one task, and those of a hot key into several, for writing files.
+
+    The number of tasks is the number of shuffle partitions whatever the size of the data, because
+    with many small files creating them is what takes the time.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(df.dropna(subset=list(keys)), keys, order=by[0], min_rows=min_rows)
+    marked = df.join(F.broadcast(hot), list(keys), "left")
+    return marked.repartition(tasks, *keys, _salt(by)).drop(FAN, LATEST)

@@ -20,7 +20,7 @@ class Books:
 
     ``keep`` is called on the intermediates that several results read: the hot keys, the balances and
     the reporting spine. By default they stay part of the plan; a close passes
-    :func:`closebook.session.materialise`, so that the position snapshots are scanned once for the hot
+    ``closebook.session.Scratch.keep``, so that the position snapshots are scanned once for the hot
     keys and once for the balances, however many results follow.
     """
 

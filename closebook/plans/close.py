@@ -12,7 +12,7 @@ from closebook.operators.gate import require_green
 from closebook.operators.skew import HOT_ROWS
 from closebook.plans.books import Books
 from closebook.schemas import SemanticTables
-from closebook.session import materialise
+from closebook.session import Scratch
 from closebook.sources.delivery import export_statements, record_deliveries
 
 
@@ -38,14 +38,15 @@ def close_period(
 ) -> CloseResult:
     """Close the month before ``run_at``; raises PeriodCloseFailed, and exports nothing, unless all checks pass.
 
-    The spine is written once and read back by the gate and the statement, so a lost executor costs
-    neither of them more than its own tasks.
+    Balances and spine are written once and read back by the gate and the statement, so a lost executor
+    costs neither of them more than its own tasks.
     """
     run_ts = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
-    books = Books(tables, entity, run_ts, hot_rows, keep=materialise)
-    checks = require_green(books.close_gate)
-    period = statement_period(run_at.date())
-    target = export_statements(books.monthly_statement, export_folder, period)
-    if delivery_log:
-        record_deliveries(books.monthly_statement, delivery_log, run_ts)
+    with Scratch(tables.Customers.sparkSession) as scratch:
+        books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep)
+        checks = require_green(books.close_gate)
+        period = statement_period(run_at.date())
+        target = export_statements(books.monthly_statement, export_folder, period)
+        if delivery_log:
+            record_deliveries(books.monthly_statement, delivery_log, run_ts)
     return CloseResult(period, checks, target)

@@ -18,6 +18,8 @@ SQL_SETTINGS = {
     # Split a skewed join even when that costs one more shuffle further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Join by hashing instead of sorting where the measured partitions of one side are this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
@@ -68,7 +70,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a shared intermediate result once and read it back, which also cuts its lineage."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
+    return _write_and_read(df, path)
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables that are deleted at the end of a ``with`` block."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        return _write_and_read(df, path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for text in self.paths:
+            path = hadoop.Path(text)
+            path.getFileSystem(conf).delete(path, True)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from closebook.operators.skew import HOT_ROWS, place_by_key
 from closebook.operators.statement import order_statement
 
 LOG_SCHEMA = T.StructType(
@@ -29,16 +30,17 @@ def export_statements(statement: DataFrame, folder: str, period: date) -> str:
     return target
 
 
-def export_per_client(statement: DataFrame, folder: str, period: date) -> str:
+def export_per_client(statement: DataFrame, folder: str, period: date, hot_rows: int = HOT_ROWS) -> str:
     """Write the closed month's statements, one folder per client below the month's folder.
 
-    Rebalancing on the client gives each client one file in general; a client with very many rows is
-    split over several tasks and files.
+    A client's rows come from one task and make one file; a client with more than ``hot_rows`` rows
+    is split over several.
     """
     target = f"{folder.rstrip('/')}/period={period:%Y-%m-%d}"
     closed = statement.filter(F.col("PositionPeriod") == F.lit(period)).withColumn("client_id", F.col("CustomerId"))
-    placed = closed.hint("rebalance", "client_id").sortWithinPartitions("client_id", "Symbol")
-    placed.write.mode("overwrite").partitionBy("client_id").option("header", True).csv(target)
+    placed = place_by_key(closed, ["client_id"], by=["StatementId", "CustodianLedgerRef"], min_rows=hot_rows)
+    ordered = placed.sortWithinPartitions("client_id", "Symbol")
+    ordered.write.mode("overwrite").partitionBy("client_id").option("header", True).csv(target)
     return target
 
 

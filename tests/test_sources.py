@@ -99,6 +99,16 @@ def test_export_per_client_writes_the_closed_month(spark, tmp_path):
     assert spark.read.option("header", True).csv(target).count() == 2
 
 
+def test_a_client_with_many_rows_gets_several_files(spark, tmp_path):
+    held = [position(f"P{i}", date(2025, 3, 31), quantity=i, ref=f"R{i}") for i in range(40)]
+    held.append(position("Q", date(2025, 3, 31), client="C2"))
+    b = books(spark, positions=held, clients=[client("C1"), client("C2")])
+    target = delivery.export_per_client(b.monthly_statement, str(tmp_path), MARCH, hot_rows=10)
+    files = {name: len(list((tmp_path / "period=2025-03-01" / f"client_id={name}").glob("*.csv"))) for name in ("C1", "C2")}
+    assert files["C1"] > 1 and files["C2"] == 1
+    assert spark.read.option("header", True).csv(target).count() == 41
+
+
 def test_delivery_log_is_idempotent(spark, tmp_path):
     path, now = f"{tmp_path}/log", F.lit("2025-04-02 06:00:00")
     statement = statement_of(spark)
@@ -128,3 +138,11 @@ def test_scratch_paths_follow_the_configured_folder():
 def test_materialise_cuts_lineage(spark):
     kept = session.materialise(spark.range(5), "five")
     assert kept.count() == 5 and "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scratch_tables_are_deleted(spark):
+    with session.Scratch(spark) as scratch:
+        kept = scratch.keep(spark.range(5), "five")
+        assert kept.count() == 5 and len(scratch.paths) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(scratch.paths[0])
