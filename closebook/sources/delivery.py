@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from closebook.operators.skew import HOT_ROWS, place_by_key
 from closebook.operators.statement import order_statement
+from closebook.session import Scratch
 
 LOG_SCHEMA = T.StructType(
     [
@@ -38,9 +39,11 @@ def export_per_client(statement: DataFrame, folder: str, period: date, hot_rows:
     """
     target = f"{folder.rstrip('/')}/period={period:%Y-%m-%d}"
     closed = statement.filter(F.col("PositionPeriod") == F.lit(period)).withColumn("client_id", F.col("CustomerId"))
-    placed = place_by_key(closed, ["client_id"], by=["StatementId", "CustodianLedgerRef"], min_rows=hot_rows)
-    ordered = placed.sortWithinPartitions("client_id", "Symbol")
-    ordered.write.mode("overwrite").partitionBy("client_id").option("header", True).csv(target)
+    with Scratch(statement.sparkSession) as scratch:  # the rows are read twice: to count, then to write
+        rows = scratch.keep(closed, "closed-month")
+        placed = place_by_key(rows, ["client_id"], by=["StatementId", "CustodianLedgerRef"], min_rows=hot_rows)
+        ordered = placed.sortWithinPartitions("client_id", "Symbol")
+        ordered.write.mode("overwrite").partitionBy("client_id").option("header", True).csv(target)
     return target
 
 
