@@ -81,10 +81,17 @@ def freshness(df: DataFrame, loaded_at: str, run_ts: Column, warn_hours: int, er
     )
 
 
+def contract_freshness(df: DataFrame, name: str, loaded_at: str, run_ts: Column) -> DataFrame:
+    """Freshness of a table against the limits of its contract."""
+    limits = CONTRACTS[name]
+    return freshness(df, loaded_at, run_ts, limits.warn_hours, limits.error_hours)
+
+
 def append_only(previous: DataFrame, current: DataFrame, key: str = "ID") -> DataFrame:
     """Rows of the previous snapshot that are no longer present unchanged."""
     columns = previous.columns
-    row_hash = F.xxhash64(*columns).alias("_hash")
+    # The hash skips NULLs, so their places go into it as well.
+    row_hash = F.xxhash64(*columns, *[F.col(name).isNull() for name in columns]).alias("_hash")
     kept = current.select(key, row_hash)
     return previous.withColumn("_hash", row_hash).join(kept, [key, "_hash"], "left_anti").select(columns)
 

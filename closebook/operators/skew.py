@@ -70,6 +70,8 @@ def join_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Dat
     """Left join; when ``left`` is salted, ``right`` is spread to match."""
     if SALT not in left.columns:
         return left.join(right, list(keys), "left")
+    if hot is None:
+        raise ValueError("salted rows need the hot keys they were salted with")
     return left.join(spread(right, hot, keys), [*keys, SALT], "left")
 
 

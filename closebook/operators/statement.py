@@ -89,5 +89,8 @@ def monthly_statement(
 
 
 def order_statement(rows: DataFrame) -> DataFrame:
-    """Client name, month, asset symbol; the statement key only breaks ties."""
-    return rows.orderBy("CustomerName", "PositionPeriod", "Symbol", "StatementId", "CustodianLedgerRef")
+    """Client name, month, asset symbol; further columns break ties, which also lets Spark split them over tasks."""
+    return rows.orderBy(
+        "CustomerName", "PositionPeriod", "Symbol",
+        "StatementId", "CustodianLedgerRef", "PeriodEndQuantity", "QuantityChangePeriodOverPeriod",
+    )

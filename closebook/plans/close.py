@@ -12,7 +12,7 @@ from closebook.operators.gate import require_green
 from closebook.operators.skew import HOT_ROWS
 from closebook.plans.books import Books
 from closebook.schemas import SemanticTables
-from closebook.session import Scratch
+from closebook.session import Scratch, configure
 from closebook.sources.delivery import export_statements, record_deliveries
 
 
@@ -41,6 +41,7 @@ def close_period(
     Balances and spine are written once and read back by the gate and the statement, so a lost executor
     costs neither of them more than its own tasks.
     """
+    configure(tables.Customers.sparkSession)
     run_ts = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
     with Scratch(tables.Customers.sparkSession) as scratch:
         books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep)

@@ -104,6 +104,7 @@ def test_freshness(spark):
         now = F.lit(datetime(2025, 4, 1 + hours // 24, hours % 24)).cast("timestamp")
         row = contracts.freshness(held, "CreatedAt", now, 12, 24).first()
         assert (row.AgeHours, row.Status) == (hours, status)
+    assert contracts.contract_freshness(held, "CustodyPositions", "CreatedAt", now).first().Status == "error"
     assert contracts.freshness(held.limit(0), "CreatedAt", now, 12, 24).first().Status == "error"
 
 
@@ -111,6 +112,9 @@ def test_append_only(spark):
     before = rows(spark, "FinancialEvents", event("kept", MARCH), event("edited", MARCH), event("gone", MARCH))
     after = rows(spark, "FinancialEvents", event("kept", MARCH), event("edited", MARCH, GrossAmount=99), event("new", MARCH))
     assert sorted(row.ID for row in contracts.append_only(before, after).collect()) == ["edited", "gone"]
+    moved = before.withColumns({"Status": F.lit(None).cast("string"), "ProductLine": F.col("Status")})
+    swapped = before.withColumns({"Status": F.col("Status"), "ProductLine": F.lit(None).cast("string")})
+    assert contracts.append_only(moved, swapped).count() == 3  # a NULL that changes place is a change
 
 
 def test_snapshot_deadline(spark):

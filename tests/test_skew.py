@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from closebook.operators import skew, views
@@ -81,6 +82,12 @@ def test_broadcast_only_below_the_limit(spark):
     assert "ResolvedHint" not in broadcast_if_small(df, limit=100)._jdf.queryExecution().analyzed().toString()
 
 
+def test_salted_rows_need_their_hot_keys(spark):
+    salted = crowded(spark, hot_rows=3)._salted_positions
+    with pytest.raises(ValueError, match="hot keys"):
+        skew.join_by_key(salted, salted, views.KEYS, None)
+
+
 def executed(df):
     query = df._jdf.queryExecution()
     query.toRdd().count()
