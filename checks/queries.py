@@ -64,7 +64,7 @@ def snake(name: str) -> str:
 
 def stored(t: SemanticTables) -> Books:
     """Books that write the shared intermediates once, for results that read the spine repeatedly."""
-    return Books(t, keep=materialise)
+    return Books(t, keep=materialise, invoice_lists=False)
 
 
 def spark_of(t: SemanticTables) -> SparkSession:

@@ -222,6 +222,7 @@ def reconciliation_summary(
     """Reconciliation status of every spine row against the event log (unordered)."""
     totals = event_totals.withColumnRenamed("EventPeriod", "PositionPeriod")
     rows = join_by_key(positions, totals, KEYS, hot)
+    lists = [name for name in ("AllInvoiceReferences",) if name in positions.columns]
     return rows.select(
         "CustomerId", "CustomerName", "AssetId", "Symbol", "PositionPeriod", "RiskTier",
         F.col("PeriodEndValuationUSD").alias("ReportedPositionUSD"),
@@ -231,7 +232,7 @@ def reconciliation_summary(
         F.col("TotalNetRewardsAllStates").alias("ReportedNetRewards"),
         "NetPendingRewards",
         F.col("TotalFeesUSD").alias("ReportedFeesChargedUSD"),
-        "BilledFeesUSD", "AllFeesBilled", "AllInvoiceReferences",
+        "BilledFeesUSD", "AllFeesBilled", *lists,
         "RawEventCount", "SumGrossFromEvents", "SumNetFromEvents", "PendingEventCount",
         F.lit(entity).alias("Entity"),
         _reconciliation_status().alias("ReconciliationStatus"),

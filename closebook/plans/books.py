@@ -21,7 +21,8 @@ class Books:
     ``keep`` is called on the intermediates that several results read: the hot keys, the balances and
     the reporting spine. By default they stay part of the plan; a close passes
     ``closebook.session.Scratch.keep``, so that the position snapshots are scanned once for the hot
-    keys and once for the balances, however many results follow.
+    keys and once for the balances, however many results follow. Gate, statement and reports do not
+    output invoice lists; with ``invoice_lists=False`` a kept spine is built without collecting them.
     """
 
     def __init__(
@@ -31,12 +32,14 @@ class Books:
         run_ts: Column | None = None,
         hot_rows: int = skew.HOT_ROWS,
         keep: Keep = lambda df, name: df,
+        invoice_lists: bool = True,
     ) -> None:
         self.tables = tables
         self.entity = entity
         self.run_ts = run_ts
         self.hot_rows = hot_rows
         self.keep = keep
+        self.invoice_lists = invoice_lists
         self._wide: dict[str, DataFrame] = {}
 
     @property
@@ -73,6 +76,8 @@ class Books:
             hot=self.hot,
             keep_salt=True,
         )
+        if not self.invoice_lists:
+            spine = spine.drop("AllInvoiceReferences")
         return self.keep(spine, "client-positions")
 
     @property

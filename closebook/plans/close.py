@@ -44,7 +44,7 @@ def close_period(
     configure(tables.Customers.sparkSession)
     run_ts = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
     with Scratch(tables.Customers.sparkSession) as scratch:
-        books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep)
+        books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep, invoice_lists=False)
         checks = require_green(books.close_gate)
         period = statement_period(run_at.date())
         target = export_statements(books.monthly_statement, export_folder, period)

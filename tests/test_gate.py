@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 
 from closebook.operators import gate
+from closebook.plans.books import Books
 from closebook.plans.close import close_period, statement_period
 from tests.samples import asset, books, client, event, fee, position, rows, tables
 
@@ -73,6 +74,18 @@ def test_require_green(spark):
         gate.require_green(failing.limit(0))
 
 
+def test_a_close_collects_no_invoice_lists(spark):
+    def lists(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("listagg(InvoiceReference")
+
+    t = tables(spark, **clean())
+    assert lists(Books(t).client_positions) > 0
+    b = Books(t, invoice_lists=False)
+    assert "AllInvoiceReferences" not in b.reconciliation.columns
+    assert [lists(df) for df in (b.client_positions, b.close_gate, b.monthly_statement)] == [0, 0, 0]
+    assert len(gate.require_green(b.close_gate)) == 6
+
+
 @pytest.mark.parametrize(
     ("run", "period"), [(date(2025, 4, 2), MARCH), (date(2025, 1, 31), date(2024, 12, 1)), (date(2024, 3, 31), date(2024, 2, 1))]
 )

@@ -118,3 +118,41 @@ def test_positions_are_shuffled_once_on_the_way_to_the_reconciliation(spark, tmp
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(CustomerId" in line and SALT in line]
     assert len(exchanges) == 4  # balances, rewards, fees, event totals: no second shuffle of the spine
     assert "CreatedAt" not in "".join(position_scans)  # unused columns are not read
+
+
+def test_adaptive_execution_splits_a_hot_client(spark, monkeypatch, tmp_path):
+    """Without a broadcast of the clients, the join on the client is split by Spark itself."""
+    balances = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "C0").otherwise(F.concat(F.lit("C"), F.col("id").cast("string"))).alias("CustomerId"),
+        F.concat(F.lit("ASSET_"), F.col("id").cast("string")).alias("AssetId"),
+        F.lit(MARCH).alias("PositionPeriod"), F.lit(MARCH).alias("PeriodEndDate"),
+        *[F.lit(1).cast("decimal(18,2)").alias(name) for name in ("PeriodEndQuantity", "PeriodEndPriceUSD", "PeriodEndValuationUSD")],
+        F.lit("R").alias("CustodianLedgerRef"),
+    )
+    clients = balances.select("CustomerId").distinct().withColumns(
+        {name: F.lit("x") for name in ("CustomerName", "CustomerType", "Jurisdiction", "RiskTier", "KycStatus")}
+    )
+    clients.write.parquet(str(tmp_path / "clients"))
+    clients = spark.read.parquet(str(tmp_path / "clients"))
+    b = crowded(spark)
+    monkeypatch.setattr(views, "broadcast_if_small", lambda df: df)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = views.client_positions(balances, clients, b.tables.ReferenceAssets, b.staking_rewards, b.fee_accruals)
+        plan = executed(result)
+        assert result.count() == 60_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+    assert "skew=true" in plan
