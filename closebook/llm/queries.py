@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import simhash, vectors
+from closebook.llm import decontaminate, simhash, tokens, vectors
 from closebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,50 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = decontaminate.find(docs.select("doc_id", "text"), benchmark)
+    spans, items = F.col("contamination.spans"), F.col("contamination.items")
+    listed = F.concat_ws(",", F.array_sort(F.transform(items, lambda i: i.cast("string"))))
+    return found.select(
+        "doc_id",
+        F.col("contamination.n_words").alias("n_words"),
+        decontaminate.n_hit(spans).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        (F.size(spans) > 0).alias("contaminated"),
+    )
+
+
+# Words of the documents and windows of the items; every occurrence marks the words it covers.
+ORACLES["op9_decontaminate"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), g AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM g), s AS (
+  SELECT r, n, k, array_to_string(w[k : k + n - 1], ' ') AS gram
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)
+), hit AS (SELECT s.r, s.k, s.n, g.item_id FROM s JOIN g ON g.n = s.n AND g.gram = s.gram),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT r, k, n FROM hit)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokens.read(tokens.write(docs, tokens.new_folder(docs), public_tokenizers.path("byte_bpe_50k.json")))
