@@ -28,7 +28,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 def unit_interval(*columns: Column | str) -> Column:
     """A number in (0, 1) that depends on the columns alone: the first 52 bits of an MD5, centred."""
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\x00")) for c in columns]
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("~")) for c in columns]
     bits = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("double")
     return (bits + 0.5) / F.lit(float(2**52))
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, simhash, tokens, vectors
+from closebook.llm import decontaminate, mixing, sharding, simhash, tokens, vectors
 from closebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,43 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokens.read(tokens.write(docs, tokens.new_folder(docs), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.shares(table(spark, sf_dir, "documents"))
+    return found.withColumn("target", F.round("target", 6))
+
+
+# The level that targets follow is found by trying every source as the first one that is not stopped.
+ORACLES["op2_source_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5(coalesce(text, '')) AS tie,
+    coalesce(0.25::DOUBLE + 0.75::DOUBLE * (length(regexp_replace(text, '[^\p{L}]+', '', 'g'))::DOUBLE / nullif(length(text), 0)), 0.25::DOUBLE) AS w
+  FROM documents
+), k AS (
+  SELECT *, -ln((('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '~') || '|' || tie), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0) / w AS key FROM d
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT]::DOUBLE AS weight
+  FROM k GROUP BY source
+), t AS (
+  SELECT *, 3.0::DOUBLE * source_size AS most, row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST) AS place FROM s
+), l AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM t
+), g AS (
+  SELECT source, source_size, least(most, weight * (SELECT arg_min(level, place) FROM l WHERE most / weight >= level)) AS target FROM l
+), p AS (
+  SELECT k.*, source_size, target, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS epochs,
+    coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM k JOIN g ON k.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size, round(target, 6) AS target,
+  (epochs * size + greatest(0, least(size, round(target - epochs * source_size)::BIGINT - before)))::BIGINT AS taken FROM p
+"""
+
+
+@query
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.manifest(table(spark, sf_dir, "documents"))
