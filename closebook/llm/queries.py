@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, mixing, sharding, simhash, tokens, vectors
+from closebook.llm import chat, decontaminate, mixing, sharding, simhash, tokens, vectors
 from closebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,41 @@ SELECT doc_id, size::BIGINT AS size, source_size, round(target, 6) AS target,
 @query
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.inline(F.expr("array(struct(0L AS turn, 'user' AS role), struct(1L AS turn, 'assistant' AS role))")),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    read = chat.read_chats(chat.format_chats(rows.unionByName(extra)))
+    said = F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+# Formatted length: the escaped texts, 3 per mark between turns of one role, and the marks and roles around each run.
+ORACLES["op8_chat_format"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(regexp_replace(replace(text, '\', '\\'), '([<\[])(/?(?:[str]>|INST\]|OUT\]))', '\1\\\2', 'g')) AS n,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) IS DISTINCT FROM role AS opens FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(n + CASE WHEN NOT opens THEN 3 WHEN role = 'assistant' THEN length(role) + 21 ELSE length(role) + 23 END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
