@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.llm.common import TOKEN_CLASS, keep, unit_interval
+from closebook.llm.common import TOKEN_PATTERN, keep, unit_interval
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3  # times a source's size
@@ -16,7 +16,7 @@ BUCKET = 10_000  # rows of a source that are summed up in one task
 
 def words(text: str) -> Column:
     """Number of words of a text (null: 0)."""
-    return F.coalesce(F.regexp_count(text, F.lit(TOKEN_CLASS)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(TOKEN_PATTERN)), F.lit(0)).cast("long")
 
 
 def quality(text: str) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import chat, decontaminate, mixing, sharding, simhash, tokens, vectors
+from closebook.llm import chat, decontaminate, licenses, mixing, sharding, simhash, tokens, vectors
 from closebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,21 @@ SELECT conv_id, count(*) AS n_turns,
   sum(n + CASE WHEN NOT opens THEN 3 WHEN role = 'assistant' THEN length(role) + 21 ELSE length(role) + 23 END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("spans", lambda s: s["start"].cast("long"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("spans").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        F.col("license_score").alias("score"),
+    )
+
+
