@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import chat, decontaminate, licenses, mixing, sharding, simhash, tokens, vectors
+from closebook.llm import chat, decontaminate, language, licenses, mixing, sharding, simhash, tokens, toxicity, vectors
 from closebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,20 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.fold("doc_id", 4) == 2)
+    filters = language.fit(docs.filter("NOT held_out"), "text", "lang", ["doc_id"])
+    return language.predict(docs.select("doc_id", "held_out", "text"), filters)
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = language.fold("doc_id", 3) == 1
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    found = toxicity.score(docs.select("doc_id", "text"), model).withColumn("held_out", held_out)
+    score = F.col("toxicity.score")
+    return found.select("doc_id", "held_out", score.alias("score"), (score >= toxicity.REJECT).cast("int").alias("predicted"))
