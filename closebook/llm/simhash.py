@@ -294,13 +294,32 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def with_components(fps: DataFrame, radius: int) -> DataFrame:
-    """``fp`` and ``component_id`` (smallest doc_id) of every distinct fingerprint."""
+    """``fp``, ``root`` (which names its component) and ``component_id`` (smallest doc_id) of every distinct fingerprint."""
     nodes = keep(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     found = components(links(fps, radius), "a", "b").withColumnRenamed("node", "fp")
     nodes = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     nodes = keep(nodes.select("fp", "least", "root"), "roots")
     least = keep(nodes.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    return keep(nodes.join(least, "root").select("fp", "component_id"), "groups")
+    return keep(nodes.join(least, "root").select("fp", "root", "component_id"), "groups")
+
+
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """The columns of ``docs``, and of each component of :func:`near_duplicates` one row.
+
+    It is the one with the smallest id (null last), and among rows with that id the one with the
+    smallest hash of all columns; of rows that are equal throughout one stays. An empty table gives an empty result.
+    """
+    hashed = docs.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    narrow = hashed.select(F.col(id_column).alias("doc_id"), F.col("_hash").alias("row"), F.col(text).alias("text"))
+    fps = keep(fingerprints(narrow, "text", shingle), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = fps.join(with_components(fps, radius), "fp").groupBy("root").agg(F.min(order).alias("first"))
+    winners = keep(first.select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row")), "kept")
+    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
+    found = hashed.join(winners, same, "left_semi")
+    if not fps.groupBy("doc_id", "row").count().filter("count > 1").isEmpty():
+        found = found.dropDuplicates([id_column, "_hash"])
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def hexadecimal(fp: Column) -> Column:
