@@ -18,9 +18,14 @@ WORD_PATTERN = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 TOKEN_PATTERN = r"\S+"
 
 
+# Rows that pass between Spark and Python at once: texts may be long, and both sides hold a batch.
+BATCH_ROWS = "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, under the settings the library needs."""
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:

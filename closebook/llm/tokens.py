@@ -28,7 +28,7 @@ from closebook.session import scratch_path
 LENGTH = 2048  # ids in a sequence
 BATCH = 256  # sequences in a record batch
 END = 2  # appended to each document
-CACHED = 1_000_000  # pieces of text whose ids a worker remembers
+CACHED = 600_000  # pieces of text whose ids a worker remembers
 LONGEST = 48  # of these, in characters
 CUT = re.compile(r" (?=[!-~])")
 UNSURE = re.compile(r" (?:\s|$)")
@@ -86,7 +86,7 @@ class Encoder:
             head = self.heads.get(pieces[0])
             if head is None:
                 head = self._plain(pieces[0])
-                if len(pieces[0]) <= LONGEST and len(self.heads) < CACHED // 4:
+                if len(pieces[0]) <= LONGEST and len(self.heads) < CACHED // 10:
                     self.heads[pieces[0]] = head
             ids = list(map(self.known.get, pieces[1:]))
             if None in ids:
