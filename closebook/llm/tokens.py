@@ -28,7 +28,7 @@ from closebook.session import scratch_path
 LENGTH = 2048  # ids in a sequence
 BATCH = 256  # sequences in a record batch
 END = 2  # appended to each document
-CACHED = 600_000  # pieces of text whose ids a worker remembers
+CACHED = 700_000  # pieces of text whose ids a worker remembers, in each of two generations
 LONGEST = 48  # of these, in characters
 CUT = re.compile(r" (?=[!-~])")
 UNSURE = re.compile(r" (?:\s|$)")
@@ -53,19 +53,26 @@ class Encoder:
         for token, number in self.tokenizer.get_vocab().items():
             self.opens[number] = token.startswith(blank)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
-        """Remember the ids of pieces without blanks, each with a blank before it."""
-        if len(self.known) + len(pieces) > CACHED:
-            self.known.clear()
+        """Remember the ids of new pieces without blanks, each with a blank before it."""
+        if len(self.known) > CACHED:
+            self.known, self.older = {}, self.known
+        if self.older:
+            again = pieces.intersection(self.older)
+            self.known.update((p, self.older[p]) for p in again)
+            pieces = pieces - again
+        pieces = {p for p in pieces if len(p) <= LONGEST and " " not in p}
         listed = list(pieces)
         for start in range(0, len(listed), 4096):
             part = listed[start : start + 4096]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype=self.dtype)
+            found = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype=self.dtype)
             starts = np.flatnonzero(self.opens[ids])
             if len(starts) != len(part):
                 raise ValueError("the tokenizer does not start a unit at a blank")
@@ -79,8 +86,7 @@ class Encoder:
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces[1:])
-        new = {p for p in new if p not in self.known and len(p) <= LONGEST and " " not in p}
-        self._learn(new)
+        self._learn(new.difference(self.known))
         made = []
         for pieces in cut:
             head = self.heads.get(pieces[0])
