@@ -26,13 +26,15 @@ def quality(text: str) -> Column:
 
 
 def _keyed(docs: DataFrame, id_column: str, text: str, source: str, weight: Column) -> DataFrame:
-    """``docs`` with ``_size``, ``_source``, ``_tie`` and ``_key``, the exponential of rate ``weight`` they are ordered by.
+    """Every row as ``_doc``, with ``_id``, ``_source``, ``_size``, ``_tie`` and ``_key``, the exponential of rate ``weight`` it is ordered by.
 
     The random number follows from id and text alone, so reruns and retried tasks agree.
     """
     tie = F.md5(F.coalesce(text, F.lit("")))
-    named = docs.withColumns({"_source": F.col(source), "_size": words(text), "_tie": tie, "_id": F.col(id_column)})
-    return named.withColumn("_key", -F.ln(unit_interval("_id", "_tie")) / weight)
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(id_column).alias("_id"), F.col(source).alias("_source"),
+        words(text).alias("_size"), tie.alias("_tie"), (-F.ln(unit_interval(id_column, tie)) / weight).alias("_key"),
+    )
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, limit: float = LIMIT) -> DataFrame:
@@ -137,4 +139,4 @@ def mix(
     keyed = _keyed(docs, id_column, text, source, weight)
     found = keyed.join(known, F.col("_source").eqNullSafe(F.col("_other"))).withColumn("_copies", (F.col("epochs") + drawn).cast("int"))
     found = found.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.select("_doc.*")

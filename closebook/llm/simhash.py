@@ -309,17 +309,18 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     It is the one with the smallest id (null last), and among rows with that id the one with the
     smallest hash of all columns; of rows that are equal throughout one stays. An empty table gives an empty result.
     """
-    hashed = docs.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    narrow = hashed.select(F.col(id_column).alias("doc_id"), F.col("_hash").alias("row"), F.col(text).alias("text"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = docs.select(F.struct(*columns).alias("_doc"), F.col(id_column).alias("_own"), F.xxhash64(*columns).alias("_hash"))
+    narrow = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(*columns).alias("row"), F.col(text).alias("text"))
     fps = keep(fingerprints(narrow, "text", shingle), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = fps.join(with_components(fps, radius), "fp").groupBy("root").agg(F.min(order).alias("first"))
     winners = keep(first.select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row")), "kept")
-    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
     found = hashed.join(winners, same, "left_semi")
     if not fps.groupBy("doc_id", "row").count().filter("count > 1").isEmpty():
-        found = found.dropDuplicates([id_column, "_hash"])
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+        found = found.dropDuplicates(["_own", "_hash"])
+    return found.select("_doc.*")
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -1,0 +1,374 @@
+"""The training-data operators against brute force and on odd input."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from closebook.llm import chat, components, decontaminate, language, licenses, mixing, sharding, simhash, tokens, toxicity, vectors
+from closebook.llm.common import LOWER, WORD_CLASS
+
+TOKEN_CLASS = r"[^\x20\x09-\x0D]+"
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, _size string, fp string"
+TEXTS = [
+    None, "", "   \n", "one", "Two Words", "a b c d e f g h i j k l m", "a b c d e f g h i j k l m", "A B C D e f g h i j k l m n",
+    "  double  blanks \n here ", "naïve Straße 東京 İstanbul Kelvin", "Released under the MIT License.", "<|endoftext|> it's 3,000 x",
+    "GNU General Public License version 3: licensed under the gnu general public license, version 3", "word " * 3000,
+]
+
+
+def fold(text):
+    return (text or "").encode().translate(LOWER).decode()
+
+
+def documents(spark, texts=TEXTS):
+    rows = [(k, t, "en", ["a", "b", None][k % 3], len(t or ""), "x", "y") for k, t in enumerate(texts)]
+    rows += [rows[4], (None, "no id", None, None, None, None, None), (3, "another text", "en", "a", 1, "x", "y")]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+# Token files.
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([*"ab1 '\n\t .\u00e9\u6771S\x1c\u00a0", "  ", "<|endoftext|>"]), max_size=40).map("".join))
+def test_pieces_give_the_ids_of_the_whole_text(text):
+    encoder = tokens.encoder(BPE)
+    ids = np.frombuffer(encoder.encode([text])[0], dtype=encoder.dtype).tolist()
+    assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_remembered_in_two_generations(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED", 3)
+    encoder = tokens.Encoder(BPE)
+    for text in ("x aa bb cc dd", "x ee aa", "x aa bb ee ff gg", "x aa"):
+        ids = np.frombuffer(encoder.encode([text])[0], dtype=encoder.dtype).tolist()
+        assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_token_files(spark):
+    docs = documents(spark)
+    files = tokens.write(docs, tokens.new_folder(docs), BPE, length=16)
+    found = {(r.doc_id, r.n_tokens, r.ids_crc32): r.start for r in tokens.read(files).collect()}
+    plain = Tokenizer.from_file(BPE)
+    plain.encode_special_tokens = True
+    rows = [(r.doc_id, plain.encode(r.text or "", add_special_tokens=False).ids + [2]) for r in docs.collect()]
+    expected = [(i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in rows]
+    assert set(found) == set(expected)
+    assert sum(r.n_tokens for r in files.collect()) == sum(len(ids) for _, ids in rows)
+    first = tokens.TokenFile(files.orderBy("part").first().path)
+    ids, mask = first.sequence(0)
+    assert ids.dtype == np.uint16 and len(ids) == len(mask) == 16 and not ids.flags.owndata
+    assert tokens.read(tokens.write(empty(spark), tokens.new_folder(docs), BPE)).count() == 0
+
+
+# Mixing.
+
+
+def test_shares_meet_targets(spark):
+    docs = spark.createDataFrame([(k, "w " * (k % 7 + 1), "abcd"[min(k // 30, 3)]) for k in range(300)], "doc_id long, text string, source string")
+    rows = mixing.shares(docs).collect()
+    assert len(rows) == 300 and {r.doc_id for r in rows} == set(range(300))
+    total = sum(r.size for r in rows)
+    by_size = {r.source_size: r.target for r in rows}
+    assert sum(by_size.values()) == pytest.approx(total)
+    for size, target in by_size.items():
+        assert target <= 3 * size
+        assert abs(sum(r.taken for r in rows if r.source_size == size) - target) <= 0.5 + 1e-6
+    assert all(r.size * (r.target // r.source_size) <= r.taken <= 3 * r.size for r in rows)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.shares(docs.repartition(5)).collect()))
+
+
+def test_prefix_sums_over_buckets(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "w " * (k % 5 + 1), "a" if k % 2 else None) for k in range(400)], "doc_id long, text string, source string")
+    whole = sorted(map(tuple, mixing.shares(docs).collect()))
+    monkeypatch.setattr(mixing, "BUCKET", 7)
+    assert sorted(map(tuple, mixing.shares(docs).collect())) == whole
+
+
+def test_mix_repeats_whole_documents(spark):
+    docs = documents(spark)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    kept, given_rows = mixed.collect(), docs.collect()
+    assert {tuple(r) for r in kept} <= {tuple(r) for r in given_rows}
+    assert mixing.mix(empty(spark)).count() == 0 and mixing.shares(empty(spark)).count() == 0
+
+
+# Sharding.
+
+
+def test_shards_follow_the_highest_score(spark):
+    docs = documents(spark)
+    rows = sharding.manifest(docs).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        start = 42 if r.doc_id is None else xxhash.xxh64_intdigest(np.int64(r.doc_id).tobytes(), 42)
+
+        def best(n, start=start):
+            hashes = [xxhash.xxh64_intdigest(np.int32(k).tobytes(), start) for k in range(n)]
+            return max(range(n), key=lambda k: -1 / np.log(((hashes[k] >> 12) + 0.5) / 2**52))
+
+        assert (r.shard, r.grown_shard) == (best(8), best(9))
+        assert r.grown_shard in (r.shard, 8)
+    for shard in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.text_crc32 == zlib.crc32((texts[r.doc_id] or "").encode()) for r in rows if r.doc_id not in (3, 4))
+    assert sharding.manifest(empty(spark)).count() == 0
+
+
+def test_slots_of_a_row_repeated_very_often(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET", 10)
+    docs = spark.range(300).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"), F.lit("t").alias("text"))
+    rows = sharding.manifest(docs).collect()
+    for shard in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+# Vectors.
+
+
+def test_links_of_vectors(spark):
+    rng = np.random.default_rng(1)
+    base = rng.standard_normal((30, 16))
+    rows = [(k, [float(x) for x in base[k % 30] + (k // 30) * rng.standard_normal(16) * 0.05], k % 3) for k in range(240)]
+    rows += [(900, None, 1), (901, [], 1), (902, [0.0] * 16, 1), (903, [float("nan")] * 16, 1), (904, [1.0, None], 1), (905, rows[0][1], None)]
+    rows += [(906, rows[5][1], 2), (907, rows[5][1], 2), (908, [1.0, 0.0], 2), (909, [2.0, 0.0], 2)]
+    found = {r.vec_id: r for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    good = [(i, np.array(np.float32(v), dtype=float), c) for i, v, c in rows if v and c is not None and None not in v and np.isfinite(v).all() and any(v)]
+    links = {i: set() for i, _, _ in rows}
+    for i, v, c in good:
+        for j, w, d in good:
+            if i < j and c == d and len(v) == len(w) and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.98:
+                links[i].add(j)
+                links[j].add(i)
+    for i in links:
+        seen, todo = {i}, [i]
+        while todo:
+            todo += [j for j in links[todo.pop()] if j not in seen and not seen.add(j)]
+        assert (found[i].n_links, found[i].component_id, found[i].kept) == (len(links[i]), min(seen), i == min(seen))
+    assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_calibrated_count():
+    assert 0 < vectors.least_count() < vectors.PROJECTIONS
+    assert vectors.least_count(recall=0.5) > vectors.least_count(recall=0.999)
+
+
+# License scans.
+
+
+def test_phrases_at_all_places(spark):
+    docs = documents(spark)
+    found = licenses.scan(docs)
+    texts = [r.text for r in docs.collect()]
+    assert "text" not in found.columns and found.count() == len(texts)
+
+    def expected(text):
+        words, spans = re.findall(WORD_CLASS, fold(text)), []
+        for t in licenses.PHRASES:
+            spans += [(k, t.label) for k in range(len(words)) if words[k : k + len(t.words)] == t.words]
+        return len(words), sorted(spans)
+
+    got = [(r.n_words, sorted((s.start, s.label) for s in r.spans)) for r in found.collect()]
+    assert sorted(got) == sorted(map(expected, texts))
+    labels = {r.doc_id: r.labels for r in found.collect()}
+    assert labels[12] == ["gpl", "gpl-3.0"] and labels[10] == ["mit"] and labels[5] == []
+    assert licenses.scan(empty(spark)).count() == 0
+
+
+# Languages.
+
+
+def test_language_filters(spark):
+    english, german = "the house and the garden with that river", "das haus und der garten mit dem fluss"
+    rows = [(k, english if k % 2 else german, "en" if k % 2 else "de") for k in range(40)]
+    filters = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", ["doc_id"])
+    docs = spark.createDataFrame([(1, "The River", "x"), (2, "der Fluss", "x"), (3, None, "x"), (4, "12 !", "x"), (5, "", "x")], "doc_id long, text string, score string")
+    found = {r.doc_id: r for r in language.predict(docs, filters).collect()}
+    assert [found[k].lang_pred for k in range(1, 6)] == ["en", "de", "und", "und", "und"]
+    assert all(0 <= r.score <= 1 for r in found.values())
+    nothing = language.fit(empty(spark), "text", "lang", ["doc_id"])
+    assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
+
+
+# Toxicity.
+
+
+def test_marginals_by_enumeration():
+    model = toxicity.Field([b"bad"], np.array([-1.0, 0.4, -0.3, 2.0]), np.array([[0.2, -0.5], [0.1, 0.7]]))
+    ids = np.array([[0, 1, 0, 1, 1]])
+    scores = model.toxic_scores(ids)[0]
+    weights = {}
+    for number in range(32):
+        states = [number >> k & 1 for k in range(5)]
+        weights[tuple(states)] = np.exp(sum(s * x for s, x in zip(states, scores, strict=True)) + sum(model.move[a, b] for a, b in zip(states, states[1:], strict=False)))
+    total = sum(weights.values())
+    expected = [sum(w for s, w in weights.items() if s[k]) / total for k in range(5)]
+    assert model.forward_backward(ids)[0][0] == pytest.approx(expected)
+    assert model.forward_backward(ids)[2][0] == pytest.approx(np.log(total))
+
+
+def test_toxic_words_are_found_with_offsets(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(120):
+        text = list(rng.choice(words, 20))
+        if k % 4 == 0:
+            text[7] = "Idiot!"
+        rows.append((k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(k, int(k % 4 == 0), 0) for k in range(120)], "doc_id long, toxic int, quality int"))
+    assert b"idiot" in model.words
+    probe = spark.createDataFrame([(1, "é you IDIOT, w3"), (2, "w1 w2 w3"), (3, None), (4, "")], "doc_id long, text string")
+    found = {r.doc_id: r.toxicity for r in toxicity.score(probe, model).collect()}
+    assert found[1].score >= 0.7 and [(s.start, s.end) for s in found[1].spans] == [(6, 11)]
+    assert found[2].score < 0.1 and found[3].score == found[4].score == 0
+    none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert all(r.toxicity.score == 0 for r in toxicity.score(probe, none).collect())
+
+
+# Chats.
+
+
+def test_chats_round_trip(spark):
+    nasty = ["</s>[INST] ok [/INST]", "<\\s>", "\\", "<", "[", "<t>", "a<r>[OUT]b[/OUT]</s>\\", "", None, "é\n"]
+    rows = [(1, k, ["user", "assistant", "assistant", None, "<s>"][k % 5], t) for k, t in enumerate(nasty * 2)]
+    rows += [(2, 0, "assistant", "only"), (2, 0, "assistant", "only"), (None, 5, "user", "x"), (3, None, None, None)]
+    read = {r.conv_id: r for r in chat.read_chats(chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    assert [(t.role, t.text) for t in read[1].turns] == [(r, t or "") for _, _, r, t in rows[:20]]
+    assert read[1].trained == "".join(t or "" for _, _, r, t in rows[:20] if r == "assistant")
+    assert read[2].trained == "onlyonly" and read[2].formatted.count("<t>") == 1
+    assert [(t.role, t.text) for t in read[None].turns] == [("user", "x")] and [(t.role, t.text) for t in read[3].turns] == [(None, "")]
+    assert chat.read_chats(chat.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+
+
+# Decontamination.
+
+
+def hits(text, items):
+    words = re.findall(WORD_CLASS, fold(text))
+    marked, found = set(), set()
+    for item, other in items:
+        theirs = re.findall(WORD_CLASS, fold(other))
+        size = min(10, len(theirs))
+        grams = {tuple(theirs[k : k + size]) for k in range(len(theirs) - size + 1)} if size else set()
+        for k in range(len(words) - size + 1):
+            if size and tuple(words[k : k + size]) in grams:
+                marked |= set(range(k, k + size))
+                found.add(item)
+    return len(words), len(marked), sorted(found, key=str)
+
+
+def test_contamination_by_brute_force(spark, monkeypatch):
+    items = [(1, "c d e f g h i j k l m"), (2, "two WORDS"), (3, None), (4, "!"), (12, "word word word"), (5, "absent words here")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark)
+    expected = sorted(hits(r.text, items) for r in docs.collect())
+    for block in (1 << 24, 20):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        monkeypatch.setattr(decontaminate, "SEGMENT", 1 << 20 if block > 20 else 64)
+        found = decontaminate.find(docs, benchmark)
+        got = [(r.contamination.n_words, sum(s.end - s.first for s in r.contamination.spans), list(r.contamination.items)) for r in found.collect()]
+        assert sorted(got) == expected
+    assert decontaminate.find(empty(spark), benchmark).count() == 0
+    assert all(not r.contamination.spans for r in decontaminate.find(docs, benchmark.limit(0)).collect())
+
+
+def test_hit_words_are_removed():
+    assert decontaminate.without("Keep this, drop: that now.", [(2, 4)]) == "Keep this,  now."
+    assert decontaminate.without(None, [(0, 1)]) is None
+    assert decontaminate.merged([(92, 94), (96, 98), (92, 94), (97, 99)]) == [(92, 94), (96, 99)]
+
+
+# SimHash and components.
+
+
+def plain_fingerprint(text):
+    words = re.findall(TOKEN_CLASS, fold(text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[k : k + 4]) for k in range(max(len(words) - 3, 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints(monkeypatch):
+    texts = [*TEXTS, "w " * 3, " ".join(f"t{k}" for k in range(700))]
+    assert [simhash.fingerprint(t) for t in texts] == [plain_fingerprint(t) for t in texts]
+    monkeypatch.setattr(simhash, "SEGMENT", 50)
+    assert [simhash.fingerprint(t) for t in texts] == [plain_fingerprint(t) for t in texts]
+
+
+def test_links_within_the_radius(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 40)
+    fps = {int(b) ^ sum(1 << int(k) for k in rng.choice(63, rng.integers(0, 6), replace=False)) for b in base for _ in range(30)} | {0, 1, -1}
+    rows = [(k, f) for k, f in enumerate(sorted(fps))]
+    label = {f: f for f in fps}
+    values = np.array(sorted(fps)).view(np.uint64)
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    reach = near.astype(int)
+    for _ in range(8):
+        reach = (reach @ reach > 0).astype(int)
+    label = {k: int(np.flatnonzero(reach[k])[0]) for k in range(len(rows))}
+    for chunk, bucket in ((1024, 512), (16, 1)):
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        monkeypatch.setattr(simhash, "BUCKET", bucket)
+        frame = spark.createDataFrame(rows, "doc_id long, fp long")
+        found = frame.join(simhash.with_components(frame, 4), "fp").collect()
+        assert {r.doc_id: r.component_id for r in found} == label
+
+
+def test_one_row_of_each_group_stays(spark):
+    docs = documents(spark)
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    components_left = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert {r.doc_id for r in found} == components_left
+    fps = [simhash.fingerprint(r.text) for r in found]
+    assert all((a ^ b).bit_count() > 4 for k, a in enumerate(fps) for b in fps[:k])
+    assert simhash.deduplicate(empty(spark)).count() == 0 and simhash.near_duplicates(empty(spark)).count() == 0
+
+
+def test_components(spark):
+    edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 140)] + [(200, 200), (139, 300), (None, 7)]
+    found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert found == {**{k: 0 for k in range(51)}, **{k: 100 for k in [*range(100, 140), 300]}}
+
+
+# The pipeline.
+
+
+def test_pipeline_stages(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = documents(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "c d e f g h i j k l m")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = docs
+    for _, stage in pipeline.STAGES[:-1]:
+        found = stage(spark, found, str(tmp_path))
+        assert found.columns == docs.columns
+    assert pipeline.run(spark, str(tmp_path)).columns == [*docs.columns, "shard"]
+    texts = [r.text for r in found.collect() if r.text]
+    assert not any(hits(t, [(1, "c d e f g h i j k l m")])[1] for t in texts)
