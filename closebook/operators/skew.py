@@ -3,9 +3,9 @@
 One client's asset in one month may hold a large share of all positions. Such a key is split over
 several tasks by a salt column that every join along the position spine carries:
 
-* ``hot_keys`` finds the keys above a row threshold. They number at most ``MAX_HOT_KEYS``, so this
-  table, and only this table, is broadcast without looking at its size. The limit decides which keys
-  are salted, never which rows are kept.
+* ``hot_keys`` finds the keys above a row threshold. There are fewer than rows / threshold of them, a
+  millionth of the rows at the default, so this table, and only this table, is broadcast without
+  looking at its size.
 * ``latest_per_key`` numbers the rows of a hot key 0..fan-1; all other rows get salt 0.
 * ``spread`` repeats the (few) right-hand rows of a hot key once per salt.
 """
@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 SALT = "_salt"
@@ -39,18 +38,15 @@ def hot_keys(
     keys: Sequence[str],
     order: str,
     min_rows: int = HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Keys with more than ``min_rows`` rows, the number of salts each gets and its greatest ``order``.
 
     The counts are combined map-side, so even one key holding most rows sends one row per task. A key
-    gets one salt per ``min_rows`` rows, up to the number of shuffle partitions.
+    gets one salt per ``min_rows`` rows.
     """
-    most_salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max(order).alias(LATEST))
-    largest = counted.filter(F.col("_rows") > min_rows).orderBy(F.desc("_rows"), *keys).limit(max_keys)
-    fan = F.least(F.ceil(F.col("_rows") / min_rows).cast("int"), F.lit(most_salts))
-    return largest.select(*keys, fan.alias(FAN), LATEST)
+    fan = F.ceil(F.col("_rows") / min_rows).cast("int")
+    return counted.filter(F.col("_rows") > min_rows).select(*keys, fan.alias(FAN), LATEST)
 
 
 def _salt(by: Sequence[str]) -> Column:

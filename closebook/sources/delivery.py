@@ -57,16 +57,24 @@ def read_log(statement: DataFrame, path: str) -> DataFrame:
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
+# States after which a statement is not sent again.
+DELIVERED = ("SENT", "CONFIRMED")
+
+
 def pending_deliveries(statement: DataFrame, log: DataFrame, run_ts: Column, status: str = "SENT") -> DataFrame:
-    """Log rows for statements that the log does not hold yet, one per StatementId."""
+    """Log rows for statements that no earlier attempt has delivered, one per StatementId.
+
+    A failed attempt stands in the way of no later one; repeating a failure logs it again.
+    """
     attempts = statement.select("StatementId", "CustomerId", "PositionPeriod").dropDuplicates(["StatementId"])
     # The month is part of the identifier; joining on it as well lets the log be read by partition.
-    new = attempts.join(log.select("StatementId", "PositionPeriod"), ["StatementId", "PositionPeriod"], "left_anti")
+    delivered = log.filter(F.col("DeliveryStatus").isin(*DELIVERED)).select("StatementId", "PositionPeriod")
+    new = attempts.join(delivered, ["StatementId", "PositionPeriod"], "left_anti")
     stamped = new.withColumn("DeliveryStatus", F.lit(status)).withColumn("AttemptedAt", run_ts.cast("timestamp"))
     return stamped.select(*LOG_SCHEMA.names)
 
 
 def record_deliveries(statement: DataFrame, path: str, run_ts: Column, status: str = "SENT") -> None:
-    """Append the pending deliveries to the log; repeating the call adds nothing."""
+    """Append the pending deliveries to the log; repeating the call after a delivery adds nothing."""
     rows = pending_deliveries(statement, read_log(statement, path), run_ts, status)
     rows.hint("rebalance", "PositionPeriod").write.mode("append").partitionBy("PositionPeriod").parquet(path)

@@ -62,10 +62,13 @@ def seed_schema(seed: str) -> T.StructType:
 
 
 def read_seed(spark: SparkSession, seed: str, path: str) -> DataFrame:
-    """One seed file (or folder of files) with its declared schema; malformed lines raise."""
+    """One seed file (or folder of files) with its declared schema.
+
+    A header with other names or another order raises, and so do malformed values of the columns that are used.
+    """
     return (
         spark.read.schema(seed_schema(seed))
-        .options(header=True, mode="FAILFAST", escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss")
+        .options(header=True, enforceSchema=False, mode="FAILFAST", escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
 

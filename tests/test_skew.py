@@ -58,15 +58,14 @@ def test_rows_of_a_hot_key_are_spread(spark):
     hot = hot_keys(df, views.KEYS, order="PositionDate", min_rows=1_000)
     kept = skew.latest_per_key(df, views.KEYS, "PositionDate", hot, by=["ID"])
     per_salt = [row["count"] for row in kept.groupBy(SALT).count().collect()]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert sum(per_salt) == 30_000 and len(per_salt) == partitions
-    assert max(per_salt) < 2 * 30_000 / partitions
+    assert sum(per_salt) == 30_000 and len(per_salt) >= 30
+    assert max(per_salt) < 2 * 1_000
 
 
-def test_hot_keys_are_bounded_largest_first(spark):
-    df = spark.range(1000).select((F.floor(F.sqrt("id"))).alias("k"), F.col("id").alias("v"))
-    hot = hot_keys(df, ["k"], order="v", min_rows=10, max_keys=3)
-    assert sorted(row.k for row in hot.collect()) == [28, 29, 30]  # 31 is cut short at 1000
+def test_every_key_above_the_threshold_is_hot(spark):
+    df = spark.range(300_000).select(F.col("id").alias("v"), (F.col("id") % 100_001).alias("k"))
+    hot = hot_keys(df, ["k"], order="v", min_rows=1)
+    assert hot.count() == 100_001 and {row[skew.FAN] for row in hot.limit(10).collect()} <= {2, 3}
 
 
 def test_spread_repeats_only_hot_rows(spark):
