@@ -221,6 +221,26 @@ _REPORT_SQL = (
     "AND CustomerType IN ('INSTITUTIONAL', 'HEDGE_FUND', 'ASSET_MANAGER', 'PENSION_FUND')"
 )
 register("report_custody_monthly", lambda t: stored(t).report(reports.CUSTODY_MONTHLY), _REPORT_SQL)
+# A report over another source.
+_OPEN_FEES = {
+    "report_id": "open_fees",
+    "source_model": "ClientPeriodPositions",
+    "client_filters": [{"field": "KycStatus", "operator": "not_equals", "value": "SUSPENDED"}],
+    "columns": [
+        {"name": "CustomerId", "label": "Client", "order": 1},
+        {"name": "Symbol", "label": "Asset", "order": 2},
+        {"name": "PositionPeriod", "label": "Month", "order": 3},
+        {"name": "KycStatus", "label": "KYC", "order": 4},
+        {"name": "PeriodEndValuationUSD", "label": "Value (USD)", "order": 5},
+        {"name": "PendingFeesUSD", "label": "Open Fees (USD)", "order": 6},
+    ],
+}
+register(
+    "report_client_positions",
+    lambda t: Books(t).report(_OPEN_FEES),
+    """SELECT CustomerId, Symbol, PositionPeriod, KycStatus, CAST(PeriodEndValuationUSD AS DOUBLE) AS PeriodEndValuationUSD
+            , CAST(PendingFeesUSD AS DOUBLE) AS PendingFeesUSD FROM Spine WHERE KycStatus <> 'SUSPENDED'""",
+)
 
 _CLIENT_FILTERS = {
     "equals": ({"field": "RiskTier", "operator": "equals", "value": "tier_1"}, "RiskTier = 'tier_1'"),
@@ -335,11 +355,16 @@ QUERIES["contract_unique"] = lambda spark, sf_dir: contracts.unique(_raw_line_id
 ORACLES["contract_unique"] = """
     SELECT ID, row_count FROM (SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS ID, COUNT(*) AS row_count
       FROM lineitem GROUP BY 1) WHERE row_count > 1"""
+# Positions of large quantities refer to an asset that no reference knows.
+_ORPHANED = "CASE WHEN Quantity > 45 THEN AssetId || '_OLD' ELSE AssetId END"
 register(
     "contract_relationship",
-    lambda t: contracts.relationship(t.CustodyPositions, "AssetId", t.ReferenceAssets.filter("IsStakeable"), "AssetId"),
-    f"""SELECT {oracle._doubles(*oracle.AMOUNTS['CustodyPositions'])} FROM CustodyPositions
-         WHERE AssetId NOT IN (SELECT AssetId FROM ReferenceAssets WHERE IsStakeable)""",
+    lambda t: contracts.relationship(
+        t.CustodyPositions.withColumn("AssetId", F.expr(_ORPHANED)), "AssetId", t.ReferenceAssets, "AssetId"
+    ),
+    f"""SELECT {oracle._doubles(*oracle.AMOUNTS['CustodyPositions'])}
+          FROM (SELECT * REPLACE ({_ORPHANED} AS AssetId) FROM CustodyPositions)
+         WHERE AssetId NOT IN (SELECT AssetId FROM ReferenceAssets)""",
 )
 register(
     "contract_accepted_range",
@@ -433,7 +458,7 @@ register(
 def _snapshots(t: SemanticTables) -> DataFrame:
     # Positions whose number ends in 3 reached the platform eight weeks late.
     late = F.when(F.col("ID").endswith("3"), F.date_add("PositionDate", 56)).otherwise(F.col("PositionDate"))
-    loaded = t.CustodyPositions.filter("PositionDate IS NOT NULL").withColumn("LoadedAt", late.cast("timestamp"))
+    loaded = t.CustodyPositions.withColumn("LoadedAt", late.cast("timestamp"))
     rows = contracts.snapshot_on_time(loaded, "LoadedAt")
     return rows.withColumns({name: F.col(name).cast("string") for name in ("LoadedAt", "Deadline")})
 
@@ -546,18 +571,12 @@ register("sink_statement_csv", _exported, _STATEMENT_SQL)
 def _exported_per_client(t: SemanticTables) -> DataFrame:
     """The statements of one closed month, a folder per client."""
     spark = spark_of(t)
-    columns = ("StatementId", "CustomerId", "Symbol", "PositionPeriod", "PeriodEndValuationUSD", "CustodianLedgerRef")
-    rows = Books(t).monthly_statement.select(*columns)
+    rows = Books(t).monthly_statement.drop("StatementGeneratedAt")
     folder = delivery.export_per_client(rows, scratch_path(spark, "per-client"), CLOSED_MONTH)
-    return _read_statement_csv(spark, folder, rows).select(*columns)
+    return _read_statement_csv(spark, folder, rows).select(*rows.columns)
 
 
-register(
-    "sink_statement_per_client",
-    _exported_per_client,
-    f"""SELECT StatementId, CustomerId, Symbol, PositionPeriod, CAST(PeriodEndValuationUSD AS DOUBLE) AS PeriodEndValuationUSD
-            , CustodianLedgerRef FROM Stmt WHERE PositionPeriod = DATE '{CLOSED_MONTH}'""",
-)
+register("sink_statement_per_client", _exported_per_client, f"{_STATEMENT_SQL} WHERE PositionPeriod = DATE '{CLOSED_MONTH}'")
 
 
 def _delivery_log(t: SemanticTables) -> DataFrame:

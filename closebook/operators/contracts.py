@@ -88,12 +88,11 @@ def contract_freshness(df: DataFrame, name: str, loaded_at: str, run_ts: Column)
 
 
 def append_only(previous: DataFrame, current: DataFrame, key: str = "ID") -> DataFrame:
-    """Rows of the previous snapshot that are no longer present unchanged."""
+    """Rows of the previous snapshot that are no longer present unchanged; a row without a key never is."""
     columns = previous.columns
-    # The hash skips NULLs, so their places go into it as well.
-    row_hash = F.xxhash64(*columns, *[F.col(name).isNull() for name in columns]).alias("_hash")
-    kept = current.select(key, row_hash)
-    return previous.withColumn("_hash", row_hash).join(kept, [key, "_hash"], "left_anti").select(columns)
+    unchanged = [F.col(f"before.{name}").eqNullSafe(F.col(f"after.{name}")) for name in columns if name != key]
+    same = reduce(Column.__and__, unchanged, F.col(f"before.{key}") == F.col(f"after.{key}"))
+    return previous.alias("before").join(current.select(columns).alias("after"), same, "left_anti")
 
 
 def snapshot_deadline(period: str) -> Column:
@@ -102,8 +101,11 @@ def snapshot_deadline(period: str) -> Column:
 
 
 def snapshot_on_time(positions: DataFrame, loaded_at: str = "CreatedAt") -> DataFrame:
-    """Per month: when its positions were last loaded, the deadline, and ON_TIME or LATE."""
-    loads = positions.groupBy(F.trunc("PositionDate", "MM").alias("PositionPeriod")).agg(
+    """Per month: when its positions were last loaded, the deadline, and ON_TIME or LATE.
+
+    Positions without a date belong to no month and have no deadline; ``not_null`` reports them.
+    """
+    loads = positions.filter("PositionDate IS NOT NULL").groupBy(F.trunc("PositionDate", "MM").alias("PositionPeriod")).agg(
         F.max(F.col(loaded_at).cast("timestamp")).alias("LoadedAt")
     )
     deadline = snapshot_deadline("PositionPeriod")

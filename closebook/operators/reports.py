@@ -19,6 +19,7 @@ from closebook.operators.skew import broadcast_if_small
 
 DEFAULT_ORDER = 99
 SORT_COLUMNS = ("CustomerName", "PositionPeriod", "Symbol")
+CLIENT_FLAGS = ("KycStatus", "IsActive")
 
 # The monthly custody report.
 CUSTODY_MONTHLY: dict[str, Any] = {
@@ -116,10 +117,14 @@ def project(source: DataFrame, columns: Sequence[Mapping[str, Any]]) -> DataFram
 def report(config: Mapping[str, Any], source: DataFrame) -> DataFrame:
     """Filter, sort and project a source as configured."""
     rows = filter_clients(source, config.get("client_filters", []))
-    return project(rows.orderBy(*SORT_COLUMNS), config.get("columns", []))
+    order = [name for name in SORT_COLUMNS if name in source.columns]
+    return project(rows.orderBy(*order) if order else rows, config.get("columns", []))
 
 
-def statement_with_client_flags(statement: DataFrame, customers: DataFrame) -> DataFrame:
-    """The statement plus the two client columns that reports filter on but it does not output."""
-    flags = customers.select("CustomerId", "KycStatus", "IsActive")
-    return statement.join(broadcast_if_small(flags), "CustomerId", "left")
+def with_client_flags(source: DataFrame, customers: DataFrame) -> DataFrame:
+    """A source plus the two client columns that reports filter on, where it lacks them and names the client."""
+    missing = [name for name in CLIENT_FLAGS if name not in source.columns]
+    if not missing or "CustomerId" not in source.columns:
+        return source
+    flags = customers.select("CustomerId", *missing)
+    return source.join(broadcast_if_small(flags), "CustomerId", "left")

@@ -92,10 +92,10 @@ def latest_per_key(
 def place_by_key(df: DataFrame, keys: Sequence[str], by: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """Bring the rows of a key into one task, and those of a hot key into several, for writing files.
 
-    The number of tasks is the number of shuffle partitions whatever the size of the data, because
+    There is a task for every ``min_rows`` rows, and at least as many as shuffle partitions, because
     with many small files creating them is what takes the time.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // min_rows))
     hot = hot_keys(df.dropna(subset=list(keys)), keys, order=by[0], min_rows=min_rows)
     marked = df.join(F.broadcast(hot), list(keys), "left")
     return marked.repartition(tasks, *keys, _salt(by)).drop(FAN, LATEST)

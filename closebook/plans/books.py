@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 
@@ -14,6 +15,17 @@ from closebook.schemas import SemanticTables
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
+# The names by which a report asks for its source.
+MODELS = {
+    "CustodyBalancesByPeriod": "balances",
+    "StakingRewardsByPeriod": "staking_rewards",
+    "FeeAccrualsByPeriod": "fee_accruals",
+    "ClientPeriodPositions": "client_positions",
+    "ReconciliationSummary": "reconciliation",
+    "LedgerBalanceTieOut": "tie_out",
+    "MonthlyCustodyStatement": "monthly_statement",
+}
+
 
 class Books:
     """Lazy results of every layer; nothing runs until a result is used.
@@ -124,6 +136,13 @@ class Books:
     def monthly_statement(self) -> DataFrame:
         return statement.monthly_statement(self._salted_positions, self.entity, self.run_ts, self.hot)
 
-    def report(self, config: dict) -> DataFrame:
-        source = reports.statement_with_client_flags(self.monthly_statement, self.tables.Customers)
-        return reports.report(config, source)
+    def model(self, name: str) -> DataFrame:
+        """The result that reports know by this name."""
+        if name not in MODELS:
+            raise ValueError(f"unknown source model {name!r}, known: {', '.join(MODELS)}")
+        return getattr(self, MODELS[name])
+
+    def report(self, config: Mapping[str, Any]) -> DataFrame:
+        """A configured report over its ``source_model``, by default the monthly statement."""
+        source = self.model(config.get("source_model", "MonthlyCustodyStatement"))
+        return reports.report(config, reports.with_client_flags(source, self.tables.Customers))

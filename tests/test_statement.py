@@ -81,6 +81,10 @@ def test_custody_report(spark):
     comments = {field.name: field.metadata["comment"] for field in report.schema}
     assert comments["PeriodEndQuantity"] == "Quantity Held"
     assert comments["StatementId"] == "Statement ID. Unique ID for this statement row — used as delivery idempotency key"
+    source = {"source_model": "ClientPeriodPositions", "columns": [{"name": "KycStatus"}, {"name": "PendingFeesUSD"}]}
+    assert b.report(source).columns == ["KycStatus", "PendingFeesUSD"]
+    with pytest.raises(ValueError, match="unknown source model"):
+        b.report({"source_model": "Elsewhere", "columns": []})
 
 
 @pytest.mark.parametrize(
