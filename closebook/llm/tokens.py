@@ -61,8 +61,6 @@ class Encoder:
 
     def _learn(self, pieces: set[str]) -> None:
         """Remember the ids of new pieces without blanks, each with a blank before it."""
-        if len(self.known) > CACHED:
-            self.known, self.older = {}, self.known
         if self.older:
             again = pieces.intersection(self.older)
             self.known.update((p, self.older[p]) for p in again)
@@ -82,22 +80,25 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes (null: none)."""
+        if len(self.known) > CACHED:
+            self.known, self.older = {}, self.known
         cut = [CUT.split(t) if UNSURE.search(t) else t.split(" ") for t in ("" if t is None else t for t in texts)]
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(pieces[1:])
-        self._learn(new.difference(self.known))
+        opening = [pieces.pop(0) for pieces in cut]
+        new = set().union(*cut).difference(self.known)
+        if new:
+            self._learn(new)
         made = []
-        for pieces in cut:
-            head = self.heads.get(pieces[0])
+        for first, pieces in zip(opening, cut, strict=True):
+            head = self.heads.get(first)
             if head is None:
-                head = self._plain(pieces[0])
-                if len(pieces[0]) <= LONGEST and len(self.heads) < CACHED // 10:
-                    self.heads[pieces[0]] = head
-            ids = list(map(self.known.get, pieces[1:]))
-            if None in ids:
-                ids = [self._plain(" " + p) if i is None else i for p, i in zip(pieces[1:], ids, strict=True)]
-            made.append(b"".join([head, *ids]))
+                head = self._plain(first)
+                if len(first) <= LONGEST and len(self.heads) < CACHED // 10:
+                    self.heads[first] = head
+            try:
+                ids = b"".join(map(self.known.__getitem__, pieces))
+            except KeyError:  # some pieces are too long to be remembered
+                ids = b"".join([self.known[p] if p in self.known else self._plain(" " + p) for p in pieces])
+            made.append(head + ids)
         return made
 
 
