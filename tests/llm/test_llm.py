@@ -60,6 +60,19 @@ def test_ids_are_remembered_in_two_generations(monkeypatch):
         assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_known_pieces_are_not_encoded_alone_when_generations_change(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED", 5)
+    encoder = tokens.Encoder(BPE)
+    plain = Tokenizer.from_file(BPE)
+    texts = [f"a {' '.join(f'word{k}' for k in range(n, n + 8))}" for n in range(20)]
+    alone = []
+    monkeypatch.setattr(encoder, "_plain", lambda t, encode=encoder._plain: alone.append(t) or encode(t))
+    for text in texts:
+        ids = np.frombuffer(encoder.encode([text])[0], dtype=encoder.dtype).tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids
+    assert alone == ["a"]  # the opening piece of the first text
+
+
 def test_token_files(spark):
     docs = documents(spark)
     files = tokens.write(docs, tokens.new_folder(docs), BPE, length=16)
