@@ -70,7 +70,7 @@ def test_known_pieces_are_not_encoded_alone_when_generations_change(monkeypatch)
     for text in texts:
         ids = np.frombuffer(encoder.encode([text])[0], dtype=encoder.dtype).tolist()
         assert ids == plain.encode(text, add_special_tokens=False).ids
-    assert alone == ["a"]  # the opening piece of the first text
+    assert set(alone) == {"a"}  # only the pieces that open a text
 
 
 def test_token_files(spark):
