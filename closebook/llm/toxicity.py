@@ -16,8 +16,7 @@ from closebook.llm.decontaminate import FOLD, WORD
 
 SAMPLE = 12_000  # labelled documents, about, that the field is fitted to
 PRECISION = 0.9  # of a word's documents, and of its surroundings, that must be toxic before it may be labelled so
-SUPPORT = 3  # toxic documents that a word must explain, or if more
-EXPLAINED = 0.01  # this share of the toxic documents
+SUPPORT = 3  # toxic documents that a word must be in
 SURROUNDINGS = 8  # different pairs of neighbours that a word must have in toxic documents
 PIECE = 32  # words of a training sequence
 REACH = 16  # words around a known word for which marginals are worked out
@@ -146,34 +145,12 @@ def _train(words: list[bytes], ids: np.ndarray, toxic: np.ndarray, weight: np.nd
     return model
 
 
-def _cover(rows: list[tuple[list[str]]], support: int) -> list[bytes]:
-    """Words chosen one by one: each is in the most toxic documents that no earlier word is in.
-
-    So a word that only goes along with others (the style of one group of copies, say) is not chosen.
-    """
-    where: dict[str, set[int]] = {}
-    for k, (words,) in enumerate(rows):
-        for w in words:
-            where.setdefault(w, set()).add(k)
-    chosen = []
-    left = set(range(len(rows)))
-    while where:
-        word = max(sorted(where), key=lambda w: len(where[w] & left))
-        fresh = where.pop(word) & left
-        if len(fresh) < support:
-            break
-        chosen.append(word.encode("utf-8"))
-        left -= fresh
-        where = {w: d for w, d in where.items() if len(d & left) >= support}
-    return chosen
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Field:
     """The field for about ``sample`` labelled documents (all if there are fewer), chosen by a hash of the id.
 
-    Words whose documents are nearly always toxic, whose neighbours vary (so that copies of one
-    text do not count again and again), and that explain toxic documents nothing else does, are the
-    toxic tokens of toxic documents; every other token is clean. The field is fitted
+    Words whose documents are nearly always toxic and whose neighbours vary (so that copies of one
+    text do not count again and again) are the toxic tokens of toxic documents, also where they
+    usually stand beside one another; every other token is clean. The field is fitted
     to the distinct word sequences with their counts. What the driver gets is bounded by the sample. Rows without a label
     and labels without a document do not count; an id with several labels is toxic if one of them is.
     Without any toxic document every score is (nearly) zero.
@@ -213,11 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     around = around.groupBy("word", "before", "after").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("only"))
     varied = around.groupBy("word").agg(F.count_if("toxic").alias("toxic"), F.count_if(~F.col("only")).alias("clean"))
     enough = (F.col("toxic") >= SURROUNDINGS) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean")))
-    candidates = keep(varied.filter(enough).select("word"), "candidates")
-    numbered = sets.filter("toxic").select(F.monotonically_increasing_id().alias("doc"), F.explode("words").alias("word"))
-    found = numbered.join(candidates, "word").groupBy("doc").agg(F.array_sort(F.collect_list("word")).alias("words"))
-    explained = max(SUPPORT, round(EXPLAINED * sets.filter("toxic").count()))
-    words = _cover(sorted(tuple(r) for r in found.select("words").collect()), explained)
+    words = sorted(r["word"].encode("utf-8", "replace") for r in varied.filter(enough).select("word").collect())
     number = {w: k + 1 for k, w in enumerate(words)}
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -259,6 +259,22 @@ def test_toxic_words_are_found_with_offsets(spark):
     assert all(r.toxicity.score == 0 for r in toxicity.score(probe, none).collect())
 
 
+def test_every_sure_word_is_toxic_however_rare_or_accompanied(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(2400):
+        text = list(rng.choice([f"w{j}" for j in range(60)], 12))
+        if k % 2:
+            text[3] = "idiot"
+        if k % 2 and k < 20:
+            text[8] = "scum"
+        rows.append((k, " ".join(text), k % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.drop("text"))
+    assert model.words == [b"idiot", b"scum"]
+    assert model.judge("w1 w2 scum w3 w4")[0] >= toxicity.REJECT and model.judge("w1 w2 w3")[0] < 0.1
+
+
 # Chats.
 
 
