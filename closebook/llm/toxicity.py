@@ -44,30 +44,36 @@ class Field:
         self.number = {w: k + 1 for k, w in enumerate(self.words)}
 
     def toxic_scores(self, ids: np.ndarray) -> np.ndarray:
-        """Score of the toxic state at each place; rows are sequences of word numbers (0: unknown)."""
+        """Score of the toxic state at each place; rows are sequences of word numbers (0: unknown, -1: after the end)."""
         known = np.zeros((ids.shape[0], ids.shape[1] + 2))
         known[:, 1:-1] = ids > 0
-        by_word = np.concatenate(([0.0], self.emit[3:]))[ids]
+        by_word = np.concatenate(([0.0], self.emit[3:]))[np.maximum(ids, 0)]
         return self.emit[0] + self.emit[1] * known[:, :-2] + self.emit[2] * known[:, 2:] + by_word
 
     def forward_backward(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Marginals of the toxic state, expected numbers of each pair of states, and the log partition functions."""
+        """Marginals of the toxic state, expected numbers of each pair of states, and the log partition functions.
+
+        Places after the end of a sequence have no state, so they add nothing to any of these.
+        """
+        real = ids >= 0
         scores = np.stack([np.zeros(ids.shape), self.toxic_scores(ids)], axis=2)
         n, length, _ = scores.shape
         ahead, back = np.empty_like(scores), np.zeros_like(scores)
         ahead[:, 0] = scores[:, 0]
         for t in range(1, length):
-            ahead[:, t] = np.logaddexp(ahead[:, t - 1, :1] + self.move[0], ahead[:, t - 1, 1:] + self.move[1]) + scores[:, t]
+            reached = np.logaddexp(ahead[:, t - 1, :1] + self.move[0], ahead[:, t - 1, 1:] + self.move[1]) + scores[:, t]
+            ahead[:, t] = np.where(real[:, t, None], reached, ahead[:, t - 1])
         for t in range(length - 2, -1, -1):
             after = back[:, t + 1] + scores[:, t + 1]
-            back[:, t] = np.logaddexp(after[:, :1] + self.move[:, 0], after[:, 1:] + self.move[:, 1])
+            left = np.logaddexp(after[:, :1] + self.move[:, 0], after[:, 1:] + self.move[:, 1])
+            back[:, t] = np.where(real[:, t + 1, None], left, 0.0)
         total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        marginal = np.exp(ahead[:, :, 1] + back[:, :, 1] - total[:, None])
+        marginal = np.where(real, np.exp(ahead[:, :, 1] + back[:, :, 1] - total[:, None]), 0.0)
         pairs = np.empty((n, 2, 2))
         for i in range(2):
             for j in range(2):
                 joint = ahead[:, :-1, i] + self.move[i, j] + scores[:, 1:, j] + back[:, 1:, j] - total[:, None]
-                pairs[:, i, j] = np.exp(joint).sum(axis=1)
+                pairs[:, i, j] = np.where(real[:, 1:], np.exp(joint), 0.0).sum(axis=1)
         return marginal, pairs, total
 
     def marginals(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,11 +131,11 @@ def _train(words: list[bytes], ids: np.ndarray, toxic: np.ndarray, weight: np.nd
     seen = np.zeros((2, 2))
     for i in range(2):
         for j in range(2):
-            seen[i, j] = (weight * ((states[:, :-1] == i) & (states[:, 1:] == j)).sum(axis=1)).sum()
+            seen[i, j] = (weight * ((states[:, :-1] == i) & (states[:, 1:] == j) & (ids[:, 1:] >= 0)).sum(axis=1)).sum()
 
     def sums(values: np.ndarray) -> np.ndarray:
         weighted = values * weight[:, None]
-        by_word = np.bincount(ids.ravel(), weighted.ravel(), len(words) + 1)[1:]
+        by_word = np.bincount(np.maximum(ids, 0).ravel(), weighted.ravel(), len(words) + 1)[1:]
         return np.concatenate(([weighted.sum(), (weighted * known[:, :-2]).sum(), (weighted * known[:, 2:]).sum()], by_word))
 
     target = sums(labels)
@@ -151,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     Words whose documents are nearly always toxic and whose neighbours vary (so that copies of one
     text do not count again and again) are the toxic tokens of toxic documents, also where they
     usually stand beside one another; every other token is clean. The field is fitted
-    to the distinct word sequences with their counts. What the driver gets is bounded by the sample. Rows without a label
+    to the distinct word sequences, pieces of at most ``PIECE`` words that together are the whole texts, with their counts. What the driver gets is bounded by the sample. Rows without a label
     and labels without a document do not count; an id with several labels is toxic if one of them is.
     Without any toxic document every score is (nearly) zero.
     """
@@ -199,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
             for value, toxic in zip(batch.column("text"), batch.column("toxic"), strict=True):
                 tokens = (value.as_py() or "").encode("utf-8", "replace").translate(FOLD).split()
                 ids = np.fromiter(map(number.get, tokens, repeat(0)), np.int32, len(tokens))
-                ids = ids[: len(ids) // PIECE * PIECE] if len(ids) > PIECE else np.pad(ids, (0, PIECE - len(ids)))
+                ids = np.pad(ids, (0, -len(ids) % PIECE), constant_values=-1)
                 made += [p.tobytes() for p in ids.reshape(-1, PIECE)]
                 marks += [toxic.as_py()] * (len(made) - len(marks))
             yield pa.RecordBatch.from_arrays([pa.array(marks, pa.bool_()), pa.array(made, pa.binary())], ["toxic", "ids"])

@@ -275,6 +275,28 @@ def test_every_sure_word_is_toxic_however_rare_or_accompanied(spark):
     assert model.judge("w1 w2 scum w3 w4")[0] >= toxicity.REJECT and model.judge("w1 w2 w3")[0] < 0.1
 
 
+def test_places_after_the_end_count_for_nothing():
+    model = toxicity.Field([b"bad"], np.array([-1.0, 0.4, -0.3, 2.0]), np.array([[0.2, -0.5], [0.1, 0.7]]))
+    whole = model.forward_backward(np.array([[0, 1, 0, 1]]))
+    padded = model.forward_backward(np.array([[0, 1, 0, 1, -1, -1, -1]]))
+    assert padded[0][0] == pytest.approx([*whole[0][0], 0, 0, 0])
+    assert padded[1] == pytest.approx(whole[1]) and padded[2] == pytest.approx(whole[2])
+
+
+def test_insults_that_close_texts_are_learnt(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(120):
+        text = list(rng.choice([f"w{j}" for j in range(60)], toxicity.PIECE + 20))
+        if k % 4 == 0:
+            text[-1 - k % 3] = "idiot"
+        rows.append((k, " ".join(text), int(k % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.drop("text"))
+    scores = [model.judge(t)[0] for _, t, _ in rows]
+    assert all((s >= toxicity.REJECT) == (k % 4 == 0) for k, s in enumerate(scores))
+
+
 # Chats.
 
 
