@@ -87,9 +87,19 @@ class Filters:
         return self.languages[best], float(shares[best] / shares.sum()) if shares.sum() > 0 else 1 / len(shares)
 
 
+def shares_of_sample(counted: dict[str, int], sample: int) -> dict[str, float]:
+    """The part of each language's rows to draw: all of rare ones, and as many rows of each of the others, ``sample`` together."""
+    left, quota = float(sample), 0.0
+    for k, n in enumerate(sorted(counted.values())):
+        quota = left / (len(counted) - k)
+        left -= min(n, quota)
+    return {name: min(1.0, quota / n) for name, n in counted.items()}
+
+
 def fit(labelled: DataFrame, text: str, lang: str, stable: list[str], sample: int = SAMPLE, share: float = SHARE) -> Filters:
     """Filters from about ``sample`` rows of ``labelled`` (all of them if there are fewer), chosen by a hash of ``stable``.
 
+    Each language gives equally many rows, or all it has, so that a rare one is learnt beside a frequent one.
     An n-gram goes into the filter of every language of whose sampled documents at least ``share`` contain it, so what
     is collected, at most one row per slot, does not grow with the data. Rows with a null text or language are left out.
     """
@@ -100,8 +110,9 @@ def fit(labelled: DataFrame, text: str, lang: str, stable: list[str], sample: in
     table = np.zeros((words, 1 << SLOT_BITS), dtype=np.uint64)
     if not languages:
         return Filters([], table)
-    part = min(1.0, sample / sum(counted.values()))
-    chosen = rows.filter(F.pmod(F.xxhash64(*stable), F.lit(1 << 20)) < round(part * (1 << 20)))
+    below = [(name, round(part * (1 << 20))) for name, part in shares_of_sample(counted, sample).items()]
+    below = F.broadcast(labelled.sparkSession.createDataFrame(below, "lang string, _below long"))  # one row per language
+    chosen = rows.join(below, "lang").filter(F.pmod(F.xxhash64(*stable), F.lit(1 << 20)) < F.col("_below"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -222,6 +222,16 @@ def test_language_filters(spark):
     assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_a_rare_language_is_learnt_beside_a_frequent_one(spark):
+    rows = [(k, f"alpha gamma delta number{k % 7}", "aa") for k in range(4000)] + [(k, "zwolf uber kirche munster", "bb") for k in range(4000, 4006)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = language.fit(labelled, "text", "lang", ["doc_id"], sample=40)
+    found = {r.doc_id: r.lang_pred for r in language.predict(labelled.select("doc_id", "text").filter("doc_id >= 3994"), filters).collect()}
+    assert found == {k: "aa" if k < 4000 else "bb" for k in range(3994, 4006)}
+    assert language.shares_of_sample({"a": 1000, "b": 10, "c": 500}, 210) == {"a": 0.1, "b": 1.0, "c": 0.2}
+    assert language.shares_of_sample({"a": 3, "b": 5}, 100) == {"a": 1.0, "b": 1.0}
+
+
 # Toxicity.
 
 
