@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import chat, decontaminate, language, licenses, mixing, sharding, simhash, tokens, toxicity, vectors
+from closebook.llm import chat, decontaminate, language, licenses, mixing, quality, search, sharding, simhash, tokens, toxicity, vectors, whitening
 from closebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,59 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(docs.select("doc_id", "text"), model).withColumn("held_out", held_out)
     score = F.col("toxicity.score")
     return found.select("doc_id", "held_out", score.alias("score"), (score >= toxicity.REJECT).cast("int").alias("predicted"))
+
+
+@query
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = language.fold("doc_id", 3) == 1
+    model = quality.fit(docs, labels.filter(~held_out))
+    found = quality.score(docs.select("doc_id", "text"), model).withColumn("held_out", held_out)
+    score = F.col("quality.score")
+    return found.select("doc_id", "held_out", score.alias("score"), (score >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    values = F.posexplode(F.arrays_zip("whitened", "explained"))
+    return found.select("vec_id", "n", "deviation", "identity_error", values.alias("place", "value")).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("value.whitened").alias("whitened"),
+        F.col("value.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return search.rank(docs, benchmark)
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), t AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term
+), c AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0), i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), f AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM t, c GROUP BY term, docs
+), m AS (
+  SELECT r, doc_id, 50 + (50 * len(w)::BIGINT * docs) // length AS middle FROM d, c WHERE len(w) > 0
+), s AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * middle)))::BIGINT AS score
+  FROM t JOIN i USING (term) JOIN f USING (term) JOIN m USING (r) GROUP BY item_id, r
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+) WHERE rank <= 50
+"""
