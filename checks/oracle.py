@@ -302,18 +302,45 @@ TIE_AMOUNTS = ("ComputedQuantity", "PriceUSD", "ComputedValuationUSD", "Restated
 _ORDERED = {**TABLES, **VIEWS}
 
 
-def _names_in(sql: str) -> set[str]:
-    return set(re.findall(r"[A-Za-z]+", sql)) & set(_ORDERED)
+# The tables with every exception of the close resolved, see checks.queries.clean_tables.
+CLEANED = {
+    "Customers": "SELECT * REPLACE (CASE WHEN IsActive THEN 'APPROVED' ELSE KycStatus END AS KycStatus) FROM CustomersRaw",
+    "CustodyPositions": """
+        SELECT * REPLACE (COALESCE(CustodianLedgerRef, 'REF-' || ID) AS CustodianLedgerRef
+             , CASE WHEN ABS(ValuationUSD - Quantity * PriceUSD) > 0.01 THEN CAST(Quantity * PriceUSD AS DECIMAL(28,2))
+                    ELSE ValuationUSD END AS ValuationUSD) FROM CustodyPositionsRaw""",
+    "FinancialEvents": "SELECT * REPLACE (CASE Status WHEN 'pending' THEN 'settled' ELSE Status END AS Status) FROM FinancialEventsRaw",
+    "FeeEvents": f"""
+        SELECT * REPLACE ('billed' AS BillingStatus) FROM FeeEventsRaw
+        UNION ALL
+        SELECT 'FEE-' || k.first, k.CustomerId, k.AssetId, 'custody', 15, 100, 1000, k.m, last_day(k.m), 'billed', 'INV-' || k.first
+          FROM (SELECT CustomerId, AssetId, {_month('PositionDate')} AS m, MIN(ID) AS first FROM CustodyPositionsRaw GROUP BY 1, 2, 3) k
+          LEFT JOIN (SELECT DISTINCT CustomerId, AssetId, {_month('FeePeriodStart')} AS m FROM FeeEventsRaw) f
+            ON f.CustomerId = k.CustomerId AND f.AssetId = k.AssetId AND f.m = k.m
+         WHERE f.m IS NULL""",
+}
+
+
+def _definitions(cleaned: bool) -> dict[str, str]:
+    if not cleaned:
+        return _ORDERED
+    raw = {f"{name}Raw" if name in CLEANED else name: sql for name, sql in TABLES.items()}
+    return {**raw, **CLEANED, **VIEWS}
+
+
+def with_views(query: str, cleaned: bool = False) -> str:
+    """Prefix a query with the common table expressions it needs, over the given tables or the cleaned ones."""
+    known = _definitions(cleaned)
 
+    def names_in(sql: str) -> set[str]:
+        return set(re.findall(r"[A-Za-z]+", sql)) & set(known)
 
-def with_views(query: str) -> str:
-    """Prefix a query with the common table expressions it needs."""
-    needed, todo = set(), _names_in(query)
+    needed, todo = set(), names_in(query)
     while todo:
         name = todo.pop()
         needed.add(name)
-        todo |= _names_in(_ORDERED[name]) - needed
-    parts = ", ".join(f"{name} AS ({sql})" for name, sql in _ORDERED.items() if name in needed)
+        todo |= names_in(known[name]) - needed
+    parts = ", ".join(f"{name} AS ({sql})" for name, sql in known.items() if name in needed)
     return f"WITH {parts} {query}"
 
 

@@ -20,7 +20,7 @@ from closebook.functions.calcs import REGISTRY
 from closebook.operators import contracts, gate, quality, reports, statement, tieout, views
 from closebook.operators.assembly import calc_table, join_calc_tables, micro_calc, wide_table
 from closebook.plans.books import Books
-from closebook.plans.close import close_period
+from closebook.plans.close import close_month, close_period
 from closebook.schemas import FACTS, SCHEMAS, SemanticTables
 from closebook.session import configure, materialise, scratch_path
 from closebook.sources import delivery, seeds, tables
@@ -189,6 +189,8 @@ for _name, (_rows, _check) in _CHECK_ROWS.items():
     )
 _GATE_SQL = " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in oracle.CHECKS.values())
 register("period_close_gate", lambda t: stored(t).close_gate, _GATE_SQL)
+# The same, counted while balances, spine and reconciliation are written.
+register("period_close_gate_watched", lambda t: Books(t, keep=materialise, invoice_lists=False, watch=gate.Watch()).close_gate, _GATE_SQL)
 register("gate_verdict", lambda t: gate.order_verdict(Books(t).close_gate), _GATE_SQL)
 
 # Statement and reports.
@@ -586,7 +588,7 @@ def _delivery_log(t: SemanticTables) -> DataFrame:
     rows = Books(t).monthly_statement
     delivery.record_deliveries(rows.filter("RiskTier <> 'tier_1'"), path, _run_ts())
     delivery.record_deliveries(rows, path, _run_ts())
-    logged = delivery.read_log(rows, path)
+    logged = delivery.read_log(rows, path).drop("Attempt", "EventId")
     return logged.withColumn("AttemptedAt", F.col("AttemptedAt").cast("string"))
 
 
@@ -639,32 +641,35 @@ register("seed_csv_customers", _customer_seed, "SELECT * FROM Customers")
 
 
 def clean_tables(t: SemanticTables) -> SemanticTables:
-    """The test tables with every exception resolved, so that a close can succeed.
+    """The test tables with every exception resolved, so that a close can succeed; all other rows and values are as given.
 
-    Each month-end balance gets one billed fee, open events are settled, ledger references are filled
-    in, valuations follow from quantity and price, and every client is approved.
+    Fees count as billed, and a month-end key without any fee gets one; open events are settled, missing ledger references are
+    filled in, valuations that are off follow from quantity and price, and active clients are approved.
     """
+    expected = F.expr("CAST(Quantity * PriceUSD AS DECIMAL(28,2))")
     positions = t.CustodyPositions.withColumns(
         {
             "CustodianLedgerRef": F.coalesce("CustodianLedgerRef", F.concat(F.lit("REF-"), F.col("ID"))),
-            "ValuationUSD": F.expr("CAST(Quantity * PriceUSD AS DECIMAL(28,2))"),
+            "ValuationUSD": F.when(F.abs(F.col("ValuationUSD") - expected) > 0.01, expected).otherwise(F.col("ValuationUSD")),
         }
     )
-    month = F.trunc("PositionDate", "MM")
-    fees = positions.groupBy("CustomerId", "AssetId", month.alias("FeePeriodStart")).agg(F.min("ID").alias("first"))
-    fees = fees.select(
+    keys = ["CustomerId", "AssetId", "FeePeriodStart"]
+    held = positions.groupBy("CustomerId", "AssetId", F.trunc("PositionDate", "MM").alias("FeePeriodStart")).agg(F.min("ID").alias("first"))
+    missing = held.join(t.FeeEvents.select(*keys), keys, "left_anti")
+    extra = missing.select(
         F.concat(F.lit("FEE-"), F.col("first")).alias("ID"), "CustomerId", "AssetId", F.lit("custody").alias("FeeType"),
         F.lit(15).cast("bigint").alias("BasisPoints"), F.lit(100).cast("decimal(18,2)").alias("FeeAmountUSD"),
         F.lit(1000).cast("decimal(22,2)").alias("AumAtBilling"), "FeePeriodStart",
         F.last_day("FeePeriodStart").alias("FeePeriodEnd"), F.lit("billed").alias("BillingStatus"),
         F.concat(F.lit("INV-"), F.col("first")).alias("InvoiceReference"),
     )
+    settled = F.when(F.col("Status") == "pending", "settled").otherwise(F.col("Status"))
     return replace(
         t,
-        Customers=t.Customers.withColumn("KycStatus", F.lit("APPROVED")),
+        Customers=t.Customers.withColumn("KycStatus", F.when(F.col("IsActive"), "APPROVED").otherwise(F.col("KycStatus"))),
         CustodyPositions=positions,
-        FeeEvents=fees,
-        FinancialEvents=t.FinancialEvents.withColumn("Status", F.lit("settled")),
+        FeeEvents=t.FeeEvents.withColumn("BillingStatus", F.lit("billed")).unionByName(extra),
+        FinancialEvents=t.FinancialEvents.withColumn("Status", settled),
     )
 
 
@@ -672,20 +677,80 @@ def _closed(t: SemanticTables) -> DataFrame:
     spark = spark_of(t)
     result = close_period(clean_tables(t), RUN_AT, scratch_path(spark, "close"), scratch_path(spark, "close-log"))
     like = Books(clean_tables(t)).monthly_statement
-    rows = _read_statement_csv(spark, result.exported_to, like)
-    return rows.select("StatementId", "CustomerName", "PeriodLabel", "PeriodEndValuationUSD", "TotalFeesUSD", "IssuingEntity")
-
-
-register(
-    "close_and_export",
-    _closed,
-    f"""SELECT md5(b.CustomerId || '|' || b.AssetId || '|' || b.PositionPeriod) AS StatementId, c.CustomerName
-            , strftime(b.PositionPeriod, '%B %Y') AS PeriodLabel
-            , CAST(b.PeriodEndQuantity * b.PeriodEndPriceUSD AS DOUBLE) AS PeriodEndValuationUSD
-            , CAST(100 AS DOUBLE) AS TotalFeesUSD, '{K.DEFAULT_ENTITY}' AS IssuingEntity
-         FROM Bal b JOIN Customers c USING (CustomerId)
-         LEFT JOIN (SELECT CustomerId, AssetId, PositionPeriod, COUNT(*) AS n FROM Bal GROUP BY 1, 2, 3) p
-           ON p.CustomerId = b.CustomerId AND p.AssetId = b.AssetId
-          AND p.PositionPeriod = CAST(b.PositionPeriod - INTERVAL 1 MONTH AS DATE)
-         , generate_series(1, COALESCE(p.n, 1))""",
+    return _read_statement_csv(spark, result.exported_to, like).drop("StatementGeneratedAt")
+
+
+register("close_and_export", _closed, None)
+ORACLES["close_and_export"] = oracle.with_views(_STATEMENT_SQL, cleaned=True)
+
+NEXT_MONTH = date(1998, 7, 1)
+
+
+def _closed_by_month(t: SemanticTables) -> DataFrame:
+    """Two months closed one after the other over tables stored by month; the books hold both."""
+    spark = spark_of(t)
+    stored, books = scratch_path(spark, "by-month"), scratch_path(spark, "books")
+    tables.store_by_month(clean_tables(t), stored)
+    for month in (CLOSED_MONTH, NEXT_MONTH):
+        close_month(spark, stored, month, RUN_AT, books)
+    rows = spark.read.parquet(f"{books}/MonthlyCustodyStatement").drop("StatementGeneratedAt")
+    return rows.withColumn("PositionPeriod", F.col("PositionPeriod").cast("date"))
+
+
+register("close_one_month", _closed_by_month, None)
+ORACLES["close_one_month"] = oracle.with_views(
+    f"{_STATEMENT_SQL} WHERE PositionPeriod IN (DATE '{CLOSED_MONTH}', DATE '{NEXT_MONTH}')", cleaned=True
+)
+
+
+def _report_files(t: SemanticTables) -> DataFrame:
+    """The custody report of one month as files per client, read back with their entries in the manifest."""
+    spark = spark_of(t)
+    root = scratch_path(spark, "reports")
+    source = reports.with_client_flags(stored(t).monthly_statement, t.Customers)
+    manifest = delivery.deliver_report(reports.CUSTODY_MONTHLY, source, root, CLOSED_MONTH)
+    folder = delivery.destination(reports.CUSTODY_MONTHLY, root, CLOSED_MONTH)
+    like = reports.report(reports.CUSTODY_MONTHLY, source)
+    lines = spark.read.schema(like.schema).options(header=True, enforceSchema=False, mode="FAILFAST", escape='"').csv(folder)
+    lines = lines.withColumn("File", F.element_at(F.split("_metadata.file_path", "/"), -1))
+    return lines.join(manifest.select("File", "CustomerId", "Rows"), "File", "full")
+
+
+register(
+    "sink_report_per_client",
+    _report_files,
+    f"""SELECT * , 'custody_statement_' || CustomerId || '_{CLOSED_MONTH}.csv' AS File, COUNT(*) OVER (PARTITION BY CustomerId) AS Rows
+          FROM (SELECT {oracle.report_columns()}, CustomerId FROM {_REPORT_SOURCE} WHERE KycStatus = 'APPROVED' AND IsActive
+                   AND CustomerType IN ('INSTITUTIONAL', 'HEDGE_FUND', 'ASSET_MANAGER', 'PENSION_FUND')
+                   AND PositionPeriod = DATE '{CLOSED_MONTH}')""",
+)
+
+
+def _delivery_retry(t: SemanticTables) -> DataFrame:
+    """Attempts that fail, are repeated, and are confirmed by receipts; every run happens twice."""
+    spark = spark_of(t)
+    path = scratch_path(spark, "delivery-retry")
+    rows = materialise(
+        Books(t).monthly_statement.select("StatementId", "CustomerId", "PositionPeriod", "RiskTier", "IsStakeable", "CustomerType"), "statements"
+    )
+    first = rows.select("StatementId", (F.col("RiskTier") != "tier_1").alias("Delivered"))
+    second = rows.select("StatementId", (~F.col("IsStakeable")).alias("Delivered"))
+    received = F.lit("2001-11-30 00:00:00").cast("timestamp")
+    receipts = rows.filter("CustomerType = 'INSTITUTIONAL'").select("StatementId", received.alias("ReceivedAt"))
+    for hours, outcomes in ((0, first), (24, second)):
+        for _ in range(2):
+            delivery.record_deliveries(rows, path, _run_ts() + F.make_interval(hours=F.lit(hours)), outcomes=outcomes)
+            delivery.confirm_deliveries(receipts, path)
+    state = delivery.current_state(delivery.read_log(rows, path))
+    return state.withColumn("AttemptedAt", F.col("AttemptedAt").cast("string"))
+
+
+register(
+    "sink_delivery_retry",
+    _delivery_retry,
+    f"""SELECT StatementId, CustomerId, PositionPeriod, Attempt, Attempt + CAST(DeliveryStatus = 'CONFIRMED' AS BIGINT) AS Events, DeliveryStatus
+            , CASE Attempt WHEN 1 THEN '{RUN_AT:%Y-%m-%d %H:%M:%S}' ELSE '2001-12-02 06:00:00' END AS AttemptedAt
+          FROM (SELECT DISTINCT StatementId, CustomerId, PositionPeriod, CASE RiskTier WHEN 'tier_1' THEN 2 ELSE 1 END AS Attempt
+                     , CASE WHEN RiskTier = 'tier_1' AND IsStakeable THEN 'FAILED' WHEN CustomerType = 'INSTITUTIONAL' THEN 'CONFIRMED'
+                            ELSE 'SENT' END AS DeliveryStatus FROM Stmt)""",
 )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from threading import Thread
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from closebook import constants as K
@@ -133,6 +134,80 @@ def period_close_gate(
     return reduce(DataFrame.unionByName, parts)
 
 
+RESULT = "CheckName string, Description string, FailingCount bigint, Status string, SampleExceptions string"
+METRIC_SECONDS = 20  # that the metrics of a finished job may take to arrive
+
+
+def _metrics(observation: Observation) -> dict[str, int] | None:
+    """The metrics, or None if none arrive: Spark drops an observed branch of a plan once it turns out to be empty."""
+    found: list[dict] = []
+
+    def wait() -> None:
+        try:
+            found.append(observation.get)
+        except Exception:  # noqa: BLE001  the session may end while this waits for what never comes
+            return
+
+    waiting = Thread(target=wait, daemon=True)
+    waiting.start()
+    waiting.join(METRIC_SECONDS)
+    return found[0] if found else None
+
+
+def exceptions(rows: DataFrame, check: Check) -> tuple[int, str]:
+    """Exact number of failing rows of a check, and the first texts in order."""
+    failing = rows.filter(check.failing).select(check.text.alias("text"))
+    first = failing.filter("text IS NOT NULL").orderBy("text").limit(K.SAMPLE_SIZE).collect()
+    return failing.count(), " | ".join(row.text for row in first) or "None"
+
+
+class Watch:
+    """Close checks evaluated on rows that pass by while something else is made of them.
+
+    ``over`` puts counters on a table; whoever then runs through all of its rows fills them. A check
+    whose counter stays at zero has passed without a job or a scan of its own. A counter may count
+    the rows of a repeated task again, after an executor was lost, but never misses a row, so a check
+    that may fail is evaluated exactly, with its samples, and so is one whose rows nobody counted.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, tuple[Observation, str]] = {}
+        self._exact: dict[str, tuple[DataFrame, Check]] = {}
+
+    def over(self, rows: DataFrame, *checks: Check, failing: Column | None = None, where: Column | None = None) -> DataFrame:
+        """``rows``, counted on the way.
+
+        ``failing`` replaces the condition of the (only) check where these rows hold its inputs under other
+        names, and ``where`` limits what is counted; the rows themselves stay as they are.
+        """
+        observation = Observation()
+        counted = F.lit(True) if where is None else where
+        counters = [F.count_if(counted & (check.failing if failing is None else failing)).alias(check.name) for check in checks]
+        for check in checks:
+            self._seen[check.name] = (observation, check.name)
+        return rows.observe(observation, F.count(F.lit(1)).alias("rows"), *counters)
+
+    def exact(self, rows: DataFrame, *checks: Check) -> None:
+        """Where checks are evaluated if their counters are not all zero."""
+        for check in checks:
+            self._exact[check.name] = (rows, check)
+
+    def passed(self, name: str) -> bool:
+        if name not in self._seen:
+            return False
+        observation, metric = self._seen[name]
+        found = _metrics(observation)
+        return bool(found) and found["rows"] > 0 and found[metric] == 0
+
+    def verdict(self, spark: SparkSession) -> DataFrame:
+        """One row per check, as :func:`period_close_gate`, from counters and, for what may fail, from the rows."""
+        made = []
+        for name, (rows, check) in self._exact.items():
+            count, sample = (0, "None") if self.passed(name) else exceptions(rows, check)
+            made.append(Row(CheckName=name, Description=K.CLOSE_CHECKS[name], FailingCount=count, Status="FAIL" if count else "PASS", SampleExceptions=sample))
+        return spark.createDataFrame(made, RESULT)
+
+
 def order_verdict(gate: DataFrame) -> DataFrame:
     """Failing checks first, then by name."""
     return gate.orderBy(F.when(F.col("Status") == "FAIL", 1).otherwise(2), "CheckName")

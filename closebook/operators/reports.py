@@ -1,7 +1,7 @@
 """Reports defined by a configuration instead of code.
 
-A configuration is a mapping with ``client_filters``, ``columns`` and ``status``; it may be written in
-Python or loaded from a YAML file.
+A configuration is a mapping with ``client_filters``, ``columns``, ``status`` and, for reports that are
+sent, ``delivery``; it may be written in Python or loaded from a YAML file.
 """
 
 from __future__ import annotations
@@ -69,6 +69,11 @@ CUSTODY_MONTHLY: dict[str, Any] = {
             "note": "Unique ID for this statement row — used as delivery idempotency key",
         },
     ],
+    "delivery": {
+        "format": "csv",
+        "filename_template": "custody_statement_{client_id}_{period}.csv",
+        "destination_path": "/statements/custody/monthly/{period}/",
+    },
 }
 
 
@@ -114,6 +119,16 @@ def project(source: DataFrame, columns: Sequence[Mapping[str, Any]]) -> DataFram
     return source.select(*[_column(spec) for spec in ordered])
 
 
+def rows(config: Mapping[str, Any], source: DataFrame, carried: Mapping[str, str]) -> DataFrame:
+    """The unordered rows of a report, with columns of the source beside them that the report itself does not show.
+
+    ``carried`` maps such a column to the name it gets.
+    """
+    ordered = sorted(config.get("columns", []), key=lambda spec: spec.get("order", DEFAULT_ORDER))
+    kept = filter_clients(source, config.get("client_filters", []))
+    return kept.select(*[F.col(name).alias(new) for name, new in carried.items()], *[_column(spec) for spec in ordered])
+
+
 def report(config: Mapping[str, Any], source: DataFrame) -> DataFrame:
     """Filter, sort and project a source as configured."""
     rows = filter_clients(source, config.get("client_filters", []))

@@ -10,13 +10,26 @@ from closebook.functions import numeric
 from closebook.operators.views import KEYS, rank_in
 
 
+def _restated(quantity: str, price: str) -> Column:
+    return F.round(numeric.multiply(F.col(quantity), F.col(price)), 2)
+
+
+def _off(valuation: str, restated: Column) -> Column:
+    return F.abs(numeric.subtract(F.col(valuation), restated)) > F.lit(K.LEDGER_TOLERANCE_USD)
+
+
+def unmatched() -> Column:
+    """Whether a balance does not tie out, from the columns of the balances."""
+    restated = _restated("PeriodEndQuantity", "PeriodEndPriceUSD")
+    return F.col("CustodianLedgerRef").isNull() | F.coalesce(_off("PeriodEndValuationUSD", restated), F.lit(False))
+
+
 def ledger_tie_out(balances: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Restate quantity times price and compare with the reported valuation (unordered)."""
-    restated = F.round(numeric.multiply(F.col("ComputedQuantity"), F.col("PriceUSD")), 2)
     difference = numeric.subtract(F.col("ComputedValuationUSD"), F.col("RestatedValuationUSD"))
     variance, unconfirmed, matched = K.LEDGER_STATUSES
     no_reference = F.col("CustodianLedgerRef").isNull()
-    off = F.abs(difference) > F.lit(K.LEDGER_TOLERANCE_USD)
+    off = _off("ComputedValuationUSD", F.col("RestatedValuationUSD"))
 
     rows = balances.select(
         *KEYS,
@@ -25,7 +38,7 @@ def ledger_tie_out(balances: DataFrame, run_ts: Column | None = None) -> DataFra
         F.col("PeriodEndPriceUSD").alias("PriceUSD"),
         F.col("PeriodEndValuationUSD").alias("ComputedValuationUSD"),
         "CustodianLedgerRef",
-    ).withColumn("RestatedValuationUSD", restated)
+    ).withColumn("RestatedValuationUSD", _restated("ComputedQuantity", "PriceUSD"))
     return rows.select(
         *KEYS, "PeriodEndDate", "ComputedQuantity", "PriceUSD", "ComputedValuationUSD", "RestatedValuationUSD",
         F.round(difference, 2).alias("VarianceUSD"),

@@ -10,6 +10,7 @@ from closebook.functions import numeric
 from closebook.operators.skew import SALT, broadcast_if_small, hot_keys, join_by_key, latest_per_key
 
 KEYS = ("CustomerId", "AssetId", "PositionPeriod")
+INVOICES = "AllInvoiceReferences"  # a spine may be built without this column
 
 
 def unsalted(df: DataFrame) -> DataFrame:
@@ -218,11 +219,13 @@ def reconciliation_summary(
     entity: str = K.DEFAULT_ENTITY,
     run_ts: Column | None = None,
     hot: DataFrame | None = None,
+    keep_salt: bool = False,
 ) -> DataFrame:
     """Reconciliation status of every spine row against the event log (unordered)."""
     totals = event_totals.withColumnRenamed("EventPeriod", "PositionPeriod")
     rows = join_by_key(positions, totals, KEYS, hot)
-    lists = [name for name in ("AllInvoiceReferences",) if name in positions.columns]
+    lists = [name for name in (INVOICES,) if name in positions.columns]
+    salt = [SALT] if keep_salt and SALT in rows.columns else []
     return rows.select(
         "CustomerId", "CustomerName", "AssetId", "Symbol", "PositionPeriod", "RiskTier",
         F.col("PeriodEndValuationUSD").alias("ReportedPositionUSD"),
@@ -237,6 +240,7 @@ def reconciliation_summary(
         F.lit(entity).alias("Entity"),
         _reconciliation_status().alias("ReconciliationStatus"),
         (F.current_timestamp() if run_ts is None else run_ts).alias("ReconciliationRunAt"),
+        *salt,
     )
 
 

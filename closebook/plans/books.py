@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date
 from functools import cached_property
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from closebook import constants as K
 from closebook.operators import gate, reports, skew, statement, tieout, views
 from closebook.operators.assembly import calc_table, wide_table
 from closebook.schemas import SemanticTables
+from closebook.sources.tables import months_of
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -30,11 +33,16 @@ MODELS = {
 class Books:
     """Lazy results of every layer; nothing runs until a result is used.
 
-    ``keep`` is called on the intermediates that several results read: the hot keys, the balances and
-    the reporting spine. By default they stay part of the plan; a close passes
+    ``keep`` is called on the intermediates that several results read: the hot keys, the balances, the
+    reporting spine and, with a ``watch``, the reconciliation. By default they stay part of the plan; a close passes
     ``closebook.session.Scratch.keep``, so that the position snapshots are scanned once for the hot
     keys and once for the balances, however many results follow. Gate, statement and reports do not
-    output invoice lists; with ``invoice_lists=False`` a kept spine is built without collecting them.
+    output invoice lists; with ``invoice_lists=False`` a kept spine is built without collecting them,
+    and the two results that have such a column join it when they are asked for.
+
+    With a ``watch`` (and a ``keep`` that writes) the gate's checks are counted while balances, spine and
+    reconciliation are written, so the gate itself reads nothing unless a check may fail. With a ``period``
+    all results hold that month only, and no facts but those of the month and the one before are read.
     """
 
     def __init__(
@@ -45,19 +53,33 @@ class Books:
         hot_rows: int = skew.HOT_ROWS,
         keep: Keep = lambda df, name: df,
         invoice_lists: bool = True,
+        watch: gate.Watch | None = None,
+        period: date | None = None,
     ) -> None:
-        self.tables = tables
+        self.tables = tables if period is None else months_of(tables, period)
         self.entity = entity
         self.run_ts = run_ts
         self.hot_rows = hot_rows
         self.keep = keep
         self.invoice_lists = invoice_lists
+        self.watch = watch
+        self.period = period
         self._wide: dict[str, DataFrame] = {}
 
     @property
     def lookups(self) -> dict[str, DataFrame]:
         return {"ReferenceAssets": self.tables.ReferenceAssets}
 
+    def _current(self, df: DataFrame, column: str = "PositionPeriod") -> DataFrame:
+        """The rows of the closed month, or all."""
+        return df if self.period is None else df.filter(self._is_current(column))
+
+    def _is_current(self, column: str = "PositionPeriod") -> Column:
+        return F.lit(True) if self.period is None else F.col(column) == F.lit(self.period)
+
+    def _watched(self, df: DataFrame, *checks: gate.Check, **options: Column) -> DataFrame:
+        return df if self.watch is None else self.watch.over(df, *checks, **options)
+
     def calc(self, table: str) -> DataFrame:
         return calc_table(self.tables[table], f"{table}Calc", self.lookups)
 
@@ -74,27 +96,39 @@ class Books:
     @cached_property
     def _salted_balances(self) -> DataFrame:
         balances = views.custody_balances(self.wide("CustodyPositions"), self.hot, keep_salt=True)
+        balances = self._watched(balances, gate.ledger_tieout_clean(), failing=tieout.unmatched(), where=self._is_current())
         return self.keep(balances, "balances")
 
     @cached_property
     def _salted_positions(self) -> DataFrame:
+        fees = self._watched(self.wide("FeeEvents"), gate.all_fees_billed(), where=self._is_current("FeeEventsCalc.FeePeriod"))
+        customers = self._watched(self.tables.Customers, gate.kyc_approved_only(), where=F.col("IsActive"))
         spine = views.client_positions(
             self._salted_balances,
-            self.tables.Customers,
+            customers,
             self.tables.ReferenceAssets,
             self.staking_rewards,
-            self.fee_accruals,
+            views.fee_accruals(fees),
             run_ts=self.run_ts,
             hot=self.hot,
             keep_salt=True,
         )
         if not self.invoice_lists:
-            spine = spine.drop("AllInvoiceReferences")
+            spine = spine.drop(views.INVOICES)
         return self.keep(spine, "client-positions")
 
+    def _with_invoices(self, df: DataFrame) -> DataFrame:
+        """The invoice lists of a spine that was built without them."""
+        if views.INVOICES in df.columns:
+            return df
+        lists = views.fees_collapsed(self.fee_accruals).withColumnRenamed("FeePeriod", "PositionPeriod")
+        joined = skew.join_by_key(df, lists.select(*views.KEYS, views.INVOICES), views.KEYS, self.hot)
+        place = df.columns.index("AllFeesBilled") + 1
+        return joined.select(*df.columns[:place], views.INVOICES, *df.columns[place:])
+
     @property
     def balances(self) -> DataFrame:
-        return views.unsalted(self._salted_balances)
+        return self._current(views.unsalted(self._salted_balances))
 
     @cached_property
     def staking_rewards(self) -> DataFrame:
@@ -106,17 +140,28 @@ class Books:
 
     @property
     def client_positions(self) -> DataFrame:
-        return views.unsalted(self._salted_positions)
+        return self._current(views.unsalted(self._with_invoices(self._salted_positions)))
 
     @cached_property
     def event_totals(self) -> DataFrame:
         return views.financial_event_totals(self.wide("FinancialEvents"))
 
     @cached_property
-    def reconciliation(self) -> DataFrame:
-        return views.reconciliation_summary(
-            self._salted_positions, self.event_totals, self.entity, self.run_ts, self.hot
+    def _salted_reconciliation(self) -> DataFrame:
+        events = self._watched(
+            self.wide("FinancialEvents"), gate.no_pending_events(), where=self._is_current("FinancialEventsCalc.EventPeriod")
         )
+        summary = views.reconciliation_summary(
+            self._current(self._salted_positions), views.financial_event_totals(events), self.entity, self.run_ts, self.hot,
+            keep_salt=True,
+        )
+        if self.watch is None:
+            return summary
+        return self.keep(self._watched(summary, gate.reconciliation_clean(), gate.no_missing_positions()), "reconciliation")
+
+    @property
+    def reconciliation(self) -> DataFrame:
+        return views.unsalted(self._with_invoices(self._salted_reconciliation))
 
     @cached_property
     def tie_out(self) -> DataFrame:
@@ -124,17 +169,22 @@ class Books:
 
     @property
     def close_gate(self) -> DataFrame:
-        return gate.period_close_gate(
-            self.reconciliation,
-            self.tie_out,
-            self.wide("FinancialEvents"),
-            self.wide("FeeEvents"),
-            self.tables.Customers,
-        )
+        """One row per check; with a ``watch`` the layers are written first."""
+        summary = views.unsalted(self._salted_reconciliation)
+        events = self._current(self.wide("FinancialEvents"), "FinancialEventsCalc.EventPeriod")
+        fees = self._current(self.wide("FeeEvents"), "FeeEventsCalc.FeePeriod")
+        if self.watch is None:
+            return gate.period_close_gate(summary, self.tie_out, events, fees, self.tables.Customers)
+        self.watch.exact(summary, gate.reconciliation_clean(), gate.no_missing_positions())
+        self.watch.exact(self.tie_out, gate.ledger_tieout_clean())
+        self.watch.exact(events, gate.no_pending_events())
+        self.watch.exact(fees, gate.all_fees_billed())
+        self.watch.exact(gate.active(self.tables.Customers), gate.kyc_approved_only())
+        return self.watch.verdict(self.tables.Customers.sparkSession)
 
     @cached_property
     def monthly_statement(self) -> DataFrame:
-        return statement.monthly_statement(self._salted_positions, self.entity, self.run_ts, self.hot)
+        return self._current(statement.monthly_statement(self._salted_positions, self.entity, self.run_ts, self.hot))
 
     def model(self, name: str) -> DataFrame:
         """The result that reports know by this name."""

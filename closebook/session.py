@@ -79,6 +79,19 @@ def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, folder: str, name: str | None = None) -> tuple:
+    """The file system of a folder, and the folder (or a file of it) as that file system's path."""
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path = paths(folder) if name is None else paths(paths(folder), name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds, if there is one."""
+    fs, location = hadoop_path(spark, path)
+    fs.delete(location, True)
+
+
 class Scratch:
     """Intermediate tables that are deleted at the end of a ``with`` block."""
 
@@ -95,8 +108,5 @@ class Scratch:
         return self
 
     def __exit__(self, *_: object) -> None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for text in self.paths:
-            path = hadoop.Path(text)
-            path.getFileSystem(conf).delete(path, True)
+        for path in self.paths:
+            delete(self.spark, path)

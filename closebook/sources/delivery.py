@@ -1,17 +1,26 @@
-"""Statement export and the delivery log."""
+"""Statement export, report files per client, and the log of deliveries."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from typing import Any
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from closebook.operators import reports
 from closebook.operators.skew import HOT_ROWS, place_by_key
 from closebook.operators.statement import order_statement
-from closebook.session import Scratch
+from closebook.session import Scratch, delete, hadoop_path
+
+# What can happen to an attempt. At the same time the last one counts.
+FAILED, SENT, CONFIRMED = STATES = ("FAILED", "SENT", "CONFIRMED")
+# States after which a statement is not sent again.
+DELIVERED = (SENT, CONFIRMED)
 
 LOG_SCHEMA = T.StructType(
     [
@@ -19,9 +28,12 @@ LOG_SCHEMA = T.StructType(
         T.StructField("CustomerId", T.StringType()),
         T.StructField("DeliveryStatus", T.StringType()),
         T.StructField("AttemptedAt", T.TimestampType()),
+        T.StructField("Attempt", T.IntegerType()),
+        T.StructField("EventId", T.StringType()),
         T.StructField("PositionPeriod", T.DateType()),
     ]
 )
+KEY = ["StatementId", "PositionPeriod"]
 
 
 def export_statements(statement: DataFrame, folder: str, period: date) -> str:
@@ -47,34 +59,206 @@ def export_per_client(statement: DataFrame, folder: str, period: date, hot_rows:
     return target
 
 
-def read_log(statement: DataFrame, path: str) -> DataFrame:
-    spark = statement.sparkSession
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+# Report files.
+
+FILE_ROWS = 200_000  # of a client's report in one file, about
+MANIFEST = "_manifest"
+MANIFEST_SCHEMA = "CustomerId string, File string, Rows bigint, Bytes bigint, Sha256 string"
+MOVES = 16  # files that are moved at once
+_CLIENT, _FILE, _PART = "_client", "_file", "_part"
+
+
+def destination(config: Mapping[str, Any], root: str, period: date) -> str:
+    """The folder of a report's files: the configured path, with the period filled in, below ``root``."""
+    path = config["delivery"]["destination_path"].replace("{period}", f"{period:%Y-%m-%d}")
+    return f"{root.rstrip('/')}/{path.strip('/')}"
+
+
+def file_name(config: Mapping[str, Any], client: Column, part: Column, period: date) -> Column:
+    """The configured file name with client and period filled in; further parts get their number before the extension.
+
+    Characters of a client identifier that a file name should not hold are percent-encoded.
+    """
+    text = config["delivery"]["filename_template"].replace("{period}", f"{period:%Y-%m-%d}")
+    before, _, after = text.partition("{client_id}")
+    stem, dot, extension = after.rpartition(".")
+    if not dot:
+        stem, extension = extension, ""
+    safe = F.replace(F.url_encode(client), F.lit("*"), F.lit("%2A"))
+    number = F.when(part > 1, F.concat(F.lit("."), part.cast("string"))).otherwise("")
+    return F.concat(F.lit(before), safe, F.lit(stem), number, F.lit(dot + extension))
+
+
+def deliver_report(config: Mapping[str, Any], source: DataFrame, root: str, period: date, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Write a report as a CSV file per client, in the place and under the name its configuration gives, and return the manifest.
+
+    ``source`` holds the report's columns, ``CustomerId`` and ``PositionPeriod``; rows of other months
+    stay out. The client travels beside the report's own columns and is in no file. A client with many
+    rows gets a further file for about every ``file_rows`` of them (``name.2.csv`` and so on), each with a
+    header and in the report's order. Rows without a client cannot be delivered and raise before anything is written.
+
+    What an earlier run left in the folder goes first. Files are written to a staging folder inside it and
+    moved to their names. The manifest (client, file, rows, bytes, SHA-256 of the file) is made last, from the
+    files as they then are, so a folder that has one is complete, and a run that stopped is simply
+    repeated. The driver handles names only: one per file.
+    """
+    wanted = config["delivery"]
+    if wanted.get("format", "csv") != "csv":
+        raise ValueError(f"unknown delivery format {wanted['format']!r}")
+    if "{client_id}" not in wanted["filename_template"]:
+        raise ValueError("the file name must hold {client_id}")
+    spark = source.sparkSession
+    target = destination(config, root, period)
+    staging = f"{target}/_staging"
+    closed = source.filter(F.col("PositionPeriod") == F.lit(period))
+    with Scratch(spark) as scratch:
+        rows = scratch.keep(reports.rows(config, closed, carried={"CustomerId": _CLIENT}), "report")
+        columns = [name for name in rows.columns if name != _CLIENT]
+        if not rows.filter(F.col(_CLIENT).isNull()).isEmpty():
+            raise ValueError("the report has rows without a client")
+        named = _in_parts(rows, columns, file_rows).withColumn(_FILE, file_name(config, F.col(_CLIENT), F.col(_PART), period))
+        sort = [name for name in reports.SORT_COLUMNS if name in columns]
+        order = [F.col(f"`{name}`") for name in [*sort, *[name for name in columns if name not in sort]]]
+        # Amounts as plain digits: a writer left alone turns very small ones into powers of ten.
+        plain = [F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name) for f in rows.schema if f.name != _CLIENT]
+        placed = named.repartition(_FILE).sortWithinPartitions(_FILE, *order)
+        delete(spark, target)
+        placed.select(_FILE, *plain).write.partitionBy(_FILE).options(header=True, escape='"').csv(staging)
+        _move_files(spark, staging, target)
+        delete(spark, staging)
+        counts = named.groupBy(F.col(_FILE).alias("File"), F.col(_CLIENT).alias("CustomerId")).agg(F.count(F.lit(1)).alias("Rows"))
+        manifest = scratch.keep(counts.join(_digests(spark, target), "File", "full"), "manifest")
+        if not manifest.filter("Rows IS NULL OR Sha256 IS NULL").isEmpty():
+            raise RuntimeError(f"files and rows of the report differ below {target}")
+        manifest.select("CustomerId", "File", "Rows", "Bytes", "Sha256").write.parquet(f"{target}/{MANIFEST}")
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{target}/{MANIFEST}")
+
+
+def _in_parts(rows: DataFrame, columns: list[str], file_rows: int) -> DataFrame:
+    """Rows with the number of the file of their client they go to; only clients with several files are dealt by a hash."""
+    files = F.ceil(F.col("n") / file_rows).cast("int")
+    large = rows.groupBy(_CLIENT).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > file_rows).select(_CLIENT, files.alias("_files"))
+    # Fewer than rows / file_rows clients, and Spark may still choose another join by their size.
+    dealt = rows.join(large, _CLIENT, "left")
+    part = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in columns]), F.col("_files")).cast("int") + 1
+    return dealt.withColumn(_PART, F.coalesce(part, F.lit(1))).drop("_files")
+
+
+def _move_files(spark: SparkSession, staging: str, target: str) -> None:
+    """Give every file of a staging folder the name of the folder that Spark wrote it to."""
+    fs, root = hadoop_path(spark, staging)
+    if not fs.exists(root):
+        return
+    folders = [status.getPath() for status in fs.listStatus(root) if status.getPath().getName().startswith(f"{_FILE}=")]
+
+    def move(folder: Any) -> None:
+        [part] = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+        name = unquote(folder.getName().removeprefix(f"{_FILE}="))
+        if not fs.rename(part, hadoop_path(spark, target, name)[1]):
+            raise RuntimeError(f"could not move {part.toString()} to {name}")
+
+    with ThreadPoolExecutor(MOVES) as pool:
+        list(pool.map(move, folders))
+
+
+def _digests(spark: SparkSession, target: str) -> DataFrame:
+    """Name, size and SHA-256 of the files of a folder, read by tasks; files are bounded by their rows."""
+    fs, path = hadoop_path(spark, target)
+    shape = "File string, Bytes bigint, Sha256 string"
+    if not fs.exists(path) or not any(s.isFile() for s in fs.listStatus(path)):
+        return spark.createDataFrame([], shape)
+    files = spark.read.format("binaryFile").load(target)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("File"), F.col("length").alias("Bytes"), F.sha2("content", 256).alias("Sha256"))
+
+
+# The log of deliveries: events are only ever added.
+
+
+def _event_id(attempt: Column, status: Column) -> Column:
+    return F.sha2(F.concat_ws("|", "StatementId", F.col("PositionPeriod").cast("string"), attempt.cast("string"), status), 256)
+
+
+def read_log(like: DataFrame, path: str) -> DataFrame:
+    """All events below ``path``, each once: an append that crashed and was repeated may have left some twice."""
+    spark = like.sparkSession
+    fs, folder = hadoop_path(spark, path)
+    if not fs.exists(folder):
         return spark.createDataFrame([], LOG_SCHEMA)
+    found = spark.read.schema(LOG_SCHEMA).parquet(path)
+    attempt = F.coalesce("Attempt", F.lit(1))  # events from before attempts were numbered
+    known = found.withColumn("EventId", F.coalesce("EventId", _event_id(attempt, F.col("DeliveryStatus")))).withColumn("Attempt", attempt)
+    return known.dropDuplicates(["EventId", "PositionPeriod"])
 
 
-# States after which a statement is not sent again.
-DELIVERED = ("SENT", "CONFIRMED")
+def current_state(log: DataFrame) -> DataFrame:
+    """One row per statement: its latest status with time and attempt, and the number of events.
+
+    Of events at the same time the one further on counts: failed, sent, confirmed.
+    """
+    rank = F.lit(0)
+    for number, state in enumerate(STATES, start=1):
+        rank = F.when(F.col("DeliveryStatus") == state, number).otherwise(rank)
+    last = F.max_by(F.struct("CustomerId", "DeliveryStatus", "AttemptedAt", "Attempt"), F.struct("AttemptedAt", rank, "Attempt"))
+    state = log.groupBy(*KEY).agg(last.alias("last"), F.count(F.lit(1)).alias("Events"))
+    return state.select(*KEY, "last.*", "Events")
 
 
-def pending_deliveries(statement: DataFrame, log: DataFrame, run_ts: Column, status: str = "SENT") -> DataFrame:
-    """Log rows for statements that no earlier attempt has delivered, one per StatementId.
+def pending_deliveries(statement: DataFrame, log: DataFrame, run_ts: Column, status: str = SENT, outcomes: DataFrame | None = None) -> DataFrame:
+    """The next attempt of every statement that no earlier one has delivered, one event per StatementId.
 
-    A failed attempt stands in the way of no later one; repeating a failure logs it again.
+    ``outcomes`` (StatementId, Delivered) says how attempts went: FAILED where it is false, else ``status``.
+    A failed attempt stands in the way of no later one, but a run, known by ``run_ts``, attempts a
+    statement once: repeating it adds nothing to what it has logged.
     """
+    at = run_ts.cast("timestamp")
     attempts = statement.select("StatementId", "CustomerId", "PositionPeriod").dropDuplicates(["StatementId"])
     # The month is part of the identifier; joining on it as well lets the log be read by partition.
-    delivered = log.filter(F.col("DeliveryStatus").isin(*DELIVERED)).select("StatementId", "PositionPeriod")
-    new = attempts.join(delivered, ["StatementId", "PositionPeriod"], "left_anti")
-    stamped = new.withColumn("DeliveryStatus", F.lit(status)).withColumn("AttemptedAt", run_ts.cast("timestamp"))
+    done = F.max(F.coalesce(F.col("DeliveryStatus").isin(*DELIVERED) | (F.col("AttemptedAt") == at), F.lit(False)))
+    known = log.groupBy(*KEY).agg(F.max("Attempt").alias("_last"), done.alias("_done"))
+    new = attempts.join(known, KEY, "left").filter("_done IS NULL OR NOT _done")
+    result = F.lit(status)
+    if outcomes is not None:
+        went = outcomes.groupBy("StatementId").agg(F.bool_and("Delivered").alias("_delivered"))
+        new = new.join(went, "StatementId", "left")
+        result = F.when(~F.col("_delivered"), FAILED).otherwise(status)
+    new = new.withColumn("DeliveryStatus", result).withColumn("Attempt", F.coalesce(F.col("_last") + 1, F.lit(1)))
+    stamped = new.withColumn("AttemptedAt", at).withColumn("EventId", _event_id(F.col("Attempt"), F.col("DeliveryStatus")))
     return stamped.select(*LOG_SCHEMA.names)
 
 
-def record_deliveries(statement: DataFrame, path: str, run_ts: Column, status: str = "SENT") -> None:
-    """Append the pending deliveries to the log; repeating the call after a delivery adds nothing."""
-    rows = pending_deliveries(statement, read_log(statement, path), run_ts, status)
-    rows.hint("rebalance", "PositionPeriod").write.mode("append").partitionBy("PositionPeriod").parquet(path)
+def confirmations(log: DataFrame, receipts: DataFrame) -> DataFrame:
+    """CONFIRMED events for statements whose last state is SENT and that ``receipts`` (StatementId, ReceivedAt) names.
+
+    The first receipt counts; its time is not earlier than the attempt it confirms, whatever the other side's clock says.
+    """
+    first = receipts.groupBy("StatementId").agg(F.min("ReceivedAt").alias("_received"))
+    sent = current_state(log).filter(F.col("DeliveryStatus") == SENT).join(first, "StatementId")
+    at = F.greatest("AttemptedAt", F.col("_received").cast("timestamp"))
+    event = sent.withColumns({"AttemptedAt": at, "DeliveryStatus": F.lit(CONFIRMED)})
+    return event.withColumn("EventId", _event_id(F.col("Attempt"), F.col("DeliveryStatus"))).select(*LOG_SCHEMA.names)
+
+
+def unexpected_receipts(log: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Receipts for statements that were never sent, or whose last attempt failed."""
+    sent = current_state(log).filter(F.col("DeliveryStatus").isin(*DELIVERED))
+    return receipts.join(sent.select("StatementId"), "StatementId", "left_anti")
+
+
+def _append(events: DataFrame, log: DataFrame, path: str) -> None:
+    """Add the events that the log does not hold yet."""
+    new = events.join(log.select("EventId", "PositionPeriod"), ["EventId", "PositionPeriod"], "left_anti").select(*LOG_SCHEMA.names)
+    new.hint("rebalance", "PositionPeriod").write.mode("append").partitionBy("PositionPeriod").parquet(path)
+
+
+def record_deliveries(
+    statement: DataFrame, path: str, run_ts: Column, status: str = SENT, outcomes: DataFrame | None = None
+) -> None:
+    """Log the pending deliveries; see :func:`pending_deliveries`. A run that crashed while it appended is repeated as it was."""
+    log = read_log(statement, path)
+    _append(pending_deliveries(statement, log, run_ts, status, outcomes), log, path)
+
+
+def confirm_deliveries(receipts: DataFrame, path: str) -> None:
+    """Log the confirmations that ``receipts`` give; repeating the call adds nothing."""
+    log = read_log(receipts, path)
+    _append(confirmations(log, receipts), log, path)

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from closebook.schemas import SCHEMAS, SemanticTables
+from closebook.schemas import FACTS, SCHEMAS, SemanticTables
+from closebook.session import delete
+
+# The date that decides the month of a fact, and the partition column of facts that are stored by month.
+DATE_OF = {"CustodyPositions": "PositionDate", "StakingEvents": "EarnDate", "FeeEvents": "FeePeriodStart", "FinancialEvents": "PeriodDate"}
+MONTH = "Month"
 
 
 def read_semantic(spark: SparkSession, name: str, location: str, file_format: str = "parquet") -> DataFrame:
@@ -23,6 +32,61 @@ def read_catalog(spark: SparkSession, database: str) -> SemanticTables:
     return SemanticTables(**{name: spark.table(f"{database}.{name}") for name in SCHEMAS})
 
 
+def month_before(period: date) -> date:
+    return (period.replace(day=1) - timedelta(days=1)).replace(day=1)
+
+
+def needed_months(period: date) -> Mapping[str, tuple[date, ...]]:
+    """The months of each fact that closing ``period`` reads: changes against the month before need its positions and rewards."""
+    both, one = (month_before(period), period), (period,)
+    return {"CustodyPositions": both, "StakingEvents": both, "FeeEvents": one, "FinancialEvents": one}
+
+
+def months_of(tables: SemanticTables, period: date) -> SemanticTables:
+    """The facts that closing ``period`` reads."""
+
+    def part(name: str, months: Sequence[date]) -> DataFrame:
+        day = F.col(DATE_OF[name])
+        return tables[name].filter((day >= F.lit(months[0])) & (day < F.add_months(F.lit(months[-1]), 1)))
+
+    return replace(tables, **{name: part(name, months) for name, months in needed_months(period).items()})
+
+
+def store_by_month(tables: SemanticTables, location: str) -> None:
+    """All six tables below ``location`` in their declared types, facts partitioned by month; facts without a date have a partition of their own."""
+    for name in SCHEMAS:
+        rows = conform(tables[name], name)
+        if name in FACTS:
+            rows = rows.withColumn(MONTH, F.trunc(DATE_OF[name], "MM"))
+        store(rows, f"{location.rstrip('/')}/{name}", [MONTH] if name in FACTS else [])
+
+
+def read_months(spark: SparkSession, location: str, period: date) -> SemanticTables:
+    """What closing ``period`` needs of tables that :func:`store_by_month` wrote; other months' files are not opened."""
+
+    def part(name: str) -> DataFrame:
+        if name not in FACTS:
+            return read_semantic(spark, name, location)
+        schema = T.StructType([*SCHEMAS[name], T.StructField(MONTH, T.DateType())])
+        stored = spark.read.schema(schema).parquet(f"{location.rstrip('/')}/{name}")
+        return stored.filter(F.col(MONTH).isin(*needed_months(period)[name])).drop(MONTH)
+
+    return SemanticTables(**{name: part(name) for name in SCHEMAS})
+
+
+def replace_month(df: DataFrame, path: str, period: date, column: str = "PositionPeriod") -> None:
+    """Put the rows of one month in the place of that month's partition of a stored table, and touch no other.
+
+    The new files are complete before the old ones go. A month that no longer has rows loses its partition.
+    """
+    rows = df.filter(F.col(column) == F.lit(period))
+    if rows.isEmpty():
+        delete(df.sparkSession, f"{path.rstrip('/')}/{column}={period:%Y-%m-%d}")
+        return
+    placed = rows.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    placed.partitionBy(column).parquet(path)
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Cast the columns of a table to its declared schema."""
     return df.select(*[df[column.name].cast(column.dataType).alias(column.name) for column in SCHEMAS[name]])

@@ -5,7 +5,9 @@ import pytest
 from closebook.operators import gate
 from closebook.plans.books import Books
 from closebook.plans.close import close_period, statement_period
-from tests.samples import asset, books, client, event, fee, position, rows, tables
+from closebook.schemas import SCHEMAS, SemanticTables
+from closebook.session import Scratch
+from tests.samples import asset, books, client, event, fee, position, reward, rows, tables
 
 MARCH = date(2025, 3, 1)
 NAMES = [
@@ -81,11 +83,83 @@ def test_a_close_collects_no_invoice_lists(spark):
     t = tables(spark, **clean())
     assert lists(Books(t).client_positions) > 0
     b = Books(t, invoice_lists=False)
-    assert "AllInvoiceReferences" not in b.reconciliation.columns
-    assert [lists(df) for df in (b.client_positions, b.close_gate, b.monthly_statement)] == [0, 0, 0]
+    assert [lists(df) for df in (b.close_gate, b.monthly_statement)] == [0, 0]
     assert len(gate.require_green(b.close_gate)) == 6
 
 
+def test_results_have_one_schema_with_or_without_kept_lists(spark):
+    given = clean(fees=[fee("F1", MARCH, invoice="I1"), fee("F2", MARCH, invoice="I2", kind="staking")])
+    whole, slim = (Books(tables(spark, **given), invoice_lists=wanted) for wanted in (True, False))
+    for name in ("client_positions", "reconciliation"):
+        a, b = getattr(whole, name), getattr(slim, name)
+        assert a.dtypes == b.dtypes
+        assert a.first().AllInvoiceReferences == b.first().AllInvoiceReferences == "I1 | I2"
+
+
+class Scans:
+    """Tables that count how often a task reads each of their rows."""
+
+    def __init__(self, spark, t):
+        self.rows = {name: spark.sparkContext.accumulator(0) for name in SCHEMAS}
+        self.tables = SemanticTables(**{name: self._counting(t[name], self.rows[name]) for name in SCHEMAS})
+
+    @staticmethod
+    def _counting(df, counter):
+        def run(batches):
+            for batch in batches:
+                counter.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(run, df.schema)
+
+
+def test_a_green_close_reads_each_fact_once_and_draws_no_sample(spark, monkeypatch):
+    days = [date(2025, 3, d) for d in range(1, 32)]
+    given = {
+        "positions": [position(f"P{k}", day) for k, day in enumerate(days)], "rewards": [reward("S1", MARCH, 1), reward("S2", MARCH, 2)],
+        "fees": [fee(f"F{k}", MARCH) for k in range(7)], "events": [event(f"E{k}", MARCH) for k in range(11)],
+        "clients": [client(f"C{k}") for k in range(1, 6)],
+    }
+    scans = Scans(spark, tables(spark, **given))
+    monkeypatch.setattr(gate, "exceptions", lambda *_: pytest.fail("a green check was evaluated again"))
+    with Scratch(spark) as scratch:
+        b = Books(scans.tables, keep=scratch.keep, invoice_lists=False, watch=gate.Watch())
+        checks = gate.require_green(b.close_gate)
+        assert [row.CheckName for row in checks] == NAMES
+    read = {name: counter.value for name, counter in scans.rows.items()}
+    assert {name: read[name] for name in ("FeeEvents", "FinancialEvents", "Customers", "StakingEvents")} == {
+        "FeeEvents": 7, "FinancialEvents": 11, "Customers": 5, "StakingEvents": 2,
+    }
+    assert read["CustodyPositions"] == 2 * 31  # once for hot keys, once for the balances
+
+
+def test_watched_checks_agree_with_the_lazy_gate(spark):
+    given = {
+        "positions": [position("P1", date(2025, 3, 31)), position("P2", date(2025, 3, 31), client="C2", ref=None), position("P3", MARCH, value=99, client="C3")],
+        "fees": [fee("F1", MARCH), fee("F2", MARCH, status="accrued", kind="staking"), fee("F3", MARCH, status=None), fee("F4", MARCH, client="elsewhere", status="accrued")],
+        "events": [event("E1", date(2025, 3, 9), status="PENDING"), event("E2", MARCH, client="elsewhere", status="pending"), event("E3", MARCH, client=None, status="pending")],
+        "clients": [client("C1"), client("C2", kyc="PENDING"), client("C3", kyc="SUSPENDED", active=False)],
+    }
+    t = tables(spark, **given)
+    with Scratch(spark) as scratch:
+        watched = Books(t, keep=scratch.keep, invoice_lists=False, watch=gate.Watch()).close_gate
+        assert sorted(watched.collect()) == sorted(Books(t).close_gate.collect())
+        assert watched.dtypes == Books(t).close_gate.dtypes
+
+
+@pytest.mark.parametrize("missing", ["positions", "events"])
+def test_a_check_whose_rows_nobody_read_is_evaluated(spark, monkeypatch, missing):
+    """An empty table may remove whole branches from a plan; what they would have counted is not taken for zero."""
+    monkeypatch.setattr(gate, "METRIC_SECONDS", 3)
+    given = clean(events=[event("E", MARCH, status="pending")], fees=[fee("F", MARCH, status="accrued")], clients=[client("C1", kyc="PENDING")])
+    t = tables(spark, **{**given, missing: []})
+    with Scratch(spark) as scratch:
+        watched = Books(t, keep=scratch.keep, invoice_lists=False, watch=gate.Watch()).close_gate.collect()
+        assert sorted(watched) == sorted(Books(t).close_gate.collect())
+        failing = {row.CheckName for row in watched if row.Status == "FAIL"}
+        assert ("no_pending_events" in failing) == (missing != "events")
+
+
 @pytest.mark.parametrize(
     ("run", "period"), [(date(2025, 4, 2), MARCH), (date(2025, 1, 31), date(2024, 12, 1)), (date(2024, 3, 31), date(2024, 2, 1))]
 )

