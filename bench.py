@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.fixture import semantic_tables  # noqa: E402
 from closebook.functions.calcs import calcs_of  # noqa: E402
-from closebook.operators import statement, tieout, views  # noqa: E402
+from closebook.operators import gate, statement, tieout, views  # noqa: E402
 from closebook.operators.assembly import micro_calc  # noqa: E402
 from closebook.operators.reports import CUSTODY_MONTHLY  # noqa: E402
 from closebook.plans.books import Books  # noqa: E402
@@ -48,8 +48,8 @@ def calcs_joined(t: SemanticTables) -> DataFrame:
 
 
 def stored_close(t: SemanticTables) -> DataFrame:
-    """Gate and statement over a spine that is written once, as a close does."""
-    books = Books(t, keep=materialise, invoice_lists=False)
+    """Gate and statement over layers that are written once, with the checks counted on the way, as a close does."""
+    books = Books(t, keep=materialise, invoice_lists=False, watch=gate.Watch())
     books.close_gate.collect()
     return statement.order_statement(books.monthly_statement)
 

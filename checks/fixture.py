@@ -11,19 +11,10 @@ from pyspark.sql import functions as F
 
 from closebook.schemas import SemanticTables
 
-# The asset reference (AssetId, Symbol, AssetName, AssetType, Protocol, IsStakeable, UnbondingDays).
-ASSETS = (
-    ("ASSET_BTC", "BTC", "Bitcoin", "custody_only", "Bitcoin", False, 0),
-    ("ASSET_ETH", "ETH", "Ethereum", "staking", "Ethereum", True, 0),
-    ("ASSET_SOL", "SOL", "Solana", "staking", "Solana", True, 2),
-    ("ASSET_DOT", "DOT", "Polkadot", "staking", "Polkadot", True, 28),
-    ("ASSET_ADA", "ADA", "Cardano", "staking", "Cardano", True, 0),
-    ("ASSET_ATOM", "ATOM", "Cosmos", "staking", "Cosmos", True, 21),
-    ("ASSET_AVAX", "AVAX", "Avalanche", "staking", "Avalanche", True, 0),
-    ("ASSET_MATIC", "MATIC", "Polygon", "staking", "Polygon", True, 3),
-    ("ASSET_USDC", "USDC", "USD Coin", "stablecoin", "Ethereum", False, 0),
-    ("ASSET_USDT", "USDT", "Tether", "stablecoin", "Ethereum", False, 0),
-)
+# The identifiers that the calcs know, one for each last digit of a part's key.
+ASSET_IDS = (
+    "ASSET_BTC", "ASSET_ETH", "ASSET_SOL", "ASSET_DOT", "ASSET_ADA", "ASSET_ATOM", "ASSET_AVAX", "ASSET_MATIC", "ASSET_USDC", "ASSET_USDT",
+)
 # Client type per market segment.
 CLIENT_TYPES = {
     "BUILDING": "INSTITUTIONAL",
@@ -44,7 +35,7 @@ def _text(prefix: str, number: Column | str) -> Column:
 
 
 def _asset_id(number: Column) -> Column:
-    ids = F.array(*[F.lit(asset[0]) for asset in ASSETS])
+    ids = F.array(*[F.lit(key) for key in ASSET_IDS])
     return F.element_at(ids, (number % 10 + 1).cast("int"))
 
 
@@ -52,13 +43,23 @@ def _money(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)")
 
 
-def reference_assets(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(
-        f"('{key}', '{symbol}', '{name}', '{kind}', '{protocol}', {stakeable}, {days}L)"
-        for key, symbol, name, kind, protocol, stakeable, days in ASSETS
+def reference_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One asset per last digit of the part keys; all but the identifier follows from these parts."""
+    digit = F.col("p_partkey") % 10
+    groups = _read(spark, sf_dir, "part").groupBy(digit.alias("digit")).agg(
+        F.min("p_name").alias("name"), F.min("p_brand").alias("protocol"), F.max("p_size").alias("size"), F.count("*").alias("parts")
+    )
+    stable = F.col("digit") >= 8
+    stakeable = ~stable & (F.col("digit") > 0)
+    return groups.select(
+        _asset_id(F.col("digit")).alias("AssetId"),
+        F.substring_index(_asset_id(F.col("digit")), "_", -1).alias("Symbol"),
+        F.col("name").alias("AssetName"),
+        F.when(stable, "stablecoin").when(stakeable, "staking").otherwise("custody_only").alias("AssetType"),
+        F.col("protocol").alias("Protocol"),
+        stakeable.alias("IsStakeable"),
+        F.when(stakeable, F.greatest((F.col("digit") - 2) * (F.col("digit") - 2) - 50 + F.col("size"), F.lit(0))).otherwise(0).cast("bigint").alias("UnbondingDays"),
     )
-    columns = "AssetId, Symbol, AssetName, AssetType, Protocol, IsStakeable, UnbondingDays"
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,7 @@ def custody_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     value = _money("qty") * _money("p_retailprice") + F.when(F.col("l_linenumber") == 7, 5).otherwise(0)
     unconfirmed = (F.col("rf") == "R") & (F.col("l_linenumber") == 1)
+    value = F.when(F.col("l_linenumber") != 6, value)  # positions that nobody has valued
     return (
         _lines(spark, sf_dir)
         .join(part, F.col("p_partkey") == F.col("partkey"))
@@ -123,7 +125,7 @@ def custody_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stakeable = reference_assets(spark).filter("IsStakeable").select("AssetId", "UnbondingDays")
+    stakeable = reference_assets(spark, sf_dir).filter("IsStakeable").select("AssetId", "UnbondingDays")
     earned, settled = F.to_date("o_orderdate"), F.col("ls") == "F"
     settle_date = F.date_add(earned, F.col("UnbondingDays").cast("int"))
     fee = (_money("ext") * F.col("disc").cast("decimal(4,2)")).cast("decimal(28,4)")
@@ -139,6 +141,7 @@ def staking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(settled, settle_date).alias("SettleDate"),
         F.when(settled & (F.col("rf") == "A"), F.date_add(settle_date, 1)).alias("DistributeDate"),
         F.when(settled, "settled").otherwise("pending").alias("RewardState"),
+        F.when(F.col("rf") == "R", "mev_reward").otherwise("block_reward").alias("RewardType"),
     )
 
 
@@ -152,8 +155,8 @@ def fee_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("CUST", "o_custkey").alias("CustomerId"),
         _asset_id(key).alias("AssetId"),
         F.when(kind == 0, "custody").when(kind == 1, "staking").otherwise("premium_reporting_fee").alias("FeeType"),
-        F.when(kind == 0, 15).when(kind == 1, 100).otherwise(5).cast("bigint").alias("BasisPoints"),
-        amount.alias("FeeAmountUSD"),
+        F.when(key % 89 == 0, 0).when(kind == 0, 15).when(kind == 1, 100).otherwise(5).cast("bigint").alias("BasisPoints"),
+        F.when(key % 83 == 0, -amount).otherwise(amount).cast("decimal(18,2)").alias("FeeAmountUSD"),
         F.when(key % 97 == 0, 0).otherwise(amount * 100).cast("decimal(22,2)").alias("AumAtBilling"),
         F.trunc(F.to_date("o_orderdate"), "MM").alias("FeePeriodStart"),
         F.last_day(F.to_date("o_orderdate")).alias("FeePeriodEnd"),
@@ -186,7 +189,7 @@ def financial_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def semantic_tables(spark: SparkSession, sf_dir: str) -> SemanticTables:
     return SemanticTables(
         Customers=customers(spark, sf_dir),
-        ReferenceAssets=reference_assets(spark),
+        ReferenceAssets=reference_assets(spark, sf_dir),
         CustodyPositions=custody_positions(spark, sf_dir),
         StakingEvents=staking_events(spark, sf_dir),
         FeeEvents=fee_events(spark, sf_dir),

@@ -8,13 +8,10 @@ from __future__ import annotations
 
 import re
 
-from checks.fixture import ASSETS, CLIENT_TYPES, OTHER_CLIENT_TYPE
+from checks.fixture import ASSET_IDS, CLIENT_TYPES, OTHER_CLIENT_TYPE
 from closebook import constants as K
 from closebook.operators.reports import CUSTODY_MONTHLY
 
-_ASSET_ROWS = ", ".join(
-    f"('{k}','{s}','{n}','{t}','{p}',{str(b).upper()},CAST({d} AS BIGINT))" for k, s, n, t, p, b, d in ASSETS
-)
 _CLIENT_TYPE = (
     "CASE c_mktsegment "
     + " ".join(f"WHEN '{segment}' THEN '{name}'" for segment, name in CLIENT_TYPES.items())
@@ -23,15 +20,18 @@ _CLIENT_TYPE = (
 
 
 def _asset(number: str) -> str:
-    names = ", ".join(f"'{asset[0]}'" for asset in ASSETS)
+    names = ", ".join(f"'{key}'" for key in ASSET_IDS)
     return f"([{names}])[CAST(({number}) % 10 AS INT) + 1]"
 
 
 # The semantic tables.
 TABLES = {
     "ReferenceAssets": f"""
-        SELECT * FROM (VALUES {_ASSET_ROWS})
-          AS t(AssetId, Symbol, AssetName, AssetType, Protocol, IsStakeable, UnbondingDays)""",
+        SELECT {_asset('d')} AS AssetId, split_part({_asset('d')}, '_', 2) AS Symbol, name AS AssetName
+             , CASE WHEN d IN (8, 9) THEN 'stablecoin' WHEN d = 0 THEN 'custody_only' ELSE 'staking' END AS AssetType
+             , protocol AS Protocol, d BETWEEN 1 AND 7 AS IsStakeable
+             , CASE WHEN d BETWEEN 1 AND 7 THEN CAST(GREATEST(power(d - 2, 2) + size - 50, 0) AS BIGINT) ELSE 0 END AS UnbondingDays
+          FROM (SELECT p_partkey % 10 AS d, MIN(p_name) AS name, MIN(p_brand) AS protocol, MAX(p_size) AS size FROM part GROUP BY 1)""",
     "Customers": f"""
         SELECT 'CUST' || c_custkey AS CustomerId, c_name AS CustomerName, {_CLIENT_TYPE} AS CustomerType
              , n_name AS Jurisdiction
@@ -50,7 +50,7 @@ TABLES = {
              , CAST(ship AS DATE) AS PositionDate, CAST(qty AS DECIMAL(18,2)) AS Quantity
              , CAST(p_retailprice AS DECIMAL(18,2)) AS PriceUSD
              , CAST(CAST(qty AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2))
-                    + CASE lno WHEN 7 THEN 5 ELSE 0 END AS DECIMAL(28,2)) AS ValuationUSD
+                    + CASE lno WHEN 7 THEN 5 WHEN 6 THEN NULL ELSE 0 END AS DECIMAL(28,2)) AS ValuationUSD
              , CASE WHEN rf = 'R' AND lno = 1 THEN NULL ELSE 'REF-' || okey END AS CustodianLedgerRef
              , odate AS CreatedAt
           FROM Lines JOIN part ON p_partkey = partkey""",
@@ -63,12 +63,13 @@ TABLES = {
              , CASE ls WHEN 'F' THEN CAST(odate AS DATE) + CAST(a.UnbondingDays AS INT) END AS SettleDate
              , CASE WHEN ls = 'F' AND rf = 'A' THEN CAST(odate AS DATE) + CAST(a.UnbondingDays AS INT) + 1 END AS DistributeDate
              , CASE ls WHEN 'F' THEN 'settled' ELSE 'pending' END AS RewardState
+             , CASE rf WHEN 'R' THEN 'mev_reward' ELSE 'block_reward' END AS RewardType
           FROM Lines JOIN ReferenceAssets a ON a.AssetId = {_asset('partkey')} AND a.IsStakeable""",
     "FeeEvents": f"""
         SELECT 'FEE' || o_orderkey AS ID, 'CUST' || o_custkey AS CustomerId, {_asset('o_orderkey')} AS AssetId
              , (['custody', 'staking', 'premium_reporting_fee'])[CAST(o_orderkey % 3 AS INT) + 1] AS FeeType
-             , CAST(([15, 100, 5])[CAST(o_orderkey % 3 AS INT) + 1] AS BIGINT) AS BasisPoints
-             , CAST(o_totalprice AS DECIMAL(18,2)) AS FeeAmountUSD
+             , CAST(CASE WHEN o_orderkey % 89 = 0 THEN 0 ELSE ([15, 100, 5])[CAST(o_orderkey % 3 AS INT) + 1] END AS BIGINT) AS BasisPoints
+             , CAST(CASE WHEN o_orderkey % 83 = 0 THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS FeeAmountUSD
              , CAST(CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) * 100 END AS DECIMAL(22,2)) AS AumAtBilling
              , CAST(date_trunc('month', o_orderdate) AS DATE) AS FeePeriodStart
              , last_day(CAST(o_orderdate AS DATE)) AS FeePeriodEnd
@@ -118,7 +119,7 @@ CALCS = {
         "PositionPeriod": _month("PositionDate"),
         "PositionQuarter": _quarter("PositionDate"),
         "PositionYear": _year("PositionDate"),
-        "ValuationTier": "CASE WHEN ValuationUSD < 1000000 THEN 'Standard' "
+        "ValuationTier": "CASE WHEN ValuationUSD IS NULL OR ValuationUSD < 1000000 THEN 'Standard' "
         "WHEN ValuationUSD < 10000000 THEN 'Prime' ELSE 'Institutional' END",
         "ValuationUSDRounded": "CAST(ROUND(ValuationUSD, 2) AS DOUBLE)",
     },
@@ -307,8 +308,8 @@ CLEANED = {
     "Customers": "SELECT * REPLACE (CASE WHEN IsActive THEN 'APPROVED' ELSE KycStatus END AS KycStatus) FROM CustomersRaw",
     "CustodyPositions": """
         SELECT * REPLACE (COALESCE(CustodianLedgerRef, 'REF-' || ID) AS CustodianLedgerRef
-             , CASE WHEN ABS(ValuationUSD - Quantity * PriceUSD) > 0.01 THEN CAST(Quantity * PriceUSD AS DECIMAL(28,2))
-                    ELSE ValuationUSD END AS ValuationUSD) FROM CustodyPositionsRaw""",
+             , CASE WHEN ValuationUSD IS NULL OR ABS(ValuationUSD - Quantity * PriceUSD) > 0.01
+                    THEN CAST(Quantity * PriceUSD AS DECIMAL(28,2)) ELSE ValuationUSD END AS ValuationUSD) FROM CustodyPositionsRaw""",
     "FinancialEvents": "SELECT * REPLACE (CASE Status WHEN 'pending' THEN 'settled' ELSE Status END AS Status) FROM FinancialEventsRaw",
     "FeeEvents": f"""
         SELECT * REPLACE ('billed' AS BillingStatus) FROM FeeEventsRaw
@@ -382,6 +383,99 @@ CHECKS = {
 }
 
 
+# The contracts, written out by hand: check, column, whether it is critical, and the rows or keys that fail.
+_REPEATED = "(SELECT {0} FROM {1} WHERE {2} GROUP BY {0} HAVING COUNT(*) > 1)"
+
+
+def _nulls(table: str, *columns: str) -> list[tuple]:
+    return [("not_null", column, column not in ("FeeType",), f"{table} WHERE {column} IS NULL") for column in columns]
+
+
+def _types(*columns: str) -> list[tuple]:
+    """All columns of the given tables have the type that is asked for; contract_report_mistyped has a table that fails."""
+    return [("column_type", column, column not in ("FeeType", "InvoiceReference"), "Customers WHERE FALSE") for column in columns]
+
+
+def _unique(table: str, column: str) -> tuple:
+    return ("unique", column, True, _REPEATED.format(column, table, f"{column} IS NOT NULL"))
+
+
+def _grain(table: str, *columns: str) -> tuple:
+    keys = ", ".join(columns)
+    return ("grain", keys, True, _REPEATED.format(keys, table, " AND ".join(f"{c} IS NOT NULL" for c in columns)))
+
+
+# A later state of the event log, without cancelled rows.
+_LATER = "(SELECT * FROM FinancialEvents WHERE Status <> 'cancelled')"
+
+CONTRACT_ROWS = {
+    "CustodyPositions": [
+        *_types("ID", "CustomerId", "AssetId", "PositionDate", "Quantity", "PriceUSD", "ValuationUSD", "CustodianLedgerRef"),
+        *_nulls("CustodyPositions", "ID", "CustomerId", "AssetId", "PositionDate", "Quantity", "PriceUSD", "ValuationUSD"),
+        ("accepted_range", "Quantity", True, "CustodyPositions WHERE Quantity < 0"),
+        ("accepted_range", "PriceUSD", True, "CustodyPositions WHERE PriceUSD < 0"),
+        ("relationship", "AssetId", True, "CustodyPositions WHERE AssetId NOT IN (SELECT AssetId FROM ReferenceAssets)"),
+        ("valuation_consistent", "ValuationUSD", True, "CustodyPositions WHERE ABS(ValuationUSD - Quantity * PriceUSD) > 0.01"),
+        ("hashed", "CustomerId", True, "CustodyPositions WHERE length(CustomerId) <> 64 OR regexp_matches(CustomerId, '[^0-9a-f]')"),
+        _unique("CustodyPositions", "ID"),
+        _grain("CustodyPositions", "CustomerId", "AssetId", "PositionDate"),
+        ("period_end_reference", "CustodianLedgerRef", True, "Bal WHERE CustodianLedgerRef IS NULL"),
+        ("snapshot_on_time", "PositionDate", True, "(SELECT PositionPeriod FROM Pos GROUP BY 1 "
+         "HAVING MAX(CreatedAt) > PositionPeriod + INTERVAL 1 MONTH + INTERVAL 4 HOUR)"),
+        ("freshness", "CreatedAt", True, "(SELECT MAX(CreatedAt) AS m FROM CustodyPositions) WHERE date_diff('second', m, TIMESTAMP '{run_at}') > 24 * 3600"),
+    ],
+    "StakingEvents": [
+        *_types("ID", "CustomerId", "AssetId", "GrossAmount", "NetAmount", "FeeAmount", "RewardState", "EarnDate"),
+        *_nulls("StakingEvents", "ID", "CustomerId", "AssetId", "GrossAmount", "NetAmount", "FeeAmount", "RewardState", "EarnDate"),
+        ("accepted_range", "GrossAmount", True, "StakingEvents WHERE GrossAmount < 0"),
+        ("accepted_range", "FeeAmount", True, "StakingEvents WHERE FeeAmount < 0"),
+        ("accepted_values", "RewardState", True, "StakingEvents WHERE RewardState NOT IN ('pending', 'settled')"),
+        ("net_reward_consistent", "NetAmount", True, "StakingEvents WHERE ABS(GrossAmount - FeeAmount - NetAmount) > 0.0001"),
+        _unique("StakingEvents", "ID"),
+        _grain("StakingEvents", "CustomerId", "AssetId", "EarnDate", "RewardType"),
+    ],
+    "FeeEvents": [
+        *_types("ID", "CustomerId", "AssetId", "FeeType", "FeeAmountUSD", "BillingStatus", "InvoiceReference"),
+        *_nulls("FeeEvents", "ID", "CustomerId", "AssetId", "FeeType", "FeeAmountUSD", "BillingStatus"),
+        ("accepted_range", "FeeAmountUSD", True, "FeeEvents WHERE FeeAmountUSD < 0"),
+        ("accepted_values", "FeeType", False, "FeeEvents WHERE FeeType NOT IN ('custody', 'staking', 'trading')"),
+        ("accepted_values", "BillingStatus", True, "FeeEvents WHERE BillingStatus NOT IN ('invoiced', 'pending')"),
+        ("invoice_reference", "InvoiceReference", False, "FeeEvents WHERE BillingStatus = 'invoiced' AND InvoiceReference IS NULL"),
+        _unique("FeeEvents", "ID"),
+        _grain("FeeEvents", "CustomerId", "AssetId", "FeeType", "FeePeriodStart"),
+    ],
+    "FinancialEvents": [
+        *_types("ID", "CustomerId", "AssetId", "EventType", "GrossAmount", "NetAmount", "PeriodDate", "Status"),
+        *_nulls(_LATER, "ID", "CustomerId", "AssetId", "EventType", "GrossAmount", "NetAmount", "PeriodDate", "Status"),
+        _unique(_LATER, "ID"),
+        ("append_only", "ID", True, "FinancialEvents WHERE Status IN ('pending', 'cancelled')"),
+    ],
+    "Customers": [
+        *_types("CustomerId", "CustomerName", "KycStatus", "IsActive"),
+        *_nulls("Customers", "CustomerId", "CustomerName", "KycStatus", "IsActive"),
+        ("accepted_values", "KycStatus", True, "Customers WHERE KycStatus NOT IN ('APPROVED', 'PENDING', 'SUSPENDED')"),
+        _unique("Customers", "CustomerId"),
+    ],
+    "ReferenceAssets": [
+        *_types("AssetId", "Symbol", "AssetName", "IsStakeable"),
+        *_nulls("ReferenceAssets", "AssetId", "Symbol", "AssetName", "IsStakeable"),
+        _unique("ReferenceAssets", "AssetId"),
+        _unique("ReferenceAssets", "Symbol"),
+    ],
+}
+
+
+def contract_rows(table: str, run_at: object) -> str:
+    """One row per check of a contract, each counted on its own."""
+    parts = [
+        f"SELECT '{table}' AS TableName, '{check}' AS CheckName, '{column}' AS ColumnName, {critical} AS Critical"
+        f", n AS FailingCount, CASE n WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS Status"
+        f" FROM (SELECT COUNT(*) AS n FROM {failing.replace('{run_at}', str(run_at))})"
+        for check, column, critical, failing in CONTRACT_ROWS[table]
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def calc_columns(table: str) -> str:
     return ", ".join(f"{sql} AS {name}" for name, sql in sorted(CALCS[table].items()))
 

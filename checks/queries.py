@@ -9,6 +9,9 @@ import re
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 from datetime import date, datetime
+from functools import reduce
+
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,15 +74,34 @@ def spark_of(t: SemanticTables) -> SparkSession:
     return t.Customers.sparkSession
 
 
-# Scans.
+# Scans: every table is stored in its declared types and read by the library's readers.
+def _scanned(t: SemanticTables, name: str) -> DataFrame:
+    path = scratch_path(spark_of(t), "scan")
+    tables.store(tables.conform(t[name], name), f"{path}/{name}")
+    return tables.read_semantic(spark_of(t), name, path)
+
+
 for _table in SCHEMAS:
     _amounts = oracle.AMOUNTS.get(_table)
     register(
         f"scan_{snake(_table)}",
-        lambda t, name=_table: t[name],
+        lambda t, name=_table: _scanned(t, name),
         f"SELECT {oracle._doubles(*_amounts) if _amounts else '*'} FROM {_table}",
     )
 
+
+def _catalog(t: SemanticTables) -> DataFrame:
+    """Rewards over the six tables of a catalog database."""
+    spark = spark_of(t)
+    database = f"closebook_{uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    for name in SCHEMAS:
+        tables.store_table(tables.conform(t[name], name), f"{database}.{name}")
+    return Books(tables.read_catalog(spark, database)).staking_rewards
+
+
+register("scan_catalog", _catalog, f"SELECT {oracle._doubles(*oracle.REWARD_SUMS)} FROM Rew")
+
 # Micro-calcs, assembled calc tables and widetables.
 for _table in FACTS:
     _group = f"{_table}Calc"
@@ -244,6 +266,61 @@ register(
             , CAST(PendingFeesUSD AS DOUBLE) AS PendingFeesUSD FROM Spine WHERE KycStatus <> 'SUSPENDED'""",
 )
 
+
+
+def _labels(t: SemanticTables) -> DataFrame:
+    """Label and note of every report column, as its comment says, and how many of its values are not null."""
+    rows = stored(t).report(reports.CUSTODY_MONTHLY)
+    counts = rows.agg(*[F.count(F.col(name)).alias(name) for name in rows.columns])
+    entries = [F.struct(F.lit(f.name).alias("Name"), F.lit(f.metadata["comment"]).alias("Comment"), F.col(f.name).alias("Filled")) for f in rows.schema]
+    return counts.select(F.inline(F.array(*entries)))
+
+
+# What a reader of the report sees above its columns.
+_LABELS = {
+    "PeriodLabel": "Statement Period", "CustomerName": "Client Name", "Symbol": "Asset", "AssetName": "Asset Name",
+    "PeriodEndQuantity": "Quantity Held", "PeriodEndPriceUSD": "Price (USD)", "PeriodEndValuationUSD": "Market Value (USD)",
+    "QuantityChangePeriodOverPeriod": "Quantity Change (MoM)", "ValuationChangePeriodOverPeriodUSD": "Value Change (MoM, USD)",
+    "ValuationChangePctPeriodOverPeriod": "Value Change (MoM, %)", "SettledNetRewards": "Settled Staking Rewards (USD)",
+    "NetPendingRewards": "Pending Rewards (USD)", "TotalPositionValueWithNetpenUSD": "Total Economic Exposure (USD)",
+    "TotalFeesUSD": "Fees Charged (USD)", "CustodianLedgerRef": "Custodian Reference",
+    "StatementId": "Statement ID. Unique ID for this statement row — used as delivery idempotency key",
+}
+register(
+    "report_labels",
+    _labels,
+    " UNION ALL ".join(f"SELECT '{name}' AS Name, '{text}' AS Comment, COUNT({name}) AS Filled FROM ({_REPORT_SQL})" for name, text in _LABELS.items()),
+)
+
+
+def _stamps(t: SemanticTables) -> DataFrame:
+    """Run times and issuer of a run, on every layer that carries them."""
+    books = Books(t, entity="Some Bank", run_ts=_run_ts(), keep=materialise, invoice_lists=False)
+    layers = {
+        "ClientPeriodPositions": (books.client_positions, "_BuiltAt", F.lit("-")),
+        "ReconciliationSummary": (books.reconciliation, "ReconciliationRunAt", F.col("Entity")),
+        "LedgerBalanceTieOut": (books.tie_out, "ReconRunAt", F.lit("-")),
+        "MonthlyCustodyStatement": (books.monthly_statement, "StatementGeneratedAt", F.col("IssuingEntity")),
+    }
+    parts = [
+        df.groupBy(F.lit(name).alias("Layer"), F.col(stamp).cast("string").alias("RunAt"), entity.alias("Entity")).agg(F.count("*").alias("Rows"))
+        for name, (df, stamp, entity) in layers.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+register(
+    "run_stamps",
+    _stamps,
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS Layer, '{RUN_AT:%Y-%m-%d %H:%M:%S}' AS RunAt, '{entity}' AS Entity, COUNT(*) AS Rows FROM {view}"
+        for name, entity, view in (
+            ("ClientPeriodPositions", "-", "Spine"), ("ReconciliationSummary", "Some Bank", "Recon"), ("LedgerBalanceTieOut", "-", "Tie"),
+            ("MonthlyCustodyStatement", "Some Bank", "Stmt"),
+        )
+    ),
+)
+
 _CLIENT_FILTERS = {
     "equals": ({"field": "RiskTier", "operator": "equals", "value": "tier_1"}, "RiskTier = 'tier_1'"),
     "equals_flag": ({"field": "IsActive", "operator": "equals", "value": False}, "NOT IsActive"),
@@ -484,46 +561,67 @@ register(
 )
 
 
-def _contract_sql(table: str) -> str:
-    """One row per declared check, spelled out from the contract with a scan each."""
-    contract = contracts.CONTRACTS[table]
-    rows = []
-
-    def add(check: str, column: str, critical: bool, count: str) -> None:
-        rows.append(
-            f"SELECT '{table}' AS TableName, '{check}' AS CheckName, '{column}' AS ColumnName, {critical} AS Critical"
-            f", CAST(n AS BIGINT) AS FailingCount, CASE n WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS Status FROM ({count})"
-        )
-
-    def where(condition: str) -> str:
-        return f"SELECT COUNT(*) AS n FROM {table} WHERE {condition}"
-
-    def repeated(keys: str) -> str:
-        return f"SELECT COUNT(*) AS n FROM (SELECT {keys} FROM {table} GROUP BY {keys} HAVING COUNT(*) > 1)"
-
-    for column, rule in contract.columns.items():
-        add("column_type", column, rule.critical, "SELECT 0 AS n")
-        if rule.not_null:
-            add("not_null", column, rule.critical, where(f"{column} IS NULL"))
-        if rule.minimum is not None:
-            add("accepted_range", column, rule.critical, where(f"{column} < {rule.minimum}"))
-        if rule.values:
-            add("accepted_values", column, rule.critical, where(f"{column} NOT IN {rule.values}"))
-        if rule.unique:
-            add("unique", column, rule.critical, repeated(column))
-        if rule.parent:
-            add("relationship", column, rule.critical, where(f"{column} NOT IN (SELECT {rule.parent[1]} FROM {rule.parent[0]})"))
-    if len(contract.grain) > 1:
-        add("grain", ", ".join(contract.grain), True, repeated(", ".join(contract.grain)))
-    return " UNION ALL ".join(rows)
+def _contract_report(t: SemanticTables, name: str) -> DataFrame:
+    if name != "FinancialEvents":
+        return contracts.contract_report(t, name, _run_ts())
+    # A later state of the event log, checked against the earlier one.
+    return contracts.contract_report({name: _later_log(t)}, name, _run_ts(), previous=t[name])
 
 
 for _table in SCHEMAS:
     register(
         f"contract_report_{snake(_table)}",
-        lambda t, name=_table: contracts.contract_report(t, name),
-        _contract_sql(_table),
+        lambda t, name=_table: _contract_report(t, name),
+        oracle.contract_rows(_table, RUN_AT),
     )
+register(
+    "contract_append_only_digest",
+    lambda t: contracts.append_only_by_digest(t.FinancialEvents, _later_log(t)),
+    f"""SELECT {oracle._doubles(*oracle.AMOUNTS['FinancialEvents'])} FROM FinancialEvents
+         WHERE Status IN ('pending', 'cancelled')""",
+)
+# One column is missing, one is text instead of a flag, and one holds nulls.
+register(
+    "contract_report_mistyped",
+    lambda t: contracts.contract_report(
+        {
+            "Customers": t.Customers.drop("KycStatus").withColumns(
+                {"IsActive": F.col("IsActive").cast("string"), "CustomerName": F.when(F.col("RiskTier") != "tier_1", F.col("CustomerName"))}
+            )
+        },
+        "Customers",
+    ),
+    """SELECT 'Customers' AS TableName, c AS CheckName, n AS ColumnName, TRUE AS Critical, f AS FailingCount
+            , CASE WHEN f > 0 THEN 'FAIL' ELSE 'PASS' END AS Status
+         FROM (SELECT 'column_type' AS c, 'CustomerId' AS n, 0 AS f UNION ALL SELECT 'column_type', 'CustomerName', 0
+               UNION ALL SELECT 'column_type', 'KycStatus', 1 UNION ALL SELECT 'column_type', 'IsActive', 1
+               UNION ALL SELECT 'not_null', 'CustomerId', 0
+               UNION ALL SELECT 'not_null', 'CustomerName', (SELECT COUNT(*) FROM Customers WHERE RiskTier = 'tier_1')
+               UNION ALL SELECT 'unique', 'CustomerId', 0)""",
+)
+
+
+def _freshness_of_files(t: SemanticTables) -> DataFrame:
+    """All six tables, just written, as they look 60 hours later: the load time is that of the files."""
+    spark = spark_of(t)
+    path = scratch_path(spark, "fresh")
+    tables.store_by_month(t, path)
+    later = F.current_timestamp() + F.expr("INTERVAL 60 HOURS")
+    parts = []
+    for name in SCHEMAS:
+        loaded = tables.with_load_time(spark.read.parquet(f"{path}/{name}"))
+        status = contracts.contract_freshness(loaded, name, tables.LOADED_AT, later)
+        parts.append(status.select(F.lit(name).alias("TableName"), (F.col("LatestLoad") < F.current_timestamp()).alias("LoadedBefore"), "AgeHours", "Status"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+register(
+    "contract_freshness_of_files",
+    _freshness_of_files,
+    """SELECT * FROM (VALUES ('Customers', TRUE, CAST(60 AS BIGINT), 'warn'), ('ReferenceAssets', TRUE, 60, 'pass'), ('CustodyPositions', TRUE, 60, 'error')
+         , ('StakingEvents', TRUE, 60, 'error'), ('FeeEvents', TRUE, 60, 'error'), ('FinancialEvents', TRUE, 60, 'error'))
+         AS f(TableName, LoadedBefore, AgeHours, Status)""",
+)
 
 
 # Sinks: each writes below the shared folder and reads the result back.
@@ -600,44 +698,60 @@ register(
 )
 
 
-def _seed_round_trip(t: SemanticTables) -> DataFrame:
-    """Fee events written as a seed file and loaded from it."""
-    spark = spark_of(t)
-    path = scratch_path(spark, "fee-seed")
-    fees = t.FeeEvents
-    renamed = fees.select(
-        F.col("ID").alias("fee_id"), F.col("CustomerId").alias("customer_id"), F.col("AssetId").alias("asset_id"),
-        F.col("FeeType").alias("fee_type"), F.col("BasisPoints").alias("basis_points"),
-        F.col("FeeAmountUSD").alias("fee_amount_usd"), F.col("AumAtBilling").alias("aum_at_billing"),
-        F.col("FeePeriodStart").alias("fee_period_start"), F.col("FeePeriodEnd").alias("fee_period_end"),
-        F.col("BillingStatus").alias("billing_status"), F.col("InvoiceReference").alias("invoice_reference"),
-        F.lit("2001-12-01 06:00:00").alias("created_at"),
-    )
-    renamed.write.option("header", True).csv(path)
-    return seeds.to_semantic(seeds.read_seed(spark, "raw_fee_events", path), "FeeEvents")
+# Seed files: every table as a seed file, loaded from it.
+def _as_seed(t: SemanticTables, table: str) -> DataFrame:
+    """A semantic table in the columns of its seed file; what the table does not hold is empty."""
+    rows = t[table]
+    names = {seeds.semantic_name(table, column.name): column for column in seeds.SEEDS[seeds.SEED_OF_TABLE[table]]}
+    wanted = []
+    for name, column in names.items():
+        value = F.col(name) if name in rows.columns else F.lit(None)
+        if column.dataType == T.TimestampType():
+            value = F.date_format(value.cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+        elif column.dataType == T.BooleanType():
+            value = F.initcap(value.cast("string"))
+        wanted.append(value.cast("string").alias(column.name))
+    return rows.select(*wanted)
 
 
-register(
-    "seed_csv_fee_events",
-    _seed_round_trip,
-    f"SELECT {oracle._doubles(*oracle.AMOUNTS['FeeEvents'])} FROM FeeEvents",
-)
+def _seed_round_trip(t: SemanticTables, table: str) -> DataFrame:
+    path = scratch_path(spark_of(t), "seed")
+    _as_seed(t, table).write.option("header", True).csv(path)
+    loaded = seeds.load_seed(spark_of(t), seeds.SEED_OF_TABLE[table], path, scratch_path(spark_of(t), "rejects"))
+    return seeds.to_semantic(loaded, table)
 
 
-def _customer_seed(t: SemanticTables) -> DataFrame:
-    """Customers as a seed file with True/False flags, loaded from it."""
-    spark = spark_of(t)
-    path = scratch_path(spark, "customer-seed")
-    t.Customers.select(
-        F.col("CustomerId").alias("customer_id"), F.col("CustomerName").alias("customer_name"),
-        F.col("CustomerType").alias("customer_type"), F.col("Jurisdiction").alias("jurisdiction"),
-        F.lit(None).cast("date").alias("onboarded_date"), F.col("KycStatus").alias("kyc_status"),
-        F.col("RiskTier").alias("risk_tier"), F.initcap(F.col("IsActive").cast("string")).alias("is_active"),
-    ).write.option("header", True).csv(path)
-    return seeds.to_semantic(seeds.read_seed(spark, "customers", path), "Customers")
+for _table in SCHEMAS:
+    _amounts = oracle.AMOUNTS.get(_table)
+    _columns = f"SELECT {oracle._doubles(*_amounts) if _amounts else '*'} FROM {_table}"
+    if _table == "FinancialEvents":  # seed files hold whole seconds
+        _columns = f"SELECT * REPLACE (date_trunc('second', EventTimestamp) AS EventTimestamp) FROM ({_columns})"
+    register(f"seed_csv_{snake(_table)}", lambda t, table=_table: _seed_round_trip(t, table), _columns)
 
 
-register("seed_csv_customers", _customer_seed, "SELECT * FROM Customers")
+def _seed_rejects(t: SemanticTables) -> DataFrame:
+    """Fee events with planted bad lines: a word for an amount, a date that does not exist, a field too many."""
+    spark = spark_of(t)
+    path, rejects = scratch_path(spark, "bad-seed"), scratch_path(spark, "rejects")
+    rows = _as_seed(t, "FeeEvents").withColumn("key", F.substring("fee_id", 4, 20).cast("bigint"))
+    rows = rows.withColumns({
+        "fee_amount_usd": F.when(F.col("key") % 1000 == 7, "many").otherwise(F.col("fee_amount_usd")),
+        "fee_period_end": F.when(F.col("key") % 1000 == 39, "1998-02-30").otherwise(F.col("fee_period_end")),
+        "created_at": F.when(F.col("key") % 1000 == 70, "x,y").otherwise(F.lit("2001-12-01 06:00:00")),
+    })
+    columns = [name for name in rows.columns if name != "key"]
+    lines = rows.select(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in columns]).alias("value"))
+    lines.write.text(path)
+    good = seeds.load_seed(spark, "raw_fee_events", path, rejects, max_rejects=1_000_000, header=False)
+    kept = good.select(F.lit("kept").alias("Outcome"), F.col("fee_id").alias("Id"))
+    bad = seeds.read_rejects(spark, rejects)
+    return kept.union(bad.select("Reason", F.substring_index("Line", ",", 1)))
+
+
+register("seed_rejects", _seed_rejects, None)
+ORACLES["seed_rejects"] = """
+    SELECT CASE o_orderkey % 1000 WHEN 7 THEN 'fee_amount_usd: not a number' WHEN 39 THEN 'fee_period_end: not a date'
+                WHEN 70 THEN 'wrong number of fields' ELSE 'kept' END AS Outcome, 'FEE' || o_orderkey AS Id FROM orders"""
 
 
 def clean_tables(t: SemanticTables) -> SemanticTables:
@@ -650,7 +764,7 @@ def clean_tables(t: SemanticTables) -> SemanticTables:
     positions = t.CustodyPositions.withColumns(
         {
             "CustodianLedgerRef": F.coalesce("CustodianLedgerRef", F.concat(F.lit("REF-"), F.col("ID"))),
-            "ValuationUSD": F.when(F.abs(F.col("ValuationUSD") - expected) > 0.01, expected).otherwise(F.col("ValuationUSD")),
+            "ValuationUSD": F.when(F.col("ValuationUSD").isNull() | (F.abs(F.col("ValuationUSD") - expected) > 0.01), expected).otherwise(F.col("ValuationUSD")),
         }
     )
     keys = ["CustomerId", "AssetId", "FeePeriodStart"]

@@ -38,6 +38,7 @@ CUSTODY_POSITIONS = _schema(
 STAKING_EVENTS = _schema(
     ID="string", CustomerId="string", AssetId="string", GrossAmount="numeric", FeeAmount="numeric",
     NetAmount="numeric", EarnDate="date", SettleDate="date", DistributeDate="date", RewardState="string",
+    RewardType="string",
 )
 FEE_EVENTS = _schema(
     ID="string", CustomerId="string", AssetId="string", FeeType="string", BasisPoints="long",

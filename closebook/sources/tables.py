@@ -16,6 +16,7 @@ from closebook.session import delete
 # The date that decides the month of a fact, and the partition column of facts that are stored by month.
 DATE_OF = {"CustodyPositions": "PositionDate", "StakingEvents": "EarnDate", "FeeEvents": "FeePeriodStart", "FinancialEvents": "PeriodDate"}
 MONTH = "Month"
+LOADED_AT = "_LoadedAt"
 
 
 def read_semantic(spark: SparkSession, name: str, location: str, file_format: str = "parquet") -> DataFrame:
@@ -23,6 +24,11 @@ def read_semantic(spark: SparkSession, name: str, location: str, file_format: st
     return spark.read.schema(SCHEMAS[name]).format(file_format).load(f"{location.rstrip('/')}/{name}")
 
 
+def with_load_time(rows: DataFrame) -> DataFrame:
+    """A scan of files with the time each row's file was written, for tables that hold no load time of their own."""
+    return rows.withColumn(LOADED_AT, F.col("_metadata.file_modification_time"))
+
+
 def read_all(spark: SparkSession, location: str, file_format: str = "parquet") -> SemanticTables:
     return SemanticTables(**{name: read_semantic(spark, name, location, file_format) for name in SCHEMAS})
 

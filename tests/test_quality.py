@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from closebook.operators import contracts, quality
 from closebook.schemas import SCHEMAS
+from closebook.sources.tables import LOADED_AT, with_load_time
 from tests.samples import asset, books, client, event, fee, position, reward, rows, tables
 
 MARCH = date(2025, 3, 1)
@@ -131,19 +132,98 @@ def test_hashed_identifiers(spark):
     assert sorted(row.CustomerId for row in contracts.customer_ids_hashed(people).collect()) == ["A" * 64, "C1"]
 
 
+def log(spark, *events):
+    return rows(spark, "FinancialEvents", *events)
+
+
+def test_append_only_by_digest(spark):
+    march = [event(f"m{k}", MARCH, GrossAmount=k) for k in range(20)]
+    april = [event(f"a{k}", date(2025, 4, 1), GrossAmount=k) for k in range(20)]
+    undated = event("u", None)
+    before = log(spark, *march, *april, undated, march[0])
+    assert contracts.append_only_by_digest(before, before.repartition(5)).count() == 0
+    changed = [*march[1:], *april[2:], {**april[1], "Status": "edited"}, {**undated, "GrossAmount": None}, march[0], march[0], event("new", MARCH)]
+    found = contracts.append_only_by_digest(before, log(spark, *changed))
+    assert sorted(row.ID for row in found.collect()) == ["a0", "a1", "u"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, contracts.append_only(before, log(spark, *changed)).collect()))
+    moved = [{**march[3], "PeriodDate": date(2025, 4, 1)}, *march[:3], *march[4:], *april, undated, march[0]]
+    assert [row.ID for row in contracts.append_only_by_digest(before, log(spark, *moved)).collect()] == ["m3"]
+    fewer = log(spark, *march, *april, undated)  # one of two equal rows is gone: the row is still there
+    assert contracts.append_only_by_digest(before, fewer).count() == 0
+    assert contracts.append_only_by_digest(before.limit(0), before).count() == 0
+    assert contracts.append_only_by_digest(before, before.limit(0)).count() == before.count()
+
+
+def test_equal_logs_are_read_once(spark, tmp_path):
+    for name in ("before", "after"):
+        log(spark, *[event(f"e{k}", MARCH) for k in range(50)]).write.parquet(f"{tmp_path}/{name}")
+    before, after = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("before", "after"))
+    same = contracts.append_only_by_digest(before, after)
+    assert "Join" not in same._jdf.queryExecution().executedPlan().toString() and same.count() == 0
+    stored = contracts.digests(before, "PeriodDate")
+    edited = after.withColumn("Status", F.when(F.col("ID") == "e7", "x").otherwise(F.col("Status")))
+    found = contracts.append_only_by_digest(before, edited, previous_digests=stored)
+    assert [row.ID for row in found.collect()] == ["e7"]
+    affected = found._jdf.queryExecution().optimizedPlan().toString()
+    assert affected.count("LeftSemi") == 2  # only the range that differs is compared
+
+
 def test_contract_report(spark):
     t = tables(
         spark,
-        positions=[position("A", MARCH), position("A", MARCH, quantity=-1, asset="XRP"), position("B", MARCH, PriceUSD=None)],
-    )
-    report = contracts.contract_report(t, "CustodyPositions")
+        positions=[
+            position("A", MARCH), position("A", MARCH, quantity=-1, asset="XRP"), position("B", MARCH, PriceUSD=None), position("C", date(2025, 3, 9), ref=None, client="a" * 64),
+            position("D", date(2025, 3, 31), ref=None, value=99, CreatedAt=datetime(2025, 4, 1, 5)), position("E", date(2025, 3, 31), ref=None), position(None, None, AssetId=None),
+        ],
+    )
+    report = contracts.contract_report(t, "CustodyPositions", F.lit("2025-04-01 18:00:00"))
     failing = {(row.CheckName, row.ColumnName): row.FailingCount for row in report.filter("Status = 'FAIL'").collect()}
     assert failing == {
         ("unique", "ID"): 1, ("relationship", "AssetId"): 1, ("accepted_range", "Quantity"): 1, ("not_null", "PriceUSD"): 1,
-        ("grain", "CustomerId, AssetId, PositionDate"): 1,
+        ("not_null", "ID"): 1, ("not_null", "PositionDate"): 1, ("not_null", "AssetId"): 1,
+        ("grain", "CustomerId, AssetId, PositionDate"): 2, ("valuation_consistent", "ValuationUSD"): 1, ("hashed", "CustomerId"): 6,
+        ("period_end_reference", "CustodianLedgerRef"): 3, ("snapshot_on_time", "PositionDate"): 1,
     }
+    status = {row.CheckName: row.Status for row in report.collect()}
+    assert status["freshness"] == "WARN"  # 13 hours
+    late = contracts.contract_report(t, "CustodyPositions", F.lit("2025-04-02 06:00:00")).filter("CheckName = 'freshness'").first()
+    assert (late.Status, late.FailingCount) == ("FAIL", 1)
     for name in SCHEMAS:
         assert contracts.contract_report(t, name).filter("CheckName = 'column_type' AND Status = 'FAIL'").count() == 0
+    assert contracts.contract_report(tables(spark), "CustodyPositions").filter("Status <> 'PASS'").count() == 0
+
+
+def test_reward_type_is_part_of_the_grain(spark):
+    kinds = [reward("a", MARCH, 1, RewardType="x"), reward("b", MARCH, 1, RewardType="y"), reward("c", MARCH, 1, RewardType="y"), reward("d", MARCH, 5, gross=9, RewardType="z")]
+    report = contracts.contract_report(tables(spark, rewards=kinds), "StakingEvents")
+    failing = {row.CheckName: (row.ColumnName, row.FailingCount) for row in report.filter("Status = 'FAIL'").collect()}
+    assert failing == {"grain": ("CustomerId, AssetId, EarnDate, RewardType", 1), "net_reward_consistent": ("NetAmount", 1)}
+
+
+def test_event_log_contract_compares_with_the_previous_state(spark):
+    before = log(spark, event("a", MARCH), event("b", MARCH))
+    report = contracts.contract_report({"FinancialEvents": log(spark, event("a", MARCH))}, "FinancialEvents", previous=before)
+    assert {row.CheckName: row.FailingCount for row in report.filter("Status = 'FAIL'").collect()} == {"append_only": 1}
+
+
+def test_a_contract_scans_its_table_twice(spark, tmp_path):
+    t = tables(spark, positions=[position("A", MARCH)], rewards=[reward("S", MARCH, 1)], fees=[fee("F", MARCH)], events=[event("E", MARCH)])
+    for name in SCHEMAS:
+        t[name].write.parquet(f"{tmp_path}/{name}")
+    stored = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in SCHEMAS}
+    for name in SCHEMAS:
+        plan = contracts.contract_report(stored, name, F.current_timestamp())._jdf.queryExecution().executedPlan().toString()
+        assert 1 <= plan.count("FileScan parquet") <= 2 + (name == "CustodyPositions"), name  # positions look up the assets
+
+
+def test_load_time_of_files(spark, tmp_path):
+    tables(spark).Customers.write.parquet(f"{tmp_path}/c")
+    loaded = with_load_time(spark.read.parquet(f"{tmp_path}/c"))
+    now = F.current_timestamp()
+    assert contracts.contract_freshness(loaded, "Customers", LOADED_AT, now).first().Status == "pass"
+    assert contracts.contract_freshness(loaded, "Customers", LOADED_AT, now + F.expr("INTERVAL 50 HOURS")).first().Status == "warn"
+    report = contracts.contract_report({"Customers": loaded}, "Customers", now + F.expr("INTERVAL 80 HOURS"), LOADED_AT)
+    assert [row.CheckName for row in report.filter("Status <> 'PASS'").collect()] == ["freshness"]
 
 
 def test_contract_report_names_missing_and_mistyped_columns(spark):
