@@ -49,7 +49,7 @@ def calcs_joined(t: SemanticTables) -> DataFrame:
 
 def stored_close(t: SemanticTables) -> DataFrame:
     """Gate and statement over layers that are written once, with the checks counted on the way, as a close does."""
-    books = Books(t, keep=materialise, invoice_lists=False, watch=gate.Watch())
+    books = Books(t, keep=materialise, watch=gate.Watch())
     books.close_gate.collect()
     return statement.order_statement(books.monthly_statement)
 

@@ -67,7 +67,7 @@ def snake(name: str) -> str:
 
 def stored(t: SemanticTables) -> Books:
     """Books that write the shared intermediates once, for results that read the spine repeatedly."""
-    return Books(t, keep=materialise, invoice_lists=False)
+    return Books(t, keep=materialise)
 
 
 def spark_of(t: SemanticTables) -> SparkSession:
@@ -212,7 +212,7 @@ for _name, (_rows, _check) in _CHECK_ROWS.items():
 _GATE_SQL = " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in oracle.CHECKS.values())
 register("period_close_gate", lambda t: stored(t).close_gate, _GATE_SQL)
 # The same, counted while balances, spine and reconciliation are written.
-register("period_close_gate_watched", lambda t: Books(t, keep=materialise, invoice_lists=False, watch=gate.Watch()).close_gate, _GATE_SQL)
+register("period_close_gate_watched", lambda t: Books(t, keep=materialise, watch=gate.Watch()).close_gate, _GATE_SQL)
 register("gate_verdict", lambda t: gate.order_verdict(Books(t).close_gate), _GATE_SQL)
 
 # Statement and reports.
@@ -295,7 +295,7 @@ register(
 
 def _stamps(t: SemanticTables) -> DataFrame:
     """Run times and issuer of a run, on every layer that carries them."""
-    books = Books(t, entity="Some Bank", run_ts=_run_ts(), keep=materialise, invoice_lists=False)
+    books = Books(t, entity="Some Bank", run_ts=_run_ts(), keep=materialise)
     layers = {
         "ClientPeriodPositions": (books.client_positions, "_BuiltAt", F.lit("-")),
         "ReconciliationSummary": (books.reconciliation, "ReconciliationRunAt", F.col("Entity")),

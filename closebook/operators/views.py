@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from closebook.functions import numeric
 from closebook.operators.skew import SALT, broadcast_if_small, hot_keys, join_by_key, latest_per_key
 
 KEYS = ("CustomerId", "AssetId", "PositionPeriod")
-INVOICES = "AllInvoiceReferences"  # a spine may be built without this column
+INVOICES = "AllInvoiceReferences"  # long texts, which the spine does without until they are asked for
 
 
 def unsalted(df: DataFrame) -> DataFrame:
@@ -85,19 +87,19 @@ def _sorted_list(name: str, separator: str) -> Column:
     return F.expr(f"listagg({name}, '{separator}') WITHIN GROUP (ORDER BY {name})")
 
 
-def fee_accruals(wide_fees: DataFrame) -> DataFrame:
-    """Fees per client, asset, month and fee type."""
-    events = _flatten(
-        wide_fees,
-        "FeeEvents",
-        (
-            "CustomerId", "AssetId", "ID", "FeeType", "FeeAmountUSD", "AumAtBilling", "BasisPoints",
-            "InvoiceReference",
-        ),
-        ("FeePeriod", "IsFullyBilled"),
-    )
+FEE_KEYS = ("CustomerId", "AssetId", "FeePeriod", "FeeType")
+INVOICE_ROWS = 10_000  # invoice references of one key that a task puts into a text at once
+
+
+def _fee_events(wide_fees: DataFrame) -> DataFrame:
+    fields = ("CustomerId", "AssetId", "ID", "FeeType", "FeeAmountUSD", "AumAtBilling", "BasisPoints", "InvoiceReference")
+    return _flatten(wide_fees, "FeeEvents", fields, ("FeePeriod", "IsFullyBilled"))
+
+
+def fee_sums(wide_fees: DataFrame) -> DataFrame:
+    """Fees per client, asset, month and fee type, without the invoices."""
     billed = F.col("IsFullyBilled")
-    return events.groupBy("CustomerId", "AssetId", "FeePeriod", "FeeType").agg(
+    return _fee_events(wide_fees).groupBy(*FEE_KEYS).agg(
         F.sum("FeeAmountUSD").alias("TotalFeeAmountUSD"),
         F.sum("AumAtBilling").alias("TotalAumBilled"),
         F.avg("BasisPoints").alias("AvgBasisPoints"),
@@ -105,19 +107,58 @@ def fee_accruals(wide_fees: DataFrame) -> DataFrame:
         _sum_where(billed, "FeeAmountUSD").alias("BilledFeeAmountUSD"),
         _sum_where(~billed, "FeeAmountUSD").alias("PendingFeeAmountUSD"),
         F.bool_and(billed).alias("AllFeesBilled"),
-        _sorted_list("InvoiceReference", ", ").alias("InvoiceReferences"),
     )
 
 
+def invoice_lines(wide_fees: DataFrame) -> DataFrame:
+    """One row per invoiced fee event: its key, the reference and the amount."""
+    lines = _fee_events(wide_fees).filter("InvoiceReference IS NOT NULL")
+    return lines.select(*FEE_KEYS, "InvoiceReference", "FeeAmountUSD")
+
+
+def invoice_lists(lines: DataFrame, chunk_rows: int = INVOICE_ROWS) -> DataFrame:
+    """The sorted references of every fee key as one text.
+
+    Lines are ordered over all tasks by key and reference, so the references of a key with very many of
+    them lie in several. Texts are made of at most ``chunk_rows`` neighbours first; a key's few texts
+    are then put together in order, which is the only place where one task holds all of them.
+    """
+    ordered = lines.select(*FEE_KEYS, "InvoiceReference").repartitionByRange(*FEE_KEYS, "InvoiceReference")
+    place = F.monotonically_increasing_id()  # the task, then the row in it
+    numbered = ordered.sortWithinPartitions(*FEE_KEYS, "InvoiceReference").withColumn("_place", place)
+    block = F.shiftright("_place", 33) * F.lit(1 << 33) + F.floor(F.col("_place").bitwiseAND((1 << 33) - 1) / chunk_rows)
+    texts = numbered.groupBy(*FEE_KEYS, block.alias("_block")).agg(_sorted_list("InvoiceReference", ", ").alias("_text"))
+    joined = F.expr("listagg(_text, ', ') WITHIN GROUP (ORDER BY _block)")
+    return texts.groupBy(*FEE_KEYS).agg(joined.alias("InvoiceReferences"))
+
+
+def fee_accruals(wide_fees: DataFrame) -> DataFrame:
+    """Fees per client, asset, month and fee type with their invoices."""
+    lists = invoice_lists(invoice_lines(wide_fees)).withColumnsRenamed({name: f"_{name}" for name in FEE_KEYS})
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in FEE_KEYS])
+    return fee_sums(wide_fees).join(lists, same, "left").drop(*[f"_{name}" for name in FEE_KEYS])
+
+
 def fees_collapsed(accruals: DataFrame) -> DataFrame:
-    """Fee accruals without the fee type, one row per client, asset and month."""
+    """Fee accruals (or sums) without the fee type, one row per client, asset and month."""
+    lists = [_sorted_list("InvoiceReferences", " | ").alias(INVOICES)] if "InvoiceReferences" in accruals.columns else []
     return accruals.groupBy("CustomerId", "AssetId", "FeePeriod").agg(
         F.sum("TotalFeeAmountUSD").alias("TotalFeesUSD"),
         F.sum("BilledFeeAmountUSD").alias("BilledFeesUSD"),
         F.sum("PendingFeeAmountUSD").alias("PendingFeesUSD"),
         F.bool_and("AllFeesBilled").alias("AllFeesBilled"),
-        _sorted_list("InvoiceReferences", " | ").alias("AllInvoiceReferences"),
+        *lists,
+    )
+
+
+def with_invoices(df: DataFrame, lists: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """A spine or reconciliation with the invoices of its keys (``lists`` as :func:`invoice_lists` gives them)."""
+    collapsed = lists.groupBy("CustomerId", "AssetId", F.col("FeePeriod").alias("PositionPeriod")).agg(
+        _sorted_list("InvoiceReferences", " | ").alias(INVOICES)
     )
+    joined = join_by_key(df, collapsed, KEYS, hot)
+    place = df.columns.index("AllFeesBilled") + 1
+    return joined.select(*df.columns[:place], INVOICES, *df.columns[place:])
 
 
 def position_value_with_pending() -> Column:
@@ -142,7 +183,7 @@ def client_positions(
     hot: DataFrame | None = None,
     keep_salt: bool = False,
 ) -> DataFrame:
-    """The reporting spine: balances with client, asset, reward and fee attributes.
+    """The reporting spine: balances with client, asset, reward and fee attributes, and invoices if ``accruals`` has them.
 
     The two fact joins come first: they use the partitioning that the balances already have.
     """
@@ -176,7 +217,7 @@ def client_positions(
         *KEYS, *client_columns, *asset_columns,
         "PeriodEndDate", "PeriodEndQuantity", "PeriodEndPriceUSD", "PeriodEndValuationUSD", "CustodianLedgerRef",
         *reward_columns.values(),
-        "TotalFeesUSD", "BilledFeesUSD", "PendingFeesUSD", "AllFeesBilled", "AllInvoiceReferences",
+        "TotalFeesUSD", "BilledFeesUSD", "PendingFeesUSD", "AllFeesBilled", *[c for c in (INVOICES,) if c in spine.columns],
         position_value_with_pending().alias("TotalPositionValueWithNetpenUSD"),
         fee_without_balance().alias("ReconFlagFeeWithoutBalance"),
         (F.current_timestamp() if run_ts is None else run_ts).alias("_BuiltAt"),

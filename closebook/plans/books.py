@@ -37,8 +37,8 @@ class Books:
     reporting spine and, with a ``watch``, the reconciliation. By default they stay part of the plan; a close passes
     ``closebook.session.Scratch.keep``, so that the position snapshots are scanned once for the hot
     keys and once for the balances, however many results follow. Gate, statement and reports do not
-    output invoice lists; with ``invoice_lists=False`` a kept spine is built without collecting them,
-    and the two results that have such a column join it when they are asked for.
+    output invoice lists, so the spine is built without them, and the two results that have such a
+    column join it.
 
     With a ``watch`` (and a ``keep`` that writes) the gate's checks are counted while balances, spine and
     reconciliation are written, so the gate itself reads nothing unless a check may fail. With a ``period``
@@ -52,7 +52,6 @@ class Books:
         run_ts: Column | None = None,
         hot_rows: int = skew.HOT_ROWS,
         keep: Keep = lambda df, name: df,
-        invoice_lists: bool = True,
         watch: gate.Watch | None = None,
         period: date | None = None,
     ) -> None:
@@ -61,7 +60,6 @@ class Books:
         self.run_ts = run_ts
         self.hot_rows = hot_rows
         self.keep = keep
-        self.invoice_lists = invoice_lists
         self.watch = watch
         self.period = period
         self._wide: dict[str, DataFrame] = {}
@@ -108,23 +106,19 @@ class Books:
             customers,
             self.tables.ReferenceAssets,
             self.staking_rewards,
-            views.fee_accruals(fees),
+            views.fee_sums(fees),
             run_ts=self.run_ts,
             hot=self.hot,
             keep_salt=True,
         )
-        if not self.invoice_lists:
-            spine = spine.drop(views.INVOICES)
         return self.keep(spine, "client-positions")
 
+    @cached_property
+    def invoice_lists(self) -> DataFrame:
+        return views.invoice_lists(views.invoice_lines(self.wide("FeeEvents")))
+
     def _with_invoices(self, df: DataFrame) -> DataFrame:
-        """The invoice lists of a spine that was built without them."""
-        if views.INVOICES in df.columns:
-            return df
-        lists = views.fees_collapsed(self.fee_accruals).withColumnRenamed("FeePeriod", "PositionPeriod")
-        joined = skew.join_by_key(df, lists.select(*views.KEYS, views.INVOICES), views.KEYS, self.hot)
-        place = df.columns.index("AllFeesBilled") + 1
-        return joined.select(*df.columns[:place], views.INVOICES, *df.columns[place:])
+        return views.with_invoices(df, self.invoice_lists, self.hot)
 
     @property
     def balances(self) -> DataFrame:

@@ -77,7 +77,7 @@ def close_period(
     configure(tables.Customers.sparkSession)
     run_ts = _timestamp(run_at)
     with Scratch(tables.Customers.sparkSession) as scratch:
-        books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep, invoice_lists=False, watch=Watch())
+        books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep, watch=Watch())
         checks = require_green(books.close_gate)
         period = statement_period(run_at.date())
         target = export_statements(books.monthly_statement, export_folder, period)
@@ -112,7 +112,7 @@ def close_month(
     period, run_ts = period.replace(day=1), _timestamp(run_at)
     tables = read_months(spark, location, period)
     with Scratch(spark) as scratch:
-        books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep, invoice_lists=False, watch=Watch(), period=period)
+        books = Books(tables, entity, run_ts, hot_rows, keep=scratch.keep, watch=Watch(), period=period)
         checks = require_green(books.close_gate)
         statement = scratch.keep(books.monthly_statement, "statement")
         for name, attribute in MONTHLY.items():

@@ -80,20 +80,9 @@ def test_a_close_collects_no_invoice_lists(spark):
     def lists(df):
         return df._jdf.queryExecution().optimizedPlan().toString().count("listagg(InvoiceReference")
 
-    t = tables(spark, **clean())
-    assert lists(Books(t).client_positions) > 0
-    b = Books(t, invoice_lists=False)
+    b = Books(tables(spark, **clean()))
+    assert lists(b.client_positions) > 0 and lists(b.reconciliation) > 0
     assert [lists(df) for df in (b.close_gate, b.monthly_statement)] == [0, 0]
-    assert len(gate.require_green(b.close_gate)) == 6
-
-
-def test_results_have_one_schema_with_or_without_kept_lists(spark):
-    given = clean(fees=[fee("F1", MARCH, invoice="I1"), fee("F2", MARCH, invoice="I2", kind="staking")])
-    whole, slim = (Books(tables(spark, **given), invoice_lists=wanted) for wanted in (True, False))
-    for name in ("client_positions", "reconciliation"):
-        a, b = getattr(whole, name), getattr(slim, name)
-        assert a.dtypes == b.dtypes
-        assert a.first().AllInvoiceReferences == b.first().AllInvoiceReferences == "I1 | I2"
 
 
 class Scans:
@@ -123,7 +112,7 @@ def test_a_green_close_reads_each_fact_once_and_draws_no_sample(spark, monkeypat
     scans = Scans(spark, tables(spark, **given))
     monkeypatch.setattr(gate, "exceptions", lambda *_: pytest.fail("a green check was evaluated again"))
     with Scratch(spark) as scratch:
-        b = Books(scans.tables, keep=scratch.keep, invoice_lists=False, watch=gate.Watch())
+        b = Books(scans.tables, keep=scratch.keep, watch=gate.Watch())
         checks = gate.require_green(b.close_gate)
         assert [row.CheckName for row in checks] == NAMES
     read = {name: counter.value for name, counter in scans.rows.items()}
@@ -142,7 +131,7 @@ def test_watched_checks_agree_with_the_lazy_gate(spark):
     }
     t = tables(spark, **given)
     with Scratch(spark) as scratch:
-        watched = Books(t, keep=scratch.keep, invoice_lists=False, watch=gate.Watch()).close_gate
+        watched = Books(t, keep=scratch.keep, watch=gate.Watch()).close_gate
         assert sorted(watched.collect()) == sorted(Books(t).close_gate.collect())
         assert watched.dtypes == Books(t).close_gate.dtypes
 
@@ -154,7 +143,7 @@ def test_a_check_whose_rows_nobody_read_is_evaluated(spark, monkeypatch, missing
     given = clean(events=[event("E", MARCH, status="pending")], fees=[fee("F", MARCH, status="accrued")], clients=[client("C1", kyc="PENDING")])
     t = tables(spark, **{**given, missing: []})
     with Scratch(spark) as scratch:
-        watched = Books(t, keep=scratch.keep, invoice_lists=False, watch=gate.Watch()).close_gate.collect()
+        watched = Books(t, keep=scratch.keep, watch=gate.Watch()).close_gate.collect()
         assert sorted(watched) == sorted(Books(t).close_gate.collect())
         failing = {row.CheckName for row in watched if row.Status == "FAIL"}
         assert ("no_pending_events" in failing) == (missing != "events")

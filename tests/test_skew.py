@@ -115,7 +115,7 @@ def test_positions_are_shuffled_once_on_the_way_to_the_reconciliation(spark, tmp
     assert len(position_scans) == 2  # hot keys and balances; the other uses of the hot keys are shared
     assert "Reused" in plan
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(CustomerId" in line and SALT in line]
-    assert len(exchanges) == 4  # balances, rewards, fees, event totals: no second shuffle of the spine
+    assert len(exchanges) == 5  # balances, rewards, fees, event totals, invoices: no second shuffle of the spine
     assert "CreatedAt" not in "".join(position_scans)  # unused columns are not read
 
 

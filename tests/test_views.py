@@ -160,3 +160,19 @@ def test_run_stamp_is_a_parameter(spark):
     b = Books(tables(spark, positions=[position("P", MARCH)], clients=[client("C1")], assets=[asset("ETH")]), run_ts=stamp)
     stamps = {str(df.first()[-1]) for df in (b.client_positions, b.reconciliation, b.tie_out)}
     assert stamps == {"2025-04-02 06:00:00"}
+
+
+def test_invoice_lists_of_any_length_are_sorted(spark):
+    """Texts of few references each, put together in order; keys with nulls have lists of their own."""
+    many = [fee(f"F{k}", MARCH, invoice=f"I{k * 37 % 100:02}") for k in range(100)]
+    more = [fee("x", MARCH, invoice="B", client=None), fee("y", MARCH, invoice="A", client=None), fee("z", MARCH, kind=None, invoice="Z"), fee("n", MARCH, client="C9")]
+    b = books(spark, fees=[*many, *more])
+    lines = views.invoice_lines(b.wide("FeeEvents"))
+    assert lines.count() == 103
+    for rows in (1, 3, 7, 1000):
+        lists = views.invoice_lists(lines.repartition(8), chunk_rows=rows)
+        found = {(r.CustomerId, r.FeeType): r.InvoiceReferences for r in lists.collect()}
+        assert found == {("C1", "custody"): ", ".join(f"I{k:02}" for k in range(100)), (None, "custody"): "A, B", ("C1", None): "Z"}
+    accruals = {(r.CustomerId, r.FeeType): r for r in b.fee_accruals.collect()}
+    assert len(accruals) == 4 and accruals["C9", "custody"].InvoiceReferences is None
+    assert accruals[None, "custody"].InvoiceReferences == "A, B" and accruals["C1", None].InvoiceReferences == "Z"
