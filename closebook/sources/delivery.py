@@ -121,7 +121,9 @@ def deliver_report(config: Mapping[str, Any], source: DataFrame, root: str, peri
         order = [F.col(f"`{name}`") for name in [*sort, *[name for name in columns if name not in sort]]]
         # Amounts as plain digits: a writer left alone turns very small ones into powers of ten.
         plain = [F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name) for f in rows.schema if f.name != _CLIENT]
-        placed = named.repartition(_FILE).sortWithinPartitions(_FILE, *order)
+        # As many tasks as there are shuffle partitions, however few rows: with many small files creating them takes the time.
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // file_rows))
+        placed = named.repartition(tasks, _FILE).sortWithinPartitions(_FILE, *order)
         delete(spark, target)
         placed.select(_FILE, *plain).write.partitionBy(_FILE).options(header=True, escape='"').csv(staging)
         _move_files(spark, staging, target)
