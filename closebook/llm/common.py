@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +33,19 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, f"llm-{name}")
 
 
+def free_prefix(columns: Iterable[str]) -> str:
+    """Underscores with which none of the columns begins, for names of intermediate columns."""
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in columns), default=0))
+
+
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores behind it until no column is called so (in either case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def unit_interval(*columns: Column | str) -> Column:
     """A number in (0, 1) that depends on the columns alone: the first 52 bits of an MD5, centred."""
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("~")) for c in columns]

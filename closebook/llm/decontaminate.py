@@ -116,7 +116,7 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> list[Callable[[], list[tuple[object, str]]]]:
     """Parts of the benchmark, each of about ``BLOCK_BYTES`` of text."""
-    narrow = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).filter("text IS NOT NULL")
+    narrow = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).filter("text IS NOT NULL").distinct()
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES) or 1
     if n > 1:
@@ -129,35 +129,37 @@ RESULT = "struct<n_words: bigint, spans: array<struct<first: bigint, end: bigint
 
 
 def find(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW
-) -> DataFrame:
-    """The columns of ``docs`` and ``contamination``: number of words, hit runs of words and items found.
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW,
+    name: str = "contamination",
+) -> DataFrame:
+    """The columns of ``docs`` and ``contamination`` (or another ``name``): number of words, hit runs of words and items found.
 
     A window is ``window`` consecutive words of an item, or the whole of a shorter item that has
     words. A run is (first, end), end exclusive, in words; runs are disjoint and in order. Null
     texts have no words; items with a null text or without words have no windows, and a null item
     id marks words but is not listed. An empty benchmark finds nothing, an empty table of documents
     gives an empty result. Rows are taken one by one, so repeats each get their result. A column of
-    ``docs`` named ``contamination`` is replaced.
+    ``docs`` with that name is replaced.
 
     The windows of about ``BLOCK_BYTES`` of items are broadcast at once, so the sum of the items'
-    lengths is looked at first; a larger benchmark is taken in several such blocks, one after
-    another within the same scan.
+    lengths is looked at first; a larger benchmark is taken in several such blocks, and what one
+    block has found is written before the next is broadcast. Repeated items are taken once.
     """
-    found = docs.drop("contamination")
+    found = docs.drop(name)
     columns = found.columns
     kind = benchmark.schema[item].dataType
     result = RESULT.format(kind.simpleString())
-    schema = found.withColumn("contamination", F.lit(None).cast(result)).schema
-    result_type = schema["contamination"].dataType
+    schema = found.withColumn(name, F.lit(None).cast(result)).schema
+    result_type = schema[name].dataType
     spark = docs.sparkSession
-    for number, load in enumerate(_blocks(benchmark, item, item_text)):
+    blocks = _blocks(benchmark, item, item_text)
+    for number, load in enumerate(blocks):
         sent = spark.sparkContext.broadcast(Windows(load(), window))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, number=number) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 made = []
-                before = batch.column("contamination").to_pylist() if number else repeat(None)
+                before = batch.column(name).to_pylist() if number else repeat(None)
                 for value, old in zip(batch.column(text), before, strict=False):
                     words, runs, items = scan(value.as_py(), sent.value)
                     items = [i for i in items if i is not None]
@@ -166,9 +168,12 @@ def find(
                         items = sorted({*items, *old["items"]}, key=str)
                     made.append({"n_words": words, "spans": [{"first": a, "end": b} for a, b in runs], "items": items})
                 kept = pa.array(made, to_arrow_type(result_type))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), kept], [*columns, "contamination"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), kept], [*columns, name])
 
-        found = found.select(*columns, *(["contamination"] if number else [])).mapInArrow(run, schema)
+        found = found.select(*columns, *([name] if number else [])).mapInArrow(run, schema)
+        if number + 1 < len(blocks):
+            found = keep(found, name)
+            sent.unpersist()
     return found
 
 
@@ -176,15 +181,16 @@ def n_hit(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["first"])
 
 
-def remove(found: DataFrame, text: str = "text", share: float = 0.2) -> DataFrame:
+def remove(found: DataFrame, text: str = "text", share: float = 0.2, name: str = "contamination") -> DataFrame:
     """Clean documents unchanged, slightly contaminated ones without their hit words, the rest dropped.
 
     ``found`` comes from :func:`find`. A document of which more than ``share`` of the words are hit
     goes; otherwise every run of hit words is cut out together with the separators inside it. The
-    columns are those of ``found`` without ``contamination``. A null text stays null.
+    columns are those of ``found`` without that of :func:`find`. A null text stays null.
     """
-    columns = [c for c in found.columns if c != "contamination"]
-    hit, words = n_hit(F.col("contamination.spans")), F.col("contamination.n_words")
+    columns = [c for c in found.columns if c != name]
+    spans = F.col(f"`{name}`.spans")
+    hit, words = n_hit(spans), F.col(f"`{name}`.n_words")
     kept = found.filter(hit <= words * share)
 
     @F.pandas_udf("string")
@@ -192,8 +198,8 @@ def remove(found: DataFrame, text: str = "text", share: float = 0.2) -> DataFram
         made = [without(t, [(int(x["first"]), int(x["end"])) for x in s]) for t, s in zip(texts, spans, strict=True)]
         return pd.Series(made, dtype=object)
 
-    clean = F.when(F.size("contamination.spans") == 0, F.col(text)).otherwise(cut(F.col(text), F.col("contamination.spans")))
-    return kept.select(*[clean.alias(c) if c == text else F.col(c) for c in columns])
+    clean = F.when(F.size(spans) == 0, F.col(text)).otherwise(cut(F.col(text), spans))
+    return kept.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in columns])
 
 
 def without(text: str | None, runs: list[tuple[int, int]]) -> str | None:

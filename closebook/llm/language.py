@@ -27,25 +27,25 @@ _letters = np.array([chr(c).isalpha() for c in range(1 << 16)])
 _FOLD = np.where(_letters, np.arange(1 << 16), 32).astype(np.uint32)
 
 
-def grams(text: str) -> np.ndarray:
-    """Hashes of the n-grams of a lower-case text whose runs of other characters than letters are one blank."""
-    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype=np.uint32)
-    codes = np.where(codes < 1 << 16, _FOLD[np.minimum(codes, (1 << 16) - 1)], codes)
-    blank = codes == 32
-    codes = codes[np.concatenate(([True], ~(blank[1:] & blank[:-1])))]
-    n = len(codes) - GRAM + 1
-    if n < 1:
-        return np.zeros(0, dtype=np.uint64)
-    value = np.zeros(n, dtype=np.uint64)
-    for k in range(GRAM):
-        value = value * MIX + codes[k : k + n] + np.uint64(1)
-    return value ^ (value >> np.uint64(29))
-
-
-def segments(text: str) -> Iterator[str]:
-    """Parts of a text that overlap by what an n-gram may span."""
-    for start in range(0, max(len(text), 1), SEGMENT):
-        yield text[max(start - GRAM + 1, 0) : start + SEGMENT]
+def grams(text: str) -> Iterator[np.ndarray]:
+    """Hashes of the n-grams of a text in lower case, between two blanks, whose runs of other characters than letters are one blank.
+
+    They come in parts of about ``SEGMENT``; the last characters of a part are carried into the next, so
+    the parts together are the n-grams of the whole text.
+    """
+    text = f" {text.lower()} "
+    codes = np.zeros(0, dtype=np.uint32)
+    for start in range(0, len(text), SEGMENT):
+        new = np.frombuffer(text[start : start + SEGMENT].encode("utf-32-le", "replace"), dtype=np.uint32)
+        codes = np.concatenate((codes, np.where(new < 1 << 16, _FOLD[np.minimum(new, (1 << 16) - 1)], new)))
+        blank = codes == 32
+        codes = codes[np.concatenate(([True], ~(blank[1:] & blank[:-1])))]
+        n = max(len(codes) - GRAM + 1, 0)
+        value = np.zeros(n, dtype=np.uint64)
+        for k in range(GRAM if n else 0):
+            value = value * MIX + codes[k : k + n] + np.uint64(1)
+        yield value ^ (value >> np.uint64(29))
+        codes = codes[n:]
 
 
 def slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,8 +68,8 @@ class Filters:
     def counts(self, text: str) -> tuple[np.ndarray, int]:
         """Of how many n-grams each language's filter has both slots, and the number of n-grams."""
         found, total = np.zeros(len(self.languages), dtype=np.int64), 0
-        for part in segments(text):
-            one, two = slots(grams(part))
+        for part in grams(text):
+            one, two = slots(part)
             total += len(one)
             for w in range(len(self.table)):
                 masks = self.table[w][one] & self.table[w][two]
@@ -117,7 +117,7 @@ def fit(labelled: DataFrame, text: str, lang: str, stable: list[str], sample: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value, name in zip(batch.column("text"), batch.column("lang"), strict=True):
-                found = np.unique(np.concatenate([grams(s) for s in segments(value.as_py())])).view(np.int64)
+                found = np.unique(np.concatenate(list(grams(value.as_py())))).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(found), pa.string()), pa.array(found)], ["lang", "gram"])
 
     seen = chosen.select("text", "lang").mapInArrow(run, "lang string, gram long").groupBy("lang", "gram").count()
@@ -135,7 +135,8 @@ def fit(labelled: DataFrame, text: str, lang: str, stable: list[str], sample: in
 def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     """``docs`` without the text, with ``lang_pred`` and ``score``.
 
-    A text that is null or has no letter is ``und`` with score 0, as is everything if nothing was learned. Each row is judged by its
+    A text that is null or has no letter is ``und`` with score 0, as is everything if nothing was learned. Of languages with equal
+    shares the first by name is taken; a text of which no n-gram is known gets it too, with one nth of n languages as its score. Each row is judged by its
     text alone, the whole of it; columns of ``docs`` with these names are replaced.
     """
     docs = docs.drop(*[c for c in ("lang_pred", "score") if c != text])

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import WORD_CLASS, WORD_PATTERN, keep
+from closebook.llm.common import WORD_CLASS, WORD_PATTERN, free_prefix, keep
 
 
 @dataclass(frozen=True)
@@ -76,15 +76,16 @@ def index(docs: DataFrame, text: str, words: list[str], phrases: Sequence[Templa
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     # One projection after another, so that each result is computed once.
-    split = docs.select(*others, F.regexp_extract_all(folded(text), F.lit(WORD_PATTERN), F.lit(0)).alias("_found"))
-    looked_up = split.withColumn("present", F.array_intersect("_found", F.array(*[F.lit(w) for w in words])))
+    found = free_prefix(docs.columns) + "found"
+    split = docs.select(*others, F.regexp_extract_all(folded(text), F.lit(WORD_PATTERN), F.lit(0)).alias(found))
+    looked_up = split.withColumn("present", F.array_intersect(found, F.array(*[F.lit(w) for w in words])))
     needed = [set(t.words) for t in phrases] + [{w for key in t.keys for w in key.split()} for t in notices]
     possible = reduce(
         lambda a, b: a | b,
         [reduce(lambda a, b: a & b, [F.array_contains("present", w) for w in sorted(ws)]) for ws in needed],
     )
-    size = F.size("_found").cast("long").alias("n_words")
-    return looked_up.select(*others, size, "present", F.when(possible, F.col("_found")).alias("body"))
+    size = F.size(found).cast("long").alias("n_words")
+    return looked_up.select(*others, size, "present", F.when(possible, F.col(found)).alias("body"))
 
 
 def frequencies(indexed: DataFrame, words: list[str]) -> dict[str, int]:
@@ -118,18 +119,20 @@ def scan(docs: DataFrame, text: str = "text", phrases: Sequence[Template] = PHRA
     """
     results = ["n_words", "present", "body", "spans", "base_labels", "labels", "license_score"]
     docs = docs.drop(*[c for c in results if c != text])
+    own = free_prefix(docs.columns)  # of intermediate columns
+    postings = f"{own}postings"
     templates = [*phrases, *notices]
     words = vocabulary(templates)
     indexed = keep(index(docs, text, words, phrases, notices), "licence-index")
     df = frequencies(indexed, words)
     posted = F.filter(F.transform("body", lambda w, k: F.struct(w.alias("word"), k.alias("place"))), lambda p: p["word"].isin(words))
-    indexed = indexed.withColumn("postings", F.coalesce(posted, F.array().cast("array<struct<word: string, place: int>>")))
+    indexed = indexed.withColumn(postings, F.coalesce(posted, F.array().cast("array<struct<word: string, place: int>>")))
     by_word = [
-        F.transform(F.filter("postings", lambda p: p["word"] == w), lambda p: p["place"]).alias(f"_{k}") for k, w in enumerate(words)
+        F.transform(F.filter(postings, lambda p: p["word"] == w), lambda p: p["place"]).alias(f"{own}{k}") for k, w in enumerate(words)
     ]
     others = [F.col(f"`{c}`") for c in indexed.columns if c not in ("present", "body")]
     places = indexed.select(*others, *by_word)
-    columns = {w: F.col(f"_{k}") for k, w in enumerate(words)}
+    columns = {w: F.col(f"{own}{k}") for k, w in enumerate(words)}
 
     def rarest(listed: Sequence[str]) -> list[int]:
         return sorted(range(len(listed)), key=lambda k: (df[listed[k]], k))
@@ -154,13 +157,13 @@ def scan(docs: DataFrame, text: str = "text", phrases: Sequence[Template] = PHRA
         agree = sum(F.when(F.size(F.array_intersect(both, s)) > 0, 1).otherwise(0) for s in starts[2:]) if len(starts) > 2 else F.lit(0)
         return F.when(F.size(both) > 0, (agree + len(starts[:2])) / F.lit(float(len(starts)))).otherwise(F.lit(0.0))
 
-    scored = places.select(*others, *[f"_{k}" for k in range(len(words))], spans.alias("spans"), *[share(t).alias(f"_share{k}") for k, t in enumerate(notices)])
+    scored = places.select(*others, *[f"{own}{k}" for k in range(len(words))], spans.alias("spans"), *[share(t).alias(f"{own}share{k}") for k, t in enumerate(notices)])
     named = []
     for k, t in enumerate(notices):
         keys = reduce(lambda a, b: a & b, [F.size(consecutive(key.split())) > 0 for key in t.keys])
-        named.append(F.when((F.col(f"_share{k}") >= SHARE) & keys, F.lit(t.label)))
+        named.append(F.when((F.col(f"{own}share{k}") >= SHARE) & keys, F.lit(t.label)))
     base = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["label"])))
     labels = F.array_sort(F.array_distinct(F.concat(base, F.array_compact(F.array(*named)))))
-    score = F.greatest(F.when(F.size("spans") > 0, 1.0).otherwise(0.0), *[F.col(f"_share{k}") for k in range(len(notices))])
-    kept = [F.col(f"`{c}`") for c in indexed.columns if c not in ("present", "body", "postings")]
+    score = F.greatest(F.when(F.size("spans") > 0, 1.0).otherwise(0.0), *[F.col(f"{own}share{k}") for k in range(len(notices))])
+    kept = [F.col(f"`{c}`") for c in indexed.columns if c not in ("present", "body", postings)]
     return scored.select(*kept, "spans", base.alias("base_labels"), labels.alias("labels"), score.alias("license_score"))

@@ -310,8 +310,10 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     smallest hash of all columns; of rows that are equal throughout one stays. An empty table gives an empty result.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    hashed = docs.select(F.struct(*columns).alias("_doc"), F.col(id_column).alias("_own"), F.xxhash64(*columns).alias("_hash"))
-    narrow = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(*columns).alias("row"), F.col(text).alias("text"))
+    maps = {f.name for f in docs.schema if "map<" in f.dataType.simpleString()}  # have no hash
+    row = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if c in maps else F.col(f"`{c}`") for c in docs.columns])
+    hashed = docs.select(F.struct(*columns).alias("_doc"), F.col(id_column).alias("_own"), row.alias("_hash"))
+    narrow = docs.select(F.col(id_column).alias("doc_id"), row.alias("row"), F.col(text).alias("text"))
     fps = keep(fingerprints(narrow, "text", shingle), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = fps.join(with_components(fps, radius), "fp").groupBy("root").agg(F.min(order).alias("first"))

@@ -40,12 +40,13 @@ class Encoder:
     Its pattern always starts a new unit at a blank that is followed by another character than
     white space, and a unit's ids depend on nothing else; so texts are cut there and the ids of a
     piece are remembered. New pieces are encoded together: as blanks occur only at their starts, the ids
-    that begin with a blank tell them apart.
+    that begin with a blank tell them apart. A text that holds the string of one of the vocabulary's added tokens
+    is encoded as a whole, since such a token may swallow what stands beside it.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         blank = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
@@ -59,6 +60,11 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
+    def _pieces(self, text: str) -> list[str]:
+        if any(content in text for content in self.added):
+            return [text]
+        return CUT.split(text) if UNSURE.search(text) else text.split(" ")
+
     def _learn(self, pieces: set[str]) -> None:
         """Remember the ids of new pieces without blanks, each with a blank before it."""
         if self.older:
@@ -82,7 +88,7 @@ class Encoder:
         """Ids of each text as bytes (null: none)."""
         if len(self.known) > CACHED:
             self.known, self.older = {}, self.known
-        cut = [CUT.split(t) if UNSURE.search(t) else t.split(" ") for t in ("" if t is None else t for t in texts)]
+        cut = [self._pieces("" if t is None else t) for t in texts]
         opening = [pieces.pop(0) for pieces in cut]
         new = set().union(*cut).difference(self.known)
         if new:

@@ -19,12 +19,10 @@ PRECISION = 0.9  # of a word's documents, and of its surroundings, that must be
 SUPPORT = 3  # toxic documents that a word must be in
 SURROUNDINGS = 8  # different pairs of neighbours that a word must have in toxic documents
 PIECE = 32  # words of a training sequence
-REACH = 16  # words around a known word for which marginals are worked out
-FLOOR = 0.01  # smaller marginals count as clean, or very long texts would add up to toxic ones
 STEPS = 300
 PENALTY = 0.05
 REJECT = 0.7
-SEGMENT = 1 << 20
+SEGMENT = 1 << 20  # bytes of a text that are split into words at once
 
 
 @dataclass
@@ -76,45 +74,93 @@ class Field:
                 pairs[:, i, j] = np.where(real[:, 1:], np.exp(joint), 0.0).sum(axis=1)
         return marginal, pairs, total
 
-    def marginals(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Places near known words, and their toxic marginals.
+    def known_words(self, ids: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Chance that a known word of a chain is toxic, the places of known words and of those beside them, and their toxic marginals.
 
-        The chain has forgotten a known word after ``REACH`` words; in between, all places have the
-        same marginal, which is far below ``FLOOR``, so they are left out.
+        All are exact for the whole chain. Elsewhere every word multiplies the same 2 x 2 matrix, so the words between two
+        places are a power of it. The chance compares the chain with the one whose known words must be clean. Unknown words
+        may be in either state in both, so a text is not the more toxic for being long.
         """
-        if self.number.keys().isdisjoint(words):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        ids = np.fromiter(map(self.number.get, words, repeat(0)), np.int64, len(words))
-        hit = np.flatnonzero(ids)
-        cuts = np.flatnonzero(np.diff(hit) > 2 * REACH) + 1
-        places, values = [], []
-        for part in np.split(hit, cuts):
-            first, last = max(part[0] - REACH, 0), min(part[-1] + REACH + 1, len(ids))
-            places.append(np.arange(first, last))
-            values.append(self.forward_backward(ids[None, first:last])[0][0])
-        return np.concatenate(places), np.concatenate(values)
+        hit = np.flatnonzero(ids > 0)
+        if not len(hit):
+            return 0.0, hit, np.zeros(0)
+        places = np.unique(np.concatenate((hit - 1, hit, hit + 1)))
+        places = places[(places >= 0) & (places < len(ids))]
+        known = np.pad(ids > 0, 1)
+        by_word = np.concatenate(([0.0], self.emit[3:]))[ids[places]]
+        toxic = np.exp(self.emit[0] + self.emit[1] * known[places] + self.emit[2] * known[places + 2] + by_word)
+        clean_only = np.where(ids[places] > 0, 0.0, toxic)
+        start = np.array([1.0, np.exp(self.emit[0])])
+        pair = np.exp(self.move)
+        root, vectors = np.linalg.eig(pair * start)  # of positive entries, so both are real and differ
+        root, inverse = root / root.max(), np.linalg.inv(vectors)
+
+        def power(exponents: np.ndarray) -> np.ndarray:
+            return np.maximum(np.einsum("ij,kj,jl->kil", vectors, root ** exponents[:, None].astype(float), inverse), 0)
+
+        steps = power(np.diff(places) - 1) @ pair
+        tail = power(np.array([len(ids) - 1 - places[-1]]))[0].sum(axis=1)
+        first = start @ power(places[:1] - 1)[0] @ pair if places[0] else np.ones(2)
+
+        flat = steps.reshape(-1, 4).tolist()
+
+        def ahead(weights: np.ndarray) -> tuple[list[float], float]:
+            """The toxic part of the forward sums at each place, and the logarithm of the sum over all state sequences."""
+            x, y = float(first[0]), float(first[1] * weights[0])
+            total = np.log(x + y)
+            x, y = x / (x + y), y / (x + y)
+            parts, sizes = [y], []
+            for (a, b, c, d), w in zip(flat, weights[1:].tolist(), strict=True):
+                x, y = x * a + y * c, (x * b + y * d) * w
+                size = x + y
+                x, y = x / size, y / size
+                parts.append(y)
+                sizes.append(size)
+            return parts, float(total + np.log(sizes).sum() + np.log(x * tail[0] + y * tail[1]))
+
+        parts, whole = ahead(toxic)
+        clean = ahead(clean_only)[1]
+        x, y = tail.tolist()
+        later = [y / (x + y)]
+        for (a, b, c, d), w in zip(reversed(flat), reversed(toxic[1:].tolist()), strict=True):
+            x, y = a * x + b * w * y, c * x + d * w * y
+            x, y = x / (x + y), y / (x + y)
+            later.append(y)
+        before, after = np.array(parts), np.array(later[::-1])
+        marginal = before * after / (before * after + (1 - before) * (1 - after))
+        return float(-np.expm1(min(clean - whole, 0.0))), places, marginal
 
     def judge(self, text: str | None) -> tuple[float, list[dict]]:
-        """Chance that any word of a text is toxic, and the words that probably are: code point offsets and marginal."""
+        """Chance that any known word of a text is toxic, and the words that probably are: code point offsets and marginal."""
         data = (text or "").encode("utf-8", "replace")
         folded = data.translate(FOLD)
-        clean, spans, start = 0.0, [], 0
+        bounds, numbers, start = [], [], 0
         while start < len(folded):
             stop = min(start + SEGMENT, len(folded))
             while stop < len(folded) and folded[stop] != 0x20:
                 stop += 1
-            part = folded[start:stop]
-            place, value = self.marginals(part.split())
-            clean += float(np.log1p(-np.minimum(value[value >= FLOOR], 1 - 1e-12)).sum())
-            wanted = {int(p): float(v) for p, v in zip(place, value, strict=True) if v >= 0.5}
-            if wanted:
-                for k, word in enumerate(WORD.finditer(part)):
-                    if k in wanted:
-                        begin = len(data[: start + word.start()].decode("utf-8", "replace"))
-                        end = begin + len(word.group().decode("utf-8", "replace"))
-                        spans.append({"start": begin, "end": end, "marginal": wanted[k]})
+            words = folded[start:stop].split()
+            if self.number.keys().isdisjoint(words):
+                numbers.append(np.zeros(len(words), dtype=np.int32))
+            else:
+                numbers.append(np.fromiter(map(self.number.get, words, repeat(0)), np.int32, len(words)))
+            bounds.append((start, stop))
             start = stop
-        return float(-np.expm1(clean)), spans
+        if not any(n.any() for n in numbers):
+            return 0.0, []
+        chance, places, marginal = self.known_words(np.concatenate(numbers))
+        wanted = dict(zip(places[marginal >= 0.5].tolist(), marginal[marginal >= 0.5].tolist(), strict=True))
+        spans, first, at, code_points = [], 0, 0, 0
+        for (start, stop), ids in zip(bounds, numbers, strict=True):
+            if not wanted.keys().isdisjoint(range(first, first + len(ids))):
+                for k, word in enumerate(WORD.finditer(folded, start, stop), first):
+                    if k in wanted:
+                        code_points += len(data[at : word.start()].decode("utf-8", "replace"))
+                        at = word.start()
+                        end = code_points + len(word.group().decode("utf-8", "replace"))
+                        spans.append({"start": code_points, "end": end, "marginal": wanted[k]})
+            first += len(ids)
+        return chance, spans
 
 
 def _train(words: list[bytes], ids: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> Field:
@@ -166,7 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     part = min(1.0, sample / max(known.count(), 1))
     # About ``sample`` rows of two numbers: small enough to be sent to every task.
     known = F.broadcast(known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < round(part * (1 << 20))))
-    rows = docs.join(known, F.col(id_column) == F.col("_id")).select(F.col(text).alias("text"), (F.col("_toxic") > 0).alias("toxic"))
+    narrow = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("text"))
+    rows = narrow.join(known, "_id").select("text", (F.col("_toxic") > 0).alias("toxic"))
     rows = keep(rows, "labelled")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,8 +270,8 @@ RESULT = "struct<score: double, spans: array<struct<start: bigint, end: bigint,
 def score(docs: DataFrame, model: Field, text: str = "text", name: str = "toxicity") -> DataFrame:
     """``docs`` with ``toxicity``: the score of the whole text, and the offending words by offset in code points.
 
-    The score is the chance that at least one word is toxic, by the marginals of the field. A null
-    or empty text scores 0 without spans. Rows are judged one by one; a column of that name is replaced.
+    The score is the chance that at least one known word is toxic, by the field over the whole text. A null
+    or empty text, or one without known words, scores 0 without spans. Rows are judged one by one; a column of that name is replaced.
     """
     docs = docs.drop(name)
     columns = docs.columns

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from closebook.llm import chat, components, decontaminate, language, licenses, mixing, sharding, simhash, tokens, toxicity, vectors
-from closebook.llm.common import LOWER, WORD_CLASS
+from closebook.llm.common import LOWER, WORD_CLASS, free_name
 
 TOKEN_CLASS = r"[^\x20\x09-\x0D]+"
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,7 +79,6 @@ def test_token_files(spark):
     files = tokens.write(docs, tokens.new_folder(docs), BPE, length=16)
     found = {(r.doc_id, r.n_tokens, r.ids_crc32): r.start for r in tokens.read(files).collect()}
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
     rows = [(r.doc_id, plain.encode(r.text or "", add_special_tokens=False).ids + [2]) for r in docs.collect()]
     expected = [(i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in rows]
     assert set(found) == set(expected)
@@ -222,6 +222,15 @@ def test_language_filters(spark):
     assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_no_grams_are_made_up_at_borders_of_segments(monkeypatch):
+    text = "Über die   Brücke -- 12 Häuser\n und\ud800 \U0001f600 東京  \t weit"
+    whole = np.concatenate(list(language.grams(text)))
+    for size in (1, 2, 3, 7, 10):
+        monkeypatch.setattr(language, "SEGMENT", size)
+        assert np.concatenate(list(language.grams(text))).tolist() == whole.tolist()
+    assert language.Filters(["a", "b"], np.zeros((1, 1 << 20), dtype=np.uint64)).decide("xyz", np.zeros(2)) == ("a", 0.5)
+
+
 def test_a_rare_language_is_learnt_beside_a_frequent_one(spark):
     rows = [(k, f"alpha gamma delta number{k % 7}", "aa") for k in range(4000)] + [(k, "zwolf uber kirche munster", "bb") for k in range(4000, 4006)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -285,6 +294,44 @@ def test_every_sure_word_is_toxic_however_rare_or_accompanied(spark):
     assert model.judge("w1 w2 scum w3 w4")[0] >= toxicity.REJECT and model.judge("w1 w2 w3")[0] < 0.1
 
 
+def by_enumeration(model, ids):
+    """Chance that a known word is toxic, and the marginal of every place."""
+    scores = model.toxic_scores(np.array([ids]))[0]
+    total, chance, marginal = 0.0, 0.0, np.zeros(len(ids))
+    for states in itertools.product((0, 1), repeat=len(ids)):
+        weight = np.exp(sum(s * x for s, x in zip(states, scores, strict=True)) + sum(model.move[a, b] for a, b in itertools.pairwise(states)))
+        total += weight
+        chance += weight * any(s and k for s, k in zip(states, ids, strict=True))
+        marginal += weight * np.array(states)
+    return chance / total, marginal / total
+
+
+@pytest.mark.parametrize("segment", [1 << 20, 6])
+@pytest.mark.parametrize("text", ["bad", "a", "a b", "bad a", "a b c d e bad", "bad a b c d e f vile g", "a bad vile b c d bad", "a b c bad d e f g h bad", "bad bad bad"])
+def test_score_and_spans_of_whole_texts_by_enumeration(text, segment, monkeypatch):
+    monkeypatch.setattr(toxicity, "SEGMENT", segment)
+    model = toxicity.Field([b"bad", b"vile"], np.array([-1.0, 0.4, -0.3, 2.0, 1.1]), np.array([[0.2, -0.5], [0.1, 0.7]]))
+    words = text.split()
+    ids = np.array([model.number.get(w.encode(), 0) for w in words])
+    chance, marginal = by_enumeration(model, ids)
+    score, spans = model.judge(text.replace(" ", " , "))
+    assert score == pytest.approx(chance if ids.any() else 0)
+    _, places, found = model.known_words(ids)
+    assert found == pytest.approx(marginal[places])
+    assert set(np.flatnonzero(ids)) <= set(places.tolist())
+    starts = [m.start() for m in re.finditer(r"[a-z]+", text.replace(" ", " , "))]
+    assert [s["start"] for s in spans] == [starts[k] for k in places if marginal[k] >= 0.5]
+
+
+def test_long_texts_are_no_more_toxic_and_take_no_longer_a_word(monkeypatch):
+    model = toxicity.Field([b"bad"], np.array([-6.0, 0.4, -0.3, 9.0]), np.array([[0.2, -0.5], [0.1, 0.7]]))
+    short, _ = model.judge("é one two bad three four")
+    long, spans = model.judge("é " + "word " * 300_000 + "bad" + " word" * 300_000)
+    assert long == pytest.approx(short, abs=0.01) and [(s["start"], s["end"]) for s in spans] == [(1_500_002, 1_500_005)]
+    score, spans = model.judge("so bad é " * 100_000)
+    assert score == pytest.approx(1) and len(spans) == 100_000 and spans[-1]["start"] == 9 * 99_999 + 3
+
+
 def test_places_after_the_end_count_for_nothing():
     model = toxicity.Field([b"bad"], np.array([-1.0, 0.4, -0.3, 2.0]), np.array([[0.2, -0.5], [0.1, 0.7]]))
     whole = model.forward_backward(np.array([[0, 1, 0, 1]]))
@@ -307,6 +354,25 @@ def test_insults_that_close_texts_are_learnt(spark):
     assert all((s >= toxicity.REJECT) == (k % 4 == 0) for k, s in enumerate(scores))
 
 
+def test_columns_of_any_name_stay(spark):
+    """Internal names give way to those of the table."""
+    names = ("_id", "_toxic", "_0", "_share0", "postings", "contamination", "toxicity", "__found")
+    docs = documents(spark).selectExpr("*", "map('k', doc_id) AS m", *[f"{k} AS {n}" for k, n in enumerate(names)])
+    labels = spark.createDataFrame([(0, 0), (5, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, model, name=free_name(docs.columns, "toxicity"))
+    assert scored.drop("toxicity_").columns == docs.columns and scored.count() == docs.count()
+    scanned = licenses.scan(docs)
+    assert [c for c in docs.columns if c in scanned.columns] == [c for c in docs.columns if c != "text"]
+    assert {(r["_0"], r["postings"]) for r in scanned.collect()} == {(2, 4)}
+    items = spark.createDataFrame([("i", "a b c d e f g h i j k l m"), ("i", "a b c d e f g h i j k l m")], "item_id string, text string")
+    name = free_name(docs.columns, "contamination")
+    kept = decontaminate.remove(decontaminate.find(docs, items, name=name), name=name)
+    assert kept.columns == docs.columns and {r["contamination"] for r in kept.collect()} == {5}
+    single = simhash.deduplicate(docs)
+    assert single.columns == docs.columns and 0 < single.count() < docs.count()
+
+
 # Chats.
 
 
