@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.llm import decontaminate, language, mixing, sharding, simhash, toxicity
-from closebook.llm.common import keep, table
+from closebook.llm.common import free_name, keep, table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; the field is fitted to the labels of two thirds of them."""
     labels = table(spark, sf_dir, "labels").filter(language.fold("doc_id", 3) != 1)
-    scored = toxicity.score(docs, toxicity.fit(docs, labels))
-    return scored.filter(F.col("toxicity.score") < toxicity.REJECT).drop("toxicity")
+    name = free_name(docs.columns, "toxicity")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), name=name)
+    return scored.filter(F.col(f"{name}.score") < toxicity.REJECT).drop(name)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages; those that mostly consist of them go. ``n_chars`` follows the text."""
-    found = decontaminate.remove(decontaminate.find(docs, table(spark, sf_dir, "benchmark")))
+    name = free_name(docs.columns, "contamination")
+    found = decontaminate.remove(decontaminate.find(docs, table(spark, sf_dir, "benchmark"), name=name), name=name)
     if "n_chars" not in docs.columns:
         return found
     length = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
