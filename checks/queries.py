@@ -23,6 +23,7 @@ from closebook.functions.calcs import REGISTRY
 from closebook.operators import contracts, gate, quality, reports, statement, tieout, views
 from closebook.operators.assembly import calc_table, join_calc_tables, micro_calc, wide_table
 from closebook.plans.books import Books
+from closebook.plans.bucketed import BucketedBooks
 from closebook.plans.close import close_month, close_period
 from closebook.schemas import FACTS, SCHEMAS, SemanticTables
 from closebook.session import configure, materialise, scratch_path
@@ -60,6 +61,13 @@ def register(name: str, query: Callable[[SemanticTables], DataFrame], sql: str |
         ORACLES[name] = oracle.with_views(sql)
 
 
+def bucketed(t: SemanticTables, **options: int) -> BucketedBooks:
+    """Books over bucketed tables in the shared folder, as many buckets as shuffle partitions."""
+    spark = t.Customers.sparkSession
+    folder, buckets = scratch_path(spark, "bucketed"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return BucketedBooks(t, f"closebook_{uuid4().hex}", buckets, folder, keep=materialise, **options)
+
+
 def snake(name: str) -> str:
     """ValuationUSDRounded -> valuation_usd_rounded."""
     return re.sub(r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).lower()
@@ -227,6 +235,14 @@ register(
     lambda t: Books(t, hot_rows=1).monthly_statement.drop("StatementGeneratedAt"),
     _STATEMENT_SQL,
 )
+# The same over tables bucketed by client, asset and month; and with every key of two rows or more apart from them.
+register("monthly_statement_bucketed", lambda t: bucketed(t).monthly_statement.drop("StatementGeneratedAt"), _STATEMENT_SQL)
+register(
+    "monthly_statement_bucketed_salted",
+    lambda t: bucketed(t, hot_rows=1).monthly_statement.drop("StatementGeneratedAt"),
+    _STATEMENT_SQL,
+)
+register("reconciliation_bucketed", lambda t: bucketed(t).reconciliation.drop("ReconciliationRunAt"), _RECON_SQL)
 register(
     "prior_period_join",
     lambda t: statement.with_prior_period(statement.approved_only(Books(t).client_positions)).select(

@@ -25,12 +25,9 @@ def approved_only(positions: DataFrame) -> DataFrame:
     return positions.filter(F.col("KycStatus") == K.APPROVED)
 
 
-def with_prior_period(positions: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Left self-join with the month before; several rows per key fan out.
-
-    The prior side is shifted forward by a month, so the current side keeps its partitioning.
-    """
-    prior = unsalted(positions).select(
+def prior_rows(positions: DataFrame) -> DataFrame:
+    """What a statement shows of the month before, by the month that shows it."""
+    return unsalted(positions).select(
         "CustomerId",
         "AssetId",
         F.add_months("PositionPeriod", 1).alias("PositionPeriod"),
@@ -38,7 +35,15 @@ def with_prior_period(positions: DataFrame, hot: DataFrame | None = None) -> Dat
         F.col("PeriodEndValuationUSD").alias("PriorPeriodValuationUSD"),
         F.col("SettledNetRewards").alias("PriorPeriodSettledNetRewards"),
     )
-    return join_by_key(positions, prior, KEYS, hot)
+
+
+def with_prior_period(positions: DataFrame, hot: DataFrame | None = None, prior: DataFrame | None = None) -> DataFrame:
+    """Left join with the month before; several rows per key fan out.
+
+    The prior side, :func:`prior_rows` of the same positions unless it is given, is shifted forward by a month, so the
+    current side keeps its partitioning.
+    """
+    return join_by_key(positions, prior_rows(positions) if prior is None else prior, KEYS, hot)
 
 
 def change(current: str, prior: str) -> Column:
@@ -69,8 +74,9 @@ def monthly_statement(
     entity: str = K.DEFAULT_ENTITY,
     run_ts: Column | None = None,
     hot: DataFrame | None = None,
+    prior: DataFrame | None = None,
 ) -> DataFrame:
-    """Statement rows of approved clients with changes against the prior month (unordered)."""
+    """Statement rows of approved clients with changes against the prior month (unordered), see :func:`with_prior_period`."""
     reward_columns = (
         "SettledNetRewards", "TotalNetRewardsAllStates", "NetPendingRewards", "PriorPeriodSettledNetRewards",
     )
@@ -84,7 +90,7 @@ def monthly_statement(
         "IssuingEntity": F.lit(entity),
         **{name: if_stakeable(name) for name in reward_columns},
     }
-    rows = with_prior_period(approved_only(positions), hot)
+    rows = with_prior_period(approved_only(positions), hot, prior)
     return rows.select(*[computed.get(name, F.col(name)).alias(name) for name in STATEMENT_COLUMNS])
 
 
