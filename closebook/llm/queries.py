@@ -31,6 +31,29 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+# Every pair of a label, and reachability by following links.
+ORACLES["op4_embedding_dedup"] = r"""
+WITH RECURSIVE vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+  SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM vectors
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+links AS (
+  SELECT a.vec_id AS one, b.vec_id AS other FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+),
+reached AS (
+  SELECT vec_id AS root, vec_id AS node FROM vectors
+  UNION
+  SELECT r.root, l.other FROM reached r JOIN links l ON l.one = r.node
+),
+counted AS (SELECT one, count(*) AS n FROM links GROUP BY one),
+grouped AS (SELECT root, min(node) AS component_id FROM reached GROUP BY root)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, g.component_id, v.vec_id = g.component_id AS kept
+FROM vectors v JOIN grouped g ON g.root = v.vec_id LEFT JOIN counted c ON c.one = v.vec_id
+"""
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
