@@ -9,7 +9,7 @@ and ``[/INST]``::
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAINED = "assistant"
@@ -28,28 +28,6 @@ def unescape(text: Column) -> Column:
     return F.replace(F.regexp_replace(text, ESCAPED, "$1$2"), F.lit("\\\\"), F.lit("\\"))
 
 
-def _merged(turns: Column) -> Column:
-    """Runs of adjacent turns of one role: ``role``, ``texts`` joined by the turn mark."""
-    # Only the first turns of runs and the ends of these are looked for, so nothing is copied per turn.
-    n = F.size(turns)
-    starts = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda k: (k == 0) | ~F.get(turns, k)["role"].eqNullSafe(F.get(turns, k - 1)["role"]),
-    )
-    return F.transform(
-        starts,
-        lambda start, place: F.struct(
-            F.get(turns, start)["role"].alias("role"),
-            F.array_join(
-                F.transform(
-                    F.slice(turns, start + 1, F.coalesce(F.get(starts, place + 1), n) - start), lambda t: t["text"]
-                ),
-                "<t>",
-            ).alias("text"),
-        ),
-    )
-
-
 def format_chats(
     turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", trained: str = TRAINED
 ) -> DataFrame:
@@ -62,41 +40,43 @@ def format_chats(
     Other columns are ignored; an empty table gives an empty result. A conversation is one row, so
     it has to fit into one.
     """
+    learned = escape(F.lit(trained))  # as the roles are that it is compared with
     rows = turns.select(
         F.col(conversation).alias("conv_id"),
-        F.struct(
-            F.col(turn).alias("turn"),
-            F.coalesce(escape(F.col(role)), F.lit(NULL_ROLE)).alias("role"),
-            escape(F.coalesce(text, F.lit(""))).alias("text"),
-        ).alias("row"),
+        F.col(turn).alias("turn"),
+        F.coalesce(escape(F.col(role)), F.lit(NULL_ROLE)).alias("role"),
+        escape(F.coalesce(text, F.lit(""))).alias("text"),
     )
-    gathered = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("row")).alias("turns"))
-    learned = F.lit(trained)
-
-    def block(b: Column) -> Column:
-        inner = F.when(b["role"] == learned, F.concat(F.lit("[OUT]"), b["text"], F.lit("[/OUT]"))).otherwise(
-            F.concat(F.lit("[INST]"), b["text"], F.lit("[/INST]"))
-        )
-        return F.concat(F.lit("<s>"), b["role"], F.lit("<r>"), inner, F.lit("</s>"))
-
-    merged = gathered.select("conv_id", "turns", _merged(F.col("turns")).alias("blocks"))
-    merged = merged.withColumn("formatted", F.array_join(F.transform("blocks", block), ""))
     # What stands before each text: the texts of earlier turns, and marks whose length the roles decide.
-    # "<s>" role "<r>[OUT]" ... "[/OUT]</s>" around a run, "<t>" between its turns.
-    lengths = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), F.length(t["text"]).alias("n")))
-    state = "struct<at: bigint, role: string, spans: array<struct<start: bigint, length: bigint>>>"
-    begin = F.from_json(F.lit('{"at": 0, "spans": []}'), state)
-
-    def step(acc: Column, t: Column) -> Column:
-        first = acc["role"].isNull() | (acc["role"] != t["role"])
-        closing = F.when(acc["role"].isNull(), 0).when(acc["role"] == learned, 10).otherwise(11)
-        opening = F.length(t["role"]) + F.when(t["role"] == learned, 11).otherwise(12)
-        start = acc["at"] + F.when(first, closing + opening).otherwise(3)
-        span = F.array(F.struct(start.alias("start"), t["n"].cast("bigint").alias("length")))
-        spans = F.when(t["role"] == learned, F.concat(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct((start + t["n"]).alias("at"), t["role"].alias("role"), spans.alias("spans"))
-
-    return merged.select("conv_id", "formatted", F.aggregate(lengths, begin, step, lambda acc: acc["spans"]).alias("loss"))
+    # "<s>" role "<r>[OUT]" ... "[/OUT]</s>" around a run, "<t>" between its turns. Rows that are equal in the order are
+    # equal altogether, so sums over it do not hang on which of them comes first.
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    last = F.lag("role").over(order)
+    closing = F.when(last.isNull(), 0).when(last == learned, 10).otherwise(11)
+    opening = F.length("role") + F.when(F.col("role") == learned, 11).otherwise(12)
+    marks = F.when(last.isNull() | (last != F.col("role")), closing + opening).otherwise(3)
+    size = F.length("text").cast("bigint")
+    measured = rows.select("*", size.alias("length"), (marks + size).alias("step"), (last.isNull() | (last != F.col("role"))).cast("int").alias("opens"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = measured.select(
+        "conv_id", "role", F.sum("opens").over(upto).alias("run"),
+        F.struct((F.sum("step").over(upto) - F.col("length")).alias("start"), "length", "text").alias("row"),
+    )
+    # Both groupings use the partitioning of the window.
+    runs = placed.groupBy("conv_id", "run", "role").agg(F.array_sort(F.collect_list("row")).alias("turns"))
+    marked = F.when(F.col("role") == learned, F.array(F.lit("[OUT]"), F.lit("[/OUT]"))).otherwise(F.array(F.lit("[INST]"), F.lit("[/INST]")))
+    inner = F.concat(marked[0], F.array_join(F.transform("turns", lambda t: t["text"]), "<t>"), marked[1])
+    spans = F.transform("turns", lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
+    blocks = runs.select(
+        "conv_id",
+        F.struct(
+            "run",
+            F.concat(F.lit("<s>"), F.col("role"), F.lit("<r>"), inner, F.lit("</s>")).alias("text"),
+            F.when(F.col("role") == learned, spans).otherwise(F.slice(spans, 1, 0)).alias("loss"),
+        ).alias("block"),
+    )
+    gathered = blocks.groupBy("conv_id").agg(F.array_sort(F.collect_list("block")).alias("blocks"))
+    return gathered.select("conv_id", F.array_join("blocks.text", "").alias("formatted"), F.flatten("blocks.loss").alias("loss"))
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
