@@ -25,31 +25,55 @@ SEGMENT = 1 << 20  # bytes of a text that are looked at once
 
 
 class Windows:
-    """All windows of some items, as hashes with one place of each for verification."""
+    """All windows of some items: their hashes in order, one place of each for verification, and the items that hold it.
+
+    The items' words are numbers in one long array; a window is a place in it, so nothing is stored per word of a window.
+    """
 
     def __init__(self, items: list[tuple[object, str]], window: int = WINDOW) -> None:
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
+        self.items = [item for item, _ in items]
         number = self.vocabulary.setdefault
-        found: dict[tuple[int, ...], set] = {}
-        for item, text in items:
-            words = [number(w, len(self.vocabulary)) for w in text.encode("utf-8", "replace").translate(FOLD).split()]
-            size = min(window, len(words))
-            for k in range(len(words) - size + 1 if size else 0):
-                found.setdefault(tuple(words[k : k + size]), set()).add(item)
+        parts = [
+            np.fromiter((number(w, len(self.vocabulary)) for w in text.encode("utf-8", "replace").translate(FOLD).split()), np.int32)
+            for _, text in items
+        ]
+        lengths = np.array([len(p) for p in parts], dtype=np.int64)
+        begins = np.cumsum(lengths) - lengths
+        self.words = np.concatenate([*parts, np.zeros(0, np.int32)])
+        sizes = np.minimum(lengths, window)
         self.by_size = {}
-        for size in sorted({len(w) for w in found}):
-            rows = [w for w in found if len(w) == size]
-            matrix = np.array(rows, dtype=np.int32).reshape(-1, size)
-            multiplier = 0x9E3779B97F4A7C15
-            while True:  # another multiplier if two windows share a hash
-                powers = np.array([pow(multiplier, k + 1, 1 << 64) for k in range(size)], dtype=np.uint64)
-                hashes = ((matrix.astype(np.uint64) + np.uint64(1)) * powers).sum(axis=1, dtype=np.uint64)
-                if len(np.unique(hashes)) == len(hashes):
-                    break
-                multiplier += 2
-            order = np.argsort(hashes)
-            self.by_size[size] = (powers, hashes[order], matrix[order], [sorted(found[rows[k]], key=str) for k in order])
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            holders = np.flatnonzero(sizes == size)
+            counts = lengths[holders] - size + 1
+            owners = np.repeat(holders, counts)
+            places = np.arange(counts.sum()) + np.repeat(begins[holders] - (np.cumsum(counts) - counts), counts)
+            self.by_size[size] = self._distinct(size, places, owners)
+
+    def _hashes(self, numbers: np.ndarray, places: np.ndarray, powers: np.ndarray) -> np.ndarray:
+        value = np.zeros(len(places), dtype=np.uint64)
+        for k, power in enumerate(powers):
+            value += (numbers[places + k].astype(np.uint64) + np.uint64(1)) * power
+        return value
+
+    def _distinct(self, size: int, places: np.ndarray, owners: np.ndarray) -> tuple:
+        """Powers, distinct hashes in order, a place of each window, and its items as runs of ``owners``."""
+        multiplier = 0x9E3779B97F4A7C15
+        while True:  # another multiplier if two windows share a hash
+            powers = np.array([pow(multiplier, k + 1, 1 << 64) for k in range(size)], dtype=np.uint64)
+            hashes = self._hashes(self.words, places, powers)
+            order = np.lexsort((owners, hashes))
+            hashes, at, held = hashes[order], places[order], owners[order]
+            same = hashes[1:] == hashes[:-1]
+            pairs = np.flatnonzero(same)
+            if all((self.words[at[pairs] + k] == self.words[at[pairs + 1] + k]).all() for k in range(size)):
+                break
+            multiplier += 2
+        fresh = np.concatenate(([True], ~same))
+        once = fresh | np.concatenate(([True], held[1:] != held[:-1]))  # an item may repeat a window
+        starts = np.cumsum(once)[fresh] - 1
+        return powers, hashes[fresh], at[fresh], np.append(starts, once.sum()), held[once]
 
     def hits(self, words: list[bytes]) -> tuple[np.ndarray, set]:
         """Which words lie in an occurrence of a window, and the items with one."""
@@ -58,25 +82,23 @@ class Windows:
         marked = np.zeros(len(words) + 1, dtype=np.int32)
         items: set = set()
         known = np.concatenate(([0], np.cumsum(ids >= 0)))
-        for size, (powers, hashes, matrix, owners) in self.by_size.items():
+        for size, (powers, hashes, places, bounds, owners) in self.by_size.items():
             if len(words) < size:
                 continue
             starts = np.flatnonzero(known[size:] - known[:-size] == size)
             if not len(starts):
                 continue
-            value = np.zeros(len(starts), dtype=np.uint64)
-            for k in range(size):
-                value += (ids[starts + k].astype(np.uint64) + np.uint64(1)) * powers[k]
+            value = self._hashes(ids, starts, powers)
             at = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
             same = hashes[at] == value
             starts, at = starts[same], at[same]
-            if len(starts):
-                same = (ids[starts[:, None] + np.arange(size)] == matrix[at]).all(axis=1)
+            for k in range(size):
+                same = ids[starts + k] == self.words[places[at] + k]
                 starts, at = starts[same], at[same]
             np.add.at(marked, starts, 1)
             np.add.at(marked, starts + size, -1)
             for k in np.unique(at).tolist():
-                items.update(owners[k])
+                items.update(self.items[i] for i in owners[bounds[k] : bounds[k + 1]].tolist())
         return np.cumsum(marked[:-1]) > 0, items
 
 
