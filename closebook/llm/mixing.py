@@ -11,7 +11,7 @@ from closebook.llm.common import TOKEN_PATTERN, keep, unit_interval
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3  # times a source's size
-BUCKET = 10_000  # rows of a source that are summed up in one task
+BUCKET = 10_000  # rows that are summed up in one task, as long as that takes at most ten times the shuffle partitions
 
 
 def words(text: str) -> Column:
@@ -61,38 +61,42 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, limit: float =
 
 
 def _plan(rows: DataFrame, weights: Sequence[float], limit: float) -> tuple[DataFrame, DataFrame]:
-    """Per source: target, whole epochs and words left (``budget``); and every row with the words ``before`` it.
+    """Per source: target, whole epochs and words left (``budget``); and every row of :func:`_narrow` with the words ``before`` it.
 
-    The words before a row are those of the earlier buckets of its source plus those before it in
-    its bucket. Buckets are ranges of the key, more of them the more rows the source has.
+    The words before a row are those of the earlier ranges of its source plus those before it in its range.
     """
-    sums = rows.groupBy("_source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("_rows"))
-    sums = keep(sums, "sources")
-    plan = targets(sums.select("_source", "source_size"), weights, limit)
+    sums = rows.groupBy("_source").agg(F.sum(F.col("_size") * F.col("_n")).alias("source_size"))
+    plan = targets(keep(sums, "sources"), weights, limit)
     epochs = F.coalesce(F.floor(F.try_divide("target", F.col("source_size").cast("double"))), F.lit(0))
     plan = plan.withColumn("epochs", epochs.cast("long"))
     plan = plan.withColumn("budget", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
-    counts = sums.select(F.col("_source").alias("_other"), F.ceil(F.col("_rows") / BUCKET).cast("long").alias("_buckets"))
-    plan = keep(plan.join(counts, F.col("_source").eqNullSafe(F.col("_other"))).drop("_other"), "targets")
+    plan = keep(plan, "targets")
 
     known = plan.withColumnRenamed("_source", "_other")
     placed = rows.join(known, F.col("_source").eqNullSafe(F.col("_other"))).drop("_other")
-    bucket = F.least(F.floor((1 - F.exp(-F.col("_key"))) * F.col("_buckets")), F.col("_buckets") - 1)
-    placed = placed.withColumn("_bucket", bucket)
-    totals = placed.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_total"))
-    earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("_source", "_range").agg(F.sum(F.col("_size") * F.col("_n")).alias("_total"))
+    earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keep(totals.withColumn("_offset", F.coalesce(F.sum("_total").over(earlier), F.lit(0))), "offsets")
-    offsets = offsets.select(F.col("_source").alias("_other"), F.col("_bucket").alias("_same"), "_offset")
-    order = Window.partitionBy("_source", "_bucket").orderBy("_key", "_id", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    inside = placed.withColumn("_inside", F.coalesce(F.sum("_size").over(order), F.lit(0)))
-    met = F.col("_source").eqNullSafe(F.col("_other")) & (F.col("_bucket") == F.col("_same"))
+    offsets = offsets.select(F.col("_source").alias("_other"), F.col("_range").alias("_same"), "_offset")
+    order = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.withColumn("_inside", F.coalesce(F.sum(F.col("_size") * F.col("_n")).over(order), F.lit(0)))
+    met = F.col("_source").eqNullSafe(F.col("_other")) & (F.col("_range") == F.col("_same"))
     return plan, inside.join(offsets, met).withColumn("before", F.col("_inside") + F.col("_offset"))
 
 
 def _narrow(docs: DataFrame, id_column: str, text: str, source: str, weight: Column | None) -> DataFrame:
+    """Distinct keys with their number of rows (``_n``), in ranges (``_range``) of source and key.
+
+    Rows equal in id and text share a key and are counted before anything moves. Ranges are cut where the keys
+    are, so they have about equally many rows whatever the weights and sources.
+    """
     weight = quality(text) if weight is None else weight
-    keyed = _keyed(docs, id_column, text, source, weight)
-    return keep(keyed.select("_id", "_source", "_size", "_tie", "_key"), "keys")
+    rows = _keyed(docs, id_column, text, source, weight).groupBy("_id", "_source", "_size", "_tie", "_key").agg(F.count("*").alias("_n"))
+    rows = keep(rows, "counted")
+    most = 10 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(rows.count() // BUCKET + 1, most)
+    ordered = rows.repartitionByRange(ranges, "_source", "_key", "_id", "_tie")
+    return keep(ordered.withColumn("_range", F.spark_partition_id()), "keys")
 
 
 def shares(
@@ -106,11 +110,17 @@ def shares(
     :func:`quality`): documents in order of an exponential of that rate, until the words left are
     used up; the last one gives only as many as are missing. A null text has no words, a null
     source is a source, a null id is an id like any other. Rows that repeat one another are
-    drawn one by one. Other columns are ignored; an empty table gives an empty result.
+    drawn one by one, one after another. Other columns are ignored; an empty table gives an empty result.
     """
     rows = _narrow(docs, id_column, text, source, weight)
-    _, placed = _plan(rows, weights, limit)
-    part = F.greatest(F.lit(0), F.least(F.col("_size"), F.col("budget") - F.col("before")))
+    placed = keep(_plan(rows, weights, limit)[1], "placed")
+    # A long run of copies is cut, and its parts go to different tasks before they are expanded.
+    few, many = (placed.filter(c).select("_id", "_size", "source_size", "target", "epochs", "budget", "before", "_n") for c in (f"_n <= {BUCKET}", f"_n > {BUCKET}"))
+    many = many.withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BUCKET).cast("long")))).repartition("_id", "_first")
+    many = many.withColumn("_n", F.least(F.col("_first") + BUCKET, F.col("_n")))
+    copies = few.withColumn("_first", F.lit(0).cast("long")).unionByName(many)
+    placed = copies.withColumn("_copy", F.explode(F.sequence("_first", F.col("_n") - 1)))
+    part = F.greatest(F.lit(0), F.least(F.col("_size"), F.col("budget") - F.col("before") - F.col("_copy") * F.col("_size")))
     return placed.select(
         F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target",
         (F.col("epochs") * F.col("_size") + part).alias("taken"),

@@ -40,7 +40,7 @@ def numbered(rows: DataFrame, shard: str = "shard") -> DataFrame:
     """Rows with ``slot``, their place in their shard from 0 without gaps.
 
     Equal rows are counted before anything moves and each count is expanded at the end, so a row that
-    is repeated very often weighs no more than another. Rows of a shard are in the order of a hash of all their columns,
+    is repeated very often weighs no more than another; more than ``BUCKET`` copies are expanded in several tasks. Rows of a shard are in the order of a hash of all their columns,
     cut into ranges of about ``BUCKET`` rows that are numbered side by side.
     """
     columns = rows.columns
@@ -53,9 +53,15 @@ def numbered(rows: DataFrame, shard: str = "shard") -> DataFrame:
     offsets = keep(totals.select(shard, "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")), "offsets")
     order = Window.partitionBy(shard, "_bucket").orderBy("_hash", *[c for c in columns if c != shard])
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(offsets, [shard, "_bucket"])
-    repeated = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
-    return repeated.select(*columns, (F.col("_offset") + F.col("_before") + F.col("_copy")).alias("slot"))
+    placed = keep(counted.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(offsets, [shard, "_bucket"]), "placed")
+    placed = placed.withColumn("_first", F.col("_offset") + F.col("_before"))
+    # A long run of copies is cut, and its parts go to different tasks before they are expanded.
+    few, many = placed.filter(F.col("_n") <= BUCKET), placed.filter(F.col("_n") > BUCKET)
+    parts = many.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BUCKET).cast("long"))))
+    parts = parts.select(*columns, (F.col("_first") + F.col("_from")).alias("_first"), F.least(F.lit(BUCKET), F.col("_n") - F.col("_from")).alias("_n"))
+    runs = few.select(*columns, "_first", "_n").unionAll(parts.repartition("_first"))
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))
+    return runs.select(*columns, "_first", copy.alias("_copy")).select(*columns, (F.col("_first") + F.col("_copy")).alias("slot"))
 
 
 def manifest(
