@@ -68,30 +68,35 @@ def folded(text: str) -> Column:
     return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
 
 
-def index(docs: DataFrame, text: str, words: list[str], phrases: Sequence[Template], notices: Sequence[Template]) -> DataFrame:
-    """``docs`` without the text, with ``n_words``, ``present`` and ``body``.
+def _split(docs: DataFrame, text: str, words: list[str], name: str) -> DataFrame:
+    """``docs`` without the text, with all its words in order (``name``) and the licence words among them (``present``)."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "present")]
+    # One projection after another, so that each result is computed once.
+    split = docs.select(*others, F.regexp_extract_all(folded(text), F.lit(WORD_PATTERN), F.lit(0)).alias(name))
+    return split.withColumn("present", F.array_intersect(name, F.array(*[F.lit(w) for w in words])))
+
+
+def frequencies(docs: DataFrame, text: str, words: list[str]) -> dict[str, int]:
+    """In how many documents each licence word occurs; as many rows as there are licence words."""
+    found = _split(docs.select(text), text, words, "found")
+    counted = dict(tuple(r) for r in found.select(F.explode("present").alias("word")).groupBy("word").count().collect())
+    return {w: counted.get(w, 0) for w in words}
 
-    ``present`` lists the licence words of a document. A phrase, or a notice with its mandatory key
-    phrases, can only be there if all their words are; ``body``, all words in order, is kept for such documents alone.
+
+def index(docs: DataFrame, text: str, words: list[str], needed: Sequence[Sequence[str]]) -> DataFrame:
+    """``docs`` without the text, with ``n_words`` and ``body``.
+
+    A phrase can only be there if all its words are, and a notice has a share above 0 only if its two rarest words
+    are; ``needed`` lists these words, and ``body``, all words in order, is kept where one of the lists is there as a whole.
     """
-    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    # One projection after another, so that each result is computed once.
     found = free_prefix(docs.columns) + "found"
-    split = docs.select(*others, F.regexp_extract_all(folded(text), F.lit(WORD_PATTERN), F.lit(0)).alias(found))
-    looked_up = split.withColumn("present", F.array_intersect(found, F.array(*[F.lit(w) for w in words])))
-    needed = [set(t.words) for t in phrases] + [{w for key in t.keys for w in key.split()} for t in notices]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "present")]
     possible = reduce(
         lambda a, b: a | b,
-        [reduce(lambda a, b: a & b, [F.array_contains("present", w) for w in sorted(ws)]) for ws in needed],
+        [reduce(lambda a, b: a & b, [F.array_contains("present", w) for w in sorted(set(ws))]) for ws in needed],
     )
     size = F.size(found).cast("long").alias("n_words")
-    return looked_up.select(*others, size, "present", F.when(possible, F.col(found)).alias("body"))
-
-
-def frequencies(indexed: DataFrame, words: list[str]) -> dict[str, int]:
-    """In how many documents each licence word occurs; as many rows as there are licence words."""
-    counted = dict(tuple(r) for r in indexed.select(F.explode("present").alias("word")).groupBy("word").count().collect())
-    return {w: counted.get(w, 0) for w in words}
+    return _split(docs, text, words, found).select(*others, size, F.when(possible, F.col(found)).alias("body"))
 
 
 def _starts(columns: dict[str, Column], words: Sequence[str], chosen: Sequence[int]) -> list[Column]:
@@ -123,20 +128,22 @@ def scan(docs: DataFrame, text: str = "text", phrases: Sequence[Template] = PHRA
     postings = f"{own}postings"
     templates = [*phrases, *notices]
     words = vocabulary(templates)
-    indexed = keep(index(docs, text, words, phrases, notices), "licence-index")
-    df = frequencies(indexed, words)
+    df = frequencies(docs, text, words)
+
+    def rarest(listed: Sequence[str]) -> list[int]:
+        return sorted(range(len(listed)), key=lambda k: (df[listed[k]], k))
+
+    needed = [t.words for t in phrases] + [[t.words[k] for k in rarest(t.words)[:2]] for t in notices]
+    indexed = keep(index(docs, text, words, needed), "licence-index")
     posted = F.filter(F.transform("body", lambda w, k: F.struct(w.alias("word"), k.alias("place"))), lambda p: p["word"].isin(words))
     indexed = indexed.withColumn(postings, F.coalesce(posted, F.array().cast("array<struct<word: string, place: int>>")))
     by_word = [
         F.transform(F.filter(postings, lambda p: p["word"] == w), lambda p: p["place"]).alias(f"{own}{k}") for k, w in enumerate(words)
     ]
-    others = [F.col(f"`{c}`") for c in indexed.columns if c not in ("present", "body")]
+    others = [F.col(f"`{c}`") for c in indexed.columns if c != "body"]
     places = indexed.select(*others, *by_word)
     columns = {w: F.col(f"{own}{k}") for k, w in enumerate(words)}
 
-    def rarest(listed: Sequence[str]) -> list[int]:
-        return sorted(range(len(listed)), key=lambda k: (df[listed[k]], k))
-
     def consecutive(listed: Sequence[str]) -> Column:
         return _all_of(_starts(columns, listed, rarest(listed)))
 
@@ -165,5 +172,5 @@ def scan(docs: DataFrame, text: str = "text", phrases: Sequence[Template] = PHRA
     base = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["label"])))
     labels = F.array_sort(F.array_distinct(F.concat(base, F.array_compact(F.array(*named)))))
     score = F.greatest(F.when(F.size("spans") > 0, 1.0).otherwise(0.0), *[F.col(f"{own}share{k}") for k in range(len(notices))])
-    kept = [F.col(f"`{c}`") for c in indexed.columns if c not in ("present", "body", postings)]
+    kept = [F.col(f"`{c}`") for c in indexed.columns if c not in ("body", postings)]
     return scored.select(*kept, "spans", base.alias("base_labels"), labels.alias("labels"), score.alias("license_score"))
