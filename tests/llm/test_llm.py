@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import time
 import zlib
 
 import duckdb
@@ -114,6 +115,25 @@ def test_prefix_sums_over_buckets(spark, monkeypatch):
     assert sorted(map(tuple, mixing.shares(docs).collect())) == whole
 
 
+def test_shares_of_a_row_repeated_very_often_and_of_heavy_weights(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 10)
+    docs = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "x y z").otherwise(F.expr("repeat('w ', cast(id % 4 as int))")).alias("text"),
+        F.when(F.col("id") % 2 == 0, "a").alias("source"),
+    )
+    docs = docs.withColumn("source", F.when(F.col("doc_id") == 1, "a").otherwise(F.col("source")))
+    for weight in (None, F.lit(1000.0), F.lit(0.001)):
+        rows = mixing.shares(docs, weight=weight).collect()
+        assert len(rows) == 300
+        for size, target in {r.source_size: r.target for r in rows}.items():
+            assert abs(sum(r.taken for r in rows if r.source_size == size) - target) <= 0.5 + 1e-6
+        assert all(r.size * (r.target // r.source_size) <= r.taken <= 3 * r.size for r in rows)
+    keys = mixing._narrow(docs, "doc_id", "text", "source", F.lit(1000.0))
+    per_range = [r["count"] for r in keys.groupBy("_range").count().collect()]
+    assert keys.filter("_n = 100").count() == 1 and len(per_range) > 10 and max(per_range) <= 40
+
+
 def test_mix_repeats_whole_documents(spark):
     docs = documents(spark)
     mixed = mixing.mix(docs)
@@ -222,6 +242,17 @@ def test_phrases_at_all_places(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_score_of_a_notice_short_of_a_key_word(spark):
+    notice = "Licensed under the Apache License, Version 2"
+    rows = [(1, notice + ".0"), (2, notice), (3, notice + " mit cc by"), (4, "the version of a license")]
+    docs = spark.createDataFrame(rows + [(k, "plain words under the sun" + " 0" * (k < 10)) for k in range(5, 20)], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs, phrases=licenses.PHRASES[:1]).collect()}
+    assert [found[k].labels for k in (1, 2, 3, 4)] == [["apache-2.0"], [], [], []]
+    # The share of the notice's rare words does not hang on other licence words of the text.
+    assert found[1].license_score == 1.0 and found[2].license_score == found[3].license_score == 5 / 6
+    assert found[4].license_score == found[5].license_score == 0.0
+
+
 # Languages.
 
 
@@ -403,9 +434,30 @@ def test_chats_round_trip(spark):
     assert chat.read_chats(chat.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
 
 
+def test_long_conversations_take_no_longer_a_turn(spark):
+    turns = spark.range(40_000).select(
+        F.lit(7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("<t>"), F.col("id").cast("string")).alias("text"), F.lit(1).alias("start"), F.lit("x").alias("formatted"),
+    )
+    begin = time.perf_counter()
+    [row] = chat.format_chats(turns).collect()
+    assert time.perf_counter() - begin < 30
+    assert len(row.loss) == 26_666
+    for k, span in list(zip([k for k in range(40_000) if k % 3], row.loss, strict=True))[::997]:
+        assert row.formatted[span.start : span.start + span.length] == f"<\\t>{k}"
+
+
 # Decontamination.
 
 
+def test_windows_held_by_several_items():
+    items = [(1, "a b c"), (2, "x a b c y"), (2, "a b c"), (3, "a b c a b c"), (None, "q q")]
+    windows = decontaminate.Windows(items, 3)
+    hit, found = windows.hits(b"z a b c z q q".split())
+    assert hit.tolist() == [False, True, True, True, False, True, True] and found == {1, 2, 3, None}
+    assert len(windows.by_size[3][1]) == 5 and not decontaminate.Windows([(1, "")], 3).by_size
+
+
 def hits(text, items):
     words = re.findall(WORD_CLASS, fold(text))
     marked, found = set(), set()
