@@ -155,3 +155,45 @@ def test_adaptive_execution_splits_a_hot_client(spark, monkeypatch, tmp_path):
         for key, value in before.items():
             spark.conf.set(key, value) if value else spark.conf.unset(key)
     assert "skew=true" in plan
+
+
+def test_rows_are_small_only_if_no_group_of_keys_is_large(spark):
+    df = spark.range(200_000).select(F.when(F.col("id") < 100_000, "A").otherwise(F.col("id").cast("string")).alias("key"))
+    assert skew.all_small(df, "key", 150_000) and not skew.all_small(df, "key", 90_000)
+    assert not skew.all_small(df.limit(1), "key", 3)  # not worth a scan
+
+
+def test_without_hot_keys_a_statement_reads_every_table_once(spark, tmp_path):
+    from closebook.plans.books import Books
+    from closebook.schemas import SCHEMAS, SemanticTables
+
+    salted = crowded(spark, hot_rows=3)
+    for name in SCHEMAS:
+        salted.tables[name].write.parquet(f"{tmp_path}/{name}")
+    stored = SemanticTables(**{name: spark.read.parquet(f"{tmp_path}/{name}") for name in SCHEMAS})
+    even = Books(stored)
+    assert even.even and not salted.even
+    columns = [name for name in even.monthly_statement.columns if name != "StatementGeneratedAt"]
+    plan = executed(even.monthly_statement)
+    assert sum("FileScan" in line and "PositionDate" in line for line in plan.splitlines()) == 1
+    assert SALT not in plan
+    found, expected = (sorted(map(str, b.monthly_statement.select(*columns).collect())) for b in (even, salted))
+    assert found == expected and len(found) > 10
+
+
+def test_lines_of_an_order_are_dealt_once(spark, tmp_path):
+    from checks import fixture
+
+    spark.range(20).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "1 AS l_linenumber", "1d AS l_quantity", "1d AS l_extendedprice", "0d AS l_discount",
+        "'N' AS l_returnflag", "'O' AS l_linestatus", "timestamp'1998-01-01' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(20).selectExpr("id AS o_orderkey", "id AS o_custkey", "timestamp'1998-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = fixture._lines(spark, str(tmp_path))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2 and lines.count() == 20  # line items and orders

@@ -127,3 +127,14 @@ def test_report_files(spark, tmp_path):
     assert [c["report_id"] for c in reports.load_reports(str(tmp_path), "b")] == ["b"]
     source = spark.range(1).select(*[F.lit("x").alias(name) for name in reports.SORT_COLUMNS])
     assert reports.report(reports.load_reports(str(tmp_path), "a")[0], source).columns == ["Symbol"]
+
+
+def test_the_month_before_is_found_in_one_pass(spark):
+    days = [FEB, FEB, MARCH, MARCH, MAY, date(2024, 12, 31), date(2025, 1, 31)]
+    positions = [position(f"P{i}", day, quantity=i + 1, client=c) for c in ("C1", "C2") for i, day in enumerate(days)]
+    spine = books(spark, positions=positions, clients=[client("C1"), client("C2")], rewards=[reward("S", date(2025, 2, 5), net=7)]).client_positions
+    columns = ["CustomerId", "AssetId", "PositionPeriod", "PeriodEndQuantity", "PriorPeriodQuantity", "PriorPeriodValuationUSD", "PriorPeriodSettledNetRewards"]
+    joined, beside = (
+        sorted(map(str, df.select(*columns).collect())) for df in (statement.with_prior_period(spine), statement.beside_prior_period(spine))
+    )
+    assert beside == joined and len(joined) == 2 * (1 + 1 + 2 + 4 + 1)
