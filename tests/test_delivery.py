@@ -220,3 +220,15 @@ def test_a_close_delivers_its_report(spark, tmp_path):
     assert dict(zip(header, line, strict=True))["PeriodEndQuantity"] == "2.000000000"
     logged = spark.read.parquet(log).collect()
     assert [r.StatementId for r in logged] == [dict(zip(header, line, strict=True))["StatementId"]]
+
+
+def test_appending_reads_the_log_without_sorting_out_repeated_events(spark, tmp_path):
+    rows, path = statements(spark, "A", "B"), f"{tmp_path}/log"
+    delivery.record_deliveries(rows, path, at(6))
+    spark.read.parquet(path).write.mode("append").partitionBy("PositionPeriod").parquet(path)  # as after a crash
+    assert "Aggregate" not in delivery._events(rows, path)._jdf.queryExecution().optimizedPlan().toString()
+    delivery.record_deliveries(rows, path, at(7))
+    receipts = rows.select("StatementId", at(8).alias("ReceivedAt"))
+    delivery.confirm_deliveries(receipts, path)
+    found = delivery.current_state(delivery.read_log(rows, path)).collect()
+    assert sorted((row.Attempt, row.Events, row.DeliveryStatus) for row in found) == [(1, 2, "CONFIRMED")] * 2
