@@ -34,6 +34,9 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 KEY = ["StatementId", "PositionPeriod"]
+# With a file or more per client, tasks put theirs in place themselves; else the driver moves one after the other. A task that
+# is repeated writes files of the same names.
+MANY_FILES = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 def export_statements(statement: DataFrame, folder: str, period: date) -> str:
@@ -55,7 +58,7 @@ def export_per_client(statement: DataFrame, folder: str, period: date, hot_rows:
         rows = scratch.keep(closed, "closed-month")
         placed = place_by_key(rows, ["client_id"], by=["StatementId", "CustodianLedgerRef"], min_rows=hot_rows)
         ordered = placed.sortWithinPartitions("client_id", "Symbol")
-        ordered.write.mode("overwrite").partitionBy("client_id").option("header", True).csv(target)
+        ordered.write.mode("overwrite").partitionBy("client_id").options(header=True, **MANY_FILES).csv(target)
     return target
 
 
@@ -125,7 +128,7 @@ def deliver_report(config: Mapping[str, Any], source: DataFrame, root: str, peri
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // file_rows))
         placed = named.repartition(tasks, _FILE).sortWithinPartitions(_FILE, *order)
         delete(spark, target)
-        placed.select(_FILE, *plain).write.partitionBy(_FILE).options(header=True, escape='"').csv(staging)
+        placed.select(_FILE, *plain).write.partitionBy(_FILE).options(header=True, escape='"', **MANY_FILES).csv(staging)
         _move_files(spark, staging, target)
         delete(spark, staging)
         counts = named.groupBy(F.col(_FILE).alias("File"), F.col(_CLIENT).alias("CustomerId")).agg(F.count(F.lit(1)).alias("Rows"))
@@ -151,16 +154,24 @@ def _move_files(spark: SparkSession, staging: str, target: str) -> None:
     fs, root = hadoop_path(spark, staging)
     if not fs.exists(root):
         return
-    folders = [status.getPath() for status in fs.listStatus(root) if status.getPath().getName().startswith(f"{_FILE}=")]
-
-    def move(folder: Any) -> None:
-        [part] = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
-        name = unquote(folder.getName().removeprefix(f"{_FILE}="))
-        if not fs.rename(part, hadoop_path(spark, target, name)[1]):
-            raise RuntimeError(f"could not move {part.toString()} to {name}")
-
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    into = hadoop_path(spark, target)[1]
+
+    def move(part: str) -> None:
+        folder = part.rsplit("/", 2)[1]
+        name = unquote(folder.removeprefix(f"{_FILE}="))
+        if not fs.rename(paths(part), paths(into, name)):
+            raise RuntimeError(f"could not move {part} to {name}")
+
+    found, parts = fs.listFiles(root, True), []
+    while found.hasNext():
+        part = found.next().getPath().toString()
+        if f"/{_FILE}=" in part and part.rsplit("/", 1)[1].startswith("part-"):
+            parts.append(part)
+    if len({part.rsplit("/", 1)[0] for part in parts}) < len(parts):
+        raise RuntimeError(f"several parts of one report file below {staging}")
     with ThreadPoolExecutor(MOVES) as pool:
-        list(pool.map(move, folders))
+        list(pool.map(move, parts))
 
 
 def _digests(spark: SparkSession, target: str) -> DataFrame:
