@@ -9,13 +9,14 @@ several tasks by a salt column that every join along the position spine carries:
 * ``latest_per_key`` numbers the rows of a hot key 0..fan-1; all other rows get salt 0.
 * ``spread`` repeats the (few) right-hand rows of a hot key once per salt.
 
-Where ``all_small`` finds that not even a client has that many rows, there is nothing to salt, and the joins along
-the spine use the keys alone.
+Where ``all_small`` finds that not even a client has that many rows of any table, there is nothing to salt. All rows are
+then dealt by client once (``dealt``), and what follows along the spine finds them where it needs them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,15 +54,25 @@ def hot_keys(
     return counted.filter(F.col("_rows") > min_rows).select(*keys, fan.alias(FAN), LATEST)
 
 
-def all_small(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> bool:
-    """Whether certainly no value of ``key`` has more than ``min_rows`` rows.
+def dealt(df: DataFrame, by: Sequence[int | str]) -> DataFrame:
+    """Rows brought together by some columns (first, if it is given, the number of tasks), or as they are.
+
+    Groups, windows and joins of rows that are dealt alike need no exchange, if their keys include these columns.
+    """
+    return df.repartition(*by) if by else df
+
+
+def all_small(df: DataFrame | Sequence[DataFrame], key: str, min_rows: int = HOT_ROWS) -> bool:
+    """Whether certainly no value of ``key`` has more than ``min_rows`` rows in a table, or in any of several.
 
     Rows are counted by groups of hashed values, so a task sends a short list of counts however many values it holds.
     Thresholds below the number of groups are not worth the scan: such groups hold many values each.
     """
     if min_rows < GROUPS:
         return False
-    counted = df.groupBy(F.pmod(F.xxhash64(key), F.lit(GROUPS))).agg(F.count(F.lit(1)).alias("_rows"))
+    tables = [df] if isinstance(df, DataFrame) else df
+    groups = [table.select(F.lit(n).alias("_table"), F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("_group")) for n, table in enumerate(tables)]
+    counted = reduce(DataFrame.unionByName, groups).groupBy("_table", "_group").agg(F.count(F.lit(1)).alias("_rows"))
     return counted.filter(F.col("_rows") > min_rows).isEmpty()
 
 
@@ -79,27 +90,32 @@ def spread(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def join_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
-    """Left join; when ``left`` is salted, ``right`` is spread to match."""
+    """Left join; when ``left`` is salted, ``right`` is spread to match.
+
+    Both sides of a salted join are dealt by all keys and the salt, lest it takes place by fewer and undoes the salt.
+    """
     if SALT not in left.columns:
         return left.join(right, list(keys), "left")
     if hot is None:
         raise ValueError("salted rows need the hot keys they were salted with")
-    return left.join(spread(right, hot, keys), [*keys, SALT], "left")
+    by = [*keys, SALT]
+    return dealt(left, by).join(dealt(spread(right, hot, keys), by), by, "left")
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame | None, by: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame | None, by: Sequence[str], deal: Sequence[int | str] = ()
 ) -> DataFrame:
     """All rows on the greatest ``order`` value of their key (ties kept), with their salt.
 
     Rows with a NULL key or order value drop out. For hot keys the greatest value is already known,
     so their rows are filtered before anything is shuffled; all others go through a
-    rank window, which Spark limits per map task before the shuffle. Without ``hot`` no key is, and rows get no salt.
+    rank window, which Spark limits per map task before the shuffle. Without ``hot`` no key is, and rows get no salt;
+    they may be dealt by some of the keys (see :func:`dealt`) instead.
     """
     present = df.dropna(subset=[*keys, order])
     if hot is None:
         newest_first = Window.partitionBy(*keys).orderBy(F.desc(order))
-        return present.withColumn("_rank", F.rank().over(newest_first)).filter("_rank = 1").drop("_rank")
+        return dealt(present, deal).withColumn("_rank", F.rank().over(newest_first)).filter("_rank = 1").drop("_rank")
     marked = present.join(F.broadcast(hot), list(keys), "left").filter(
         F.col(LATEST).isNull() | (F.col(LATEST) == F.col(order))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from closebook import constants as K
 from closebook.functions import numeric
-from closebook.operators.skew import SALT, broadcast_if_small, hot_keys, join_by_key, latest_per_key
+from closebook.operators.skew import SALT, broadcast_if_small, dealt, hot_keys, join_by_key, latest_per_key
 
 KEYS = ("CustomerId", "AssetId", "PositionPeriod")
 INVOICES = "AllInvoiceReferences"  # long texts, which the spine does without until they are asked for
@@ -33,11 +34,11 @@ def hot_position_keys(wide_positions: DataFrame, **limits: int) -> DataFrame:
 
 
 def custody_balances(
-    wide_positions: DataFrame, hot: DataFrame | None = None, keep_salt: bool = False, even: bool = False
+    wide_positions: DataFrame, hot: DataFrame | None = None, keep_salt: bool = False, even: bool = False, deal: Sequence[int | str] = ()
 ) -> DataFrame:
     """Positions on the latest snapshot date of each client, asset and month; ties are all kept.
 
-    With ``even`` no key is hot, and the rows get no salt.
+    With ``even`` no key is hot, and the rows get no salt but may be dealt by some of the keys, see :func:`skew.dealt`.
     """
     if hot is None and not even:
         hot = hot_position_keys(wide_positions)
@@ -45,7 +46,7 @@ def custody_balances(
         "ID", "CustomerId", "AssetId", "PositionDate", "Quantity", "PriceUSD", "ValuationUSD", "CustodianLedgerRef",
     )
     positions = _flatten(wide_positions, "CustodyPositions", fields, ("PositionPeriod",))
-    latest = latest_per_key(positions, KEYS, "PositionDate", None if even else hot, by=["ID"])
+    latest = latest_per_key(positions, KEYS, "PositionDate", None if even else hot, by=["ID"], deal=deal)
     balances = latest.select(
         *KEYS,
         F.col("PositionDate").alias("PeriodEndDate"),
@@ -62,8 +63,11 @@ def _sum_where(condition: Column, name: str) -> Column:
     return F.sum(F.when(condition, F.col(name)).otherwise(0))
 
 
-def staking_rewards(wide_staking: DataFrame) -> DataFrame:
-    """Settled, pending and total rewards per client, asset, month and unbonding category."""
+def staking_rewards(wide_staking: DataFrame, deal: Sequence[int | str] = ()) -> DataFrame:
+    """Settled, pending and total rewards per client, asset, month and unbonding category.
+
+    Like the other sums, of rows that may be dealt first (see :func:`skew.dealt`); else Spark adds up within a task first.
+    """
     events = _flatten(
         wide_staking,
         "StakingEvents",
@@ -71,7 +75,7 @@ def staking_rewards(wide_staking: DataFrame) -> DataFrame:
         ("EarnPeriod", "IsSettledStaking", "UnbondingCategory"),
     ).withColumnRenamed("EarnPeriod", "RewardPeriod")
     settled = F.col("IsSettledStaking")
-    totals = events.groupBy("CustomerId", "AssetId", "RewardPeriod", "UnbondingCategory").agg(
+    totals = dealt(events, deal).groupBy("CustomerId", "AssetId", "RewardPeriod", "UnbondingCategory").agg(
         _sum_where(settled, "NetAmount").alias("SettledNetRewards"),
         _sum_where(settled, "GrossAmount").alias("SettledGrossRewards"),
         _sum_where(settled, "FeeAmount").alias("SettledFees"),
@@ -100,10 +104,10 @@ def _fee_events(wide_fees: DataFrame) -> DataFrame:
     return _flatten(wide_fees, "FeeEvents", fields, ("FeePeriod", "IsFullyBilled"))
 
 
-def fee_sums(wide_fees: DataFrame) -> DataFrame:
+def fee_sums(wide_fees: DataFrame, deal: Sequence[int | str] = ()) -> DataFrame:
     """Fees per client, asset, month and fee type, without the invoices."""
     billed = F.col("IsFullyBilled")
-    return _fee_events(wide_fees).groupBy(*FEE_KEYS).agg(
+    return dealt(_fee_events(wide_fees), deal).groupBy(*FEE_KEYS).agg(
         F.sum("FeeAmountUSD").alias("TotalFeeAmountUSD"),
         F.sum("AumAtBilling").alias("TotalAumBilled"),
         F.avg("BasisPoints").alias("AvgBasisPoints"),
@@ -155,12 +159,12 @@ def fees_collapsed(accruals: DataFrame) -> DataFrame:
     )
 
 
-def with_invoices(df: DataFrame, lists: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def with_invoices(df: DataFrame, lists: DataFrame, hot: DataFrame | None = None, deal: Sequence[int | str] = ()) -> DataFrame:
     """A spine or reconciliation with the invoices of its keys (``lists`` as :func:`invoice_lists` gives them)."""
-    collapsed = lists.groupBy("CustomerId", "AssetId", F.col("FeePeriod").alias("PositionPeriod")).agg(
+    collapsed = dealt(lists, deal).groupBy("CustomerId", "AssetId", F.col("FeePeriod").alias("PositionPeriod")).agg(
         _sorted_list("InvoiceReferences", " | ").alias(INVOICES)
     )
-    joined = join_by_key(df, collapsed, KEYS, hot)
+    joined = join_by_key(dealt(df, deal), collapsed, KEYS, hot)
     place = df.columns.index("AllFeesBilled") + 1
     return joined.select(*df.columns[:place], INVOICES, *df.columns[place:])
 
@@ -230,7 +234,7 @@ def client_positions(
     return result if keep_salt else unsalted(result)
 
 
-def financial_event_totals(wide_financial: DataFrame) -> DataFrame:
+def financial_event_totals(wide_financial: DataFrame, deal: Sequence[int | str] = ()) -> DataFrame:
     """Event counts and sums per client, asset and month."""
     events = _flatten(
         wide_financial,
@@ -238,7 +242,7 @@ def financial_event_totals(wide_financial: DataFrame) -> DataFrame:
         ("CustomerId", "AssetId", "ID", "GrossAmount", "NetAmount"),
         ("EventPeriod", "IsPending"),
     )
-    return events.groupBy("CustomerId", "AssetId", "EventPeriod").agg(
+    return dealt(events, deal).groupBy("CustomerId", "AssetId", "EventPeriod").agg(
         F.count("ID").alias("RawEventCount"),
         F.sum("GrossAmount").alias("SumGrossFromEvents"),
         F.sum("NetAmount").alias("SumNetFromEvents"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from closebook import constants as K
 from closebook.operators import gate, reports, skew, statement, tieout, views
 from closebook.operators.assembly import calc_table, wide_table
-from closebook.schemas import SemanticTables
+from closebook.schemas import FACTS, SemanticTables
 from closebook.sources.tables import months_of
 
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -41,7 +41,8 @@ class Books:
     output invoice lists, so the spine is built without them, and the two results that have such a
     column join it.
 
-    A first job counts positions by client. Unless a client may have more than ``hot_rows``, no key is hot: rows get no salt,
+    A first job counts the rows of the four fact tables by client. Unless a client may have more than ``hot_rows`` of one, no
+    key is hot: rows get no salt and are dealt by client alone, which serves all joins, sums and windows along the spine,
     and a statement finds the month before in one pass over the spine instead of joining it with itself.
 
     With a ``watch`` (and a ``keep`` that writes) the gate's checks are counted while balances, spine and
@@ -97,9 +98,14 @@ class Books:
 
     @cached_property
     def even(self) -> bool:
-        """Whether no client has very many positions."""
-        present = self.tables.CustodyPositions.filter("ID IS NOT NULL AND CustomerId IS NOT NULL")
-        return skew.all_small(present, "CustomerId", self.hot_rows)
+        """Whether no client has very many rows in any of the fact tables."""
+        facts = [self.tables[name].filter("ID IS NOT NULL AND CustomerId IS NOT NULL") for name in FACTS]
+        return skew.all_small(facts, "CustomerId", self.hot_rows)
+
+    @property
+    def _deal(self) -> tuple[int | str, ...]:
+        """How rows are dealt on the way to the spine and from it: by client, or as each step needs."""
+        return ("CustomerId",) if self.even else ()
 
     @property
     def _salts(self) -> DataFrame | None:
@@ -107,7 +113,7 @@ class Books:
 
     @cached_property
     def _salted_balances(self) -> DataFrame:
-        balances = views.custody_balances(self.wide("CustodyPositions"), self._salts, keep_salt=True, even=self.even)
+        balances = views.custody_balances(self.wide("CustodyPositions"), self._salts, keep_salt=True, even=self.even, deal=self._deal)
         balances = self._watched(balances, gate.ledger_tieout_clean(), failing=tieout.unmatched(), where=self._is_current())
         return self.keep(balances, "balances")
 
@@ -116,11 +122,11 @@ class Books:
         fees = self._watched(self.wide("FeeEvents"), gate.all_fees_billed(), where=self._is_current("FeeEventsCalc.FeePeriod"))
         customers = self._watched(self.tables.Customers, gate.kyc_approved_only(), where=F.col("IsActive"))
         spine = views.client_positions(
-            self._salted_balances,
+            skew.dealt(self._salted_balances, self._deal),
             customers,
             self.tables.ReferenceAssets,
-            self.staking_rewards,
-            views.fee_sums(fees),
+            views.staking_rewards(self.wide("StakingEvents"), self._deal),
+            views.fee_sums(fees, self._deal),
             run_ts=self.run_ts,
             hot=self._salts,
             keep_salt=True,
@@ -132,7 +138,7 @@ class Books:
         return views.invoice_lists(views.invoice_lines(self.wide("FeeEvents")))
 
     def _with_invoices(self, df: DataFrame) -> DataFrame:
-        return views.with_invoices(df, self.invoice_lists, self._salts)
+        return views.with_invoices(df, self.invoice_lists, self._salts, self._deal)
 
     @property
     def balances(self) -> DataFrame:
@@ -160,8 +166,8 @@ class Books:
             self.wide("FinancialEvents"), gate.no_pending_events(), where=self._is_current("FinancialEventsCalc.EventPeriod")
         )
         summary = views.reconciliation_summary(
-            self._current(self._salted_positions), views.financial_event_totals(events), self.entity, self.run_ts, self._salts,
-            keep_salt=True,
+            skew.dealt(self._current(self._salted_positions), self._deal), views.financial_event_totals(events, self._deal),
+            self.entity, self.run_ts, self._salts, keep_salt=True,
         )
         if self.watch is None:
             return summary

@@ -20,6 +20,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Join by hashing instead of sorting where the measured partitions of one side are this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Rows that are dealt by some of the keys of a join are where it needs them (skew.dealt; salted joins deal by all of theirs).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -181,6 +181,35 @@ def test_without_hot_keys_a_statement_reads_every_table_once(spark, tmp_path):
     assert found == expected and len(found) > 10
 
 
+def test_without_hot_keys_rows_are_dealt_by_client_once(spark, tmp_path):
+    """Positions, rewards, fees and events (the few clients are broadcast); the spine is not exchanged for its joins, sums and windows."""
+    from closebook.plans.books import Books
+    from closebook.schemas import SCHEMAS, SemanticTables
+
+    salted = crowded(spark, hot_rows=3)
+    for name in SCHEMAS:
+        salted.tables[name].write.parquet(f"{tmp_path}/{name}")
+    stored = SemanticTables(**{name: spark.read.parquet(f"{tmp_path}/{name}") for name in SCHEMAS})
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name in settings:
+        spark.conf.set(name, "-1")
+    try:
+        even = Books(stored)
+        for result, tables in ((even._salted_reconciliation, 4), (even.monthly_statement, 3)):
+            found = [line for line in executed(result).splitlines() if "Exchange hashpartitioning(CustomerId" in line]
+            assert len(found) == tables and not [line for line in found if "AssetId" in line]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert content(even.reconciliation) == content(salted.reconciliation)
+
+
+def test_clients_are_small_only_if_no_table_has_many_rows_of_one(spark):
+    few, many = spark.range(10).selectExpr("'A' AS key"), spark.range(100_000).selectExpr("'A' AS key")
+    assert skew.all_small([few, few], "key", 90_000) and not skew.all_small([few, many], "key", 90_000)
+
+
 def test_lines_of_an_order_are_dealt_once(spark, tmp_path):
     from checks import fixture
 
