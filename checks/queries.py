@@ -235,7 +235,7 @@ register(
     lambda t: Books(t, hot_rows=1).monthly_statement.drop("StatementGeneratedAt"),
     _STATEMENT_SQL,
 )
-# The same over tables bucketed by client, asset and month; and with every key of two rows or more apart from them.
+# The same over bucketed tables: by client; and by client, asset and month, with every key of two rows or more apart from them.
 register("monthly_statement_bucketed", lambda t: bucketed(t).monthly_statement.drop("StatementGeneratedAt"), _STATEMENT_SQL)
 register(
     "monthly_statement_bucketed_salted",

@@ -1,11 +1,15 @@
-"""The reporting layers over catalog tables that are bucketed by client, asset and month.
+"""The reporting layers over catalog tables that are bucketed by client, or by client, asset and month.
 
 Balances, monthly sums, the reporting spine and what the next month's statement needs of it are stored once in equally many
 buckets. So the joins of the spine to rewards, fees and event totals, and its join with the month before, find both sides
 where they are needed and exchange nothing, however often statements and reports are made.
 
-Keys with very many rows (see :mod:`closebook.operators.skew`) would each lie in one bucket. Their rows are kept in a
-table of their own and joined with salts, as :class:`closebook.plans.books.Books` does for all rows.
+Where no client has very many rows of any table, buckets are made of clients. Then the tables are written from rows that were
+dealt to buckets once, as they were read, and the clients' attributes join in place too.
+
+Else buckets are made of all three columns. Keys with very many rows (see :mod:`closebook.operators.skew`) would each lie in
+one bucket. Their rows are kept in a table of their own and joined with salts, as :class:`closebook.plans.books.Books` does
+for all rows.
 """
 
 from __future__ import annotations
@@ -39,72 +43,86 @@ class BucketedBooks(Books):
         super().__init__(tables, **options)
         self.prefix, self.buckets, self.location = prefix, buckets, location
 
-    even = False  # hot keys are kept apart
+    @property
+    def _deal(self) -> tuple[int | str, ...]:
+        return (self.buckets, "CustomerId") if self.even else ()
 
     def _stored(self, df: DataFrame, name: str, month: str = "PositionPeriod") -> DataFrame:
         table = f"{self.prefix}_{name}"
         path = None if self.location is None else f"{self.location.rstrip('/')}/{name}"
-        return store_bucketed(df, table, ("CustomerId", "AssetId", month), self.buckets, path)
+        by = ("CustomerId",) if self.even else ("CustomerId", "AssetId", month)
+        return store_bucketed(df, table, by, self.buckets, path)
 
     def _by_heat(self, df: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows whose key is not among some few, and those whose key is."""
         few = F.broadcast(keys.select(*KEYS))
         return df.join(few, list(KEYS), "left_anti"), df.join(few, list(KEYS), "left_semi")
 
+    def _united(self, ordinary: DataFrame, hot: DataFrame | None) -> DataFrame:
+        """Both parts; without hot keys rows have no salt."""
+        return ordinary if hot is None else ordinary.withColumn(SALT, F.lit(0)).unionByName(hot)
+
     @cached_property
-    def _balances(self) -> tuple[DataFrame, DataFrame]:
+    def _balances(self) -> tuple[DataFrame, DataFrame | None]:
+        """Balances of ordinary keys (bucketed), and those of hot keys, if there may be any, with their salts."""
+        if self.even:
+            return self._stored(views.custody_balances(self.wide("CustodyPositions"), even=True, deal=self._deal), "balances"), None
         balances = views.custody_balances(self.wide("CustodyPositions"), self.hot, keep_salt=True)
         ordinary, hot = self._by_heat(self.keep(balances, "balances"), self.hot)
         return self._stored(views.unsalted(ordinary), "balances"), hot
 
     @cached_property
     def _salted_balances(self) -> DataFrame:
-        ordinary, hot = self._balances
-        return ordinary.withColumn(SALT, F.lit(0)).unionByName(hot)
+        return self._united(*self._balances)
 
     @cached_property
     def staking_rewards(self) -> DataFrame:
-        return self._stored(super().staking_rewards, "staking_rewards", "RewardPeriod")
+        return self._stored(views.staking_rewards(self.wide("StakingEvents"), self._deal), "staking_rewards", "RewardPeriod")
 
     @cached_property
     def _fee_sums(self) -> DataFrame:
-        return self._stored(views.fee_sums(self.wide("FeeEvents")), "fee_sums", "FeePeriod")
+        return self._stored(views.fee_sums(self.wide("FeeEvents"), self._deal), "fee_sums", "FeePeriod")
 
     @cached_property
     def event_totals(self) -> DataFrame:
-        return self._stored(super().event_totals, "event_totals", "EventPeriod")
+        return self._stored(views.financial_event_totals(self.wide("FinancialEvents"), self._deal), "event_totals", "EventPeriod")
 
     @cached_property
-    def spine(self) -> tuple[DataFrame, DataFrame]:
+    def spine(self) -> tuple[DataFrame, DataFrame | None]:
         """The reporting spine: rows of ordinary keys (bucketed), and rows of hot keys with their salts."""
         ordinary, hot = self._balances
         dimensions = (self.tables.Customers, self.tables.ReferenceAssets, self.staking_rewards, self._fee_sums)
         stored = self._stored(views.client_positions(ordinary, *dimensions, run_ts=self.run_ts), "client_positions")
+        if hot is None:
+            return stored, None
         salted = views.client_positions(hot, *dimensions, run_ts=self.run_ts, hot=self.hot, keep_salt=True)
         return stored, self.keep(salted, "hot-client-positions")
 
     @cached_property
     def _salted_positions(self) -> DataFrame:
-        ordinary, hot = self.spine
-        return ordinary.withColumn(SALT, F.lit(0)).unionByName(hot)
+        return self._united(*self.spine)
 
     @cached_property
     def _salted_reconciliation(self) -> DataFrame:
-        ordinary, hot = (self._current(part) for part in self.spine)
+        ordinary, hot = (part if part is None else self._current(part) for part in self.spine)
         whole = views.reconciliation_summary(ordinary, self.event_totals, self.entity, self.run_ts)
+        if hot is None:
+            return whole
         salted = views.reconciliation_summary(hot, self.event_totals, self.entity, self.run_ts, self.hot, keep_salt=True)
         return whole.withColumn(SALT, F.lit(0)).unionByName(salted)
 
     @cached_property
-    def _prior(self) -> tuple[DataFrame, DataFrame]:
+    def _prior(self) -> tuple[DataFrame, DataFrame | None]:
         """What the next month's statements need of the spine's two parts."""
-        ordinary, hot = (statement.prior_rows(statement.approved_only(part)) for part in self.spine)
+        ordinary, hot = (part if part is None else statement.prior_rows(statement.approved_only(part)) for part in self.spine)
         return self._stored(ordinary, "prior_positions"), hot
 
     @cached_property
     def monthly_statement(self) -> DataFrame:
         """Rows whose key is hot in neither of both months meet in their bucket, the others by salted joins."""
         (ordinary, hot), (prior, hot_prior) = self.spine, self._prior
+        if hot is None:
+            return self._current(statement.monthly_statement(ordinary, self.entity, self.run_ts, prior=prior))
         following = self.hot.withColumn("PositionPeriod", F.add_months("PositionPeriod", 1))
         touched = self.hot.select(*KEYS).union(following.select(*KEYS))
         plain, beside = self._by_heat(ordinary, touched)

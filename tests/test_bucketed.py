@@ -87,3 +87,20 @@ def test_only_salted_rows_are_exchanged(spark, tmp_path):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_clients_without_very_many_rows_make_the_buckets(spark, tmp_path):
+    """Every row is dealt once, when it is read; no result of the tables exchanges one."""
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name in settings:
+        spark.conf.set(name, "-1")
+    try:
+        tables = given(spark)
+        books = BucketedBooks(tables, "by_client", 4, f"{tmp_path}/books", keep=materialise)
+        assert books.even and not shuffles(books.monthly_statement) and not shuffles(books._salted_reconciliation)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    for name in ("balances", "staking_rewards", "client_positions", "reconciliation", "tie_out", "monthly_statement"):
+        assert compared(getattr(books, name)) == compared(getattr(Books(tables, hot_rows=3), name)), name
