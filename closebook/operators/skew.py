@@ -9,7 +9,7 @@ several tasks by a salt column that every join along the position spine carries:
 * ``latest_per_key`` numbers the rows of a hot key 0..fan-1; all other rows get salt 0.
 * ``spread`` repeats the (few) right-hand rows of a hot key once per salt.
 
-Where ``all_small`` finds that not even a client has that many rows of any table, there is nothing to salt. All rows are
+Where ``all_small`` finds that not even a client has that many rows, there is nothing to salt. All rows are
 then dealt by client once (``dealt``), and what follows along the spine finds them where it needs them.
 """
 

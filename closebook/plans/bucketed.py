@@ -4,7 +4,7 @@ Balances, monthly sums, the reporting spine and what the next month's statement
 buckets. So the joins of the spine to rewards, fees and event totals, and its join with the month before, find both sides
 where they are needed and exchange nothing, however often statements and reports are made.
 
-Where no client has very many rows of any table, buckets are made of clients. Then the tables are written from rows that were
+Where no client has very many positions, buckets are made of clients. Then the tables are written from rows that were
 dealt to buckets once, as they were read, and the clients' attributes join in place too.
 
 Else buckets are made of all three columns. Keys with very many rows (see :mod:`closebook.operators.skew`) would each lie in
