@@ -11,6 +11,9 @@ several tasks by a salt column that every join along the position spine carries:
 
 Where ``all_small`` finds that not even a client has that many rows, there is nothing to salt. All rows are
 then dealt by client once (``dealt``), and what follows along the spine finds them where it needs them.
+
+Where keys have more rows than asked for, but no client more than a task takes, rows are dealt by client as well.
+``latest_with_fan`` finds the hot keys among them on the spot, and only their rows go on by salt.
 """
 
 from __future__ import annotations
@@ -28,14 +31,25 @@ GROUPS = 1 << 16  # of hashed values whose rows all_small counts together
 SALT = "_salt"
 FAN = "_fan"
 LATEST = "_latest"
+FAN_BEFORE = "_fan_before"  # of the same client and asset a month earlier, and a month later
+FAN_AFTER = "_fan_after"
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast only when the planner's own size estimate is below ``limit``."""
     if not hasattr(df, "_jdf"):  # a Connect session shows no statistics: leave the choice to Spark
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(size)) <= limit else df
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's own estimate of a table's size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def surely_small(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether the planner's own estimate of a table's size says that it may be broadcast; without an estimate (see above) not."""
+    return hasattr(df, "_jdf") and estimated_bytes(df) <= (BROADCAST_LIMIT_BYTES if limit is None else limit)
 
 
 def hot_keys(
@@ -80,17 +94,17 @@ def _salt(by: Sequence[str]) -> Column:
     return F.when(F.col(FAN).isNull(), 0).otherwise(F.pmod(F.xxhash64(*by), FAN).cast("int"))
 
 
-def spread(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Repeat the rows of hot keys once per salt; other rows get salt 0."""
-    marked = df.join(F.broadcast(hot), list(keys), "left")
+def spread(df: DataFrame, hot: DataFrame, keys: Sequence[str], only_hot: bool = False) -> DataFrame:
+    """Repeat the rows of hot keys once per salt; other rows get salt 0, or drop out with ``only_hot``."""
+    marked = df.join(F.broadcast(hot), list(keys), "inner" if only_hot else "left")
     # LATEST is never NULL for a hot key. Reading it here makes every use of the hot keys ask for the
     # same columns, so that Spark computes and broadcasts them once.
     fan = F.when(F.col(LATEST).isNotNull(), F.col(FAN)).otherwise(1)
     return marked.withColumn(SALT, F.explode(F.sequence(F.lit(0), fan - 1))).drop(FAN, LATEST)
 
 
-def join_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
-    """Left join; when ``left`` is salted, ``right`` is spread to match.
+def join_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None, only_hot: bool = False) -> DataFrame:
+    """Left join; when ``left`` is salted, ``right`` is spread to match; with ``only_hot`` all keys of ``left`` are hot.
 
     Both sides of a salted join are dealt by all keys and the salt, lest it takes place by fewer and undoes the salt.
     """
@@ -99,7 +113,7 @@ def join_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Dat
     if hot is None:
         raise ValueError("salted rows need the hot keys they were salted with")
     by = [*keys, SALT]
-    return dealt(left, by).join(dealt(spread(right, hot, keys), by), by, "left")
+    return dealt(left, by).join(dealt(spread(right, hot, keys, only_hot), by), by, "left")
 
 
 def latest_per_key(
@@ -124,6 +138,37 @@ def latest_per_key(
     return salted.withColumn("_rank", F.rank().over(newest_first)).filter("_rank = 1").drop("_rank")
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """The same rows, of which every use asks for all columns, so that Spark deals what they are made from once.
+
+    For the results of sums and windows over dealt rows; the condition is always true.
+    """
+    return df.filter(F.hash(*df.columns) >= F.lit(-(1 << 31)))
+
+
+def stacked(first: DataFrame, second: DataFrame) -> DataFrame:
+    """The rows of both, under column names given anew.
+
+    A union keeps the columns of its first part as they are; without new ones Spark would not see that both parts are made
+    from the same dealt rows, and deal them twice.
+    """
+    return first.select(*[F.col(name).alias(name) for name in first.columns]).unionByName(second)
+
+
+def latest_with_fan(df: DataFrame, keys: Sequence[str], order: str, by: Sequence[str], deal: Sequence[int | str], min_rows: int) -> DataFrame:
+    """As :func:`latest_per_key`, with the salt and the number of salts (NULL unless the key is hot), in one pass over dealt rows.
+
+    For tables where all rows of a value of the columns they are dealt by fit a task. The keys are asked for one by one, as
+    joins do, or they would ask again and have the rows dealt anew.
+    """
+    same = Window.partitionBy(*keys)
+    present = dealt(df.filter(reduce(Column.__and__, [F.col(name).isNotNull() for name in (*keys, order)])), deal)
+    counted = shared(present.withColumns({"_rows": F.count(F.lit(1)).over(same), LATEST: F.max(order).over(same)}))
+    fan = F.when(F.col("_rows") > min_rows, F.ceil(F.col("_rows") / min_rows).cast("int"))
+    latest = counted.filter(F.col(LATEST) == F.col(order)).withColumn(FAN, fan).drop("_rows", LATEST)
+    return latest.withColumn(SALT, _salt(by))
+
+
 def place_by_key(df: DataFrame, keys: Sequence[str], by: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """Bring the rows of a key into one task, and those of a hot key into several, for writing files.
 

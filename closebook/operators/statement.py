@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from closebook import constants as K
 from closebook.functions import numeric
-from closebook.operators.skew import join_by_key
-from closebook.operators.views import KEYS, unsalted
+from closebook.operators.skew import FAN_AFTER, FAN_BEFORE, join_by_key
+from closebook.operators.views import KEYS
 
 STATEMENT_COLUMNS = (
     "StatementId", "CustomerId", "CustomerName", "CustomerType", "Jurisdiction", "RiskTier", "AssetId", "Symbol",
@@ -25,15 +25,20 @@ def approved_only(positions: DataFrame) -> DataFrame:
     return positions.filter(F.col("KycStatus") == K.APPROVED)
 
 
-def prior_rows(positions: DataFrame) -> DataFrame:
-    """What a statement shows of the month before, by the month that shows it."""
-    return unsalted(positions).select(
+def prior_rows(positions: DataFrame, with_fan: bool = False) -> DataFrame:
+    """What a statement shows of the month before, by the month that shows it, and the number of salts there.
+
+    The number (``skew.FAN_AFTER`` of the positions) only if it is asked for.
+    """
+    fan = [FAN_AFTER] if with_fan else []
+    return positions.select(
         "CustomerId",
         "AssetId",
         F.add_months("PositionPeriod", 1).alias("PositionPeriod"),
         F.col("PeriodEndQuantity").alias("PriorPeriodQuantity"),
         F.col("PeriodEndValuationUSD").alias("PriorPeriodValuationUSD"),
         F.col("SettledNetRewards").alias("PriorPeriodSettledNetRewards"),
+        *fan,
     )
 
 
@@ -50,7 +55,7 @@ def beside_prior_period(positions: DataFrame) -> DataFrame:
     """The same as :func:`with_prior_period` where no key has very many rows, in one pass and without a join.
 
     Rows are brought together by client and asset; every row collects the rows of the month before and is
-    repeated for each of them.
+    repeated for each of them. Rows that are known to follow a hot key (``skew.FAN_BEFORE``) are left out, for a salted join.
     """
     month = F.year("PositionPeriod") * 12 + F.month("PositionPeriod")
     before = Window.partitionBy("CustomerId", "AssetId").orderBy("_month").rangeBetween(-1, -1)
@@ -60,6 +65,8 @@ def beside_prior_period(positions: DataFrame) -> DataFrame:
         F.col("SettledNetRewards").alias("PriorPeriodSettledNetRewards"),
     )
     found = positions.withColumn("_month", month).withColumn("_prior", F.collect_list(shown).over(before))
+    if FAN_BEFORE in positions.columns:
+        found = found.filter(F.col(FAN_BEFORE).isNull())
     return found.withColumn("_prior", F.explode_outer("_prior")).select(*positions.columns, "_prior.*")
 
 

@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook import constants as K
 from closebook.functions import numeric
-from closebook.operators.skew import SALT, broadcast_if_small, dealt, hot_keys, join_by_key, latest_per_key
+from closebook.operators.skew import (
+    FAN, FAN_AFTER, FAN_BEFORE, LATEST, SALT, broadcast_if_small, dealt, hot_keys, join_by_key, latest_per_key, latest_with_fan,
+)
 
 KEYS = ("CustomerId", "AssetId", "PositionPeriod")
 INVOICES = "AllInvoiceReferences"  # long texts, which the spine does without until they are asked for
 
 
 def unsalted(df: DataFrame) -> DataFrame:
-    return df.drop(SALT)
+    return df.drop(SALT, FAN, FAN_BEFORE, FAN_AFTER)
 
 
 def _flatten(wide: DataFrame, table: str, fields: tuple[str, ...], calcs: tuple[str, ...]) -> DataFrame:
@@ -42,21 +44,46 @@ def custody_balances(
     """
     if hot is None and not even:
         hot = hot_position_keys(wide_positions)
-    fields = (
-        "ID", "CustomerId", "AssetId", "PositionDate", "Quantity", "PriceUSD", "ValuationUSD", "CustodianLedgerRef",
-    )
-    positions = _flatten(wide_positions, "CustodyPositions", fields, ("PositionPeriod",))
-    latest = latest_per_key(positions, KEYS, "PositionDate", None if even else hot, by=["ID"], deal=deal)
-    balances = latest.select(
+    latest = latest_per_key(_positions(wide_positions), KEYS, "PositionDate", None if even else hot, by=["ID"], deal=deal)
+    balances = _as_balances(latest, *([] if even else [SALT]))
+    return balances if keep_salt else unsalted(balances)
+
+
+def _as_balances(latest: DataFrame, *more: str) -> DataFrame:
+    return latest.select(
         *KEYS,
         F.col("PositionDate").alias("PeriodEndDate"),
         F.col("Quantity").alias("PeriodEndQuantity"),
         F.col("PriceUSD").alias("PeriodEndPriceUSD"),
         F.col("ValuationUSD").alias("PeriodEndValuationUSD"),
         "CustodianLedgerRef",
-        *([] if even else [SALT]),
+        *more,
     )
-    return balances if keep_salt else unsalted(balances)
+
+
+def _positions(wide_positions: DataFrame) -> DataFrame:
+    fields = (
+        "ID", "CustomerId", "AssetId", "PositionDate", "Quantity", "PriceUSD", "ValuationUSD", "CustodianLedgerRef",
+    )
+    return _flatten(wide_positions, "CustodyPositions", fields, ("PositionPeriod",))
+
+
+def balances_with_fan(wide_positions: DataFrame, deal: Sequence[int | str], min_rows: int) -> DataFrame:
+    """Balances with their salt, the number of salts of their key and of the same client and asset a month earlier and later.
+
+    For tables whose rows of a client fit a task, see :func:`skew.latest_with_fan`; a number is NULL where the key is not hot.
+    """
+    latest = latest_with_fan(_positions(wide_positions), KEYS, "PositionDate", ["ID"], deal, min_rows)
+    month = F.year("PositionPeriod") * 12 + F.month("PositionPeriod")
+    near = Window.partitionBy("CustomerId", "AssetId").orderBy("_month")
+    balances = _as_balances(latest, SALT, FAN).withColumn("_month", month)
+    found = {FAN_BEFORE: F.max(FAN).over(near.rangeBetween(-1, -1)), FAN_AFTER: F.max(FAN).over(near.rangeBetween(1, 1))}
+    return balances.withColumns(found).drop("_month")
+
+
+def hot_balance_keys(balances: DataFrame) -> DataFrame:
+    """The hot keys as :func:`skew.hot_keys` gives them, from :func:`balances_with_fan`."""
+    return balances.filter(F.col(FAN).isNotNull()).groupBy(*KEYS).agg(F.max(FAN).alias(FAN), F.max("PeriodEndDate").alias(LATEST))
 
 
 def _sum_where(condition: Column, name: str) -> Column:
@@ -159,12 +186,12 @@ def fees_collapsed(accruals: DataFrame) -> DataFrame:
     )
 
 
-def with_invoices(df: DataFrame, lists: DataFrame, hot: DataFrame | None = None, deal: Sequence[int | str] = ()) -> DataFrame:
+def with_invoices(df: DataFrame, lists: DataFrame, hot: DataFrame | None = None, deal: Sequence[int | str] = (), only_hot: bool = False) -> DataFrame:
     """A spine or reconciliation with the invoices of its keys (``lists`` as :func:`invoice_lists` gives them)."""
     collapsed = dealt(lists, deal).groupBy("CustomerId", "AssetId", F.col("FeePeriod").alias("PositionPeriod")).agg(
         _sorted_list("InvoiceReferences", " | ").alias(INVOICES)
     )
-    joined = join_by_key(dealt(df, deal), collapsed, KEYS, hot)
+    joined = join_by_key(df if only_hot else dealt(df, deal), collapsed, KEYS, hot, only_hot)
     place = df.columns.index("AllFeesBilled") + 1
     return joined.select(*df.columns[:place], INVOICES, *df.columns[place:])
 
@@ -190,6 +217,7 @@ def client_positions(
     run_ts: Column | None = None,
     hot: DataFrame | None = None,
     keep_salt: bool = False,
+    only_hot: bool = False,
 ) -> DataFrame:
     """The reporting spine: balances with client, asset, reward and fee attributes, and invoices if ``accruals`` has them.
 
@@ -213,8 +241,8 @@ def client_positions(
         *[F.col(old).alias(new) for old, new in reward_columns.items()],
     )
     fee_rows = fees_collapsed(accruals).withColumnRenamed("FeePeriod", "PositionPeriod")
-    spine = join_by_key(balances, reward_rows, KEYS, hot)
-    spine = join_by_key(spine, fee_rows, KEYS, hot)
+    spine = join_by_key(balances, reward_rows, KEYS, hot, only_hot)
+    spine = join_by_key(spine, fee_rows, KEYS, hot, only_hot)
 
     client_columns = ["CustomerName", "CustomerType", "Jurisdiction", "RiskTier", "KycStatus"]
     asset_columns = ["Symbol", "AssetName", "AssetType", "Protocol", "IsStakeable", "UnbondingDays"]
@@ -229,7 +257,7 @@ def client_positions(
         position_value_with_pending().alias("TotalPositionValueWithNetpenUSD"),
         fee_without_balance().alias("ReconFlagFeeWithoutBalance"),
         (F.current_timestamp() if run_ts is None else run_ts).alias("_BuiltAt"),
-        *([SALT] if SALT in spine.columns else []),
+        *[name for name in (SALT, FAN_BEFORE, FAN_AFTER) if name in spine.columns],
     )
     return result if keep_salt else unsalted(result)
 
@@ -269,10 +297,11 @@ def reconciliation_summary(
     run_ts: Column | None = None,
     hot: DataFrame | None = None,
     keep_salt: bool = False,
+    only_hot: bool = False,
 ) -> DataFrame:
     """Reconciliation status of every spine row against the event log (unordered)."""
     totals = event_totals.withColumnRenamed("EventPeriod", "PositionPeriod")
-    rows = join_by_key(positions, totals, KEYS, hot)
+    rows = join_by_key(positions, totals, KEYS, hot, only_hot)
     lists = [name for name in (INVOICES,) if name in positions.columns]
     salt = [SALT] if keep_salt and SALT in rows.columns else []
     return rows.select(

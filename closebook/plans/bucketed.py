@@ -43,6 +43,10 @@ class BucketedBooks(Books):
         super().__init__(tables, **options)
         self.prefix, self.buckets, self.location = prefix, buckets, location
 
+    @property
+    def apart(self) -> bool:
+        return False
+
     @property
     def _deal(self) -> tuple[int | str, ...]:
         return (self.buckets, "CustomerId") if self.even else ()

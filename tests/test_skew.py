@@ -226,3 +226,73 @@ def test_lines_of_an_order_are_dealt_once(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning") == 2 and lines.count() == 20  # line items and orders
+
+
+def stored_crowd(spark, path, **options):
+    """Books over the crowded tables as files."""
+    from closebook.plans.books import Books
+    from closebook.schemas import SCHEMAS, SemanticTables
+
+    source = crowded(spark).tables
+    for name in SCHEMAS:
+        source[name].write.mode("overwrite").parquet(f"{path}/{name}")
+    return Books(SemanticTables(**{name: spark.read.parquet(f"{path}/{name}") for name in SCHEMAS}), **options)
+
+
+@pytest.fixture
+def large(spark, monkeypatch):
+    """Tables of any size are taken for large ones, and nothing is broadcast unless the library says so."""
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name in settings:
+        spark.conf.set(name, "-1")
+    monkeypatch.setattr(skew, "BROADCAST_LIMIT_BYTES", -1)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def dealt_tables(plan):
+    """How often rows of a table are dealt by client, and how often its positions are read."""
+    lines = plan.splitlines()
+    dealt = [line for line in lines if "+- Exchange hashpartitioning(CustomerId" in line and "REPARTITION_BY_COL" in line and SALT not in line]
+    return len(dealt), sum("FileScan" in line and "PositionDate" in line for line in lines)
+
+
+def test_a_statement_with_hot_keys_deals_every_table_once(spark, tmp_path, large):
+    """Positions, rewards and fees; the hot keys, the month before and the salted rows are found among the same dealt rows."""
+    books = stored_crowd(spark, tmp_path, hot_rows=3)
+    plan = executed(books.monthly_statement)
+    assert dealt_tables(plan) == (3, 1)
+    assert [line for line in plan.splitlines() if "Exchange hashpartitioning(CustomerId" in line and SALT in line]
+    assert content(books.monthly_statement) == content(crowded(spark).monthly_statement)
+
+
+def test_a_reconciliation_with_hot_keys_deals_every_table_once(spark, tmp_path, large):
+    """Positions, rewards, fees, events and invoice lists."""
+    books = stored_crowd(spark, tmp_path, hot_rows=3)
+    plan = executed(books.reconciliation)
+    assert dealt_tables(plan) == (5, 1)
+    assert len([line for line in plan.splitlines() if "+- Exchange hashpartitioning(CustomerId" in line and SALT in line]) == 5
+    assert content(books.reconciliation) == content(crowded(spark).reconciliation)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3])
+def test_results_with_hot_keys_apart_equal_unsalted_ones(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(skew, "BROADCAST_LIMIT_BYTES", -1)
+    plain, apart = crowded(spark), crowded(spark, hot_rows=hot_rows)
+    assert apart.apart and not apart.even and not plain.apart
+    assert content(apart.hot) == content(views.hot_position_keys(plain.wide("CustodyPositions"), min_rows=hot_rows).select(*apart.hot.columns))
+    for name in NAMES:
+        assert getattr(apart, name).columns == getattr(plain, name).columns
+        assert content(getattr(apart, name)) == content(getattr(plain, name)), name
+
+
+def test_all_rows_are_salted_where_a_client_is_large_or_the_table_small(spark, tmp_path, monkeypatch):
+    assert not stored_crowd(spark, tmp_path, hot_rows=3).apart
+    monkeypatch.setattr(skew, "BROADCAST_LIMIT_BYTES", -1)
+    monkeypatch.setattr(skew, "HOT_ROWS", 50)  # the client has 80 positions
+    monkeypatch.setattr(skew, "GROUPS", 40)
+    assert not crowded(spark, hot_rows=3).apart
+    monkeypatch.setattr(skew, "HOT_ROWS", 500)
+    assert crowded(spark, hot_rows=3).apart
