@@ -7,6 +7,10 @@ where they are needed and exchange nothing, however often statements and reports
 Where no client has very many positions, buckets are made of clients. Then the tables are written from rows that were
 dealt to buckets once, as they were read, and the clients' attributes join in place too.
 
+Where keys have more rows than asked for and clients no more than a task takes, buckets are made of clients too. Balances
+are stored with the number of salts of their key and of its neighbours in time, so the few rows that go by salts are told
+by these columns.
+
 Else buckets are made of all three columns. Keys with very many rows (see :mod:`closebook.operators.skew`) would each lie in
 one bucket. Their rows are kept in a table of their own and joined with salts, as :class:`closebook.plans.books.Books` does
 for all rows.
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.operators import skew, statement, views
-from closebook.operators.skew import SALT
+from closebook.operators.skew import FAN_AFTER, FAN_BEFORE, SALT
 from closebook.operators.views import KEYS
 from closebook.plans.books import Books
 from closebook.schemas import SemanticTables
@@ -43,18 +47,14 @@ class BucketedBooks(Books):
         super().__init__(tables, **options)
         self.prefix, self.buckets, self.location = prefix, buckets, location
 
-    @property
-    def apart(self) -> bool:
-        return False
-
     @property
     def _deal(self) -> tuple[int | str, ...]:
-        return (self.buckets, "CustomerId") if self.even else ()
+        return (self.buckets, "CustomerId") if self.even or self.apart else ()
 
     def _stored(self, df: DataFrame, name: str, month: str = "PositionPeriod") -> DataFrame:
         table = f"{self.prefix}_{name}"
         path = None if self.location is None else f"{self.location.rstrip('/')}/{name}"
-        by = ("CustomerId",) if self.even else ("CustomerId", "AssetId", month)
+        by = ("CustomerId",) if self._deal else ("CustomerId", "AssetId", month)
         return store_bucketed(df, table, by, self.buckets, path)
 
     def _by_heat(self, df: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -71,10 +71,16 @@ class BucketedBooks(Books):
         """Balances of ordinary keys (bucketed), and those of hot keys, if there may be any, with their salts."""
         if self.even:
             return self._stored(views.custody_balances(self.wide("CustodyPositions"), even=True, deal=self._deal), "balances"), None
+        if self.apart:
+            return self._parts(self._balances_with_fan)
         balances = views.custody_balances(self.wide("CustodyPositions"), self.hot, keep_salt=True)
         ordinary, hot = self._by_heat(self.keep(balances, "balances"), self.hot)
         return self._stored(views.unsalted(ordinary), "balances"), hot
 
+    @cached_property
+    def _balances_with_fan(self) -> DataFrame:
+        return self._stored(views.balances_with_fan(self.wide("CustodyPositions"), self._deal, self.hot_rows), "balances")
+
     @cached_property
     def _salted_balances(self) -> DataFrame:
         return self._united(*self._balances)
@@ -96,29 +102,40 @@ class BucketedBooks(Books):
         """The reporting spine: rows of ordinary keys (bucketed), and rows of hot keys with their salts."""
         ordinary, hot = self._balances
         dimensions = (self.tables.Customers, self.tables.ReferenceAssets, self.staking_rewards, self._fee_sums)
-        stored = self._stored(views.client_positions(ordinary, *dimensions, run_ts=self.run_ts), "client_positions")
+        plain = views.client_positions(ordinary, *dimensions, run_ts=self.run_ts, keep_salt=True)
+        stored = self._stored(plain, "client_positions")
         if hot is None:
             return stored, None
-        salted = views.client_positions(hot, *dimensions, run_ts=self.run_ts, hot=self.hot, keep_salt=True)
+        salted = views.client_positions(hot, *dimensions, run_ts=self.run_ts, hot=self.hot, keep_salt=True, only_hot=self.apart)
         return stored, self.keep(salted, "hot-client-positions")
 
+    @property
+    def _position_parts(self) -> tuple[DataFrame, DataFrame]:
+        return self.spine
+
     @cached_property
     def _salted_positions(self) -> DataFrame:
         return self._united(*self.spine)
 
     @cached_property
-    def _salted_reconciliation(self) -> DataFrame:
+    def _reconciliation_parts(self) -> tuple[DataFrame, DataFrame | None]:
         ordinary, hot = (part if part is None else self._current(part) for part in self.spine)
         whole = views.reconciliation_summary(ordinary, self.event_totals, self.entity, self.run_ts)
         if hot is None:
-            return whole
-        salted = views.reconciliation_summary(hot, self.event_totals, self.entity, self.run_ts, self.hot, keep_salt=True)
-        return whole.withColumn(SALT, F.lit(0)).unionByName(salted)
+            return whole, None
+        salted = views.reconciliation_summary(
+            hot, self.event_totals, self.entity, self.run_ts, self.hot, keep_salt=True, only_hot=self.apart
+        )
+        return whole, salted
+
+    @cached_property
+    def _salted_reconciliation(self) -> DataFrame:
+        return self._united(*self._reconciliation_parts)
 
     @cached_property
     def _prior(self) -> tuple[DataFrame, DataFrame | None]:
         """What the next month's statements need of the spine's two parts."""
-        ordinary, hot = (part if part is None else statement.prior_rows(statement.approved_only(part)) for part in self.spine)
+        ordinary, hot = (part if part is None else statement.prior_rows(statement.approved_only(part), self.apart) for part in self.spine)
         return self._stored(ordinary, "prior_positions"), hot
 
     @cached_property
@@ -127,6 +144,12 @@ class BucketedBooks(Books):
         (ordinary, hot), (prior, hot_prior) = self.spine, self._prior
         if hot is None:
             return self._current(statement.monthly_statement(ordinary, self.entity, self.run_ts, prior=prior))
+        if self.apart:
+            alone, alone_prior = ordinary.filter(F.col(FAN_BEFORE).isNull()), prior.filter(F.col(FAN_AFTER).isNull())
+            met = statement.monthly_statement(alone, self.entity, self.run_ts, prior=alone_prior.drop(FAN_AFTER))
+            salted = ordinary.filter(F.col(FAN_BEFORE).isNotNull()).withColumn(SALT, F.lit(0)).unionByName(hot)
+            before = prior.filter(F.col(FAN_AFTER).isNotNull()).unionByName(hot_prior).drop(FAN_AFTER)
+            return self._current(met.unionByName(statement.monthly_statement(salted, self.entity, self.run_ts, self.hot, prior=before)))
         following = self.hot.withColumn("PositionPeriod", F.add_months("PositionPeriod", 1))
         touched = self.hot.select(*KEYS).union(following.select(*KEYS))
         plain, beside = self._by_heat(ordinary, touched)

@@ -104,3 +104,21 @@ def test_clients_without_very_many_rows_make_the_buckets(spark, tmp_path):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     for name in ("balances", "staking_rewards", "client_positions", "reconciliation", "tie_out", "monthly_statement"):
         assert compared(getattr(books, name)) == compared(getattr(Books(tables, hot_rows=3), name)), name
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3])
+def test_hot_keys_of_clients_without_very_many_rows_lie_in_buckets_of_clients(spark, tmp_path, monkeypatch, hot_rows):
+    from closebook.operators import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_LIMIT_BYTES", -1)  # else so small a table is salted as a whole
+    tables, prefix = given(spark), f"apart_{hot_rows}"
+    books = BucketedBooks(tables, prefix, 3, f"{tmp_path}/books", keep=materialise, hot_rows=hot_rows)
+    assert books.apart
+    for name in ("balances", "client_positions", "reconciliation", "tie_out", "monthly_statement"):
+        assert compared(getattr(books, name)) == compared(getattr(Books(tables), name)), name
+    for name in ("balances", "client_positions", "staking_rewards", "prior_positions"):
+        described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {prefix}_{name}").collect()}
+        assert described["Bucket Columns"] == "[`CustomerId`]"
+    month = {"keep": materialise, "period": date(2025, 3, 1)}
+    found = compared(BucketedBooks(tables, prefix, 2, f"{tmp_path}/month", hot_rows=hot_rows, **month).monthly_statement)
+    assert found[1] and found == compared(Books(tables, **month).monthly_statement)
