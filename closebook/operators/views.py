@@ -81,9 +81,10 @@ def balances_with_fan(wide_positions: DataFrame, deal: Sequence[int | str], min_
     return balances.withColumns(found).drop("_month")
 
 
-def hot_balance_keys(balances: DataFrame) -> DataFrame:
-    """The hot keys as :func:`skew.hot_keys` gives them, from :func:`balances_with_fan`."""
-    return balances.filter(F.col(FAN).isNotNull()).groupBy(*KEYS).agg(F.max(FAN).alias(FAN), F.max("PeriodEndDate").alias(LATEST))
+def balance_keys(balances: DataFrame) -> DataFrame:
+    """The keys of :func:`balances_with_fan` as :func:`skew.hot_keys` gives them; one salt where a key is not hot."""
+    fan = F.coalesce(F.max(FAN), F.lit(1))
+    return balances.groupBy(*KEYS).agg(fan.alias(FAN), F.max("PeriodEndDate").alias(LATEST))
 
 
 def _sum_where(condition: Column, name: str) -> Column:
@@ -257,7 +258,7 @@ def client_positions(
         position_value_with_pending().alias("TotalPositionValueWithNetpenUSD"),
         fee_without_balance().alias("ReconFlagFeeWithoutBalance"),
         (F.current_timestamp() if run_ts is None else run_ts).alias("_BuiltAt"),
-        *[name for name in (SALT, FAN_BEFORE, FAN_AFTER) if name in spine.columns],
+        *[name for name in (SALT, FAN, FAN_BEFORE, FAN_AFTER) if name in spine.columns],
     )
     return result if keep_salt else unsalted(result)
 

@@ -97,7 +97,7 @@ class Books:
     @cached_property
     def hot(self) -> DataFrame:
         if self.apart:
-            found = views.hot_balance_keys(self._balances_with_fan)
+            found = views.balance_keys(self._balances_with_fan.filter(F.col(skew.FAN).isNotNull()))
         else:
             found = views.hot_position_keys(self.wide("CustodyPositions"), min_rows=self.hot_rows)
         return self.keep(found, "hot-keys")
@@ -142,13 +142,20 @@ class Books:
         return skew.stacked(ordinary.withColumn(skew.SALT, F.lit(0)), hot)
 
     @cached_property
-    def _position_parts(self) -> tuple[DataFrame, DataFrame]:
+    def _dimensions(self) -> tuple[DataFrame, ...]:
         rewards = skew.shared(views.staking_rewards(self.wide("StakingEvents"), self._deal))
-        dimensions = (self.tables.Customers, self.tables.ReferenceAssets, rewards, skew.shared(views.fee_sums(self.wide("FeeEvents"), self._deal)))
-        ordinary, hot = self._parts(self._balances_with_fan)
-        plain = views.client_positions(ordinary, *dimensions, run_ts=self.run_ts, keep_salt=True)
-        salted = views.client_positions(hot, *dimensions, run_ts=self.run_ts, hot=self.hot, keep_salt=True, only_hot=True)
-        return self.keep(plain, "client-positions"), self.keep(salted, "hot-client-positions")
+        return self.tables.Customers, self.tables.ReferenceAssets, rewards, skew.shared(views.fee_sums(self.wide("FeeEvents"), self._deal))
+
+    @cached_property
+    def _plain_positions(self) -> DataFrame:
+        ordinary, _ = self._parts(self._balances_with_fan)
+        return self.keep(views.client_positions(ordinary, *self._dimensions, run_ts=self.run_ts, keep_salt=True), "client-positions")
+
+    @cached_property
+    def _position_parts(self) -> tuple[DataFrame, DataFrame]:
+        _, hot = self._parts(self._balances_with_fan)
+        salted = views.client_positions(hot, *self._dimensions, run_ts=self.run_ts, hot=self.hot, keep_salt=True, only_hot=True)
+        return self._plain_positions, self.keep(salted, "hot-client-positions")
 
     @cached_property
     def _reconciliation_parts(self) -> tuple[DataFrame, DataFrame]:
@@ -167,16 +174,19 @@ class Books:
         ))
 
     def _statement_apart(self) -> DataFrame:
-        """Rows whose key is hot in neither of both months follow theirs in place, the others by a salted join."""
-        plain, salted = self._position_parts
-        plain = skew.dealt(plain, self._deal)
+        """Rows whose key is hot in neither of both months follow theirs in place, the others by a salted join.
+
+        For that join the rows of hot keys and of the months beside them are salted together, the latter with one salt.
+        """
+        plain = skew.dealt(self._plain_positions, self._deal)
         followed = statement.monthly_statement(plain, self.entity, self.run_ts, even=True)
-        after_hot = plain.filter(F.col(skew.FAN_BEFORE).isNotNull()).withColumn(skew.SALT, F.lit(0))
-        before_hot = plain.filter(F.col(skew.FAN_AFTER).isNotNull())
-        prior = [statement.prior_rows(statement.approved_only(part)) for part in (before_hot, skew.shared(salted))]
-        split = statement.monthly_statement(
-            skew.stacked(after_hot, salted), self.entity, self.run_ts, self.hot, prior=skew.stacked(*prior)
-        )
+        is_hot, after_hot, before_hot = (F.col(name).isNotNull() for name in (skew.FAN, skew.FAN_BEFORE, skew.FAN_AFTER))
+        touched = self._balances_with_fan.filter(is_hot | after_hot | before_hot)
+        keys = self.keep(views.balance_keys(touched), "touched-keys")
+        salted = views.client_positions(touched, *self._dimensions, run_ts=self.run_ts, hot=keys, keep_salt=True, only_hot=True)
+        salted = self.keep(skew.shared(salted), "touched-client-positions")
+        prior = statement.prior_rows(statement.approved_only(salted))
+        split = statement.monthly_statement(salted.filter(is_hot | after_hot), self.entity, self.run_ts, keys, prior=prior)
         return skew.stacked(followed, split)
 
     @cached_property
