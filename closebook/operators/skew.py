@@ -21,12 +21,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 GROUPS = 1 << 16  # of hashed values whose rows all_small counts together
+TASK_ROWS = 100_000  # rows of the counted table that a task gets with tasks_for, together with what is joined to them
 
 SALT = "_salt"
 FAN = "_fan"
@@ -84,10 +85,31 @@ def all_small(df: DataFrame | Sequence[DataFrame], key: str, min_rows: int = HOT
     """
     if min_rows < GROUPS:
         return False
-    tables = [df] if isinstance(df, DataFrame) else df
+    return _group_counts([df] if isinstance(df, DataFrame) else df, key).filter(F.col("_rows") > min_rows).isEmpty()
+
+
+def rows_if_small(tables: Sequence[DataFrame], key: str, min_rows: int = HOT_ROWS) -> int | None:
+    """The rows of the first table if :func:`all_small` holds for all of them, else None; found by the same job."""
+    if min_rows < GROUPS:
+        return None
+    of_first = F.sum(F.when(F.col("_table") == 0, F.col("_rows")))
+    found = _group_counts(tables, key).agg(F.max("_rows").alias("largest"), of_first.alias("rows")).first()
+    return None if (found["largest"] or 0) > min_rows else found["rows"] or 0
+
+
+def _group_counts(tables: Sequence[DataFrame], key: str) -> DataFrame:
     groups = [table.select(F.lit(n).alias("_table"), F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("_group")) for n, table in enumerate(tables)]
-    counted = reduce(DataFrame.unionByName, groups).groupBy("_table", "_group").agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") > min_rows).isEmpty()
+    return reduce(DataFrame.unionByName, groups).groupBy("_table", "_group").agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """How many tasks to deal so many rows to, at least as many as shuffle partitions; None where one task would do.
+
+    A number given to :func:`dealt` holds: Spark merges no tasks then, so what a task sorts and adds up stays in its memory,
+    however few shuffle partitions are set for the rows.
+    """
+    needed = -(-rows // TASK_ROWS)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), needed) if needed > 1 else None
 
 
 def _salt(by: Sequence[str]) -> Column:
@@ -103,6 +125,18 @@ def spread(df: DataFrame, hot: DataFrame, keys: Sequence[str], only_hot: bool =
     return marked.withColumn(SALT, F.explode(F.sequence(F.lit(0), fan - 1))).drop(FAN, LATEST)
 
 
+def among(df: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Only the rows of hot keys, without asking the dealt rows or the hot keys for other columns than elsewhere; all rows without ``hot``.
+
+    ``keys`` are named as in ``df``, in the order of those of ``hot``.
+    """
+    if hot is None:
+        return df
+    names = dict(zip(keys, hot.columns))
+    found = shared(df.withColumnsRenamed(names).join(F.broadcast(hot), hot.columns[: len(keys)]))
+    return found.withColumnsRenamed({new: old for old, new in names.items()}).select(*df.columns)
+
+
 def join_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None, only_hot: bool = False) -> DataFrame:
     """Left join; when ``left`` is salted, ``right`` is spread to match; with ``only_hot`` all keys of ``left`` are hot.
 

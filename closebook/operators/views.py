@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from closebook import constants as K
 from closebook.functions import numeric
 from closebook.operators.skew import (
-    FAN, FAN_AFTER, FAN_BEFORE, LATEST, SALT, broadcast_if_small, dealt, hot_keys, join_by_key, latest_per_key, latest_with_fan,
+    FAN, FAN_AFTER, FAN_BEFORE, LATEST, SALT, among, broadcast_if_small, dealt, hot_keys, join_by_key, latest_per_key, latest_with_fan,
 )
 
 KEYS = ("CustomerId", "AssetId", "PositionPeriod")
@@ -91,10 +91,11 @@ def _sum_where(condition: Column, name: str) -> Column:
     return F.sum(F.when(condition, F.col(name)).otherwise(0))
 
 
-def staking_rewards(wide_staking: DataFrame, deal: Sequence[int | str] = ()) -> DataFrame:
+def staking_rewards(wide_staking: DataFrame, deal: Sequence[int | str] = (), only: DataFrame | None = None) -> DataFrame:
     """Settled, pending and total rewards per client, asset, month and unbonding category.
 
     Like the other sums, of rows that may be dealt first (see :func:`skew.dealt`); else Spark adds up within a task first.
+    With ``only``, of some hot keys alone (see :func:`skew.among`).
     """
     events = _flatten(
         wide_staking,
@@ -103,7 +104,8 @@ def staking_rewards(wide_staking: DataFrame, deal: Sequence[int | str] = ()) ->
         ("EarnPeriod", "IsSettledStaking", "UnbondingCategory"),
     ).withColumnRenamed("EarnPeriod", "RewardPeriod")
     settled = F.col("IsSettledStaking")
-    totals = dealt(events, deal).groupBy("CustomerId", "AssetId", "RewardPeriod", "UnbondingCategory").agg(
+    rows = among(dealt(_counted(events), deal), only, ("CustomerId", "AssetId", "RewardPeriod"))
+    totals = rows.groupBy("CustomerId", "AssetId", "RewardPeriod", "UnbondingCategory").agg(
         _sum_where(settled, "NetAmount").alias("SettledNetRewards"),
         _sum_where(settled, "GrossAmount").alias("SettledGrossRewards"),
         _sum_where(settled, "FeeAmount").alias("SettledFees"),
@@ -112,12 +114,23 @@ def staking_rewards(wide_staking: DataFrame, deal: Sequence[int | str] = ()) ->
         F.sum("NetAmount").alias("TotalNetRewardsAllStates"),
         F.sum("GrossAmount").alias("TotalGrossRewardsAllStates"),
         F.sum("FeeAmount").alias("TotalFeesAllStates"),
-        F.count("ID").alias("TotalRewardEvents"),
+        _count_ids().alias("TotalRewardEvents"),
     )
     take_rate = numeric.divide(F.col("TotalFeesAllStates"), F.col("TotalGrossRewardsAllStates"))
     return totals.withColumn("FeeTakeRatePct", take_rate)
 
 
+def _counted(events: DataFrame) -> DataFrame:
+    """Events of which only the presence of an identifier goes on to be counted, not its text."""
+    return events.withColumn("ID", F.col("ID").isNotNull())
+
+
+def _count_ids(condition: Column | None = None) -> Column:
+    """Over :func:`_counted` events, as ``count("ID")`` over the others."""
+    known = F.col("ID") if condition is None else F.col("ID") & condition
+    return F.count(F.when(known, 1))
+
+
 def _sorted_list(name: str, separator: str) -> Column:
     """All non-NULL values as one text in ascending order; NULL when there are none."""
     return F.expr(f"listagg({name}, '{separator}') WITHIN GROUP (ORDER BY {name})")
@@ -132,14 +145,15 @@ def _fee_events(wide_fees: DataFrame) -> DataFrame:
     return _flatten(wide_fees, "FeeEvents", fields, ("FeePeriod", "IsFullyBilled"))
 
 
-def fee_sums(wide_fees: DataFrame, deal: Sequence[int | str] = ()) -> DataFrame:
+def fee_sums(wide_fees: DataFrame, deal: Sequence[int | str] = (), only: DataFrame | None = None) -> DataFrame:
     """Fees per client, asset, month and fee type, without the invoices."""
     billed = F.col("IsFullyBilled")
-    return dealt(_fee_events(wide_fees), deal).groupBy(*FEE_KEYS).agg(
+    events = _counted(_fee_events(wide_fees).drop("InvoiceReference"))
+    return among(dealt(events, deal), only, FEE_KEYS[:3]).groupBy(*FEE_KEYS).agg(
         F.sum("FeeAmountUSD").alias("TotalFeeAmountUSD"),
         F.sum("AumAtBilling").alias("TotalAumBilled"),
         F.avg("BasisPoints").alias("AvgBasisPoints"),
-        F.count("ID").alias("FeeEventCount"),
+        _count_ids().alias("FeeEventCount"),
         _sum_where(billed, "FeeAmountUSD").alias("BilledFeeAmountUSD"),
         _sum_where(~billed, "FeeAmountUSD").alias("PendingFeeAmountUSD"),
         F.bool_and(billed).alias("AllFeesBilled"),
@@ -152,17 +166,29 @@ def invoice_lines(wide_fees: DataFrame) -> DataFrame:
     return lines.select(*FEE_KEYS, "InvoiceReference", "FeeAmountUSD")
 
 
-def invoice_lists(lines: DataFrame, chunk_rows: int = INVOICE_ROWS) -> DataFrame:
+def invoice_lists(
+    lines: DataFrame, chunk_rows: int = INVOICE_ROWS, deal: Sequence[int | str] = (), only: DataFrame | None = None
+) -> DataFrame:
     """The sorted references of every fee key as one text.
 
-    Lines are ordered over all tasks by key and reference, so the references of a key with very many of
+    Where all lines of a client fit a task they may be dealt by some of the keys, see :func:`skew.dealt`, and are
+    numbered there, with ``only`` those of some hot keys alone.
+
+    Else lines are ordered over all tasks by key and reference, so the references of a key with very many of
     them lie in several. Texts are made of at most ``chunk_rows`` neighbours first; a key's few texts
     are then put together in order, which is the only place where one task holds all of them.
     """
-    ordered = lines.select(*FEE_KEYS, "InvoiceReference").repartitionByRange(*FEE_KEYS, "InvoiceReference")
-    place = F.monotonically_increasing_id()  # the task, then the row in it
-    numbered = ordered.sortWithinPartitions(*FEE_KEYS, "InvoiceReference").withColumn("_place", place)
-    block = F.shiftright("_place", 33) * F.lit(1 << 33) + F.floor(F.col("_place").bitwiseAND((1 << 33) - 1) / chunk_rows)
+    references = lines.select(*FEE_KEYS, "InvoiceReference")
+    if deal:
+        in_order = Window.partitionBy(*FEE_KEYS).orderBy("InvoiceReference")
+        chosen = among(dealt(references, deal), only, FEE_KEYS[:3])
+        numbered = chosen.withColumn("_place", F.row_number().over(in_order) - 1)
+        block = F.floor(F.col("_place") / chunk_rows)
+    else:
+        place = F.monotonically_increasing_id()  # the task, then the row in it
+        ordered = references.repartitionByRange(*FEE_KEYS, "InvoiceReference")
+        numbered = ordered.sortWithinPartitions(*FEE_KEYS, "InvoiceReference").withColumn("_place", place)
+        block = F.shiftright("_place", 33) * F.lit(1 << 33) + F.floor(F.col("_place").bitwiseAND((1 << 33) - 1) / chunk_rows)
     texts = numbered.groupBy(*FEE_KEYS, block.alias("_block")).agg(_sorted_list("InvoiceReference", ", ").alias("_text"))
     joined = F.expr("listagg(_text, ', ') WITHIN GROUP (ORDER BY _block)")
     return texts.groupBy(*FEE_KEYS).agg(joined.alias("InvoiceReferences"))
@@ -271,11 +297,11 @@ def financial_event_totals(wide_financial: DataFrame, deal: Sequence[int | str]
         ("CustomerId", "AssetId", "ID", "GrossAmount", "NetAmount"),
         ("EventPeriod", "IsPending"),
     )
-    return dealt(events, deal).groupBy("CustomerId", "AssetId", "EventPeriod").agg(
-        F.count("ID").alias("RawEventCount"),
+    return dealt(_counted(events), deal).groupBy("CustomerId", "AssetId", "EventPeriod").agg(
+        _count_ids().alias("RawEventCount"),
         F.sum("GrossAmount").alias("SumGrossFromEvents"),
         F.sum("NetAmount").alias("SumNetFromEvents"),
-        F.count(F.when(F.col("IsPending"), F.col("ID"))).alias("PendingEventCount"),
+        _count_ids(F.col("IsPending")).alias("PendingEventCount"),
     )
 
 

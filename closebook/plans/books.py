@@ -111,15 +111,24 @@ class Books:
     @cached_property
     def apart(self) -> bool:
         """Whether only the rows of hot keys are salted, as all rows of a client fit a task."""
+        return self._rows_apart is not None
+
+    @cached_property
+    def _rows_apart(self) -> int | None:
+        """The number of positions where no client has very many of them or of fees (whose invoices are listed by client then)."""
         if self.even or self.watch is not None or skew.surely_small(self.tables.CustodyPositions):
-            return False
-        present = self.tables.CustodyPositions.filter("ID IS NOT NULL AND CustomerId IS NOT NULL")
-        return skew.all_small(present, "CustomerId", max(self.hot_rows, skew.HOT_ROWS))
+            return None
+        known = "ID IS NOT NULL AND CustomerId IS NOT NULL"
+        present = [table.filter(known).select("CustomerId") for table in (self.tables.CustodyPositions, self.tables.FeeEvents)]
+        return skew.rows_if_small(present, "CustomerId", max(self.hot_rows, skew.HOT_ROWS))
 
-    @property
+    @cached_property
     def _deal(self) -> tuple[int | str, ...]:
-        """How rows are dealt on the way to the spine and from it: by client, or as each step needs."""
-        return ("CustomerId",) if self.even or self.apart else ()
+        """How rows are dealt on the way to the spine and from it: by client (to tasks by their number, if known), or as each step needs."""
+        if not self.apart:
+            return ("CustomerId",) if self.even else ()
+        tasks = skew.tasks_for(self.tables.CustodyPositions.sparkSession, self._rows_apart)
+        return ("CustomerId",) if tasks is None else (tasks, "CustomerId")
 
     @property
     def _salts(self) -> DataFrame | None:
@@ -141,20 +150,21 @@ class Books:
         ordinary, hot = (part.drop(skew.FAN_BEFORE, skew.FAN_AFTER) for part in parts)
         return skew.stacked(ordinary.withColumn(skew.SALT, F.lit(0)), hot)
 
-    @cached_property
-    def _dimensions(self) -> tuple[DataFrame, ...]:
-        rewards = skew.shared(views.staking_rewards(self.wide("StakingEvents"), self._deal))
-        return self.tables.Customers, self.tables.ReferenceAssets, rewards, skew.shared(views.fee_sums(self.wide("FeeEvents"), self._deal))
+    def _dimensions(self, only: DataFrame | None = None) -> tuple[DataFrame, ...]:
+        """What the spine joins, the sums of all keys or only of some hot ones."""
+        rewards = skew.shared(views.staking_rewards(self.wide("StakingEvents"), self._deal, only))
+        fees = skew.shared(views.fee_sums(self.wide("FeeEvents"), self._deal, only))
+        return self.tables.Customers, self.tables.ReferenceAssets, rewards, fees
 
     @cached_property
     def _plain_positions(self) -> DataFrame:
         ordinary, _ = self._parts(self._balances_with_fan)
-        return self.keep(views.client_positions(ordinary, *self._dimensions, run_ts=self.run_ts, keep_salt=True), "client-positions")
+        return self.keep(views.client_positions(ordinary, *self._dimensions(), run_ts=self.run_ts, keep_salt=True), "client-positions")
 
     @cached_property
     def _position_parts(self) -> tuple[DataFrame, DataFrame]:
         _, hot = self._parts(self._balances_with_fan)
-        salted = views.client_positions(hot, *self._dimensions, run_ts=self.run_ts, hot=self.hot, keep_salt=True, only_hot=True)
+        salted = views.client_positions(hot, *self._dimensions(self.hot), run_ts=self.run_ts, hot=self.hot, keep_salt=True, only_hot=True)
         return self._plain_positions, self.keep(salted, "hot-client-positions")
 
     @cached_property
@@ -170,7 +180,7 @@ class Books:
         plain, salted = parts
         return self._whole((
             views.with_invoices(plain, self.invoice_lists, deal=self._deal),
-            views.with_invoices(salted, self.invoice_lists, self.hot, self._deal, only_hot=True),
+            views.with_invoices(salted, self._lists(self.hot), self.hot, self._deal, only_hot=True),
         ))
 
     def _statement_apart(self) -> DataFrame:
@@ -183,7 +193,7 @@ class Books:
         is_hot, after_hot, before_hot = (F.col(name).isNotNull() for name in (skew.FAN, skew.FAN_BEFORE, skew.FAN_AFTER))
         touched = self._balances_with_fan.filter(is_hot | after_hot | before_hot)
         keys = self.keep(views.balance_keys(touched), "touched-keys")
-        salted = views.client_positions(touched, *self._dimensions, run_ts=self.run_ts, hot=keys, keep_salt=True, only_hot=True)
+        salted = views.client_positions(touched, *self._dimensions(keys), run_ts=self.run_ts, hot=keys, keep_salt=True, only_hot=True)
         salted = self.keep(skew.shared(salted), "touched-client-positions")
         prior = statement.prior_rows(statement.approved_only(salted))
         split = statement.monthly_statement(salted.filter(is_hot | after_hot), self.entity, self.run_ts, keys, prior=prior)
@@ -217,7 +227,11 @@ class Books:
 
     @cached_property
     def invoice_lists(self) -> DataFrame:
-        return views.invoice_lists(views.invoice_lines(self.wide("FeeEvents")))
+        return self._lists()
+
+    def _lists(self, only: DataFrame | None = None) -> DataFrame:
+        lines = views.invoice_lines(self.wide("FeeEvents"))
+        return views.invoice_lists(lines, deal=self._deal, only=only) if self.apart else views.invoice_lists(lines)
 
     def _with_invoices(self, df: DataFrame) -> DataFrame:
         return views.with_invoices(df, self.invoice_lists, self._salts, self._deal)

@@ -296,3 +296,53 @@ def test_all_rows_are_salted_where_a_client_is_large_or_the_table_small(spark, t
     assert not crowded(spark, hot_rows=3).apart
     monkeypatch.setattr(skew, "HOT_ROWS", 500)
     assert crowded(spark, hot_rows=3).apart
+
+
+def test_tasks_follow_the_rows_not_the_shuffle_partitions(spark, tmp_path, large, monkeypatch):
+    """With few shuffle partitions for its rows a task would sort and add up more than its memory holds, and spill."""
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)
+    books = stored_crowd(spark, tmp_path, hot_rows=3)
+    tasks = -(-books._rows_apart // 10)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = executed(books.reconciliation)
+    dealt = [line for line in plan.splitlines() if "+- Exchange hashpartitioning(CustomerId" in line and "REPARTITION_BY" in line and SALT not in line]
+    assert len(dealt) == 5 and all(f", {tasks})," in line and "REPARTITION_BY_NUM" in line for line in dealt)
+    for name in ("reconciliation", "monthly_statement"):
+        assert content(getattr(books, name)) == content(getattr(crowded(spark), name)), name
+
+
+def test_a_reconciliation_with_hot_keys_deals_invoices_by_client_alone(spark, tmp_path, large):
+    plan = executed(stored_crowd(spark, tmp_path, hot_rows=3).reconciliation)
+    assert "rangepartitioning" not in plan
+    assert "FeeType" not in "".join(line.split("hashpartitioning(")[1].split("), ")[0] for line in plan.splitlines() if "+- Exchange hashpartitioning(" in line)
+
+
+def test_rows_are_counted_where_all_are_small(spark):
+    few, many = spark.range(10).selectExpr("'A' AS key"), spark.range(100_000).selectExpr("'A' AS key")
+    assert skew.rows_if_small([few, many], "key", 100_000) == 10 and skew.rows_if_small([many, few], "key", 100_000) == 100_000
+    assert skew.rows_if_small([few, many], "key", 90_000) is None
+    assert skew.rows_if_small([few.limit(0)], "key", 90_000) == 0
+    assert skew.rows_if_small([few], "key", 3) is None  # not worth a scan
+
+
+def test_invoices_are_not_dealt_by_client_where_one_has_very_many(spark, monkeypatch):
+    from closebook.plans.books import Books
+    from closebook.schemas import SCHEMAS, SemanticTables
+
+    monkeypatch.setattr(skew, "BROADCAST_LIMIT_BYTES", -1)
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    monkeypatch.setattr(skew, "GROUPS", 40)
+    source = crowded(spark).tables
+    assert Books(source, hot_rows=3).apart
+    named = {name: source[name] for name in SCHEMAS}
+    many = named["FeeEvents"].crossJoin(spark.range(150).toDF("n")).withColumn("ID", F.concat("ID", F.col("n").cast("string"))).select(named["FeeEvents"].columns)
+    crowd = SemanticTables(**(named | {"FeeEvents": many}))
+    assert not Books(crowd, hot_rows=3).apart
+
+
+def test_among_keeps_only_rows_of_hot_keys(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, None), ("a", 2, "y"), (None, 1, "z")], "c string, month int, v string")
+    hot = spark.createDataFrame([("a", 1, 3, 9)], f"CustomerId string, PositionPeriod int, {skew.FAN} int, {skew.LATEST} int")
+    kept = skew.among(df, hot, ("c", "month"))
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect()), key=str) == [("a", 1, "x"), ("a", 1, None)]
+    assert skew.among(df, None, ("c", "month")) is df
