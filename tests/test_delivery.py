@@ -232,3 +232,24 @@ def test_appending_reads_the_log_without_sorting_out_repeated_events(spark, tmp_
     delivery.confirm_deliveries(receipts, path)
     found = delivery.current_state(delivery.read_log(rows, path)).collect()
     assert sorted((row.Attempt, row.Events, row.DeliveryStatus) for row in found) == [(1, 2, "CONFIRMED")] * 2
+
+
+def test_identifiers_of_events_are_made_where_they_are_written(spark, tmp_path):
+    rows, path = statements(spark, "A", "B"), f"{tmp_path}/log"
+    delivery.record_deliveries(rows.filter("StatementId = 'A'"), path, at(6))
+    log = delivery._events(rows, path)
+    receipts = rows.select("StatementId", at(8).alias("ReceivedAt"))
+    for events in (delivery._pending(rows, log, at(7), "SENT", None), delivery._confirmed(log, receipts)):
+        plan = events._jdf.queryExecution().optimizedPlan().toString()
+        assert "EventId" not in events.columns and "sha2" not in plan and "LeftAnti" not in plan
+    state = delivery.read_log(rows, path).drop("EventId")._jdf.queryExecution().executedPlan().toString()
+    assert "EventId" not in state
+    assert delivery.pending_deliveries(rows, log, at(7)).first().EventId == hashlib.sha256(b"B|2025-03-01|1|SENT").hexdigest()
+
+
+def test_a_statement_without_identifier_is_logged_once(spark, tmp_path):
+    rows, path = statements(spark, None, "A").union(statements(spark, None)), f"{tmp_path}/log"
+    outcomes = spark.createDataFrame([(None, False)], "StatementId string, Delivered boolean")
+    for hour in (6, 7):
+        delivery.record_deliveries(rows, path, at(hour), outcomes=outcomes)
+        assert sorted(map(str, (r.StatementId for r in spark.read.parquet(path).collect()))) == ["A", "None"]
