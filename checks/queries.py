@@ -26,7 +26,7 @@ from closebook.plans.books import Books
 from closebook.plans.bucketed import BucketedBooks
 from closebook.plans.close import close_month, close_period
 from closebook.schemas import FACTS, SCHEMAS, SemanticTables
-from closebook.session import COMPACT, configure, materialise, scratch_path
+from closebook.session import COMPACT, configure, hadoop_path, materialise, scratch_path
 from closebook.sources import delivery, seeds, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -670,8 +670,17 @@ def _view(t: SemanticTables) -> DataFrame:
 register("sink_view", _view, f"SELECT {oracle._doubles(*oracle.REWARD_SUMS)} FROM Rew")
 
 
-def _read_statement_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)
+def _read_statement_csv(spark: SparkSession, path: str, like: DataFrame, **options: bool) -> DataFrame:
+    return spark.read.schema(like.schema).options(header=True, enforceSchema=False, mode="FAILFAST", **options).csv(path)
+
+
+FILES = 100  # small files that a task reads; it holds the buffers of each until it ends
+
+
+def _in_fewer_tasks(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows of a folder of very many small files, or of folders with one each, which Spark would else read with a task for every few of them."""
+    fs, path = hadoop_path(rows.sparkSession, folder)
+    return rows.coalesce(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(fs.listStatus(path)) // FILES))
 
 
 def _exported(t: SemanticTables) -> DataFrame:
@@ -689,7 +698,7 @@ def _exported_per_client(t: SemanticTables) -> DataFrame:
     spark = spark_of(t)
     rows = Books(t).monthly_statement.drop("StatementGeneratedAt")
     folder = delivery.export_per_client(rows, scratch_path(spark, "per-client"), CLOSED_MONTH)
-    return _read_statement_csv(spark, folder, rows).select(*rows.columns)
+    return _in_fewer_tasks(_read_statement_csv(spark, folder, rows, recursiveFileLookup=True), folder)
 
 
 register("sink_statement_per_client", _exported_per_client, f"{_STATEMENT_SQL} WHERE PositionPeriod = DATE '{CLOSED_MONTH}'")
@@ -844,7 +853,7 @@ def _report_files(t: SemanticTables) -> DataFrame:
     folder = delivery.destination(reports.CUSTODY_MONTHLY, root, CLOSED_MONTH)
     like = reports.report(reports.CUSTODY_MONTHLY, source)
     lines = spark.read.schema(like.schema).options(header=True, enforceSchema=False, mode="FAILFAST", escape='"').csv(folder)
-    lines = lines.withColumn("File", F.element_at(F.split("_metadata.file_path", "/"), -1))
+    lines = _in_fewer_tasks(lines.withColumn("File", F.element_at(F.split("_metadata.file_path", "/"), -1)), folder)
     return lines.join(manifest.select("File", "CustomerId", "Rows"), "File", "full")
 
 

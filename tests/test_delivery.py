@@ -253,3 +253,40 @@ def test_a_statement_without_identifier_is_logged_once(spark, tmp_path):
     for hour in (6, 7):
         delivery.record_deliveries(rows, path, at(hour), outcomes=outcomes)
         assert sorted(map(str, (r.StatementId for r in spark.read.parquet(path).collect()))) == ["A", "None"]
+
+
+def contents(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in folder.rglob("*.csv") if not any(part.startswith((".", "_")) for part in p.relative_to(folder).parts)}
+
+
+def test_tasks_write_the_files_that_spark_would_write(spark, tmp_path, monkeypatch):
+    odd = [*ROWS, "('', 'APPROVED', NULL, DATE'2025-03-01', '', NULL, NULL)", "('C1', 'APPROVED', true, DATE'2025-03-01', ' #a\\nb''\\\\', -1, 5)"]
+    found = {}
+    for way in ("tasks", "spark"):
+        if way == "spark":  # as where only Spark's writer reaches the folder
+            monkeypatch.setattr(delivery, "_local", lambda spark, folder: None)
+        else:  # no file may take the way over the driver
+            monkeypatch.setattr(delivery, "_move_files", None)
+        manifest = delivery.deliver_report(CONFIG, source(spark, odd), f"{tmp_path}/{way}", MARCH).collect()
+        found[way] = contents(tmp_path / way), sorted(map(tuple, manifest))
+        monkeypatch.undo()
+    assert found["tasks"] == found["spark"] and len(found["tasks"][0]) == 3
+
+
+def test_client_folders_are_those_that_spark_would_write(spark, tmp_path, monkeypatch):
+    clients = ["C1", "C2", "a/b *%é", "x=[1]:\t'", "", None]
+    rows = [(c, MARCH, f"S{n}", f"L{n}", f"s,\"{n}\"" if n % 2 else None, n) for n, c in enumerate(clients * 3)] + [("C9", APRIL, "S", "L", "s", 0)]
+    given = spark.createDataFrame(rows, "CustomerId string, PositionPeriod date, StatementId string, CustodianLedgerRef string, Symbol string, n int")
+    found = {}
+    for way in ("tasks", "spark"):
+        if way == "spark":
+            monkeypatch.setattr(delivery, "_local", lambda spark, folder: None)
+        for _ in range(2):  # the second run replaces the first
+            target = delivery.export_per_client(given, f"{tmp_path}/{way}", MARCH)
+        read_back = spark.read.option("header", True).csv(target).collect()
+        files = contents(tmp_path / way)
+        found[way] = sorted((name.rsplit("/", 1)[0], sorted(text.splitlines())) for name, text in files.items()), sorted(map(str, read_back))
+        assert (tmp_path / way / "period=2025-03-01" / "_SUCCESS").exists() and len(read_back) == 18
+    assert found["tasks"] == found["spark"] and len(found["tasks"][0]) >= 5
+    crc = [p for p in (tmp_path / "tasks").rglob("*.crc") if "SUCCESS" not in p.name]
+    assert not crc, "Spark's writer made these files"
